@@ -103,3 +103,86 @@ def with_silver(body: str) -> str:
 
 def with_ctes(*ctes: str, body: str) -> str:
     return "WITH " + ",".join(ctes) + "\n" + body
+
+
+def _case(col: str, mapping: dict, default: str = "NULL") -> str:
+    whens = " ".join(f"WHEN {col} = '{k}' THEN '{v}'" for k, v in mapping.items())
+    return f"CASE {whens} ELSE {default} END"
+
+
+def _metrics_cte() -> str:
+    from tollgate.sources.adapters import (EVENT_METRIC_TYPE, EVENT_QUERY_NAME,
+                                           PROTOCOLS, TASK_IDS)
+    from tollgate.schemas import RUN_METRICS
+
+    protocols = ", ".join(f"'{p}'" for p in PROTOCOLS)
+    tasks = ", ".join(f"'{t}'" for t in TASK_IDS)
+    cols = {
+        "benchmark_run_id": "run_id",
+        "comparison_id": "'cmp-events'",
+        "trial_id": "'trial-' || CAST(block AS VARCHAR)",
+        "sequence_position": "event_id + 1",
+        "measurement_protocol": "protocol",
+        "retry_count": "k % 2",
+        "metric_id": "run_id || ':' || CAST(event_id AS VARCHAR)",
+        "metric_type": "mtype",
+        "architecture": "arch",
+        "environment": "CASE WHEN arch = 'onprem' THEN 'local' ELSE 'aws' END",
+        "file_layout": "CASE WHEN user_id % 2 = 0 THEN 'fragmented' ELSE 'compact' END",
+        "workload_name": "'events'",
+        "dag_id": "'taxi_benchmark_pipeline'",
+        "dag_run_id": "'dag-' || CAST(user_id AS VARCHAR)",
+        "task_id": f"CASE WHEN mtype = 'airflow_task' THEN [{tasks}][k % 3 + 1] END",
+        "query_name": _case("event_type", EVENT_QUERY_NAME),
+        "query_id": "CASE WHEN mtype = 'trino_query' THEN 'q' || CAST(user_id AS VARCHAR) || '-' || CAST(k AS VARCHAR) END",
+        "dataset": "ds",
+        "year": "CASE WHEN ds = 'green' THEN 2014 ELSE 2011 END",
+        "month": "(k % 4) * 3 + 1",
+        "repetition": "k % 3 + 1",
+        "status": "CASE WHEN value < 1.0 THEN 'FAILED' WHEN mtype = 'trino_query' THEN 'FINISHED' ELSE 'success' END",
+        "started_at": "ts",
+        "finished_at": "make_timestamp(epoch_us(ts) + CAST(round(value * 1000000) AS BIGINT))",
+        "duration_seconds": "value",
+        "physical_input_bytes": "(k + 1) * 4096",
+        "records_read": "k * 1000",
+        "file_count": "k % 16 + 1",
+        "data_size_bytes": "(k + 1) * 65536",
+        "spark_application_id": "CASE WHEN mtype = 'airflow_task' THEN 'app-' || CAST(user_id AS VARCHAR) || '-' || CAST(k % 3 AS VARCHAR) END",
+        "table_name": "CASE WHEN mtype = 'iceberg_partition' THEN 'silver.' || ds || '_trips' END",
+        "cache_state": "CASE WHEN protocol = 'warm_recorded' THEN 'warm' ELSE 'cold' END",
+        "processed_at": "ts",
+    }
+    duck = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+            "timestamp": "TIMESTAMP"}
+    select = ",\n         ".join(
+        f"CAST({cols.get(f.name, 'NULL')} AS {duck[f.dataType.simpleString()]}) AS {f.name}"
+        for f in RUN_METRICS.fields
+    )
+    return f"""
+ev_stage AS (
+  SELECT event_id, user_id, event_type, value, ts,
+         CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+         CASE WHEN event_id % 2 = 0 THEN 'onprem' ELSE 'hybrid_aws' END AS arch,
+         {_case('event_type', EVENT_METRIC_TYPE)} AS mtype,
+         user_id // 2 AS block
+  FROM events
+),
+ev_blocks AS (
+  SELECT *, [{protocols}][block % 3 + 1] AS protocol,
+         CASE WHEN block % 2 = 0 THEN 'green' ELSE 'yellow' END AS ds
+  FROM ev_stage
+),
+ev_runs AS (
+  SELECT *, 'run-' || CAST(user_id AS VARCHAR) || '-' || arch AS run_id FROM ev_blocks
+),
+run_metrics AS (
+  SELECT {select}
+  FROM ev_runs
+)"""
+
+
+METRICS = _metrics_cte()
+
+
+def with_metrics(body: str, *extra: str) -> str:
+    return "WITH " + ",".join((METRICS,) + extra) + "\n" + body

@@ -101,7 +101,7 @@ def raw_trips_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 # run metrics
 # ---------------------------------------------------------------------------
 
-# Mapping of event types onto metric types / query names.
+# Mapping of event types onto metric types.
 EVENT_METRIC_TYPE = {
     "purchase": "pipeline",
     "signup": "airflow_task",
@@ -109,100 +109,92 @@ EVENT_METRIC_TYPE = {
     "view": "trino_query",
     "error": "iceberg_partition",
 }
+# Query names of the filtered and the broad scan.
+FILTERED_QUERY = "01_partition_financial_aggregation"
+BROAD_QUERY = "03_dataset_financial_scan"
+EVENT_QUERY_NAME = {"click": FILTERED_QUERY, "view": BROAD_QUERY}
 # Measurement protocols and the task ids of the pipeline DAG.
 PROTOCOLS = ("pipeline_paired", "warm_recorded", "service_cold_recorded")
 TASK_IDS = ("stage_trips", "check_silver_quality", "build_gold_revenue")
 
 
+def _pick(values, index: Column) -> Column:
+    """values[index] for a 0-based integer Column."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+
+
+def _s(c) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("string")
+
+
 def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """56-column run-metrics rows derived from ``events``.
 
-    architecture = parity of event_id, pair = user_id, workload key =
-    event_type, duration = value, started_at = ts, counters from props.k.
+    One event is one measured metric: architecture = parity of event_id,
+    architecture pair = user_id (``dag_run_id``), 2x2 layout block = two
+    users (``trial_id``; layout = parity of user_id), metric type / query
+    from event_type, duration = value, started_at = ts, counters from
+    ``props.k``.
     """
     ev = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("bigint")
     arch = F.when(F.col("event_id") % 2 == 0, F.lit("onprem")).otherwise(F.lit("hybrid_aws"))
-    mtype = F.coalesce(
-        *[F.when(F.col("event_type") == t, F.lit(m)) for t, m in EVENT_METRIC_TYPE.items()],
-        F.lit("pipeline"),
-    )
-    protocol = F.element_at(
-        F.array(*[F.lit(p) for p in PROTOCOLS]), (F.dayofmonth("ts") % 3 + 1).cast("int")
-    )
-    dataset = F.when(F.col("user_id") % 2 == 0, F.lit("green")).otherwise(F.lit("yellow"))
-    year = F.when(F.col("user_id") % 2 == 0, F.lit(2014)).otherwise(F.lit(2011))
-    run_id = F.format_string("run-%d-%s", F.col("user_id"), F.col("arch"))
+    mtype = F.coalesce(*[F.when(F.col("event_type") == t, F.lit(m)) for t, m in EVENT_METRIC_TYPE.items()])
+    staged = ev.select(
+        "event_id", "user_id", "event_type", "value",
+        F.to_timestamp("ts").alias("ts"), k.alias("k"), arch.alias("arch"),
+        mtype.alias("mtype"), F.expr("user_id div 2").alias("block"),
+    ).select(
+        "*", _pick(PROTOCOLS, F.col("block") % 3).alias("protocol"),
+        F.when(F.col("block") % 2 == 0, F.lit("green")).otherwise(F.lit("yellow")).alias("ds"),
+    ).withColumn("run_id", F.concat(F.lit("run-"), _s("user_id"), F.lit("-"), F.col("arch")))
+    qname = F.coalesce(*[F.when(F.col("event_type") == t, F.lit(q)) for t, q in EVENT_QUERY_NAME.items()])
     cols = {
-        "benchmark_run_id": run_id,
+        "benchmark_run_id": F.col("run_id"),
         "comparison_id": F.lit("cmp-events"),
-        "trial_id": F.format_string("trial-%d", F.col("user_id") % 3 + 1),
-        "sequence_position": (F.col("event_id") + 1).cast("int"),
+        "trial_id": F.concat(F.lit("trial-"), _s("block")),
+        "sequence_position": F.col("event_id") + 1,
         "measurement_protocol": F.col("protocol"),
-        "retry_count": (F.col("k") % 2).cast("int"),
-        "metric_id": F.format_string(
-            "%s:%s:%s:%d", run_id, F.col("metric_type"), F.col("event_type"), F.col("k")
-        ),
-        "metric_type": F.col("metric_type"),
+        "retry_count": F.col("k") % 2,
+        "metric_id": F.concat(F.col("run_id"), F.lit(":"), _s("event_id")),
+        "metric_type": F.col("mtype"),
         "architecture": F.col("arch"),
         "environment": F.when(F.col("arch") == "onprem", F.lit("local")).otherwise(F.lit("aws")),
-        "file_layout": F.when((F.col("user_id") / 2).cast("bigint") % 2 == 0, F.lit("fragmented")).otherwise(F.lit("compact")),
+        "file_layout": F.when(F.col("user_id") % 2 == 0, F.lit("fragmented")).otherwise(F.lit("compact")),
         "workload_name": F.lit("events"),
         "dag_id": F.lit("taxi_benchmark_pipeline"),
-        "dag_run_id": F.format_string("dag-%d", F.col("user_id")),
-        "task_id": F.when(
-            F.col("metric_type") == "airflow_task",
-            F.element_at(F.array(*[F.lit(t) for t in TASK_IDS]), (F.col("k") % 3 + 1).cast("int")),
-        ),
-        "query_name": F.when(F.col("metric_type") == "trino_query", F.col("event_type")),
-        "query_id": F.when(
-            (F.col("metric_type") == "trino_query") & (F.col("k") % 10 != 0),
-            F.format_string("q%d", F.col("event_id")),
-        ),
-        "dataset": dataset,
-        "year": year,
-        "month": (F.col("k") % 4 * 3 + 1).cast("int"),
-        "repetition": (F.col("k") % 3 + 1).cast("int"),
-        "status": F.when(F.col("value") < 1.0, F.lit("FAILED")).when(
-            F.col("metric_type") == "trino_query", F.lit("FINISHED")
-        ).otherwise(F.lit("success")),
-        "started_at": F.to_timestamp("ts"),
-        "finished_at": F.timestamp_seconds(
-            F.unix_micros(F.to_timestamp("ts")) / 1_000_000 + F.col("value")
-        ),
+        "dag_run_id": F.concat(F.lit("dag-"), _s("user_id")),
+        "task_id": F.when(F.col("mtype") == "airflow_task", _pick(TASK_IDS, F.col("k") % 3)),
+        "query_name": qname,
+        "query_id": F.when(F.col("mtype") == "trino_query",
+                           F.concat(F.lit("q"), _s("user_id"), F.lit("-"), _s("k"))),
+        "dataset": F.col("ds"),
+        "year": F.when(F.col("ds") == "green", F.lit(2014)).otherwise(F.lit(2011)),
+        "month": (F.col("k") % 4) * 3 + 1,
+        "repetition": F.col("k") % 3 + 1,
+        "status": F.when(F.col("value") < 1.0, F.lit("FAILED"))
+        .when(F.col("mtype") == "trino_query", F.lit("FINISHED"))
+        .otherwise(F.lit("success")),
+        "started_at": F.col("ts"),
+        "finished_at": F.timestamp_micros(
+            F.unix_micros("ts") + F.round(F.col("value") * 1_000_000).cast("bigint")),
         "duration_seconds": F.col("value"),
+        "physical_input_bytes": (F.col("k") + 1) * 4096,
         "records_read": F.col("k") * 1000,
-        "records_written": F.col("k") * 10,
-        "result_rows": F.col("k") % 7,
-        "input_bytes": F.col("k") * 4096,
-        "output_bytes": F.col("k") * 512,
-        "spark_application_id": F.when(
-            F.col("metric_type") == "airflow_task",
-            F.format_string("app-%d-%d", F.col("user_id"), F.col("k") % 3),
-        ),
-        "table_name": F.when(F.col("metric_type") == "iceberg_partition", F.format_string("silver.%s_trips", dataset)),
         "file_count": F.col("k") % 16 + 1,
-        "data_size_bytes": F.col("k") * 65536,
-        "metric_name": F.when(F.col("metric_type") == "iceberg_partition", F.lit("records")),
-        "metric_value": F.col("value"),
-        "metric_unit": F.lit("seconds"),
+        "data_size_bytes": (F.col("k") + 1) * 65536,
+        "spark_application_id": F.when(
+            F.col("mtype") == "airflow_task",
+            F.concat(F.lit("app-"), _s("user_id"), F.lit("-"), _s(F.col("k") % 3))),
+        "table_name": F.when(F.col("mtype") == "iceberg_partition",
+                             F.concat(F.lit("silver."), F.col("ds"), F.lit("_trips"))),
         "cache_state": F.when(F.col("protocol") == "warm_recorded", F.lit("warm")).otherwise(F.lit("cold")),
-        "artifact_path": F.format_string("benchmarks/%s/benchmark_run.json", run_id),
+        "processed_at": F.col("ts"),
     }
-    staged = ev.select(
-        "event_id", "ts", "user_id", "event_type", "value",
-        k.alias("k"), arch.alias("arch"), mtype.alias("metric_type"),
-        protocol.alias("protocol"),
-    )
-    out = []
-    for field in RUN_METRICS.fields:
-        if field.name in cols:
-            out.append(cols[field.name].cast(field.dataType).alias(field.name))
-        elif field.name == "processed_at":
-            out.append(F.to_timestamp("ts").alias("processed_at"))
-        else:
-            out.append(F.lit(None).cast(field.dataType).alias(field.name))
-    return staged.select(*out)
+    return staged.select(*[
+        (cols[f.name] if f.name in cols else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in RUN_METRICS.fields
+    ])
 
 
 # ---------------------------------------------------------------------------
