@@ -9,8 +9,20 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "int": T.IntegerType(), "bigint": T.LongType(), "float": T.FloatType(),
+    "double": T.DoubleType(), "string": T.StringType(), "boolean": T.BooleanType(),
+    "timestamp": T.TimestampType(),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """``"name type, ..."`` -> StructType (usable before a session exists)."""
+    fields = []
+    for item in spec.split(","):
+        name, dtype = item.split()
+        fields.append(T.StructField(name, _TYPES[dtype], True))
+    return T.StructType(fields)
 
 
 # Silver yellow trips, 25 columns in table order.
