@@ -292,11 +292,16 @@ SELECT {PKEYS}, status, count(*) AS check_count FROM (
     lambda spark, sf: marts.latest_status_summary(_audit_frames(spark, sf)))
 
 
+def _load_all() -> None:
+    # Importing the other registry modules registers their queries.
+    from tollgate.plans import registry_metrics, registry_validation  # noqa: F401
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from tollgate.plans import registry_metrics  # noqa: F401  (registers more)
+    _load_all()
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    from tollgate.plans import registry_metrics  # noqa: F401
+    _load_all()
     return dict(SQL)
