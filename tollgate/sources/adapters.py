@@ -201,53 +201,104 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 # price offers
 # ---------------------------------------------------------------------------
 
+# Offer kinds (p_size % 4) -> product attributes.
+OFFER_KINDS = {
+    0: ("AmazonS3", "API Request", {"group": "S3-API-Tier1", "groupDescription": "PUT/COPY/POST or LIST requests"},
+        "Requests", "USD per PUT, COPY, POST, or LIST requests"),
+    1: ("AmazonS3", "API Request", {"group": "S3-API-Tier2", "groupDescription": "GET and all other requests"},
+        "Requests", "USD per GET and all other requests"),
+    2: ("AWSDataTransfer", "Data Transfer", {"fromRegionCode": "us-east-1", "transferType": "AWS Outbound",
+                                             "toLocation": "External"},
+        "GB", "USD per GB - data transfer out to the internet"),
+    3: ("AmazonS3", "Storage", {"group": "Other"}, "GB-Mo", "USD per GB-month of storage"),
+}
+
+
 def price_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price-list offers as JSON strings, one per ``part`` row.
 
-    Each part becomes an offer with one price dimension; group and unit are
-    chosen from the part's size so that GET, PUT and transfer rates exist
-    alongside non-matching offers.
+    The kind (PUT / GET / transfer / other) comes from ``p_size % 4``; the
+    price per unit is ``p_retailprice / 1e9``; transfer offers of odd
+    ``p_size // 4`` start at a higher tier (beginRange 10240).
     """
     part = table(spark, sf_dir, "part")
     kind = F.col("p_size") % 4
-    group = F.element_at(
-        F.array(F.lit("S3-API-Tier1"), F.lit("S3-API-Tier2"), F.lit("S3-API-Tier1"), F.lit("Other")),
-        (kind + 1).cast("int"),
+
+    service = F.coalesce(*[F.when(kind == k, F.lit(v[0])) for k, v in OFFER_KINDS.items()])
+    family = F.coalesce(*[F.when(kind == k, F.lit(v[1])) for k, v in OFFER_KINDS.items()])
+    attrs = F.coalesce(*[F.when(kind == k, F.create_map(*[x for a, b in v[2].items() for x in (F.lit(a), F.lit(b))]))
+                         for k, v in OFFER_KINDS.items()])
+    unit = F.coalesce(*[F.when(kind == k, F.lit(v[3])) for k, v in OFFER_KINDS.items()])
+    desc = F.coalesce(*[F.when(kind == k, F.lit(v[4])) for k, v in OFFER_KINDS.items()])
+    begin = F.when((kind == 2) & (F.expr("p_size div 4") % 2 == 1), F.lit("10240")).otherwise(F.lit("0"))
+    usd = (F.col("p_retailprice") / 1e9).cast("string")
+    dim = F.struct(desc.alias("description"), unit.alias("unit"), begin.alias("beginRange"),
+                   F.lit("Inf").alias("endRange"), F.struct(usd.alias("USD")).alias("pricePerUnit"))
+    offer = F.to_json(F.struct(
+        service.alias("serviceCode"),
+        F.struct(family.alias("productFamily"), attrs.alias("attributes")).alias("product"),
+        F.struct(F.create_map(
+            F.concat(F.lit("term"), F.col("p_partkey").cast("string")),
+            F.struct(F.create_map(F.concat(F.lit("dim"), F.col("p_partkey").cast("string")), dim).alias("priceDimensions")),
+        ).alias("OnDemand")).alias("terms"),
+    ))
+    return part.select(F.col("p_partkey").alias("offer_id"), (kind == 2).alias("is_transfer"), offer.alias("offer"))
+
+
+# ---------------------------------------------------------------------------
+# evidence shapes derived from events
+# ---------------------------------------------------------------------------
+
+# Request metric reported for each event type.
+EVENT_REQUEST_METRIC = {
+    "click": "GetRequests", "view": "GetRequests", "purchase": "PutRequests",
+    "signup": "PutRequests", "error": "BytesDownloaded",
+}
+
+
+def request_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Request datapoints (target, metric, ts, value) from ``events``."""
+    ev = table(spark, sf_dir, "events")
+    metric = F.coalesce(*[F.when(F.col("event_type") == t, F.lit(m)) for t, m in EVENT_REQUEST_METRIC.items()])
+    return ev.select(
+        F.concat(F.lit("bucket-"), (F.col("user_id") % 4).cast("string")).alias("target"),
+        metric.alias("metric"), F.to_timestamp("ts").alias("ts"),
+        F.when(F.col("event_type") == "error", F.col("value") * 1048576).otherwise(F.col("value")).alias("value"),
     )
-    description = F.element_at(
-        F.array(
-            F.lit("PUT, COPY, POST, or LIST requests"),
-            F.lit("GET and all other requests"),
-            F.lit("Data Transfer Out"),
-            F.lit("Other"),
-        ),
-        (kind + 1).cast("int"),
+
+
+def request_windows(metrics: DataFrame) -> DataFrame:
+    """Evidence windows: one per (protocol, day) of the run metrics."""
+    return metrics.groupBy(
+        F.concat(F.col("measurement_protocol"), F.lit(":"), F.to_date("started_at").cast("string")).alias("block")
+    ).agg(F.min("started_at").alias("start"), F.max("finished_at").alias("end"))
+
+
+def resource_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Container samples (benchmark_run_id, cpu_percent, memory text) from ``events``."""
+    ev = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    arch = F.when(F.col("event_id") % 2 == 0, F.lit("onprem")).otherwise(F.lit("hybrid_aws"))
+    mem = (F.when(k % 3 == 0, F.concat(k.cast("string"), F.lit("MiB")))
+           .when(k % 3 == 1, F.concat((k / 10.0).cast("string"), F.lit(" GiB")))
+           .otherwise(F.concat((k * 1024).cast("string"), F.lit("B"))))
+    return ev.select(
+        F.concat(F.lit("run-"), F.col("user_id").cast("string"), F.lit("-"), arch).alias("benchmark_run_id"),
+        (F.col("value") / 5).alias("cpu_percent"), mem.alias("memory"),
+        F.lit(5.0).alias("interval_seconds"),
     )
-    family = F.when(kind == 2, F.lit("Data Transfer")).otherwise(F.lit("API Request"))
-    unit = F.when(kind == 2, F.lit("GB")).otherwise(F.lit("Requests"))
-    price = F.format_string("%.10f", F.col("p_retailprice") / 1e8)
-    offer = F.to_json(
-        F.struct(
-            F.struct(
-                family.alias("productFamily"),
-                F.struct(group.alias("group"), description.alias("groupDescription")).alias("attributes"),
-            ).alias("product"),
-            F.struct(
-                F.create_map(
-                    F.format_string("term%d", F.col("p_partkey")),
-                    F.struct(
-                        F.create_map(
-                            F.format_string("dim%d", F.col("p_partkey")),
-                            F.struct(
-                                F.concat(F.lit("$"), price, F.lit(" per "), unit).alias("description"),
-                                unit.alias("unit"),
-                                F.lit("0").alias("beginRange"),
-                                F.struct(price.alias("USD")).alias("pricePerUnit"),
-                            ),
-                        ).alias("priceDimensions")
-                    ),
-                ).alias("OnDemand")
-            ).alias("terms"),
-        )
+
+
+def stage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage-level counters (one stage per event) for application counters."""
+    ev = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    fields = ["inputRecords", "outputRecords", "inputBytes", "outputBytes", "executorRunTime",
+              "memoryBytesSpilled", "diskBytesSpilled", "shuffleReadBytes", "shuffleReadRecords",
+              "shuffleWriteBytes", "shuffleWriteRecords"]
+    return ev.select(
+        F.concat(F.lit("app-"), F.col("user_id").cast("string")).alias("app_id"),
+        F.col("event_id").alias("stage_id"),
+        F.when(F.col("value") < 1.0, F.lit("FAILED")).otherwise(F.lit("COMPLETE")).alias("status"),
+        *[F.when(k % (i + 2) != 0, k * (i + 1)).alias(f) for i, f in enumerate(fields)],
     )
-    return part.select(F.col("p_partkey").alias("offer_id"), offer.alias("offer"))
