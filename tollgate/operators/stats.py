@@ -7,9 +7,14 @@ large groups.
 
 The bootstrap is a deterministic, hash-driven resampler: draw ``j`` of
 resample ``r`` of key ``k`` picks sample index ``hash(seed, k, r, j) mod n``.
-Resamples are generated by ``explode`` (no cross join), spread over tasks
-by ``(key, resample)``, joined to the indexed sample on ``(key, index)`` and
-reduced with two grouped percentiles — nothing is collected to the driver.
+Resamples are generated by ``explode`` (no cross join) and spread over tasks
+by key and resample.  Keys with a bounded sample evaluate draws row-locally
+on the key's sorted sample array; beyond the bound, draws become rows joined
+to the indexed sample on ``(key, index)``.  Either way the estimates are
+reduced with grouped percentiles and nothing is collected to the driver
+except one size number that picks the path.  The array path's draw kernel
+is vectorized numpy inside ``mapInPandas`` (resampling is an imperative
+per-key loop; Spark still partitions the work by key and resample chunk).
 """
 
 from __future__ import annotations
@@ -18,6 +23,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tollgate.functions.hashing import md5_bigint
 from tollgate.operators.sequence import dense_index
@@ -68,25 +74,103 @@ def range_summary(df: DataFrame, value: str, by: Sequence[str] = (), prefix: str
     )
 
 
-def _draw_hash(seed: int, keys: Sequence[str], portable: bool) -> Column:
+# Largest per-key sample the array path holds in one row; larger keys use the
+# fully distributed join path.
+ARRAY_SAMPLE_LIMIT = 20_000
+# Resamples evaluated per task row on the array path.
+RESAMPLE_CHUNK = 500
+
+
+def _draw_index(seed: int, keys: Sequence[str], r: Column, j: Column, n: Column, portable: bool) -> Column:
+    """SQL draw index: ``hash(seed, key, r, j) mod n``."""
     if portable:
         text = F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys],
-                           F.col("_r").cast("string"), F.col("_j").cast("string"))
-        return md5_bigint(text)
-    return F.xxhash64(F.lit(seed), *[F.col(k) for k in keys], F.col("_r"), F.col("_j"))
+                           r.cast("string"), j.cast("string"))
+        h = md5_bigint(text)
+    else:
+        h = F.xxhash64(F.lit(seed), *[F.col(k) for k in keys], r, j)
+    return F.pmod(h, n)
 
 
-def bootstrap_median(samples: DataFrame, by: Sequence[str], value: str, order: Sequence[str],
-                     seed: int = BOOTSTRAP_SEED, resamples: int = BOOTSTRAP_RESAMPLES,
-                     portable: bool = False, confidence: float = 0.95) -> DataFrame:
-    """Median and bootstrap confidence interval of the median, per key.
+def _key_text(values) -> str:
+    return ":".join("" if v is None else str(v) for v in values)
+
 
-    ``order`` fixes each key's sample order (and so the draw -> value map);
-    ``portable`` uses an md5-derived draw index reproducible in plain SQL,
-    otherwise ``xxhash64``.
+def _resample_kernel(keys: list[str], seed: int, resamples: int, chunk: int, portable: bool):
+    """mapInPandas body: resample medians for (key, chunk) rows.
+
+    ``portable`` reproduces the SQL md5 draw index exactly (used by the
+    cross-engine check); otherwise draws come from a PCG64 stream seeded by
+    (seed, md5(key), chunk) — deterministic for a given seed.
+    """
+    def run(batches):
+        import hashlib
+
+        import numpy as np
+        import pandas as pd
+
+        for pdf in batches:
+            frames = []
+            cols = {c: pdf[c].tolist() for c in pdf.columns}
+            for i in range(len(pdf)):
+                a = np.asarray(cols["_a"][i], dtype="float64")
+                n = a.size
+                if n == 0:
+                    continue
+                c = int(cols["_c"][i])
+                r0 = c * chunk
+                rs = np.arange(r0, min(r0 + chunk, resamples), dtype="int64")
+                kv = [cols[k][i] for k in keys]
+                if portable:
+                    prefix = f"{seed}:{_key_text(kv)}:"
+                    idx = np.array([[int(hashlib.md5(f"{prefix}{r}:{j}".encode()).hexdigest()[:15], 16) % n
+                                     for j in range(n)] for r in rs], dtype="int64")
+                else:
+                    kh = int(hashlib.md5(_key_text(kv).encode()).hexdigest()[:15], 16)
+                    rng = np.random.Generator(np.random.PCG64([seed, kh, c]))
+                    idx = rng.integers(0, n, size=(rs.size, n))
+                vals = np.sort(a[idx], axis=1)
+                pos = (n - 1) * 0.5
+                lo, hi = int(np.floor(pos)), int(np.ceil(pos))
+                est = vals[:, lo] + (vals[:, hi] - vals[:, lo]) * (pos - lo)
+                out = pd.DataFrame({k: [v] * rs.size for k, v in zip(keys, kv)})
+                out["_r"] = rs
+                out["_est"] = est
+                frames.append(out)
+            if frames:
+                yield pd.concat(frames, ignore_index=True)
+    return run
+
+
+def _estimates_arrays(base: DataFrame, by: list[str], value: str, order: Sequence[str], seed: int,
+                      resamples: int, portable: bool) -> DataFrame:
+    """Resample medians from one sorted sample array per key.
+
+    Each key's sample (at most ``ARRAY_SAMPLE_LIMIT`` values, checked by the
+    caller) is gathered once in sample order; the (key, resample-chunk) rows
+    are spread over tasks by a shuffle and each task draws its resamples
+    vectorized (Arrow batches into numpy) — no per-draw rows, shuffle or join.
+    """
+    entry = F.struct(*[F.col(o) for o in order], F.col(value).alias("_v"))
+    arrays = base.groupBy(*by).agg(F.array_sort(F.collect_list(entry)).alias("_s")).select(
+        *by, F.transform("_s", lambda x: x["_v"].cast("double")).alias("_a"))
+    n_chunks = (resamples + RESAMPLE_CHUNK - 1) // RESAMPLE_CHUNK
+    chunks = (arrays.select(*by, "_a", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))).alias("_c"))
+              .repartition(*[F.col(k) for k in by], F.col("_c")))
+    key_fields = [f for f in base.schema.fields if f.name in by]
+    schema = T.StructType(key_fields + [T.StructField("_r", T.LongType()), T.StructField("_est", T.DoubleType())])
+    return chunks.mapInPandas(_resample_kernel(by, seed, resamples, RESAMPLE_CHUNK, portable), schema)
+
+
+def _estimates_join(base: DataFrame, by: list[str], value: str, order: Sequence[str], seed: int,
+                    resamples: int, portable: bool) -> DataFrame:
+    """Resample medians for arbitrarily large keys: draws are rows.
+
+    Samples get dense positions (range-partitioned, so a hot key spans many
+    tasks), resamples are exploded per key and spread by (key, resample),
+    each draw is joined to its sample value on (key, position), and the
+    medians are grouped percentiles.
     """
-    by = list(by)
-    base = samples.where(F.col(value).isNotNull()).select(*by, *order, value)
     indexed = dense_index(base, by, order, name="_i").select(*by, "_i", value)
     sizes = indexed.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
     draws = (
@@ -94,17 +178,38 @@ def bootstrap_median(samples: DataFrame, by: Sequence[str], value: str, order: S
         .repartition(*[F.col(k) for k in by], F.col("_r"))
         .select(*by, "_n", "_r", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_j"))
     )
-    draws = draws.withColumn("_i", F.pmod(_draw_hash(seed, by, portable), F.col("_n")))
-    estimates = (
+    draws = draws.withColumn("_i", _draw_index(seed, by, F.col("_r"), F.col("_j"), F.col("_n"), portable))
+    return (
         draws.join(indexed, [*by, "_i"], "inner")
         .groupBy(*by, "_r")
         .agg(F.percentile(F.col(value), 0.5).alias("_est"))
     )
+
+
+def bootstrap_median(samples: DataFrame, by: Sequence[str], value: str, order: Sequence[str],
+                     seed: int = BOOTSTRAP_SEED, resamples: int = BOOTSTRAP_RESAMPLES,
+                     portable: bool = False, confidence: float = 0.95) -> DataFrame:
+    """Median and bootstrap confidence interval of the median, per key.
+
+    Draw ``j`` of resample ``r`` of key ``k`` picks sample position
+    ``hash(seed, k, r, j) mod n`` in ``order``; ``portable`` uses an
+    md5-derived hash reproducible in plain SQL, otherwise ``xxhash64``.
+    Samples that fit ``ARRAY_SAMPLE_LIMIT`` (checked with one small
+    aggregate) take the vectorized array path, larger ones the distributed
+    join path.  ``portable`` always uses the join path, whose draw index is
+    a plain SQL md5 expression another engine can reproduce.
+    """
+    by = list(by)
+    base = samples.where(F.col(value).isNotNull()).select(*by, *order, value)
+    point = base.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), F.percentile(F.col(value), 0.5).alias("median"))
+    largest = point.agg(F.max("n")).first()[0] or 0
+    if not portable and largest <= ARRAY_SAMPLE_LIMIT:
+        estimates = _estimates_arrays(base, by, value, order, seed, resamples, portable)
+    else:
+        estimates = _estimates_join(base, by, value, order, seed, resamples, portable)
     lo, hi = (1 - confidence) / 2, 1 - (1 - confidence) / 2
     ci = estimates.groupBy(*by).agg(_percentiles(F.col("_est"), (lo, hi), False).alias("_ci"))
-    point = base.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), F.percentile(F.col(value), 0.5).alias("median")
-    )
     return point.join(ci, by, "left").select(
         *by, "n", "median",
         F.col("_ci")[0].alias("ci95_low"), F.col("_ci")[1].alias("ci95_high"),

@@ -71,16 +71,22 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType,
 
 def clustered_for_write(df: DataFrame, part_cols: Sequence[str], order: Sequence[str] = (),
                         partitions: int | None = None) -> DataFrame:
-    """Range-partition on (partition columns, order) before a partitioned write.
-
-    Each task then holds a contiguous key range and writes to one or two
-    table partitions instead of all of them (no small-file explosion), and
-    the range bounds split a hot table partition across many tasks.
+    """Cluster rows by table partition before a partitioned write.
+
+    Uses the ``rebalance`` hint on the partition columns: a hash shuffle that
+    AQE then re-plans at runtime — skewed table partitions are split into
+    advisory-sized tasks, small ones are coalesced — so each task writes
+    few partition directories (no small-file explosion), a hot month does
+    not become one giant task, and no sampling pass over the input is needed
+    (unlike range partitioning).  ``order`` sorts rows within each task for
+    better compression / min-max pruning inside the files.
     """
     if not part_cols:
         return df
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return df.repartitionByRange(n, *[F.col(c) for c in [*part_cols, *order]])
+    out = df.hint("rebalance", *part_cols)
+    if order:
+        out = out.sortWithinPartitions(*part_cols, *order)
+    return out
 
 
 def overwrite_partitions(df: DataFrame, table: str, part_cols: Sequence[str],
