@@ -17,14 +17,22 @@ from pyspark.sql import functions as F
 from tollgate.operators import marts, normalize, quality
 from tollgate.plans import oracle
 from tollgate.plans.datasets import silver, silver_all
+from tollgate.session import pin
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
 def register(name: str, sql: str | None = None):
+    """Register ``fn(spark, sf_dir)``; the session's time zone is pinned first
+    (timestamps, year/month extraction and ISO rendering depend on it)."""
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            pin(spark)
+            return fn(spark, sf_dir)
+        run.__name__ = getattr(fn, "__name__", name)
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = sql
         return fn

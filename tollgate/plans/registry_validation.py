@@ -314,3 +314,52 @@ FROM run_metrics WHERE metric_type = 'iceberg_partition' GROUP BY ALL"""))(
     lambda spark, sf: rnd(coverage.prep_time_summary(_rm(spark, sf).where(F.col("metric_type") == "iceberg_partition").select(
         F.concat_ws(":", "architecture", "file_layout").alias("cell"), F.col("duration_seconds").alias("elapsed_seconds"))),
         {c: 6 for c in ("median", "q1", "q3", "iqr", "p95")}))
+
+
+# ---------------------------------------------------------------------------
+# V12 evidence gaps, P19 metric selection
+# ---------------------------------------------------------------------------
+
+def _v12(spark, sf):
+    from tollgate.operators.evidence import window_completeness
+    from tollgate.plans.registry_evidence import _matched
+    from tollgate.sources.adapters import request_windows, resource_samples
+
+    rm = _rm(spark, sf)
+    samples = resource_samples(spark, sf).select(
+        "benchmark_run_id", (F.col("cpu_percent") < 0.2).alias("is_error"))
+    windows = window_completeness(request_windows(rm), _matched(spark, sf))
+    return validation.evidence_gaps(samples, members_of(rm), windows)
+
+
+register("evidence_gaps", oracle.with_metrics("""
+SELECT benchmark_run_id AS subject, 'resource_samples_missing' AS rule, '0' AS observed
+FROM (SELECT DISTINCT m.benchmark_run_id FROM members m LEFT JOIN s ON m.benchmark_run_id = s.benchmark_run_id
+      WHERE coalesce(s.samples, 0) = 0)
+UNION ALL
+SELECT m.benchmark_run_id, 'resource_sampling_errors', CAST(s.errors AS VARCHAR)
+FROM (SELECT DISTINCT benchmark_run_id FROM members) m JOIN s ON m.benchmark_run_id = s.benchmark_run_id
+WHERE s.errors > 0
+UNION ALL
+SELECT w.block, 'request_datapoints_missing', '0' FROM windows w
+WHERE w.block NOT IN (SELECT DISTINCT block FROM matched)""", ATTEMPTS_SQL, """
+s AS (SELECT 'run-' || CAST(user_id AS VARCHAR) || '-' || CASE WHEN event_id % 2 = 0 THEN 'onprem' ELSE 'hybrid_aws' END
+             AS benchmark_run_id,
+             CAST(sum(CASE WHEN value / 5 < 0.2 THEN 0 ELSE 1 END) AS BIGINT) AS samples,
+             CAST(sum(CASE WHEN value / 5 < 0.2 THEN 1 ELSE 0 END) AS BIGINT) AS errors
+      FROM events GROUP BY 1)""", __import__("tollgate.plans.registry_evidence", fromlist=["EVIDENCE_SQL"]).EVIDENCE_SQL))(_v12)
+
+
+def _p19(spark, sf):
+    from tollgate.sources.adapters import BROAD_QUERY, FILTERED_QUERY
+
+    sel, bad = coverage.select_metrics(_rm(spark, sf), ["warm_recorded", "service_cold_recorded"],
+                                       [FILTERED_QUERY, BROAD_QUERY])
+    return bad.select("metric_id", "measurement_protocol", "query_name", "status")
+
+
+register("metric_selection_failures", oracle.with_metrics("""
+SELECT metric_id, measurement_protocol, query_name, status FROM run_metrics
+WHERE metric_type = 'trino_query' AND measurement_protocol IN ('warm_recorded', 'service_cold_recorded')
+  AND query_name IN ('01_partition_financial_aggregation', '03_dataset_financial_scan')
+  AND coalesce(status, '') <> 'FINISHED'"""))(_p19)
