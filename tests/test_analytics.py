@@ -229,3 +229,22 @@ def test_union_metrics_ids_and_fallback(spark):
     assert got["pipeline"] == ("dag1__pipeline", 90.0)
     assert got["airflow_task"] == ("dag1__task__stage_trips", 10.0)
     assert got["trino_query"] == ("run1__yellow_2011_04__query__q1__qr02", 1.0)
+
+
+def test_reports_compose(spark, tmp_path):
+    from tollgate.plans import reports
+    from tollgate.plans.registry_metrics import attempt_members
+    from tollgate.sources.adapters import run_metrics
+
+    rm = run_metrics(spark, "/root/testdata/sf0.001")
+    out = reports.paired_comparison_report(rm, attempt_members(rm), resamples=50)
+    assert out["verdict"].first().status in ("ACCEPTANCE BLOCKED", "READY FOR MANUAL ACCEPTANCE")
+    assert out["summary"].count() > 0
+    eff = reports.layout_effect_report(rm, measures=["duration_seconds"], resamples=20)
+    assert set(eff) == {"effects", "sequence", "violations", "verdict"}
+    pr = reports.pruning_report(rm, "01_partition_financial_aggregation", "03_dataset_financial_scan")
+    assert pr["findings"].count() == 1
+    src = spark.range(64).select((F.col("id") % 2).cast("int").alias("month"), F.col("id"))
+    pre = reports.layout_preflight(spark, src, str(tmp_path / "l"), ["month"], "fragmented", n_files=4)
+    assert pre["content_mismatches"].isEmpty()
+    assert pre["layout_gaps"].isEmpty()
