@@ -61,7 +61,8 @@ UNION ALL SELECT metric_id, 'positive_duration' FROM run_metrics
 register("required_fields", oracle.with_metrics(V10_SQL))(
     lambda spark, sf: validation.rule_violations(_rm(spark, sf)))
 
-EXPECTED_N = F.when(F.col("measurement_protocol") == "warm_recorded", F.lit(5)).otherwise(F.lit(3))
+def _expected_n():
+    return F.when(F.col("measurement_protocol") == "warm_recorded", F.lit(5)).otherwise(F.lit(3))
 V11_KEYS = ["measurement_protocol", "architecture", "query_name", "dataset", "year", "month"]
 V11_SQL = f"""
 SELECT {', '.join(V11_KEYS)}, count(*) AS observed,
@@ -75,7 +76,7 @@ HAVING count(*) <> CASE WHEN measurement_protocol = 'warm_recorded' THEN 5 ELSE
 def _v11(spark, sf):
     rm = _rm(spark, sf).where((F.col("metric_type") == "trino_query")
                               & F.col("measurement_protocol").isin("warm_recorded", "service_cold_recorded"))
-    return validation.cardinality_violations(rm, V11_KEYS, EXPECTED_N)
+    return validation.cardinality_violations(rm, V11_KEYS, _expected_n())
 
 
 register("group_cardinality", oracle.with_metrics(V11_SQL))(_v11)
