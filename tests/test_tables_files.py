@@ -199,3 +199,17 @@ def test_streaming_ingest_and_rerun(spark, tmp_path):
     got = sorted((r.month, r.trip_count) for r in tables.read_table(spark, wh["gold"]).collect())
     assert got == [(1, 2), (2, 1)]
     assert tables.read_table(spark, wh["quality"]).select("month").distinct().count() == 2
+
+
+def test_streaming_month_split_across_batches(spark, tmp_path):
+    base = str(tmp_path / "landing")
+    raw = raw_green(spark, [row(T0, T0 + dt.timedelta(minutes=5)), row(T0, T0 + dt.timedelta(minutes=7))])
+    landed = raw.withColumn("year", F.year("lpep_pickup_datetime")).withColumn("month", F.month("lpep_pickup_datetime"))
+    # two files of the same month, one file per micro-batch
+    landed.limit(1).write.mode("append").partitionBy("year", "month").parquet(base)
+    landed.exceptAll(landed.limit(1)).write.mode("append").partitionBy("year", "month").parquet(base)
+    wh = {k: str(tmp_path / k) for k in ("silver", "gold", "ckpt")}
+    ingest.ingest_available(spark, base, raw.schema, "green", wh["silver"], wh["gold"], wh["ckpt"],
+                            files_per_trigger=1)
+    assert [r.trip_count for r in tables.read_table(spark, wh["gold"]).collect()] == [2]
+    assert tables.read_table(spark, wh["silver"]).count() == 2

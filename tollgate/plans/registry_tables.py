@@ -248,7 +248,7 @@ def _ingest(spark, sf):
         schema = raw_trips(spark, sf, ds).schema
         ingest.ingest_available(
             spark, base, schema, ds, f"{wh['silver']}/{ds}", wh["gold"], f"{root}/checkpoints/{ds}",
-            quality_path=wh["quality"], files_per_trigger=32,
+            quality_path=wh["quality"], files_per_trigger=128,
             rules=quality.silver_rules(ds, ADAPTER_MIN_YEAR))
     return rnd(tables.read_table(spark, wh["gold"]).drop("processed_at"), GOLD_ROUND)
 

@@ -39,9 +39,15 @@ def scan_glob(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
 
 
 def land_raw(df: DataFrame, base: str, part_cols: Sequence[str] = ("year", "month")) -> None:
-    """Write raw trips as a month-partitioned landing zone (one file per month)."""
-    (df.repartition(*[F.col(c) for c in part_cols]).write.mode("overwrite")
-     .partitionBy(*part_cols).parquet(base))
+    """Write raw trips as a month-partitioned landing zone.
+
+    Clustered with the ``rebalance`` hint: few files per month, and a hot
+    month is split over several tasks/files (the incremental ingest rebuilds
+    a month from all its files).
+    """
+    from tollgate.sources.tables import clustered_for_write
+
+    clustered_for_write(df, part_cols).write.mode("overwrite").partitionBy(*part_cols).parquet(base)
 
 
 def checksum_manifest(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:

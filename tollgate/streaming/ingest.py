@@ -60,33 +60,37 @@ def next_unloaded(calendar_df: DataFrame, loaded: DataFrame) -> DataFrame:
         .where(F.col("p").isNotNull()).select("p.year", "p.month")
 
 
-def process_batch(batch: DataFrame, dataset: str, silver_path: str, quality_path: str | None,
-                  gold_path: str, context: dict | None = None,
+def process_batch(batch: DataFrame, dataset: str, source: str, schema: T.StructType, silver_path: str,
+                  quality_path: str | None, gold_path: str, context: dict | None = None,
                   rules: Sequence[quality.Rule] | None = None) -> None:
-    """stage -> quality -> gold for the months present in one micro-batch."""
+    """stage -> quality -> gold for the months that received files in one micro-batch.
+
+    The micro-batch only tells *which* months arrived: each such month is
+    rebuilt from its complete landing partition, so a month whose files
+    span several micro-batches (or a replayed batch) still converges to the
+    full month — every sink is a partition overwrite.
+    """
     spark = batch.sparkSession
-    batch = batch.persist()
-    try:
-        # Months in this batch: at most ``maxFilesPerTrigger`` rows (one file
-        # per month), so broadcasting them is bounded.
-        months = F.broadcast(batch.select("year", "month").distinct())
-        if months.isEmpty():
-            return
-        # Keep rows whose pickup month is the month of their file.
-        renames = normalize.YELLOW_RENAMES if dataset == "yellow" else normalize.GREEN_RENAMES
-        raw = normalize.rename_columns(batch, renames)
-        pickup = F.to_timestamp("pickup_ts")
-        raw = raw.where((F.year(pickup) == F.col("year")) & (F.month(pickup) == F.col("month")))
-        silver = normalize.normalize(raw.drop("year", "month"), dataset)
-        tables.overwrite_partitions(silver, silver_path, SILVER_PARTITION_COLUMNS, order=["pickup_ts"])
-        part = tables.read_table(spark, silver_path).join(months, ["year", "month"], "left_semi")
-        if quality_path is not None:
-            rows = quality.audit(part, dataset, rules=rules, context=context)
-            tables.append_rows(rows, quality_path, QUALITY_PARTITION_COLUMNS)
-        gold = marts.monthly_revenue(part, dataset)
-        tables.overwrite_partitions(gold, gold_path, GOLD_PARTITION_COLUMNS)
-    finally:
-        batch.unpersist()
+    # At most ``maxFilesPerTrigger`` distinct months per batch: a bounded list
+    # that becomes literal partition predicates (static pruning).
+    months = [(r.year, r.month) for r in batch.select("year", "month").distinct().collect()]
+    if not months:
+        return
+    landed = spark.read.schema(schema).option("basePath", source).parquet(source).where(
+        normalize.partition_predicate(months))
+    # Keep rows whose pickup month is the month of their file.
+    renames = normalize.YELLOW_RENAMES if dataset == "yellow" else normalize.GREEN_RENAMES
+    raw = normalize.rename_columns(landed, renames)
+    pickup = F.to_timestamp("pickup_ts")
+    raw = raw.where((F.year(pickup) == F.col("year")) & (F.month(pickup) == F.col("month")))
+    silver = normalize.normalize(raw.drop("year", "month"), dataset)
+    tables.overwrite_partitions(silver, silver_path, SILVER_PARTITION_COLUMNS, order=["pickup_ts"])
+    part = tables.read_partition(spark, silver_path, months)
+    if quality_path is not None:
+        rows = quality.audit(part, dataset, rules=rules, context=context)
+        tables.append_rows(rows, quality_path, QUALITY_PARTITION_COLUMNS)
+    gold = marts.monthly_revenue(part, dataset)
+    tables.overwrite_partitions(gold, gold_path, GOLD_PARTITION_COLUMNS)
 
 
 def ingest_available(spark: SparkSession, source: str, schema: T.StructType, dataset: str,
@@ -104,7 +108,8 @@ def ingest_available(spark: SparkSession, source: str, schema: T.StructType, dat
     stream = (spark.readStream.schema(full).option("maxFilesPerTrigger", files_per_trigger)
               .option("basePath", source).parquet(source))
     q = (stream.writeStream
-         .foreachBatch(lambda df, _id: process_batch(df, dataset, silver_path, quality_path, gold_path, context, rules))
+         .foreachBatch(lambda df, _id: process_batch(df, dataset, source, full, silver_path, quality_path,
+                                                     gold_path, context, rules))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
