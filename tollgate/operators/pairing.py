@@ -251,3 +251,8 @@ def pruning_findings(rows: DataFrame, penalties: DataFrame, b: str = ARCH_B) ->
     )
     # Both sides are single-row global aggregates: join on a constant key.
     return r.withColumn("_k", F.lit(1)).join(p.withColumn("_k", F.lit(1)), "_k").drop("_k")
+
+
+# Names used in the operator inventory.
+penalty = penalty_narrowing
+findings = pruning_findings

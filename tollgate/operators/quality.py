@@ -10,7 +10,6 @@ an array of check structs per partition, gated with higher-order functions
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -294,7 +293,3 @@ def signed_corrections(df: DataFrame, by: Sequence[str] = ("year", "month")) ->
         F.count_if(F.col("tip_amount") < 0).alias("negative_tip_amount_rows"),
         F.count_if(F.col("tolls_amount") < 0).alias("negative_tolls_amount_rows"),
     )
-
-
-def rules_json(rules: Sequence[Rule]) -> str:
-    return json.dumps([r.name for r in rules])

@@ -69,3 +69,8 @@ def first_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str]) -
     return df.groupBy(*group).agg(
         *[F.min_by(F.col(c), key).alias(c) for c in cols]
     ).select(*df.columns)
+
+
+def first_per_dataset(parts: DataFrame, order: Sequence[str] = ("year", "month")) -> DataFrame:
+    """First declared partition of each dataset."""
+    return first_per_group(parts, ["dataset"], order)

@@ -10,6 +10,7 @@ from tollgate.operators.sequence import first_per_group, with_sequence
 from tollgate.plans import oracle
 from tollgate.plans.datasets import silver_all
 from tollgate.plans.registry import register, rnd
+from tollgate.plans.registry_evidence import EVIDENCE_SQL, _matched
 from tollgate.plans.registry_metrics import ATTEMPTS_SQL, _rm, attempt_members, members_of
 from tollgate.sources.adapters import TASK_IDS
 
@@ -323,7 +324,6 @@ FROM run_metrics WHERE metric_type = 'iceberg_partition' GROUP BY ALL"""))(
 
 def _v12(spark, sf):
     from tollgate.operators.evidence import window_completeness
-    from tollgate.plans.registry_evidence import _matched
     from tollgate.sources.adapters import request_windows, resource_samples
 
     rm = _rm(spark, sf)
@@ -348,7 +348,7 @@ s AS (SELECT 'run-' || CAST(user_id AS VARCHAR) || '-' || CASE WHEN event_id % 2
              AS benchmark_run_id,
              CAST(sum(CASE WHEN value / 5 < 0.2 THEN 0 ELSE 1 END) AS BIGINT) AS samples,
              CAST(sum(CASE WHEN value / 5 < 0.2 THEN 1 ELSE 0 END) AS BIGINT) AS errors
-      FROM events GROUP BY 1)""", __import__("tollgate.plans.registry_evidence", fromlist=["EVIDENCE_SQL"]).EVIDENCE_SQL))(_v12)
+      FROM events GROUP BY 1)""", EVIDENCE_SQL))(_v12)
 
 
 def _p19(spark, sf):
