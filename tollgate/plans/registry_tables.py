@@ -368,3 +368,15 @@ def _union_sql() -> str:
 
 
 register("metric_union", _union_sql())(_metric_union)
+
+
+def _gaps(spark, sf):
+    avail = _available(spark, sf, "yellow")
+    return ingest.partition_gaps(ingest.month_span(avail), avail)
+
+
+register("partition_gaps", oracle.with_silver("""
+SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month
+FROM (SELECT unnest(generate_series(min(make_date(year, month, 1)), max(make_date(year, month, 1)), INTERVAL 1 MONTH)) AS d
+      FROM silver_yellow)
+WHERE (year(d), month(d)) NOT IN (SELECT (year, month) FROM silver_yellow)"""))(_gaps)
