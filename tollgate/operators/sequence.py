@@ -66,9 +66,9 @@ def first_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str]) -
     """
     cols = [c for c in df.columns if c not in group]
     key = F.struct(*[F.col(o) for o in order])
-    return df.groupBy(*group).agg(
-        *[F.min_by(F.col(c), key).alias(c) for c in cols]
-    ).select(*df.columns)
+    # One min_by over the whole row keeps the columns of a single row.
+    first = df.groupBy(*group).agg(F.min_by(F.struct(*[F.col(c) for c in cols]), key).alias("_first"))
+    return first.select(*group, *[F.col("_first")[c].alias(c) for c in cols]).select(*df.columns)
 
 
 def first_per_dataset(parts: DataFrame, order: Sequence[str] = ("year", "month")) -> DataFrame:
