@@ -89,7 +89,9 @@ def main() -> None:
 
     rm = run_metrics(spark, SF_DIR)
     members = pairing.accepted_members(attempt_members(rm))[0]
-    pairs = pairing.pair_by_architecture(pairing.scoped_metrics(rm, members))
+    t0 = time.perf_counter()
+    pairs = pairing.pair_by_architecture(pairing.scoped_metrics(rm, members)).checkpoint(eager=True)
+    q["report_pairing"] = time.perf_counter() - t0
     q["report_paired_summary"] = timed(lambda: pairing.paired_summary(pairs).collect())
     q["report_paired_bootstrap"] = timed(
         lambda: pairing.paired_intervals(pairs, resamples=stats.BOOTSTRAP_RESAMPLES).collect())

@@ -14,8 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.operators.stats import (BOOTSTRAP_RESAMPLES, BOOTSTRAP_SEED, bootstrap_median,
-                                      descriptive, paired_bootstrap, percentage_delta)
+from tollgate.operators.stats import (BOOTSTRAP_RESAMPLES, BOOTSTRAP_SEED, QUANTILES, bootstrap_median,
+                                      paired_bootstrap, percentage_delta)
 
 # Architectures, layouts and protocol sample sizes.
 ARCH_A, ARCH_B = "onprem", "hybrid_aws"
@@ -102,12 +102,21 @@ def pair_by_architecture(scoped: DataFrame, value: str = "duration_seconds",
 
 
 def paired_summary(pairs: DataFrame, a: str = ARCH_A, b: str = ARCH_B) -> DataFrame:
-    """A18 per side + median paired delta, per key."""
-    da = descriptive(pairs, ["key"], a, prefix=f"{a}_")
-    db = descriptive(pairs, ["key"], b, prefix=f"{b}_")
-    delta = pairs.withColumn("_d", percentage_delta(F.col(a), F.col(b))).groupBy("key").agg(
-        F.percentile(F.col("_d"), 0.5).alias("median_paired_delta_percent"))
-    return da.join(db, "key").join(delta, "key")
+    """A18 per side + median paired delta, per key — one aggregation pass."""
+    probs = F.array(*[F.lit(p) for p in QUANTILES])
+    agg = pairs.groupBy("key").agg(
+        F.count(a).alias("_na"), F.percentile(F.col(a), probs).alias("_qa"),
+        F.count(b).alias("_nb"), F.percentile(F.col(b), probs).alias("_qb"),
+        F.percentile(percentage_delta(F.col(a), F.col(b)), 0.5).alias("median_paired_delta_percent"),
+    )
+    cols = ["key"]
+    for side, n, q in ((a, "_na", "_qa"), (b, "_nb", "_qb")):
+        cols += [
+            F.col(n).alias(f"{side}_n"), F.col(q)[0].alias(f"{side}_median"), F.col(q)[1].alias(f"{side}_q1"),
+            F.col(q)[2].alias(f"{side}_q3"), (F.col(q)[2] - F.col(q)[1]).alias(f"{side}_iqr"),
+            F.col(q)[3].alias(f"{side}_p95"),
+        ]
+    return agg.select(*cols, "median_paired_delta_percent")
 
 
 def paired_intervals(pairs: DataFrame, a: str = ARCH_A, b: str = ARCH_B,

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.operators import coverage, evidence, marts, pairing, stats, validation
+from tollgate.session import checkpoint_root
 from tollgate.sources import layout, tables
 
 
@@ -52,7 +53,10 @@ def paired_comparison_report(metrics: DataFrame, attempt_members: DataFrame,
     """Accepted members, paired summaries + bootstrap, resources, cost,
     completeness rules and the acceptance verdict."""
     members, attempt_violations = pairing.accepted_members(attempt_members)
-    pairs = pairing.pair_by_architecture(pairing.scoped_metrics(metrics, members))
+    # Pairs feed the summary, the bootstrap and its size check: materialize
+    # once (reliable checkpoint on the shared folder; one row per key x pair).
+    checkpoint_root(metrics.sparkSession)
+    pairs = pairing.pair_by_architecture(pairing.scoped_metrics(metrics, members)).checkpoint(eager=True)
     out = {
         "members": members,
         "summary": pairing.paired_summary(pairs),
