@@ -59,11 +59,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     every executor.  Only when it is unset (unit tests, a laptop) do we set
     one ourselves.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a local context (Spark Connect)
+        sc = None
+    root = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not root:
         root = tempfile.mkdtemp(prefix="tollgate-ckpt-")
-    if not sc.getCheckpointDir():
+        if sc is None:
+            spark.conf.set("spark.checkpoint.dir", root)
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
