@@ -117,9 +117,17 @@ def ingest_available(spark: SparkSession, source: str, schema: T.StructType, dat
     return q
 
 
+def partition_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Record count per partition (the snapshot a re-run is compared with)."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("records"))
+
+
 def rerun_consistency(first: DataFrame, second: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """I4: per-partition record counts of two runs and whether they agree."""
-    a = first.groupBy(*keys).agg(F.count(F.lit(1)).alias("records_first"))
-    b = second.groupBy(*keys).agg(F.count(F.lit(1)).alias("records_second"))
+    """I4: per-partition record counts of two runs and whether they agree.
+
+    Inputs are :func:`partition_counts` snapshots taken after each run.
+    """
+    a = first.select(*keys, F.col("records").alias("records_first"))
+    b = second.select(*keys, F.col("records").alias("records_second"))
     return a.join(b, list(keys), "full_outer").withColumn(
         "consistent", F.coalesce(F.col("records_first") == F.col("records_second"), F.lit(False)))
