@@ -67,8 +67,13 @@ def main() -> None:
 
     q["pipeline"] = recorded(pipeline)
 
-    silver = tables.read_table(spark, wh.silver("yellow"))
+    # The reference's unit: one dataset-month through stage -> quality -> gold.
     y, m = PARTITION
+    one = {"yellow": raw["yellow"]}
+    q["pipeline_yellow_partition"] = recorded(
+        lambda: medallion_run(spark, one, wh, parts=[PARTITION], context=ctx, rules=rules, gate=False))
+
+    silver = tables.read_table(spark, wh.silver("yellow"))
     part = silver.where((F.col("year") == y) & (F.col("month") == m))
     q["q01_partition_financial_aggregation"] = recorded(
         lambda: marts.financial_aggregate(part, by=[]).collect())

@@ -380,3 +380,21 @@ SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month
 FROM (SELECT unnest(generate_series(min(make_date(year, month, 1)), max(make_date(year, month, 1)), INTERVAL 1 MONTH)) AS d
       FROM silver_yellow)
 WHERE (year(d), month(d)) NOT IN (SELECT (year, month) FROM silver_yellow)"""))(_gaps)
+
+
+def _pruned_scan(spark, sf):
+    target = work_path(spark, "silver-scan")
+    tables.overwrite_partitions(silver(spark, sf, "yellow"), target, SILVER_PARTITION_COLUMNS, order=["pickup_ts"])
+    # Literal partition predicates -> PartitionFilters (only 1996 read).
+    part = tables.read_partition(spark, target, [(1996, m) for m in range(1, 13)])
+    out = marts.financial_aggregate(part, by=["year", "month"]).join(marts.row_count(part, by=["year", "month"]),
+                                                                     ["year", "month"])
+    return rnd(out.select(F.col("year").cast("int"), F.col("month").cast("int"), "row_count", "total_amount",
+                          "avg_trip_distance", "avg_trip_duration_min"),
+               {"total_amount": 2, "avg_trip_distance": 6, "avg_trip_duration_min": 6})
+
+
+register("pruned_partition_scan", oracle.with_silver("""
+SELECT year, month, count(*) AS row_count, round(sum(total_amount), 2) AS total_amount,
+       round(avg(trip_distance), 6) AS avg_trip_distance, round(avg(trip_duration_min), 6) AS avg_trip_duration_min
+FROM silver_yellow WHERE year = 1996 GROUP BY year, month"""))(_pruned_scan)
