@@ -130,7 +130,7 @@ def _metrics_cte() -> str:
         "environment": "CASE WHEN arch = 'onprem' THEN 'local' ELSE 'aws' END",
         "file_layout": "CASE WHEN user_id % 2 = 0 THEN 'fragmented' ELSE 'compact' END",
         "workload_name": "'events'",
-        "dag_id": "'taxi_benchmark_pipeline'",
+        "dag_id": "'trip_pipeline'",
         "dag_run_id": "'dag-' || CAST(user_id AS VARCHAR)",
         "task_id": f"CASE WHEN mtype = 'airflow_task' THEN [{tasks}][k % 3 + 1] END",
         "query_name": _case("event_type", EVENT_QUERY_NAME),

@@ -120,7 +120,7 @@ samples AS (
 
 def _j6(spark, sf):
     rm = _rm(spark, sf)
-    name = F.concat(F.lit("nyc-tlc-"), F.col("dataset"))
+    name = F.concat(F.lit("trip-app-"), F.col("dataset"))
     tasks = rm.where(F.col("metric_type") == "airflow_task").select(
         F.col("metric_id").alias("task_key"), name.alias("name"), "started_at", "finished_at")
     apps = rm.where(F.col("metric_type") == "pipeline").select(
@@ -137,9 +137,9 @@ FROM tasks t LEFT JOIN (
            row_number() OVER (PARTITION BY t.task_key ORDER BY a.start DESC, a.app_id DESC) AS rn
     FROM tasks t JOIN apps a ON t.name = a.name AND a."end" >= t.started_at AND a.start <= t.finished_at)
   WHERE rn = 1) b ON t.task_key = b.task_key""", """
-tasks AS (SELECT metric_id AS task_key, 'nyc-tlc-' || dataset AS name, started_at, finished_at
+tasks AS (SELECT metric_id AS task_key, 'trip-app-' || dataset AS name, started_at, finished_at
           FROM run_metrics WHERE metric_type = 'airflow_task'),
-apps AS (SELECT metric_id AS app_id, 'nyc-tlc-' || dataset AS name, started_at AS start, finished_at AS "end"
+apps AS (SELECT metric_id AS app_id, 'trip-app-' || dataset AS name, started_at AS start, finished_at AS "end"
          FROM run_metrics WHERE metric_type = 'pipeline')"""))(_j6)
 
 _FIELDS = ["inputRecords", "outputRecords", "inputBytes", "outputBytes", "executorRunTime",

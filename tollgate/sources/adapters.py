@@ -162,7 +162,7 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         "environment": F.when(F.col("arch") == "onprem", F.lit("local")).otherwise(F.lit("aws")),
         "file_layout": F.when(F.col("user_id") % 2 == 0, F.lit("fragmented")).otherwise(F.lit("compact")),
         "workload_name": F.lit("events"),
-        "dag_id": F.lit("taxi_benchmark_pipeline"),
+        "dag_id": F.lit("trip_pipeline"),
         "dag_run_id": F.concat(F.lit("dag-"), _s("user_id")),
         "task_id": F.when(F.col("mtype") == "airflow_task", _pick(TASK_IDS, F.col("k") % 3)),
         "query_name": qname,
