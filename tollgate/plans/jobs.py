@@ -89,7 +89,10 @@ def build_gold(spark: SparkSession, sources: dict[str, str], target: str | None,
     union = frames[0]
     for f in frames[1:]:
         union = union.unionByName(f)
-    gold = marts.monthly_revenue(union)
+    # One row per (dataset, month): materialize once so the guard and the
+    # write share a single scan of silver (reliable checkpoint, shared folder).
+    checkpoint_root(spark)
+    gold = marts.monthly_revenue(union).checkpoint(eager=True)
     if parts:
         wanted = spark.createDataFrame(
             [(ds, int(y), int(m)) for ds in sources for y, m in parts], "dataset string, year int, month int")
