@@ -104,8 +104,9 @@ def read_event_log(spark, path: str) -> DataFrame:
             total = v if total is None else F.coalesce(total, F.lit(0)) + F.coalesce(v, F.lit(0))
         return total
 
-    # One application per log file: a broadcast-sized lookup (file count).
-    return stages.join(F.broadcast(apps), "_file", "left").select(
+    # One application per log file; the join strategy is left to AQE (the
+    # number of log files is not bounded a priori).
+    return stages.join(apps, "_file", "left").select(
         "app_id", "app_name", "stage_id", "attempt", "status",
         *[field(n).alias(f) for f, n in ACCUMULABLES.items()],
     )

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -168,8 +168,8 @@ def _estimates_join(base: DataFrame, by: list[str], value: str, order: Sequence[
 
     Samples get dense positions (range-partitioned, so a hot key spans many
     tasks), resamples are exploded per key and spread by (key, resample),
-    each draw is joined to its sample value on (key, position), and the
-    medians are grouped percentiles.
+    each draw is joined to its sample value on (key, position), and each
+    resample's median comes from its two middle order statistics.
     """
     indexed = dense_index(base, by, order, name="_i").select(*by, "_i", value)
     sizes = indexed.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
@@ -179,11 +179,21 @@ def _estimates_join(base: DataFrame, by: list[str], value: str, order: Sequence[
         .select(*by, "_n", "_r", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_j"))
     )
     draws = draws.withColumn("_i", _draw_index(seed, by, F.col("_r"), F.col("_j"), F.col("_n"), portable))
-    return (
-        draws.join(indexed, [*by, "_i"], "inner")
-        .groupBy(*by, "_r")
-        .agg(F.percentile(F.col(value), 0.5).alias("_est"))
+    joined = draws.join(indexed, [*by, "_i"], "inner")
+    # Median of each resample from its two middle order statistics: a
+    # (spillable) sort per (key, resample) instead of object-buffer
+    # percentile aggregates.
+    ranked = joined.withColumn(
+        "_k", F.row_number().over(Window.partitionBy(*by, "_r").orderBy(F.col(value))) - 1)
+    pos = (F.col("_n") - 1) * 0.5
+    lo, hi = F.floor(pos), F.ceil(pos)
+    middle = ranked.where((F.col("_k") == lo) | (F.col("_k") == hi))
+    est = middle.groupBy(*by, "_r").agg(
+        F.max(F.when(F.col("_k") == lo, F.col(value))).alias("_a"),
+        F.max(F.when(F.col("_k") == hi, F.col(value))).alias("_b"),
+        F.max(pos - lo).alias("_f"),
     )
+    return est.select(*by, "_r", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_f")).alias("_est"))
 
 
 def bootstrap_median(samples: DataFrame, by: Sequence[str], value: str, order: Sequence[str],
