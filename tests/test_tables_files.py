@@ -213,3 +213,15 @@ def test_streaming_month_split_across_batches(spark, tmp_path):
                             files_per_trigger=1)
     assert [r.trip_count for r in tables.read_table(spark, wh["gold"]).collect()] == [2]
     assert tables.read_table(spark, wh["silver"]).count() == 2
+
+
+def test_rewrite_layout_non_strict_small_partition(spark, tmp_path):
+    df = spark.range(37).select(F.when(F.col("id") < 5, 1).otherwise(2).alias("month"), F.col("id"))
+    target = str(tmp_path / "ns")
+    layout.rewrite_layout(df, target, ["month"], "fragmented", n_files=8, strict=False)
+    inv = {r.month: (r.file_count, r.empty_files, r.record_count)
+           for r in layout.file_inventory(spark, target, ["month"]).collect()}
+    assert inv == {"1": (5, 0, 5), "2": (8, 0, 32)}
+    rows = spark.createDataFrame([(1, 5), (2, 32)], "month int, row_count long")
+    gaps = layout.layout_gaps(layout.file_inventory(spark, target, ["month"]), rows, 8, ["month"]).collect()
+    assert [(r.month, r.file_count) for r in gaps] == [("1", 5)]

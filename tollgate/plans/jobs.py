@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tollgate.operators import marts, normalize, quality
 from tollgate.schemas import (GOLD_PARTITION_COLUMNS, QUALITY_PARTITION_COLUMNS,
