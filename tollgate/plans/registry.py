@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tollgate.operators import marts, normalize, quality
 from tollgate.plans import oracle
 from tollgate.plans.datasets import silver, silver_all
-from tollgate.session import pin
+from tollgate.session import checkpoint_root, pin
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -262,8 +262,10 @@ AUDIT_RUNS = [
 
 def _audit_frames(spark, sf, runs=AUDIT_RUNS) -> DataFrame:
     frames = []
+    checkpoint_root(spark)
     for ds in ("yellow", "green"):
-        df = silver(spark, sf, ds)
+        # Audited by several runs: materialize silver once (shared folder).
+        df = silver(spark, sf, ds).checkpoint(eager=True)
         for ctx, min_year, detail in runs:
             c = dict(ctx)
             c["processed_at"] = F.lit(dt.datetime.fromisoformat(ctx["processed_at"]))

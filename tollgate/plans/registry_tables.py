@@ -19,7 +19,7 @@ from tollgate.plans.registry import (ADAPTER_MIN_YEAR, AUDIT_RUNS, GOLD_ROUND, G
 from tollgate.plans.registry_metrics import _rm
 from tollgate.schemas import (GOLD_PARTITION_COLUMNS, QUALITY_PARTITION_COLUMNS, RUN_METRICS,
                               SILVER_PARTITION_COLUMNS)
-from tollgate.session import checkpoint_root, work_path
+from tollgate.session import checkpoint_root, exists, work_path
 from tollgate.sources import files, layout, tables
 from tollgate.sources.adapters import TASK_IDS, raw_trips, table
 from tollgate.streaming import ingest
@@ -95,12 +95,19 @@ register("replace_by_key", oracle.with_metrics(
 # ---------------------------------------------------------------------------
 
 N_FILES = 16
+# (sf_dir, layout) -> rewritten table: the layout queries share one rewrite
+# per process (the rewrite is deterministic for a given input).
+_LAYOUTS: dict[tuple[str, str], str] = {}
 
 
 def _rewritten(spark, sf, kind):
+    key = (sf, kind)
+    if key in _LAYOUTS and exists(_LAYOUTS[key]):
+        return _LAYOUTS[key]
     target = work_path(spark, f"layout-{kind}")
     layout.rewrite_layout(silver(spark, sf, "yellow"), target, SILVER_PARTITION_COLUMNS, kind,
                           n_files=N_FILES, strict=False)
+    _LAYOUTS[key] = target
     return target
 
 
