@@ -248,3 +248,12 @@ def test_reports_compose(spark, tmp_path):
     pre = reports.layout_preflight(spark, src, str(tmp_path / "l"), ["month"], "fragmented", n_files=4)
     assert pre["content_mismatches"].isEmpty()
     assert pre["layout_gaps"].isEmpty()
+
+
+def test_expand_targets_by_scope(spark):
+    queries = spark.createDataFrame([("q_part", "partition"), ("q_scan", "dataset")], "query_name string, scope string")
+    parts = spark.createDataFrame([("yellow", 2011, 1, 1), ("yellow", 2011, 4, 2), ("green", 2014, 1, 3)],
+                                  "dataset string, year int, month int, position int")
+    got = sorted(r.name for r in coverage.expand_targets(queries, parts).collect())
+    assert got == ["q_part_green_2014_01", "q_part_yellow_2011_01", "q_part_yellow_2011_04",
+                   "q_scan_green_2014_01", "q_scan_yellow_2011_01"]

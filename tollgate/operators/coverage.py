@@ -112,6 +112,26 @@ def rows_equivalent(left: DataFrame, right: DataFrame, digits: int = 6) -> bool:
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
+def expand_targets(queries: DataFrame, partitions: DataFrame) -> DataFrame:
+    """J12 targets: partition-scope queries run on every declared partition,
+    dataset-scope queries once per dataset (its first declared partition).
+
+    ``queries``: (query_name, scope); ``partitions``: (dataset, year, month,
+    position).  An equi-join on ``scope`` against the partition list tagged
+    per scope — the fan-out is exactly the design size, no cross join.
+    """
+    from tollgate.operators.sequence import first_per_group
+
+    per_partition = partitions.select("dataset", "year", "month", F.lit("partition").alias("scope"))
+    per_dataset = first_per_group(partitions.select("dataset", "year", "month", "position"),
+                                  ["dataset"], ["position"]).select(
+        "dataset", "year", "month", F.lit("dataset").alias("scope"))
+    targets = queries.join(per_partition.unionByName(per_dataset), "scope", "inner")
+    return targets.select(
+        F.format_string("%s_%s_%d_%02d", F.col("query_name"), F.col("dataset"), F.col("year"), F.col("month")).alias("name"),
+        "query_name", "dataset", "year", "month", "scope")
+
+
 def coverage_grid(targets: DataFrame, protocols: Mapping[str, int], trials: int,
                   cells: Sequence[tuple[str, str]]) -> DataFrame:
     """Expected (trial, target, protocol, execution, cell) members."""
