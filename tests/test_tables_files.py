@@ -225,3 +225,26 @@ def test_rewrite_layout_non_strict_small_partition(spark, tmp_path):
     rows = spark.createDataFrame([(1, 5), (2, 32)], "month int, row_count long")
     gaps = layout.layout_gaps(layout.file_inventory(spark, target, ["month"]), rows, 8, ["month"]).collect()
     assert [(r.month, r.file_count) for r in gaps] == [("1", 5)]
+
+
+def test_query_suite_templates(spark):
+    from tollgate.operators import quality
+    from tollgate.operators.normalize import normalize
+    from tollgate.plans import suite
+
+    s = normalize(raw_green(spark, [row(T0, T0 + dt.timedelta(minutes=5), fare=10.0),
+                                    row(T0, T0 + dt.timedelta(minutes=3), fare=20.0)]), "green")
+    gold = marts.monthly_revenue(s, "green")
+    audit = quality.audit(s, "green", context={"benchmark_run_id": "r1", "dag_run_id": "d"})
+    tabs = {"silver": s, "quality": audit, "gold": gold}
+    out = suite.run_suite(spark, tabs, "green", 2014, 1, run_id="r1")
+    assert set(out) == set(suite.SUITE)
+    assert out["01_partition_row_count"].first().row_count == 2
+    assert out["03_gold_revenue_check"].first().trip_count == 2
+    assert {r.status for r in out["02_quality_result_summary"].collect()} <= {"pass", "warn", "fail"}
+    perf = suite.run_suite(spark, tabs, "green", 2014, 1, suite="performance")
+    assert perf["03_dataset_financial_scan"].first().total_amount is not None
+    corr = suite.run_suite(spark, tabs, "green", 2014, 1, suite="correctness")
+    assert sum(r.check_count for r in corr["02_quality_result_summary"].collect()) == audit.count()
+    with pytest.raises(ValueError):
+        suite.run_query(spark, "01_partition_row_count", tabs)
