@@ -186,8 +186,8 @@ def test_match_applications_latest_overlap_and_open_bounds(spark):
                                   ("a2", "app", T0 + dt.timedelta(minutes=2), T0 + dt.timedelta(minutes=20)),
                                   ("a3", "other", T0 - dt.timedelta(days=1), None)],
                                  "app_id string, name string, start timestamp, end timestamp")
-    got = {r.task_key: (r.app_id, r.candidates) for r in evidence.match_applications(tasks, apps).collect()}
-    assert got == {"t1": ("a2", 2), "t2": (None, 0), "t3": ("a3", 1)}
+    got = {r.task_key: (r.app_id, r.matched) for r in evidence.match_applications(tasks, apps).collect()}
+    assert got == {"t1": ("a2", True), "t2": (None, False), "t3": ("a3", True)}
 
 
 def test_resource_summary(spark):
@@ -257,3 +257,25 @@ def test_expand_targets_by_scope(spark):
     got = sorted(r.name for r in coverage.expand_targets(queries, parts).collect())
     assert got == ["q_part_green_2014_01", "q_part_yellow_2011_01", "q_part_yellow_2011_04",
                    "q_scan_green_2014_01", "q_scan_yellow_2011_01"]
+
+
+def test_match_applications_long_running_app_behind_latest(spark):
+    tasks = spark.createDataFrame([("t", "app", T0, T0 + dt.timedelta(minutes=5))],
+                                  "task_key string, name string, started_at timestamp, finished_at timestamp")
+    apps = spark.createDataFrame([("long", "app", T0 - dt.timedelta(hours=10), T0 + dt.timedelta(hours=10)),
+                                  ("short", "app", T0 - dt.timedelta(hours=1), T0 - dt.timedelta(minutes=30))],
+                                 "app_id string, name string, start timestamp, end timestamp")
+    # the latest-started app ended before the task: the covering long app wins
+    assert evidence.match_applications(tasks, apps).first().app_id == "long"
+
+
+def test_latest_at_or_before_hot_key_and_ties(spark):
+    from tollgate.operators.sequence import latest_at_or_before
+
+    ev = spark.createDataFrame([("k", i, f"e{i:03d}") for i in range(0, 300, 3)] + [("k", 30, "e030b"), ("z", 5, "z5")],
+                               "key string, t int, id string")
+    pts = spark.createDataFrame([("k", 31), ("k", 30), ("k", 2), ("z", 4), ("z", 400), ("q", 1)], "key string, at int")
+    got = {(r.key, r.at): (r._match.id if r._match else None)
+           for r in latest_at_or_before(ev, pts, ["key"], "t", "at", "id", partitions=7).collect()}
+    assert got == {("k", 31): "e030b", ("k", 30): "e030b", ("k", 2): "e000", ("z", 4): None,
+                   ("z", 400): "z5", ("q", 1): None}

@@ -34,3 +34,28 @@ def test_descriptive_matches_linear_percentiles(spark, values):
     assert d.n == len(values)
     for got, want in zip((d.median, d.q1, d.q3, d.p95), q):
         assert abs(got - want) <= 1e-9 * max(1.0, abs(want))
+
+
+@SETTINGS
+@given(data=st.data())
+def test_match_applications_matches_brute_force(spark, data):
+    import datetime as dt
+
+    from tollgate.operators import evidence
+
+    base = dt.datetime(2024, 1, 1)
+    iv = st.tuples(st.integers(0, 600), st.integers(0, 240))
+    apps = data.draw(st.lists(st.tuples(st.sampled_from(["x", "x", "y"]), iv), min_size=0, max_size=25))
+    tasks = data.draw(st.lists(st.tuples(st.sampled_from(["x", "y"]), iv), min_size=1, max_size=15))
+    a_rows = [(f"a{i:02d}", n, base + dt.timedelta(minutes=s), base + dt.timedelta(minutes=s + d))
+              for i, (n, (s, d)) in enumerate(apps)]
+    t_rows = [(f"t{i:02d}", n, base + dt.timedelta(minutes=s), base + dt.timedelta(minutes=s + d))
+              for i, (n, (s, d)) in enumerate(tasks)]
+    a_df = spark.createDataFrame(a_rows, "app_id string, name string, start timestamp, end timestamp")
+    t_df = spark.createDataFrame(t_rows, "task_key string, name string, started_at timestamp, finished_at timestamp")
+    got = {r.task_key: r.app_id for r in evidence.match_applications(t_df, a_df, bucket_seconds=1800).collect()}
+    want = {}
+    for key, name, ts, te in t_rows:
+        cands = [(s, aid) for aid, n, s, e in a_rows if n == name and e >= ts and s <= te]
+        want[key] = max(cands)[1] if cands else None
+    assert got == want

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tollgate.functions.scalar import parse_size, seconds_between
+from tollgate.operators.sequence import latest_at_or_before
 
 # The eleven stage counters summed per application
 # (output name -> stage field).
@@ -164,6 +165,12 @@ def match_applications(tasks: DataFrame, apps: DataFrame, bucket_seconds: int =
     latest start wins (ties: larger app id).  Tasks without a candidate get
     a NULL ``app_id``.  Inputs: tasks (task_key, name, started_at,
     finished_at), apps (app_id, name, start, end).
+
+    No all-pairs join: an as-of lookup finds, per task, the latest-started
+    application at or before the task end; when that one overlaps it is the
+    answer (nothing later can qualify).  Only the remaining tasks — their
+    latest application ended before they started — are matched on
+    (name, time bucket) against the applications covering their window.
     """
     t = tasks.select("task_key", "name", "started_at", "finished_at")
     a = apps.select("app_id", F.col("name").alias("_aname"), F.col("start").alias("_as"), F.col("end").alias("_ae"))
@@ -171,22 +178,29 @@ def match_applications(tasks: DataFrame, apps: DataFrame, bucket_seconds: int =
                & (F.col("finished_at").isNull() | F.col("_as").isNull() | (F.col("_as") <= F.col("finished_at"))))
     bounded_t = t.where(F.col("started_at").isNotNull() & F.col("finished_at").isNotNull())
     bounded_a = a.where(F.col("_as").isNotNull() & F.col("_ae").isNotNull())
-    tb = bounded_t.select("*", _buckets(F.col("started_at"), F.col("finished_at"), bucket_seconds).alias("_b"))
+    # 1) as-of: latest bounded app (start, app id) starting at or before the task end.
+    asof = latest_at_or_before(bounded_a.withColumnRenamed("_aname", "name"), bounded_t, ["name"],
+                               "_as", "finished_at", "app_id")
+    resolved = asof.where(F.col("_match").isNotNull() & (F.col("_match._ae") >= F.col("started_at"))).select(
+        "task_key", F.col("_match.app_id").alias("app_id"), F.col("_match._as").alias("_as"))
+    # 2) residual bounded tasks: bucketed equi-join, exact overlap afterwards.
+    residual = bounded_t.join(resolved.select("task_key"), "task_key", "left_anti")
+    tb = residual.select("*", _buckets(F.col("started_at"), F.col("finished_at"), bucket_seconds).alias("_b"))
     ab = bounded_a.select("*", _buckets(F.col("_as"), F.col("_ae"), bucket_seconds).alias("_ab"))
-    both = (tb.join(ab, (tb["name"] == ab["_aname"]) & (tb["_b"] == ab["_ab"]), "inner")
-            .drop("_b", "_ab").where(overlap).dropDuplicates(["task_key", "app_id"]))
-    # Open-ended intervals cannot be bucketed: match them on name only.
+    bucketed = (tb.join(ab, (tb["name"] == ab["_aname"]) & (tb["_b"] == ab["_ab"]), "inner")
+                .drop("_b", "_ab").where(overlap).select("task_key", "app_id", "_as")
+                .dropDuplicates(["task_key", "app_id"]))
+    # 3) open-ended intervals cannot be ordered or bucketed: match on name only.
     open_t = t.where(F.col("started_at").isNull() | F.col("finished_at").isNull())
     open_a = a.where(F.col("_as").isNull() | F.col("_ae").isNull())
     rest = (open_t.join(a, open_t["name"] == a["_aname"], "inner")
             .unionByName(bounded_t.join(open_a, bounded_t["name"] == open_a["_aname"], "inner")))
-    cands = both.unionByName(rest.where(overlap))
+    cands = resolved.unionByName(bucketed).unionByName(rest.where(overlap).select("task_key", "app_id", "_as"))
     best = cands.groupBy("task_key").agg(
-        F.max_by("app_id", F.struct(F.coalesce(F.col("_as"), F.lit("0001-01-01").cast("timestamp")), F.col("app_id"))).alias("app_id"),
-        F.count(F.lit(1)).alias("candidates"))
+        F.max_by("app_id", F.struct(F.coalesce(F.col("_as"), F.lit("0001-01-01").cast("timestamp")),
+                                    F.col("app_id"))).alias("app_id"))
     return t.join(best, "task_key", "left").select(
-        "task_key", "name", "app_id", F.coalesce("candidates", F.lit(0)).alias("candidates"),
-        F.col("app_id").isNotNull().alias("matched"))
+        "task_key", "name", "app_id", F.col("app_id").isNotNull().alias("matched"))
 
 
 # ---------------------------------------------------------------------------

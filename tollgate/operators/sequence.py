@@ -74,3 +74,51 @@ def first_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str]) -
 def first_per_dataset(parts: DataFrame, order: Sequence[str] = ("year", "month")) -> DataFrame:
     """First declared partition of each dataset."""
     return first_per_group(parts, ["dataset"], order)
+
+
+def latest_at_or_before(events: DataFrame, points: DataFrame, keys: Sequence[str], event_time: str,
+                        point_time: str, tiebreak: str, partitions: int | None = None) -> DataFrame:
+    """As-of lookup: for every point, the latest event of the same key with
+    ``event_time <= point_time`` (ties: largest ``tiebreak``).
+
+    Returns the point columns plus ``_match``, a struct of the event's
+    columns (NULL when no event precedes the point).  Events and points are
+    sorted together by (key, time) with a range partitioner, so a hot key is
+    spread over many tasks; each task carries the latest event forward
+    within its slice, and the carry-in from earlier slices comes from a
+    (key x partition) table — no pairs of events and points are formed.
+    """
+    spark = events.sparkSession
+    checkpoint_root(spark)
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    keys = list(keys)
+    ev_struct = F.struct(*[F.col(c) for c in events.columns])
+    pt_struct = F.struct(*[F.col(c) for c in points.columns])
+    tb_type = events.schema[tiebreak].dataType
+    ev = events.select(*[F.col(k) for k in keys], F.col(event_time).alias("_t"), F.lit(0).alias("_kind"),
+                       F.col(tiebreak).alias("_tb"), ev_struct.alias("_e"),
+                       F.lit(None).cast(points.select(pt_struct).schema[0].dataType).alias("_q"))
+    pt = points.select(*[F.col(k) for k in keys], F.col(point_time).alias("_t"), F.lit(1).alias("_kind"),
+                       F.lit(None).cast(tb_type).alias("_tb"),
+                       F.lit(None).cast(events.select(ev_struct).schema[0].dataType).alias("_e"),
+                       pt_struct.alias("_q"))
+    sort_cols = [F.col(k) for k in keys] + [F.col("_t"), F.col("_kind"), F.col("_tb")]
+    tagged = (
+        ev.unionByName(pt)
+        .repartitionByRange(n_parts, *sort_cols)
+        .sortWithinPartitions(*sort_cols)
+        .withColumn("_pid", F.spark_partition_id())
+        .withColumn("_mid", F.monotonically_increasing_id())
+        .checkpoint(eager=True)
+    )
+    within = Window.partitionBy(*keys, "_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0)
+    local = tagged.withColumn("_local", F.last("_e", ignorenulls=True).over(within))
+    tails = tagged.where(F.col("_kind") == 0).groupBy(*keys, "_pid").agg(F.max_by("_e", "_mid").alias("_tail"))
+    slices = tagged.select(*keys, "_pid").distinct().join(tails, [*keys, "_pid"], "left")
+    earlier = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carry = slices.select(*keys, "_pid", F.last("_tail", ignorenulls=True).over(earlier).alias("_carry"))
+    return (
+        local.where(F.col("_kind") == 1)
+        .join(carry, [*keys, "_pid"], "left")
+        .select("_q.*", F.coalesce("_local", "_carry").alias("_match"))
+    )

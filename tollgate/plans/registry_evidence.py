@@ -130,10 +130,10 @@ def _j6(spark, sf):
 
 
 register("app_match_overlap", oracle.with_metrics("""
-SELECT t.task_key, t.name, b.app_id, coalesce(b.candidates, 0) AS candidates, b.app_id IS NOT NULL AS matched
+SELECT t.task_key, t.name, b.app_id, b.app_id IS NOT NULL AS matched
 FROM tasks t LEFT JOIN (
-  SELECT task_key, app_id, candidates FROM (
-    SELECT t.task_key, a.app_id, count(*) OVER (PARTITION BY t.task_key) AS candidates,
+  SELECT task_key, app_id FROM (
+    SELECT t.task_key, a.app_id,
            row_number() OVER (PARTITION BY t.task_key ORDER BY a.start DESC, a.app_id DESC) AS rn
     FROM tasks t JOIN apps a ON t.name = a.name AND a."end" >= t.started_at AND a.start <= t.finished_at)
   WHERE rn = 1) b ON t.task_key = b.task_key""", """
