@@ -109,3 +109,14 @@ def test_status_summary_counts_all_rows(spark):
     ], quality.QUALITY_RESULTS)
     out = marts.status_summary(audit, benchmark_run_id="r1").collect()
     assert [(r.status, r.check_count) for r in out] == [("pass", 2)]
+
+
+def test_audit_job_sees_real_schema(spark, tmp_path):
+    from tollgate.plans.jobs import audit_silver
+    df = silver(spark, [row(T0, T0 + dt.timedelta(minutes=3))]).withColumn("passenger_count", F.col("passenger_count").cast("double"))
+    path = str(tmp_path / "silver")
+    df.write.partitionBy("year", "month").parquet(path)
+    rows, failed = audit_silver(spark, "yellow", path, None, context={"dag_run_id": "d"})
+    r = {x.check_name: x for x in rows.collect()}
+    assert failed and r["pandera_validation"].status == "fail"
+    assert "SCHEMA:passenger_count:dtype" in r["pandera_validation"].extra

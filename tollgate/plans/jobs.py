@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tollgate.operators import marts, normalize, quality
-from tollgate.schemas import (GOLD_PARTITION_COLUMNS, QUALITY_PARTITION_COLUMNS,
+from tollgate.schemas import (GOLD_PARTITION_COLUMNS, QUALITY_PARTITION_COLUMNS, SILVER,
                               SILVER_PARTITION_COLUMNS)
 from tollgate.session import checkpoint_root
 from tollgate.sources import tables
@@ -57,6 +57,7 @@ def audit_silver(spark: SparkSession, dataset: str, source: str, target: str | N
     rows and whether a hard check failed (the gate for C3).
     """
     try:
+        # Inferred (actual) schema: V4 must see the table's real column types.
         silver = tables.read_partition(spark, source, parts)
         wanted = None
         if parts:
@@ -81,7 +82,7 @@ def build_gold(spark: SparkSession, sources: dict[str, str], target: str | None,
     """Non-empty guard, grouped revenue aggregate, partition overwrite."""
     frames = []
     for dataset, source in sources.items():
-        silver = tables.read_partition(spark, source, parts)
+        silver = tables.read_partition(spark, source, parts, schema=SILVER.get(dataset))
         frames.append(marts.with_dataset(silver.select(
             "year", "month", "is_valid_trip", "fare_amount", "tip_amount", "tolls_amount",
             "total_amount", "trip_distance", "trip_duration_min"), dataset))

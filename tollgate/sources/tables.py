@@ -29,13 +29,15 @@ def read_table(spark: SparkSession, table: str, schema: T.StructType | None = No
 
 
 def read_partition(spark: SparkSession, table: str, parts: Sequence[tuple] | None = None,
-                   part_cols: Sequence[str] = ("year", "month")) -> DataFrame:
+                   part_cols: Sequence[str] = ("year", "month"),
+                   schema: T.StructType | None = None) -> DataFrame:
     """S3: table scan restricted to partitions via literal predicates.
 
     Literal equality on partition columns becomes ``PartitionFilters`` in the
-    file scan, so only the listed directories are read.
+    file scan, so only the listed directories are read.  A known ``schema``
+    (including the partition columns) skips footer schema inference.
     """
-    df = read_table(spark, table)
+    df = read_table(spark, table, schema)
     if not parts:
         return df
     pred = None
