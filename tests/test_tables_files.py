@@ -248,3 +248,8 @@ def test_query_suite_templates(spark):
     assert sum(r.check_count for r in corr["02_quality_result_summary"].collect()) == audit.count()
     with pytest.raises(ValueError):
         suite.run_query(spark, "01_partition_row_count", tabs)
+
+
+def test_calendar_rollover(spark):
+    cal = [(r.year, r.month) for r in ingest.calendar(2014, 11, 2015, 2).collect()]
+    assert cal == [(2014, 11), (2014, 12), (2015, 1), (2015, 2)]
