@@ -87,3 +87,21 @@ def test_paired_bootstrap_zero_base(spark):
     df = spark.createDataFrame([("k", "p1", 0.0, 1.0), ("k", "p2", 2.0, 3.0)], "key string, pair string, a double, b double")
     r = stats.paired_bootstrap(df, ["key"], "a", "b", ["pair"], resamples=50).first()
     assert r.zero_base_pairs == 1 and r.median_paired_delta_percent is None
+
+
+def test_scale_variants_close_to_exact(spark):
+    from tollgate.operators import marts
+
+    df = spark.range(1000).select((F.col("id") % 2).alias("k"), (F.col("id") * 1.0).alias("v"))
+    exact = {r.k: r for r in stats.descriptive(df, ["k"], "v").collect()}
+    approx = {r.k: r for r in stats.descriptive(df, ["k"], "v", approx=True).collect()}
+    for k in (0, 1):
+        assert abs(exact[k].median - approx[k].median) <= 2.0
+    trips = spark.range(500).select(F.lit(2014).alias("year"), F.lit(1).alias("month"),
+                                    (F.col("id") % 37).alias("pickup_location_id"),
+                                    (F.col("id") % 3 == 0).alias("is_valid_trip"),
+                                    F.lit(1.5).cast("float").alias("total_amount"))
+    e = marts.deterministic_results(trips).first()
+    a = marts.deterministic_results(trips, exact=False).first()
+    assert e.pickup_location_count == 37 and abs(a.pickup_location_count - 37) <= 2
+    assert e.total_amount_sum == "750.0000" and e.valid_trip_count == 167
