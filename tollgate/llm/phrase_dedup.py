@@ -26,10 +26,11 @@ import hashlib
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import map_arrow, materialize, text_bytes, window_hashes, word_hashes
+from tollgate.llm.common import map_arrow, materialize, mix, text_bytes, values, window_hashes, word_hashes
 
 WINDOW = 13
 #: Words of a block; a window of 13 words holds a whole block that starts at a multiple of 7.
@@ -75,57 +76,49 @@ def owners_and_marks(h: np.ndarray, ids: np.ndarray):
     return first, least, (ids[marked], owner[marked]), (least[runs], h[first][runs])
 
 
-def link_rows(marks, owned) -> pa.RecordBatch:
-    """Rows (doc, owner, hashes): distinct marks, then each owner's hashes packed."""
+def link_parts(marks, owned, buckets: int):
+    """Marks and owned windows of one batch, packed by bucket of the document or owner: (kind, bucket, x, y)."""
     pairs = np.unique(np.stack(marks, 1), axis=0) if len(marks[0]) else np.zeros((0, 2), np.int64)
-    owner, h = owned
-    order = np.lexsort((h, owner))
-    owner, h = owner[order], h[order]
-    cuts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, np.int64)
-    packed = [pack_sorted(part) for part in np.split(h, cuts[1:])] if len(cuts) else []
-    n = len(packed)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([*pairs[:, 0].tolist(), *([None] * n)], pa.int64()), pa.array([*pairs[:, 1].tolist(), *owner[cuts].tolist()], pa.int64()),
-         pa.array([*([None] * len(pairs)), *packed], pa.binary())], names=["doc", "owner", "hashes"])
+    for kind, key, other in ((MARKS, pairs[:, 0], pairs[:, 1]), (OWNED, owned[0], owned[1].view(np.int64))):
+        bucket = (mix(np.ascontiguousarray(key).view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+        for part in np.split(order, cuts[1:]) if len(order) else ():
+            yield kind, int(bucket[part[0]]), pack_ids(key[part]), pack_ids(other[part])
+
+
+#: Kinds of packed rows: windows (hashes, smallest ids), marks (documents, owners), owned windows (owners, hashes).
+WINDOWS, MARKS, OWNED = 0, 1, 2
 
 
 def recurring(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc, owner, null) for marked documents and (null, owner, hashes) for owners of recurring windows."""
+    """(doc, owner, null) for marked documents and (null, owner, hashes) once for each owner of recurring windows."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(1, int(size // 6 // RANGE_WINDOWS))
     slim = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "range int, h binary, ids binary, doc long, owner long, hashes binary"
-    arrow = pa.schema([("range", pa.int32()), ("h", pa.binary()), ("ids", pa.binary()), ("doc", pa.int64()), ("owner", pa.int64()), ("hashes", pa.binary())])
+    schema = "part int, kind int, x binary, y binary"
     edges = np.array([(r << 64) // ranges for r in range(ranges)], np.uint64)
 
+    def rows(parts) -> pa.RecordBatch:
+        kinds, places, xs, ys = zip(*parts) if parts else ((),) * 4
+        return pa.RecordBatch.from_arrays([pa.array(places, pa.int32()), pa.array(kinds, pa.int32()), pa.array(xs, pa.binary()), pa.array(ys, pa.binary())],
+                                          names=["part", "kind", "x", "y"])
+
     def settle(held: list[tuple[int, np.ndarray]]):
         held.sort(key=lambda x: x[0])
         h = np.concatenate([x for _, x in held])
         ids = np.repeat(np.array([i for i, _ in held], np.int64), [len(x) for _, x in held])
         order = np.argsort(h, kind="stable")
-        h, ids = h[order], ids[order]
-        first, least, marks, owned = owners_and_marks(h, ids)
-        h = h[first]
-        cuts = np.searchsorted(h, edges)
-        stops = np.append(cuts[1:], len(h))
-        full = [r for r in range(ranges) if stops[r] > cuts[r]]
-        n = len(full)
-        none = pa.nulls(n)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(full, pa.int32()), pa.array([pack_sorted(h[cuts[r]:stops[r]]) for r in full], pa.binary()),
-             pa.array([pack_ids(least[cuts[r]:stops[r]]) for r in full], pa.binary()),
-             none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.binary())], schema=arrow)
-        links = link_rows(marks, owned)
-        n = links.num_rows
-        if n:
-            none = pa.nulls(n)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(n) % ranges, pa.int32()), none.cast(pa.binary()), none.cast(pa.binary()),
-                                              *links.columns], schema=arrow)
+        first, least, marks, owned = owners_and_marks(h[order], ids[order])
+        h = h[order][first]
+        cuts = np.append(np.searchsorted(h, edges), len(h))
+        yield rows([(WINDOWS, r, pack_sorted(h[a:b]), pack_ids(least[a:b])) for r, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a])
+        yield rows(list(link_parts(marks, owned, ranges)))
 
     def hash_task(batches):
         held, total = [], 0
         for batch in batches:
-            for key, raw in zip(batch.column("doc_id").to_pylist(), text_bytes(batch.column("text"))):
+            for key, raw in zip(values(batch.column("doc_id")), text_bytes(batch.column("text"))):
                 h = window_hashes(word_hashes(raw), window)
                 if len(h):
                     held.append((key, h))
@@ -143,27 +136,53 @@ def recurring(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             h = np.concatenate([x for x, _ in held])
             ids = np.concatenate([x for _, x in held])
             order = np.argsort(h, kind="stable")
-            return link_rows(*owners_and_marks(h[order], ids[order])[2:])
+            return rows(list(link_parts(*owners_and_marks(h[order], ids[order])[2:], ranges)))
 
         for batch in batches:
-            passed = batch.filter(pa.compute.is_null(batch.column("h")))
-            if passed.num_rows:
-                yield passed.select(["doc", "owner", "hashes"])
-            for r, h, ids in zip(*(batch.column(n).to_pylist() for n in ("range", "h", "ids"))):
-                if h is None:
+            passed = []
+            for part, kind, x, y in zip(*(values(c) for c in batch.columns)):
+                if kind != WINDOWS:
+                    passed.append((kind, part, x, y))
                     continue
-                if r != now and held:
+                if part != now and held:
                     yield done()
                     held.clear()
-                now = r
-                held.append((unpack_sorted(h), unpack_ids(ids)))
+                now = part
+                held.append((unpack_sorted(x), unpack_ids(y)))
+            yield rows(passed)
         if held:
             yield done()
 
-    import pyarrow.compute  # noqa: F401 - used in range_task as pa.compute
+    def gather_task(batches):
+        marks, owned, now = [], [], None
 
-    dealt = map_arrow(slim, hash_task, schema).repartition("range").sortWithinPartitions("range")
-    return map_arrow(dealt, range_task, "doc long, owner long, hashes binary")
+        def done():
+            pairs = np.unique(np.concatenate([np.stack([unpack_ids(x), unpack_ids(y)], 1) for x, y in marks]), axis=0) if marks else np.zeros((0, 2), np.int64)
+            owner = np.concatenate([unpack_ids(x) for x, _ in owned] or [np.zeros(0, np.int64)])
+            h = np.concatenate([unpack_ids(y) for _, y in owned] or [np.zeros(0, np.int64)]).view(np.uint64)
+            order = np.lexsort((h, owner))
+            owner, h = owner[order], h[order]
+            cuts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, np.int64)
+            packed = [pack_sorted(np.unique(x)) for x in np.split(h, cuts[1:])] if len(cuts) else []
+            return pa.RecordBatch.from_arrays(
+                [pa.array([*pairs[:, 0].tolist(), *([None] * len(packed))], pa.int64()),
+                 pa.array([*pairs[:, 1].tolist(), *owner[cuts].tolist()], pa.int64()),
+                 pa.array([*([None] * len(pairs)), *packed], pa.binary())], names=["doc", "owner", "hashes"])
+
+        for batch in batches:
+            for part, kind, x, y in zip(*(values(c) for c in batch.columns)):
+                if part != now and (marks or owned):
+                    yield done()
+                    marks.clear()
+                    owned.clear()
+                now = part
+                (marks if kind == MARKS else owned).append((x, y))
+        if marks or owned:
+            yield done()
+
+    dealt = lambda df: df.repartition("part").sortWithinPartitions("part")
+    links = map_arrow(dealt(map_arrow(slim, hash_task, schema)), range_task, schema)
+    return map_arrow(dealt(links), gather_task, "doc long, owner long, hashes binary")
 
 
 def digest(words: list[bytes]) -> str:
@@ -223,25 +242,33 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     arrow = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()),
                        ("marked", pa.bool_()), ("kept", pa.binary()), ("passages", pa.list_(pa.binary()))])
 
+    def press_task(batches):
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([press.compress(x) for x in text_bytes(batch.column("text"))], pa.binary())],
+                                             names=["doc_id", "text"])
+
     def role_task(batches):
+        press, expand = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
         for batch in batches:
             rows = []
             marked = [bool(m) for m in batch.column("marked").to_pylist()]
-            for raw, m, packed in zip(text_bytes(batch.column("text")), marked, batch.column("hashes").to_pylist()):
+            for pressed, m, packed in zip(values(batch.column("text")), marked, batch.column("hashes").to_pylist()):
+                raw = expand.decompress(pressed)
                 words = raw.split()
                 passages = None
                 if packed:
                     wanted = np.unique(np.concatenate([unpack_sorted(p) for p in packed]))
                     at = np.flatnonzero(np.isin(window_hashes(word_hashes(raw), window), wanted))
                     runs = np.split(at, np.flatnonzero(np.diff(at) > 1) + 1) if len(at) else []
-                    passages = list({b" ".join(words[r[0]:r[-1] + window]) for r in runs})
-                rows.append((len(words), 0, None if m else digest(words), raw if m else b" ".join(words) if keep_text else None, passages))
+                    passages = [press.compress(x) for x in {b" ".join(words[r[0]:r[-1] + window]) for r in runs}]
+                rows.append((len(words), 0, None if m else digest(words), pressed if m else b" ".join(words) if keep_text else None, passages))
             n_words, zeros, shas, kept, passages = zip(*rows) if rows else ((),) * 5
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(pa.array(c, arrow.field(i).type) for i, c in
                                            ((1, n_words), (2, zeros), (3, shas), (4, marked), (5, kept), (6, passages)))], schema=arrow)
 
-    parts = materialize(map_arrow(slim.join(roles, "doc_id", "left"), role_task, schema), "phrase-roles")
+    parts = materialize(map_arrow(map_arrow(slim, press_task, "doc_id long, text binary").join(roles, "doc_id", "left"), role_task, schema), "phrase-roles")
     marked = parts.where("marked")
     shards = int(marked.count() // SHARD_DOCS) + 1
     shard = lambda c: F.pmod(F.xxhash64(c), F.lit(shards)).cast("int")
@@ -252,10 +279,11 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             .repartition("shard").sortWithinPartitions("shard", "step"))
 
     def shard_task(batches):
-        now, passages, automaton = None, [], None
+        now, passages, automaton, expand = None, [], None, zstandard.ZstdDecompressor()
         for batch in batches:
             out = []
-            for shard_id, step, key, body in zip(*(c.to_pylist() for c in batch.columns)):
+            for shard_id, step, key, body in zip(*(values(c) for c in batch.columns)):
+                body = expand.decompress(body)
                 if shard_id != now:
                     now, passages, automaton = shard_id, [], None
                 if step == 0:
