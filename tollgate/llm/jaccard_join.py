@@ -23,9 +23,12 @@ one document; rows without an id link with nothing.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,8 +37,8 @@ from tollgate.llm.components import components
 
 SHINGLE = 4
 PERCENT = 85
-#: Hashed counters that order the shingles, and those of one shuffled row.
-SLOTS, SLOT_BLOCK = 1 << 20, 1 << 12
+#: Hashed counters that order the shingles: one for so many bytes of text, a power of two within these bounds; those of one shuffled row.
+SLOT_BYTES, MIN_SLOTS, MAX_SLOTS, SLOT_BLOCK = 200, 1 << 16, 1 << 23, 1 << 12
 #: Bucket rows up to which all pairs that pass are handed on, and rows of a block.
 SMALL, BLOCK = 12, 2048
 
@@ -58,9 +61,9 @@ def least_overlap(nx, ny, percent: int = PERCENT):
 
 
 def parity_bits(shingles: np.ndarray) -> np.ndarray:
-    """Parity of the set's elements per slot; at least twice as many slots as elements."""
+    """Parity of the set's elements per slot; at least as many slots as elements."""
     bits = 64
-    while bits < 2 * len(shingles):
+    while bits < len(shingles):
         bits *= 2
     at = (mix(shingles) & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little")
@@ -74,38 +77,47 @@ def fold(bits: np.ndarray, size: int) -> np.ndarray:
     return bits
 
 
+def slots_of(shingles: np.ndarray, slots: int) -> np.ndarray:
+    return (shingles >> np.uint64(65 - slots.bit_length())).astype(np.int64)
+
+
 def slot_counts(docs: DataFrame, size: int) -> np.ndarray:
-    """How often shingles of each slot occur, over all documents; SLOTS numbers reach the driver."""
+    """How often shingles of each slot occur, over all documents; at most MAX_SLOTS numbers reach the driver."""
+    text_size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    slots = min(MAX_SLOTS, max(MIN_SLOTS, 1 << round(math.log2(max(1, text_size / SLOT_BYTES)))))
+
     def count_task(batches):
-        total, held, n = np.zeros(SLOTS, np.int64), [], 0
+        total, held, n = np.zeros(slots, np.int64), [], 0
         for batch in batches:
             for raw in text_bytes(batch.column("text")):
                 words = word_hashes(raw.lower())
                 held.append(window_hashes(words, min(size, max(1, len(words)))))
                 n += len(held[-1])
-                if n > 500_000:
-                    total += np.bincount((np.concatenate(held) >> np.uint64(44)).astype(np.int64), minlength=SLOTS)
+                if n > 1_000_000:
+                    total += np.bincount(slots_of(np.concatenate(held), slots), minlength=slots)
                     held, n = [], 0
         if held:
-            total += np.bincount((np.concatenate(held) >> np.uint64(44)).astype(np.int64), minlength=SLOTS)
+            total += np.bincount(slots_of(np.concatenate(held), slots), minlength=slots)
+        press = zstandard.ZstdCompressor(level=1)
         parts = total.astype(np.uint32).reshape(-1, SLOT_BLOCK)
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([press.compress(p.tobytes()) for p in parts], pa.binary())],
                                          names=["block", "counts"])
 
     def sum_task(batches):
         sums: dict[int, np.ndarray] = {}
+        expand, press = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for block, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                sums[block] = sums.get(block, 0) + np.frombuffer(raw, np.uint32).astype(np.int64)
+            for block, raw in zip(values(batch.column(0)), values(batch.column(1))):
+                sums[block] = sums.get(block, 0) + np.frombuffer(expand.decompress(raw), np.uint32).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()),
-                                          pa.array([np.minimum(v, 2 ** 32 - 1).astype(np.uint32).tobytes() for v in sums.values()], pa.binary())],
+                                          pa.array([press.compress(np.minimum(v, 2 ** 32 - 1).astype(np.uint32).tobytes()) for v in sums.values()], pa.binary())],
                                          names=["block", "counts"])
 
     schema = "block int, counts binary"
     summed = map_arrow(map_arrow(docs.select("text"), count_task, schema).repartition("block"), sum_task, schema)
-    out = np.zeros(SLOTS, np.uint32)
+    out, expand = np.zeros(slots, np.uint32), zstandard.ZstdDecompressor()
     for block, raw in summed.collect():
-        out[block * SLOT_BLOCK:(block + 1) * SLOT_BLOCK] = np.frombuffer(raw, np.uint32)
+        out[block * SLOT_BLOCK:(block + 1) * SLOT_BLOCK] = np.frombuffer(expand.decompress(raw), np.uint32)
     return out
 
 
@@ -121,7 +133,7 @@ def prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 s = shingle_set(raw, size)
                 n = len(s)
                 keep = n - -(-percent * n // 100) + 1 if n else 0
-                rare = s[np.argsort(order_of[(s >> np.uint64(44)).astype(np.int64)], kind="stable")[:keep]]
+                rare = s[np.argsort(order_of[slots_of(s, len(order_of))], kind="stable")[:keep]]
                 for column, v in zip(out, (class_key(raw) if n else None, n, rare.view(np.int64), parity_bits(s).tobytes() if n else None)):
                     column.append(v)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out[0], pa.binary()), pa.array(out[1], pa.int64()),
