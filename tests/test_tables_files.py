@@ -253,3 +253,21 @@ def test_query_suite_templates(spark):
 def test_calendar_rollover(spark):
     cal = [(r.year, r.month) for r in ingest.calendar(2014, 11, 2015, 2).collect()]
     assert cal == [(2014, 11), (2014, 12), (2015, 1), (2015, 2)]
+
+
+def test_rows_without_keys_keep_their_place(spark, tmp_table):
+    from tollgate.operators.sequence import dense_index
+    from tollgate.sources.layout import rewrite_layout
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(None, 3), (None, 1), ("a", 2), ("a", 5)], "k string, v int")
+    got = sorted((r["k"] or "", r["v"], r["i"]) for r in dense_index(df, ["k"], ["v"], name="i").collect())
+    assert got == [("", 1, 0), ("", 3, 1), ("a", 2, 0), ("a", 5, 1)]
+    rewrite_layout(df.withColumn("year", F.when(F.col("k").isNotNull(), 2020)), tmp_table, ["year"], "fragmented", n_files=2)
+    assert spark.read.parquet(tmp_table).count() == 4
+
+
+def test_stored_asks_the_file_system_of_the_path(spark, tmp_path):
+    from tollgate.sources.files import stored
+
+    assert stored(spark, str(tmp_path)) and stored(spark, f"file://{tmp_path}") and not stored(spark, f"file://{tmp_path}/no")

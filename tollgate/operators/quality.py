@@ -265,7 +265,7 @@ def failed_read_rows(spark, dataset: str, parts: Sequence[tuple[int, int]],
     """V6 read-failure path: one hard fail row per requested partition."""
     rows = [
         (int(y), int(m), 0, READ_CHECK[0], READ_CHECK[1], "fail",
-         type(error).__name__, READ_CHECK[2], str(error)[:4000])
+         type(error).__name__, READ_CHECK[2], str(error))
         for y, m in parts
     ]
     df = spark.createDataFrame(

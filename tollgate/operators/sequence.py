@@ -20,6 +20,17 @@ from pyspark.sql import functions as F
 from tollgate.session import checkpoint_root
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` with NULL equal to NULL; the keys of ``left`` are kept."""
+    mine = {k: f"_join_{k}" for k in keys}
+    right = right.withColumnsRenamed(mine)
+    same = [F.col(k).eqNullSafe(F.col(m)) for k, m in mine.items()]
+    condition = same[0]
+    for c in same[1:]:
+        condition = condition & c
+    return left.join(right, condition, how).drop(*mine.values())
+
+
 def dense_index(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                 name: str = "_i", partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 0-based position of each row within its key by ``order``.
@@ -45,7 +56,7 @@ def dense_index(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
     return (
-        tagged.join(offsets.drop("_cnt"), [*keys, "_pid"], "inner")
+        join_null_safe(tagged, offsets.drop("_cnt"), [*keys, "_pid"])
         .withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_m0")).cast("long"))
         .drop("_pid", "_mid", "_m0", "_off")
     )
@@ -114,11 +125,11 @@ def latest_at_or_before(events: DataFrame, points: DataFrame, keys: Sequence[str
     within = Window.partitionBy(*keys, "_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0)
     local = tagged.withColumn("_local", F.last("_e", ignorenulls=True).over(within))
     tails = tagged.where(F.col("_kind") == 0).groupBy(*keys, "_pid").agg(F.max_by("_e", "_mid").alias("_tail"))
-    slices = tagged.select(*keys, "_pid").distinct().join(tails, [*keys, "_pid"], "left")
+    slices = join_null_safe(tagged.select(*keys, "_pid").distinct(), tails, [*keys, "_pid"], "left")
     earlier = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     carry = slices.select(*keys, "_pid", F.last("_tail", ignorenulls=True).over(earlier).alias("_carry"))
     return (
         local.where(F.col("_kind") == 1)
-        .join(carry, [*keys, "_pid"], "left")
+        .transform(lambda d: join_null_safe(d, carry, [*keys, "_pid"], "left"))
         .select("_q.*", F.coalesce("_local", "_carry").alias("_match"))
     )

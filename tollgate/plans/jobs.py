@@ -97,8 +97,10 @@ def build_gold(spark: SparkSession, sources: dict[str, str], target: str | None,
         wanted = spark.createDataFrame(
             [(ds, int(y), int(m)) for ds in sources for y, m in parts], "dataset string, year int, month int")
         missing = wanted.join(gold.select(*GOLD_PARTITION_COLUMNS), GOLD_PARTITION_COLUMNS, "left_anti")
-        if not missing.isEmpty():
-            raise RuntimeError(f"No silver rows found for {missing.limit(5).collect()}")
+        # At most as many rows as the caller asked for.
+        absent = [tuple(r) for r in missing.collect()]
+        if absent:
+            raise RuntimeError(f"No silver rows found for {len(absent)} partitions: {absent}")
     if target is not None:
         tables.overwrite_partitions(gold, target, GOLD_PARTITION_COLUMNS)
     return gold

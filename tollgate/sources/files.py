@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tollgate.session import exists
 
 
 def month_paths(base: str, dataset: str, parts: Sequence[tuple[int, int]]) -> list[str]:
@@ -16,6 +15,12 @@ def month_paths(base: str, dataset: str, parts: Sequence[tuple[int, int]]) -> li
     return [f"{base.rstrip('/')}/{y}/{dataset}_tripdata_{y}-{int(m):02d}.parquet" for y, m in parts]
 
 
+def stored(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, on whatever file system it names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def scan_month_files(spark: SparkSession, base: str, dataset: str,
                      parts: Sequence[tuple[int, int]], missing_ok: bool = True) -> DataFrame:
     """Read the monthly raw files of one dataset in one scan.
@@ -26,7 +31,7 @@ def scan_month_files(spark: SparkSession, base: str, dataset: str,
     """
     paths = month_paths(base, dataset, parts)
     if missing_ok:
-        paths = [p for p in paths if exists(p)]
+        paths = [p for p in paths if stored(spark, p)]
     if not paths:
         raise FileNotFoundError(f"No raw files for {dataset} {list(parts)}")
     return spark.read.option("mergeSchema", "true").parquet(*paths)

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.operators.sequence import dense_index
+from tollgate.operators.sequence import dense_index, join_null_safe
 
 LAYOUTS = ("fragmented", "compact")
 
@@ -52,7 +52,7 @@ def rewrite_layout(df: DataFrame, target: str, part_cols: Sequence[str], layout:
     value_cols = [c for c in df.columns if c not in part_cols]
     slotted = dense_index(df, part_cols, [F.xxhash64(*[F.col(c) for c in value_cols]), *value_cols], name="_i")
     target_id = (F.col("_p") * n + F.pmod(F.col("_i"), F.lit(n))).cast("int")
-    placed = slotted.join(ordinals, part_cols, "inner").withColumn("_pid", target_id)
+    placed = join_null_safe(slotted, ordinals, part_cols).withColumn("_pid", target_id)
     out = placed.repartitionById(int(n_parts * n), "_pid").drop("_p", "_i", "_pid")
     (out.write.mode("overwrite").option("maxRecordsPerFile", 0)
      .partitionBy(*part_cols).parquet(target))
