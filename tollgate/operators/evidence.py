@@ -82,10 +82,12 @@ def read_event_log(spark, path: str) -> DataFrame:
 
     Stage status is COMPLETE unless the stage recorded a failure reason.
     The application id comes from the ApplicationStart event of the same
-    log file.  Returns (app_id, app_name, stage_id, attempt, status, <11
+    log; the parts of a rolling log (folder ``eventlog_v2_*``) are one log.
+    Returns (app_id, app_name, stage_id, attempt, status, <11
     stage fields>), ready for :func:`app_counters`.
     """
-    raw = spark.read.schema(_EVENT_SCHEMA).json(path).withColumn("_file", F.input_file_name())
+    raw = spark.read.schema(_EVENT_SCHEMA).option("recursiveFileLookup", "true").json(path).withColumn(
+        "_file", F.regexp_replace(F.input_file_name(), r"(/eventlog_v2_[^/]*)/[^/]*$", "$1"))
     apps = raw.where(F.col("Event") == "SparkListenerApplicationStart").select(
         "_file", F.col("App ID").alias("app_id"), F.col("App Name").alias("app_name"))
     stages = raw.where(F.col("Event") == "SparkListenerStageCompleted").select(
@@ -93,20 +95,20 @@ def read_event_log(spark, path: str) -> DataFrame:
         F.col("Stage Info.Stage ID").alias("stage_id"),
         F.col("Stage Info.Stage Attempt ID").alias("attempt"),
         F.when(F.col("Stage Info.Failure Reason").isNull(), F.lit("COMPLETE")).otherwise(F.lit("FAILED")).alias("status"),
-        F.map_from_entries(F.transform(
-            F.coalesce(F.col("Stage Info.Accumulables"), F.array().cast(T.ArrayType(_ACC))),
-            lambda a: F.struct(a["Name"], a["Value"]))).alias("_acc"),
+        F.coalesce(F.col("Stage Info.Accumulables"), F.array().cast(T.ArrayType(_ACC))).alias("_acc"),
     )
 
+    def counter(name):
+        # Other names may repeat within a stage (SQL metrics); only the wanted one is looked at.
+        return F.get(F.filter("_acc", lambda a: a["Name"] == name), F.lit(0))["Value"].try_cast("long")
+
     def field(names):
-        total = None
-        for n in names:
-            v = F.try_element_at(F.col("_acc"), F.lit(n)).try_cast("long")
-            total = v if total is None else F.coalesce(total, F.lit(0)) + F.coalesce(v, F.lit(0))
-        return total
-
-    # One application per log file; the join strategy is left to AQE (the
-    # number of log files is not bounded a priori).
+        found = [counter(n) for n in names]
+        return found[0] if len(found) == 1 else F.when(
+            F.coalesce(*found).isNotNull(), sum((F.coalesce(v, F.lit(0)) for v in found), F.lit(0).cast("long")))
+
+    # One application per log; the join strategy is left to AQE (the
+    # number of logs is not bounded a priori).
     return stages.join(apps, "_file", "left").select(
         "app_id", "app_name", "stage_id", "attempt", "status",
         *[field(n).alias(f) for f, n in ACCUMULABLES.items()],
