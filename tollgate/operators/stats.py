@@ -75,40 +75,52 @@ def range_summary(df: DataFrame, value: str, by: Sequence[str] = (), prefix: str
 
 
 # Largest per-key sample the array path holds in one row; larger keys use the
-# fully distributed join path.
+# fully distributed join path.  Both make the same draws, so the intervals do
+# not depend on the path.
 ARRAY_SAMPLE_LIMIT = 20_000
 # Resamples evaluated per task row on the array path.
 RESAMPLE_CHUNK = 500
 
 
+def _key_hash(seed: int, keys: Sequence[str]) -> Column:
+    return F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
+
+
 def _draw_index(seed: int, keys: Sequence[str], r: Column, j: Column, n: Column, portable: bool) -> Column:
-    """SQL draw index: ``hash(seed, key, r, j) mod n``."""
+    """Draw index: a hash of (seed, key, r, j), mod n."""
     if portable:
         text = F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys],
                            r.cast("string"), j.cast("string"))
         h = md5_bigint(text)
     else:
-        h = F.xxhash64(F.lit(seed), *[F.col(k) for k in keys], r, j)
+        h = F.xxhash64(_key_hash(seed, keys), r.cast("long"), j.cast("long"))
     return F.pmod(h, n)
 
 
-def _key_text(values) -> str:
-    return ":".join("" if v is None else str(v) for v in values)
-
-
-def _resample_kernel(keys: list[str], seed: int, resamples: int, chunk: int, portable: bool):
+def _resample_kernel(keys: list[str], resamples: int, chunk: int):
     """mapInPandas body: resample medians for (key, chunk) rows.
 
-    ``portable`` reproduces the SQL md5 draw index exactly (used by the
-    cross-engine check); otherwise draws come from a PCG64 stream seeded by
-    (seed, md5(key), chunk) — deterministic for a given seed.
+    The draws are those of :func:`_draw_index`: ``xxhash64`` of three longs,
+    for whole arrays (the numbers are fixed values of that public hash).
+    Everything the tasks need is inside, so workers need not import this package.
     """
     def run(batches):
-        import hashlib
-
         import numpy as np
         import pandas as pd
 
+        p1, p2, p3, p4, p5 = (np.uint64(x) for x in (
+            0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+        def rotated(x, k):
+            return (x << np.uint64(k)) | (x >> np.uint64(64 - k))
+
+        def hashed(value, seed):
+            h = (seed + (p5 + np.uint64(8))) ^ (rotated(value * p2, 31) * p1)
+            h = rotated(h, 27) * p1 + p4
+            h = (h ^ (h >> np.uint64(33))) * p2
+            h = (h ^ (h >> np.uint64(29))) * p3
+            return h ^ (h >> np.uint64(32))
+
         for pdf in batches:
             frames = []
             cols = {c: pdf[c].tolist() for c in pdf.columns}
@@ -117,25 +129,17 @@ def _resample_kernel(keys: list[str], seed: int, resamples: int, chunk: int, por
                 n = a.size
                 if n == 0:
                     continue
-                c = int(cols["_c"][i])
-                r0 = c * chunk
-                rs = np.arange(r0, min(r0 + chunk, resamples), dtype="int64")
-                kv = [cols[k][i] for k in keys]
-                if portable:
-                    prefix = f"{seed}:{_key_text(kv)}:"
-                    idx = np.array([[int(hashlib.md5(f"{prefix}{r}:{j}".encode()).hexdigest()[:15], 16) % n
-                                     for j in range(n)] for r in rs], dtype="int64")
-                else:
-                    kh = int(hashlib.md5(_key_text(kv).encode()).hexdigest()[:15], 16)
-                    rng = np.random.Generator(np.random.PCG64([seed, kh, c]))
-                    idx = rng.integers(0, n, size=(rs.size, n))
-                vals = np.sort(a[idx], axis=1)
+                first = int(cols["_c"][i]) * chunk
+                rs = np.arange(first, min(first + chunk, resamples), dtype="int64")
+                of_key = hashed(np.array([cols["_h"][i]], np.int64).view(np.uint64), np.array([42], np.uint64))
+                of_resample = hashed(rs.view(np.uint64), of_key)
+                h = hashed(np.arange(n, dtype="uint64")[None, :], of_resample[:, None])
+                vals = np.sort(a[h.view(np.int64) % n], axis=1)
                 pos = (n - 1) * 0.5
                 lo, hi = int(np.floor(pos)), int(np.ceil(pos))
-                est = vals[:, lo] + (vals[:, hi] - vals[:, lo]) * (pos - lo)
-                out = pd.DataFrame({k: [v] * rs.size for k, v in zip(keys, kv)})
+                out = pd.DataFrame({k: [cols[k][i]] * rs.size for k in keys})
                 out["_r"] = rs
-                out["_est"] = est
+                out["_est"] = vals[:, lo] + (vals[:, hi] - vals[:, lo]) * (pos - lo)
                 frames.append(out)
             if frames:
                 yield pd.concat(frames, ignore_index=True)
@@ -143,7 +147,7 @@ def _resample_kernel(keys: list[str], seed: int, resamples: int, chunk: int, por
 
 
 def _estimates_arrays(base: DataFrame, by: list[str], value: str, order: Sequence[str], seed: int,
-                      resamples: int, portable: bool) -> DataFrame:
+                      resamples: int) -> DataFrame:
     """Resample medians from one sorted sample array per key.
 
     Each key's sample (at most ``ARRAY_SAMPLE_LIMIT`` values, checked by the
@@ -153,13 +157,13 @@ def _estimates_arrays(base: DataFrame, by: list[str], value: str, order: Sequenc
     """
     entry = F.struct(*[F.col(o) for o in order], F.col(value).alias("_v"))
     arrays = base.groupBy(*by).agg(F.array_sort(F.collect_list(entry)).alias("_s")).select(
-        *by, F.transform("_s", lambda x: x["_v"].cast("double")).alias("_a"))
+        *by, _key_hash(seed, by).alias("_h"), F.transform("_s", lambda x: x["_v"].cast("double")).alias("_a"))
     n_chunks = (resamples + RESAMPLE_CHUNK - 1) // RESAMPLE_CHUNK
-    chunks = (arrays.select(*by, "_a", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))).alias("_c"))
+    chunks = (arrays.select(*by, "_h", "_a", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))).alias("_c"))
               .repartition(*[F.col(k) for k in by], F.col("_c")))
     key_fields = [f for f in base.schema.fields if f.name in by]
     schema = T.StructType(key_fields + [T.StructField("_r", T.LongType()), T.StructField("_est", T.DoubleType())])
-    return chunks.mapInPandas(_resample_kernel(by, seed, resamples, RESAMPLE_CHUNK, portable), schema)
+    return chunks.mapInPandas(_resample_kernel(by, resamples, RESAMPLE_CHUNK), schema)
 
 
 def _estimates_join(base: DataFrame, by: list[str], value: str, order: Sequence[str], seed: int,
@@ -193,7 +197,7 @@ def _estimates_join(base: DataFrame, by: list[str], value: str, order: Sequence[
         F.max(F.when(F.col("_k") == hi, F.col(value))).alias("_b"),
         F.max(pos - lo).alias("_f"),
     )
-    return est.select(*by, "_r", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_f")).alias("_est"))
+    return est.select(*by, F.col("_r").cast("long").alias("_r"), (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_f")).alias("_est"))
 
 
 def bootstrap_median(samples: DataFrame, by: Sequence[str], value: str, order: Sequence[str],
@@ -204,9 +208,10 @@ def bootstrap_median(samples: DataFrame, by: Sequence[str], value: str, order: S
     Draw ``j`` of resample ``r`` of key ``k`` picks sample position
     ``hash(seed, k, r, j) mod n`` in ``order``; ``portable`` uses an
     md5-derived hash reproducible in plain SQL, otherwise ``xxhash64``.
-    Samples that fit ``ARRAY_SAMPLE_LIMIT`` (checked with one small
+    Keys whose samples fit ``ARRAY_SAMPLE_LIMIT`` (checked with one small
     aggregate) take the vectorized array path, larger ones the distributed
-    join path.  ``portable`` always uses the join path, whose draw index is
+    join path; both make the same draws, so no key's interval depends on its
+    own or another key's size class.  ``portable`` always uses the join path, whose draw index is
     a plain SQL md5 expression another engine can reproduce.
     """
     by = list(by)
@@ -214,10 +219,15 @@ def bootstrap_median(samples: DataFrame, by: Sequence[str], value: str, order: S
     point = base.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.percentile(F.col(value), 0.5).alias("median"))
     largest = point.agg(F.max("n")).first()[0] or 0
-    if not portable and largest <= ARRAY_SAMPLE_LIMIT:
-        estimates = _estimates_arrays(base, by, value, order, seed, resamples, portable)
-    else:
+    if portable or (largest > ARRAY_SAMPLE_LIMIT and not by):
         estimates = _estimates_join(base, by, value, order, seed, resamples, portable)
+    elif largest <= ARRAY_SAMPLE_LIMIT:
+        estimates = _estimates_arrays(base, by, value, order, seed, resamples)
+    else:
+        large = point.where(F.col("n") > ARRAY_SAMPLE_LIMIT).select(*[F.col(k).alias(f"_k_{k}") for k in by])
+        same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in by]
+        estimates = _estimates_arrays(base.join(large, same, "left_anti"), by, value, order, seed, resamples).unionByName(
+            _estimates_join(base.join(large, same, "left_semi"), by, value, order, seed, resamples, False))
     lo, hi = (1 - confidence) / 2, 1 - (1 - confidence) / 2
     ci = estimates.groupBy(*by).agg(_percentiles(F.col("_est"), (lo, hi), False).alias("_ci"))
     return point.join(ci, by, "left").select(
