@@ -162,6 +162,56 @@ def test_read_event_log(spark, tmp_path):
     assert (r.app_id, r.records_read, r.shuffle_read_bytes) == ("app-1", 10, 12)
 
 
+def test_read_event_log_repeated_names_and_rolling_parts(spark, tmp_path):
+    from tollgate.operators.evidence import app_counters, read_event_log
+    folder = tmp_path / "eventlog_v2_app-7"
+    folder.mkdir()
+    metric = [{"ID": i, "Name": "number of output rows", "Value": i} for i in (1, 2)]
+    stage = {"Event": "SparkListenerStageCompleted", "Stage Info": {"Stage ID": 0, "Stage Attempt ID": 0, "Accumulables": [
+        *metric, {"ID": 3, "Name": "internal.metrics.input.recordsRead", "Value": 4}]}}
+    start = {"Event": "SparkListenerApplicationStart", "App ID": "app-7", "App Name": "stage"}
+    (folder / "events_1_app-7").write_text("\n".join(json.dumps(e) for e in (start, stage)))
+    stage["Stage Info"]["Stage ID"] = 1
+    (folder / "events_2_app-7").write_text(json.dumps(stage))
+    (folder / "appstatus_app-7").write_text("")
+    for path in (folder, tmp_path):
+        rows = app_counters(read_event_log(spark, str(path))).collect()
+        assert [(r.app_id, r.records_read) for r in rows] == [("app-7", 8)]
+
+
+def test_reload_clears_moved_and_removed_rows(spark, tmp_table):
+    schema = "metric_id string, run string, part string, v int"
+    old = spark.createDataFrame([("m1", "r", "x", 1), ("m2", "r", "x", 1), ("m3", "r", "z", 1), ("m4", "s", "y", 1), ("m5", "s", None, 1)], schema)
+    tables.overwrite_partitions(old, tmp_table, ["part"])
+    new = spark.createDataFrame([("m1", "r", "y", 2), ("m2", "r", None, 2)], schema)
+    for _ in range(2):
+        tables.reload_by_key(spark, tmp_table, new, "metric_id", ["part"], scope=F.col("run") == "r")
+        got = sorted((r.metric_id, r.part, r.v) for r in tables.read_table(spark, tmp_table).collect())
+        assert got == [("m1", "y", 2), ("m2", None, 2), ("m4", "y", 1), ("m5", None, 1)]
+
+
+def test_gate_holds_back_only_the_failed_month(spark, tmp_path):
+    from tollgate.plans.jobs import Warehouse, medallion_run
+    good = row(T0, T0 + dt.timedelta(minutes=5))
+    bad = row(dt.datetime(2014, 2, 2), dt.datetime(2014, 2, 2, 0, 10))
+    raw = raw_green(spark, [good, bad]).withColumn(
+        "VendorID", F.when(F.month("lpep_pickup_datetime") == 2, 99).otherwise(F.col("VendorID")))
+    wh = Warehouse(str(tmp_path / "wh"))
+    out = medallion_run(spark, {"green": raw}, wh, parts=[(2014, 1), (2014, 2)])
+    assert out["gold_built"] and out["hard_failures"] == {"green": True}
+    assert [(r.year, r.month) for r in tables.read_table(spark, wh.gold).collect()] == [(2014, 1)]
+
+
+def test_streaming_gate(spark, tmp_path):
+    base = str(tmp_path / "landing")
+    raw = raw_green(spark, [row(T0, T0 + dt.timedelta(minutes=5)), row(dt.datetime(2014, 2, 2), dt.datetime(2014, 2, 2, 0, 10))]).withColumn(
+        "VendorID", F.when(F.month("lpep_pickup_datetime") == 2, 99).otherwise(F.col("VendorID")))
+    files.land_raw(raw.withColumn("year", F.year("lpep_pickup_datetime")).withColumn("month", F.month("lpep_pickup_datetime")), base)
+    wh = {k: str(tmp_path / k) for k in ("silver", "gold", "quality", "ckpt")}
+    ingest.ingest_available(spark, base, raw.schema, "green", wh["silver"], wh["gold"], wh["ckpt"], wh["quality"])
+    assert [r.month for r in tables.read_table(spark, wh["gold"]).collect()] == [1]
+
+
 def test_run_template_binds_identifiers(spark):
     df = gold_rows(spark)
     out = files.run_template(spark, "SELECT sum(trip_count) AS n FROM IDENTIFIER(:t) WHERE year = :y",

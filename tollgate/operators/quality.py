@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tollgate.schemas import QUALITY_RESULTS, SILVER
+from tollgate.schemas import QUALITY_PARTITION_COLUMNS, QUALITY_RESULTS, SILVER
 
 # Check names, thresholds and texts of the audit rows.
 ROW_COUNT_CHECK = ("partition_row_count", "hard", "> 0")
@@ -281,6 +281,18 @@ def has_hard_failures(audit_rows: DataFrame) -> bool:
     return not audit_rows.where((F.col("severity") == "hard") & (F.col("status") == "fail")).isEmpty()
 
 
+def hard_failed_partitions(audit_rows: DataFrame) -> DataFrame:
+    """(dataset, year, month) with a hard failure: what the gate holds back."""
+    return (audit_rows.where((F.col("severity") == "hard") & (F.col("status") == "fail"))
+            .select("dataset", "year", "month").distinct())
+
+
+def without_partitions(df: DataFrame, failed: DataFrame) -> DataFrame:
+    """Rows whose (dataset, year, month) is not listed; NULL equals NULL."""
+    listed = failed.select(*[F.col(c).alias(f"_f_{c}") for c in QUALITY_PARTITION_COLUMNS]).distinct()
+    return df.join(listed, [F.col(c).eqNullSafe(F.col(f"_f_{c}")) for c in QUALITY_PARTITION_COLUMNS], "left_anti")
+
+
 def validity_mismatches(df: DataFrame, by: Sequence[str] = ("year", "month")) -> DataFrame:
     """A2: rows whose flag is NULL or differs from ``trip_duration_min > 0``."""
     mismatch = F.col("is_valid_trip").isNull() | (F.col("is_valid_trip") != (F.col("trip_duration_min") > 0))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,34 +53,46 @@ def audit_silver(spark: SparkSession, dataset: str, source: str, target: str | N
                  rules: Sequence[quality.Rule] | None = None) -> tuple[DataFrame, bool]:
     """One-pass audit of the requested partitions, appended to history.
 
-    A read failure produces one ``silver_partition_read`` fail row per
-    requested partition instead of the partial results.  Returns the audit
+    A read failure, also one met only while the files are read, produces one
+    ``silver_partition_read`` fail row per unreadable partition; the other
+    requested partitions are audited one by one then.  Returns the audit
     rows and whether a hard check failed (the gate for C3).
     """
-    try:
+    checkpoint_root(spark)
+
+    def audited(months: Sequence[tuple[int, int]] | None) -> DataFrame:
         # Inferred (actual) schema: V4 must see the table's real column types.
-        silver = tables.read_partition(spark, source, parts)
+        silver = tables.read_partition(spark, source, months)
         wanted = None
-        if parts:
-            wanted = spark.createDataFrame([(int(y), int(m)) for y, m in parts], "year int, month int")
-        rows = quality.audit(silver, dataset, parts=wanted, rules=rules, context=context)
-        rows.schema  # analysis surfaces a missing table / column here
-    except Exception as error:  # noqa: BLE001 - any read/analysis failure becomes an audit row
+        if months:
+            wanted = spark.createDataFrame([(int(y), int(m)) for y, m in months], "year int, month int")
+        # One aggregation pass over silver; the (partitions x checks) result is
+        # checkpointed to shared storage so the append and the gate reuse it.
+        return quality.audit(silver, dataset, parts=wanted, rules=rules, context=context).checkpoint(eager=True)
+
+    try:
+        rows = audited(parts)
+    except Exception:  # noqa: BLE001 - any read/analysis failure becomes an audit row
         if not parts:
             raise
-        rows = quality.failed_read_rows(spark, dataset, parts, error, context)
-    # One aggregation pass over silver; the (partitions x checks) result is
-    # checkpointed to shared storage so the append and the gate reuse it.
-    checkpoint_root(spark)
-    rows = rows.checkpoint(eager=True)
+        each = []
+        for month in parts:
+            try:
+                each.append(audited([month]))
+            except Exception as error:  # noqa: BLE001
+                each.append(quality.failed_read_rows(spark, dataset, [month], error, context))
+        rows = reduce(DataFrame.unionByName, each).checkpoint(eager=True)
     if target is not None:
         tables.append_rows(rows, target, QUALITY_PARTITION_COLUMNS)
     return rows, quality.has_hard_failures(rows)
 
 
 def build_gold(spark: SparkSession, sources: dict[str, str], target: str | None,
-               parts: Sequence[tuple[int, int]] | None = None) -> DataFrame:
-    """Non-empty guard, grouped revenue aggregate, partition overwrite."""
+               parts: Sequence[tuple[int, int]] | None = None, failed: DataFrame | None = None) -> DataFrame:
+    """Non-empty guard, grouped revenue aggregate, partition overwrite.
+
+    ``failed`` (dataset, year, month) lists partitions that the gate holds
+    back: they get no gold rows, and gold they had stays."""
     frames = []
     for dataset, source in sources.items():
         silver = tables.read_partition(spark, source, parts, schema=SILVER.get(dataset))
@@ -89,13 +102,18 @@ def build_gold(spark: SparkSession, sources: dict[str, str], target: str | None,
     union = frames[0]
     for f in frames[1:]:
         union = union.unionByName(f)
+    gold = marts.monthly_revenue(union)
+    if failed is not None:
+        gold = quality.without_partitions(gold, failed)
     # One row per (dataset, month): materialize once so the guard and the
     # write share a single scan of silver (reliable checkpoint, shared folder).
     checkpoint_root(spark)
-    gold = marts.monthly_revenue(union).checkpoint(eager=True)
+    gold = gold.checkpoint(eager=True)
     if parts:
         wanted = spark.createDataFrame(
             [(ds, int(y), int(m)) for ds in sources for y, m in parts], "dataset string, year int, month int")
+        if failed is not None:
+            wanted = quality.without_partitions(wanted, failed)
         missing = wanted.join(gold.select(*GOLD_PARTITION_COLUMNS), GOLD_PARTITION_COLUMNS, "left_anti")
         # At most as many rows as the caller asked for.
         absent = [tuple(r) for r in missing.collect()]
@@ -110,15 +128,25 @@ def medallion_run(spark: SparkSession, raw: dict[str, DataFrame], warehouse: War
                   parts: Sequence[tuple[int, int]] | None = None, context: dict | None = None,
                   rules: dict[str, Sequence[quality.Rule]] | None = None,
                   gate: bool = True) -> dict[str, object]:
-    """C4: C1 -> C2 (hard gate) -> C3 for every dataset and month at once."""
+    """C4: C1 -> C2 (hard gate) -> C3 for every dataset and month at once.
+
+    The gate holds back the dataset-months with a hard failure; all others
+    get gold."""
     for dataset, frame in raw.items():
         build_silver(frame, dataset, warehouse.silver(dataset), parts)
-    failures = {}
+    failures, held = {}, None
     for dataset in raw:
-        _, failed = audit_silver(spark, dataset, warehouse.silver(dataset), warehouse.quality,
+        rows, failures[dataset] = audit_silver(spark, dataset, warehouse.silver(dataset), warehouse.quality,
                                  parts, context, (rules or {}).get(dataset))
-        failures[dataset] = failed
-    if gate and any(failures.values()):
-        return {"gold_built": False, "hard_failures": failures}
-    build_gold(spark, {ds: warehouse.silver(ds) for ds in raw}, warehouse.gold, parts)
-    return {"gold_built": True, "hard_failures": failures}
+        bad = quality.hard_failed_partitions(rows)
+        held = bad if held is None else held.unionByName(bad)
+    failed = held if gate and any(failures.values()) else None
+    sources = {ds: warehouse.silver(ds) for ds in raw}
+    if failed is not None and parts:
+        # Scan only what passed (and so never what can't be read); at most the requested partitions.
+        bad = {tuple(r) for r in failed.collect()}
+        good = {ds: [(y, m) for y, m in parts if (ds, int(y), int(m)) not in bad] for ds in raw}
+        built = [build_gold(spark, {ds: sources[ds]}, warehouse.gold, months) for ds, months in good.items() if months]
+        return {"gold_built": bool(built), "hard_failures": failures, "failed_partitions": failed}
+    gold = build_gold(spark, sources, warehouse.gold, parts, failed)
+    return {"gold_built": not gold.isEmpty(), "hard_failures": failures, "failed_partitions": held}

@@ -90,6 +90,27 @@ register("replace_by_key", oracle.with_metrics(
     "ELSE duration_seconds END AS duration_seconds FROM run_metrics"))(_replace_by_key)
 
 
+def _reload_by_key(spark, sf):
+    """A run reloaded twice: some of its rows changed partition, some are gone from the artifact."""
+    target = work_path(spark, "metrics")
+    parts = ["architecture", "metric_type"]
+    rm = _rm(spark, sf).select("metric_id", "architecture", "metric_type", "duration_seconds")
+    tables.overwrite_partitions(rm, target, parts)
+    run = F.col("architecture") == "onprem"
+    artifact = rm.where(run & (F.col("duration_seconds") >= 5)).select(
+        "metric_id", F.when(F.col("duration_seconds") > 50, "moved").otherwise(F.col("architecture")).alias("architecture"),
+        "metric_type", (F.col("duration_seconds") * 2).alias("duration_seconds"))
+    for _ in range(2):
+        tables.reload_by_key(spark, target, artifact, "metric_id", parts, scope=run)
+    return tables.read_table(spark, target)
+
+
+register("reload_by_key", oracle.with_metrics("""
+SELECT metric_id, CASE WHEN architecture = 'onprem' AND duration_seconds > 50 THEN 'moved' ELSE architecture END AS architecture, metric_type,
+       CASE WHEN architecture = 'onprem' THEN duration_seconds * 2 ELSE duration_seconds END AS duration_seconds
+FROM run_metrics WHERE architecture <> 'onprem' OR duration_seconds >= 5"""))(_reload_by_key)
+
+
 # ---------------------------------------------------------------------------
 # S12 / S13 / A14 / J10 / S14 / J13
 # ---------------------------------------------------------------------------
@@ -256,7 +277,7 @@ def _ingest(spark, sf):
         ingest.ingest_available(
             spark, base, schema, ds, f"{wh['silver']}/{ds}", wh["gold"], f"{root}/checkpoints/{ds}",
             quality_path=wh["quality"], files_per_trigger=128,
-            rules=quality.silver_rules(ds, ADAPTER_MIN_YEAR))
+            rules=quality.silver_rules(ds, ADAPTER_MIN_YEAR), gate=False)
     return rnd(tables.read_table(spark, wh["gold"]).drop("processed_at"), GOLD_ROUND)
 
 

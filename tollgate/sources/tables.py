@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tollgate.session import checkpoint_root
+
 
 def _is_path(table: str) -> bool:
     return "/" in table or ":" in table
@@ -186,6 +188,37 @@ def replace_by_key(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return kept.unionByName(new.select(*existing.columns))
 
 
+def reload_by_key(spark: SparkSession, table: str, new: DataFrame, key: str, part_cols: Sequence[str],
+                  scope: Column | None = None) -> None:
+    """S10 on a stored table: afterwards each key of ``new`` has the rows of ``new`` only.
+
+    Old rows of these keys go from whichever partition they are in, and
+    ``scope`` (a condition on stored rows, such as one run's id) names rows
+    that go even where ``new`` no longer has their key.  Only partitions that
+    lose or get rows are rewritten; those left without rows are deleted.
+    Repeating the reload changes nothing.
+    """
+    checkpoint_root(spark)
+    existing = read_table(spark, table)
+    new = new.select(*existing.columns).checkpoint(eager=True)
+    keys = new.select(F.col(key).alias("_key")).distinct()
+    stale = existing.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+    if scope is not None:
+        stale = stale.unionByName(existing.where(scope))
+
+    def places(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(c).alias(f"_p_{c}") for c in part_cols]).distinct()
+
+    same = [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in part_cols]
+    touched = places(stale).union(places(new)).distinct().checkpoint(eager=True)
+    kept = existing.join(touched, same, "left_semi").join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+    if scope is not None:
+        kept = kept.where(~F.coalesce(scope, F.lit(False)))
+    content = kept.unionByName(new).checkpoint(eager=True)
+    emptied = touched.join(content.select(*part_cols).distinct(), same, "left_anti").collect()  # partition values only
+    overwrite_partitions(content, table, part_cols, clear_empty=[tuple(r) for r in emptied])
+
+
 def dry_run(df: DataFrame) -> T.StructType:
     """Validate the plan (analysis only, no job) and return the output schema.
 

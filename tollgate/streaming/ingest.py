@@ -23,6 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tollgate.functions.scalar import next_partition  # noqa: F401  (I1, re-exported)
 from tollgate.operators import marts, normalize, quality
 from tollgate.schemas import GOLD_PARTITION_COLUMNS, QUALITY_PARTITION_COLUMNS, SILVER_PARTITION_COLUMNS
+from tollgate.session import checkpoint_root
 from tollgate.sources import tables
 
 
@@ -62,13 +63,17 @@ def next_unloaded(calendar_df: DataFrame, loaded: DataFrame) -> DataFrame:
 
 def process_batch(batch: DataFrame, dataset: str, source: str, schema: T.StructType, silver_path: str,
                   quality_path: str | None, gold_path: str, context: dict | None = None,
-                  rules: Sequence[quality.Rule] | None = None) -> None:
+                  rules: Sequence[quality.Rule] | None = None, gate: bool = True) -> None:
     """stage -> quality -> gold for the months that received files in one micro-batch.
 
     The micro-batch only tells *which* months arrived: each such month is
     rebuilt from its complete landing partition, so a month whose files
     span several micro-batches (or a replayed batch) still converges to the
-    full month — every sink is a partition overwrite.
+    full month: Silver and Gold are partition overwrites.  The audit history
+    is appended to, so a replayed batch adds its audit rows again.
+
+    Where an audit is kept (``quality_path``) and ``gate`` holds, months with a hard failure get
+    no Gold; all other months of the batch do.
     """
     spark = batch.sparkSession
     # At most ``maxFilesPerTrigger`` distinct months per batch: a bounded list
@@ -79,24 +84,27 @@ def process_batch(batch: DataFrame, dataset: str, source: str, schema: T.StructT
     landed = spark.read.schema(schema).option("basePath", source).parquet(source).where(
         normalize.partition_predicate(months))
     # Keep rows whose pickup month is the month of their file.
-    renames = normalize.YELLOW_RENAMES if dataset == "yellow" else normalize.GREEN_RENAMES
-    raw = normalize.rename_columns(landed, renames)
+    raw = normalize.rename_columns(landed, normalize.RENAMES[dataset])
     pickup = F.to_timestamp("pickup_ts")
     raw = raw.where((F.year(pickup) == F.col("year")) & (F.month(pickup) == F.col("month")))
     silver = normalize.normalize(raw.drop("year", "month"), dataset)
     tables.overwrite_partitions(silver, silver_path, SILVER_PARTITION_COLUMNS, order=["pickup_ts"])
     part = tables.read_partition(spark, silver_path, months)
+    gold = marts.monthly_revenue(part, dataset)
     if quality_path is not None:
-        rows = quality.audit(part, dataset, rules=rules, context=context)
+        checkpoint_root(spark)
+        rows = quality.audit(part, dataset, rules=rules, context=context).checkpoint(eager=True)
         tables.append_rows(rows, quality_path, QUALITY_PARTITION_COLUMNS)
-    gold = marts.monthly_revenue(part, dataset)
+        if gate:
+            gold = quality.without_partitions(gold, quality.hard_failed_partitions(rows))
     tables.overwrite_partitions(gold, gold_path, GOLD_PARTITION_COLUMNS)
 
 
 def ingest_available(spark: SparkSession, source: str, schema: T.StructType, dataset: str,
                      silver_path: str, gold_path: str, checkpoint: str,
                      quality_path: str | None = None, files_per_trigger: int = 8,
-                     context: dict | None = None, rules: Sequence[quality.Rule] | None = None) -> StreamingQuery:
+                     context: dict | None = None, rules: Sequence[quality.Rule] | None = None,
+                     gate: bool = True) -> StreamingQuery:
     """Ingest every month that arrived in ``source`` since the last run.
 
     ``source`` is a landing zone partitioned ``year=/month=``; ``schema``
@@ -109,7 +117,7 @@ def ingest_available(spark: SparkSession, source: str, schema: T.StructType, dat
               .option("basePath", source).parquet(source))
     q = (stream.writeStream
          .foreachBatch(lambda df, _id: process_batch(df, dataset, source, full, silver_path, quality_path,
-                                                     gold_path, context, rules))
+                                                     gold_path, context, rules, gate))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
