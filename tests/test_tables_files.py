@@ -202,6 +202,25 @@ def test_gate_holds_back_only_the_failed_month(spark, tmp_path):
     assert [(r.year, r.month) for r in tables.read_table(spark, wh.gold).collect()] == [(2014, 1)]
 
 
+def test_unreadable_month_fails_alone(spark, tmp_path):
+    from tollgate.plans.jobs import Warehouse, audit_silver, build_silver
+    raw = raw_green(spark, [row(T0, T0 + dt.timedelta(minutes=5)), row(dt.datetime(2014, 2, 2), dt.datetime(2014, 2, 2, 0, 10))])
+    wh = Warehouse(str(tmp_path / "wh"))
+    build_silver(raw, "green", wh.silver("green"))
+    # Data pages of the February file are spoilt, its footer is not: only reading it shows.
+    part = next((tmp_path / "wh/silver/green_trips/year=2014/month=2").glob("*.parquet"))
+    body = bytearray(part.read_bytes())
+    tail = int.from_bytes(body[-8:-4], "little") + 8
+    body[4:len(body) - tail] = b"\xff" * (len(body) - tail - 4)
+    part.write_bytes(bytes(body))
+    part.with_name(f".{part.name}.crc").unlink(missing_ok=True)
+    rows, failed = audit_silver(spark, "green", wh.silver("green"), wh.quality, [(2014, 1), (2014, 2)])
+    assert failed
+    read = rows.where("check_name = 'silver_partition_read' and status = 'fail'").collect()
+    assert [(r.year, r.month) for r in read] == [(2014, 2)]
+    assert rows.where("month = 1").count() > 1
+
+
 def test_streaming_gate(spark, tmp_path):
     base = str(tmp_path / "landing")
     raw = raw_green(spark, [row(T0, T0 + dt.timedelta(minutes=5)), row(dt.datetime(2014, 2, 2), dt.datetime(2014, 2, 2, 0, 10))]).withColumn(
