@@ -71,17 +71,51 @@ def test_bootstrap_deterministic_and_bounded(spark):
     assert 1.0 <= a["k1"].ci95_low <= a["k1"].median <= a["k1"].ci95_high <= 9.0
 
 
-def test_bootstrap_paths_make_the_same_draws(spark, monkeypatch):
-    df = samples(spark)
-
+def plain_intervals(values, key, seed, resamples):
+    """The documented draws and medians, one by one."""
+    import hashlib
+
+    import numpy as np
+
+    def scrambled(x):
+        for _ in range(2):
+            x = (x ^ x >> 16) * 0x45D9F3B & 0xFFFFFFFF
+        return x ^ x >> 16
+
+    values, n, estimates = sorted(values), len(values), []
+    for r in range(resamples):
+        s = int(hashlib.md5(f"{seed}:{key}:{r}".encode()).hexdigest()[:15], 16)
+        drawn = []
+        for j in range(n):
+            x = scrambled(s + j & 0xFFFFFFFF)
+            y = scrambled(x ^ s >> 28 & 0xFFFFFFFF)
+            drawn.append(values[((x & 0x7FFFFFFF) << 31 | y & 0x7FFFFFFF) % n])
+        estimates.append(np.median(drawn))
+    return np.quantile(estimates, [0.025, 0.975]).tolist()
+
+
+def test_bootstrap_against_plain_version(spark):
+    import random
+
+    rng = random.Random(5)
+    rows = [(k, f"p{i:05d}", float(rng.randrange(1000))) for k, n in (("a", 1), ("b", 2), ("c", 333), ("d", 5000)) for i in range(n)]
+    df = spark.createDataFrame(rows, "key string, pair string, v double")
+    got = {r.key: r for r in stats.bootstrap_median(df, ["key"], "v", ["pair"], seed=3, resamples=40).collect()}
+    for k in "abcd":
+        lo, hi = plain_intervals([v for key, _, v in rows if key == k], k, 3, 40)
+        assert abs(got[k].ci95_low - lo) < 1e-9 and abs(got[k].ci95_high - hi) < 1e-9
+
+
+def test_bootstrap_of_a_key_ignores_other_keys(spark):
     def intervals(frame):
-        return {r.key: r for r in stats.bootstrap_median(frame, ["key"], "v", ["pair"], seed=3, resamples=100).collect()}
+        return {r.key: r for r in stats.bootstrap_median(frame, ["key"], "v", ["pair"], seed=3, resamples=50).collect()}
 
-    small = intervals(df)
-    monkeypatch.setattr(stats, "ARRAY_SAMPLE_LIMIT", 5)  # k1 (8 values) goes the other way now, k2 does not
-    assert intervals(df) == small
-    monkeypatch.setattr(stats, "ARRAY_SAMPLE_LIMIT", 0)
-    assert intervals(df) == small
+    df = samples(spark)
+    alone = intervals(df)
+    large = spark.range(25_000).selectExpr("'big' AS key", "CAST(id AS STRING) AS pair", "CAST(id * 7 % 1009 AS DOUBLE) AS v")
+    both = intervals(df.unionByName(large))
+    assert both.pop("big").n == 25_000
+    assert both == alone
 
 
 def test_paired_bootstrap_zero_base(spark):

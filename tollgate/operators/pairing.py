@@ -120,10 +120,9 @@ def paired_summary(pairs: DataFrame, a: str = ARCH_A, b: str = ARCH_B) -> DataFr
 
 
 def paired_intervals(pairs: DataFrame, a: str = ARCH_A, b: str = ARCH_B,
-                     seed: int = BOOTSTRAP_SEED, resamples: int = BOOTSTRAP_RESAMPLES,
-                     portable: bool = False) -> DataFrame:
+                     seed: int = BOOTSTRAP_SEED, resamples: int = BOOTSTRAP_RESAMPLES) -> DataFrame:
     """T1 over J2 output: per-key bootstrap CI of the median paired delta."""
-    return paired_bootstrap(pairs, ["key"], a, b, ["pair_id"], seed, resamples, portable)
+    return paired_bootstrap(pairs, ["key"], a, b, ["pair_id"], seed, resamples)
 
 
 def assemble_cells(metrics: DataFrame, value: str, pair_col: str = "layout_pair_id",
@@ -169,10 +168,10 @@ def layout_effect_rows(cells: DataFrame, key_cols: Sequence[str] = ("measurement
 
 def layout_effects(cells: DataFrame, key_cols: Sequence[str] = ("measurement_protocol", "query_name"),
                    pair_col: str = "layout_pair_id", seed: int = BOOTSTRAP_SEED,
-                   resamples: int = BOOTSTRAP_RESAMPLES, portable: bool = False) -> DataFrame:
+                   resamples: int = BOOTSTRAP_RESAMPLES) -> DataFrame:
     """Per (keys, effect) median effect with bootstrap CI, plus pair counts."""
     rows = layout_effect_rows(cells, key_cols, pair_col)
-    boot = bootstrap_median(rows, [*key_cols, "effect"], "value", [pair_col], seed, resamples, portable)
+    boot = bootstrap_median(rows, [*key_cols, "effect"], "value", [pair_col], seed, resamples)
     counts = cells.groupBy(*key_cols).agg(
         F.count_if("complete").alias("complete_pairs"),
         F.count_if(~F.col("complete")).alias("missing_pairs"),

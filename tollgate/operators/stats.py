@@ -5,16 +5,10 @@ closest ranks — the same definition as the reference's helper, e.g. 0.25
 of 1..4 is 1.75).  ``approx=True`` swaps in ``percentile_approx`` for very
 large groups.
 
-The bootstrap is a deterministic, hash-driven resampler: draw ``j`` of
-resample ``r`` of key ``k`` picks sample index ``hash(seed, k, r, j) mod n``.
-Resamples are generated by ``explode`` (no cross join) and spread over tasks
-by key and resample.  Keys with a bounded sample evaluate draws row-locally
-on the key's sorted sample array; beyond the bound, draws become rows joined
-to the indexed sample on ``(key, index)``.  Either way the estimates are
-reduced with grouped percentiles and nothing is collected to the driver
-except one size number that picks the path.  The array path's draw kernel
-is vectorized numpy inside ``mapInPandas`` (resampling is an imperative
-per-key loop; Spark still partitions the work by key and resample chunk).
+The bootstrap is a deterministic, hash-driven resampler: every draw is the
+rank of a value in its key's sorted sample, made from (seed, key, resample,
+draw) by integer arithmetic.  Draws are generated and counted in the same
+stage; values are only looked up at the middle ranks of each resample.
 """
 
 from __future__ import annotations
@@ -23,10 +17,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tollgate.functions.hashing import md5_bigint
-from tollgate.operators.sequence import dense_index
+from tollgate.operators.sequence import dense_index, join_null_safe
 
 # Default bootstrap seed and resample count.
 BOOTSTRAP_SEED = 20260713
@@ -74,172 +67,115 @@ def range_summary(df: DataFrame, value: str, by: Sequence[str] = (), prefix: str
     )
 
 
-# Largest per-key sample the array path holds in one row; larger keys use the
-# fully distributed join path.  Both make the same draws, so the intervals do
-# not depend on the path.
-ARRAY_SAMPLE_LIMIT = 20_000
-# Resamples evaluated per task row on the array path.
-RESAMPLE_CHUNK = 500
+# Rank buckets in which a resample's draws are first counted.
+RANK_BUCKETS = 64
+# Draws made from one generated row.
+DRAW_CHUNK = 4096
+_WORD = (1 << 32) - 1
+_HALF = (1 << 31) - 1
 
 
-def _key_hash(seed: int, keys: Sequence[str]) -> Column:
-    return F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
+def _scrambled(df: DataFrame, column: str) -> DataFrame:
+    """``column`` (32 bits in a long) through two multiply-xorshift rounds; products stay below 2**63."""
+    for _ in range(2):
+        x = F.col(column)
+        df = df.withColumn(column, (x.bitwiseXOR(F.shiftright(x, 16)) * F.lit(0x45D9F3B)).bitwiseAND(F.lit(_WORD)))
+    x = F.col(column)
+    return df.withColumn(column, x.bitwiseXOR(F.shiftright(x, 16)))
 
 
-def _draw_index(seed: int, keys: Sequence[str], r: Column, j: Column, n: Column, portable: bool) -> Column:
-    """Draw index: a hash of (seed, key, r, j), mod n."""
-    if portable:
-        text = F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys],
-                           r.cast("string"), j.cast("string"))
-        h = md5_bigint(text)
-    else:
-        h = F.xxhash64(_key_hash(seed, keys), r.cast("long"), j.cast("long"))
-    return F.pmod(h, n)
+def _drawn_ranks(resamples: DataFrame, seed: int, by: Sequence[str]) -> DataFrame:
+    """One row per draw of (key, ``_n``, ``_r``, ...) rows, with the drawn rank ``_i``.
 
+    Two 32-bit words come from the md5 of (seed, key, resample); draw ``j``
+    scrambles the first with ``j`` and the second with that, and the 62 bits
+    of both modulo ``n`` are the rank.  Plain integer arithmetic, so another
+    engine can make the same draws and the loop stays in generated code.
+    """
+    text = F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in by], F.col("_r").cast("string"))
+    chunk = F.lit(DRAW_CHUNK)
+    first = (
+        resamples.withColumn("_s", md5_bigint(text))
+        .withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_n - 1) div {DRAW_CHUNK}"))))
+        .withColumn("_j", F.explode(F.sequence(F.col("_c") * chunk, F.least(F.col("_n"), (F.col("_c") + 1) * chunk) - 1)))
+        .withColumn("_x", (F.col("_s") + F.col("_j") + F.shiftright("_j", 32) * F.lit(0x45D9F3B)).bitwiseAND(F.lit(_WORD)))
+    )
+    second = _scrambled(first, "_x").withColumn(
+        "_y", F.col("_x").bitwiseXOR(F.shiftright("_s", 28).bitwiseAND(F.lit(_WORD))))
+    bits = F.shiftleft(F.col("_x").bitwiseAND(F.lit(_HALF)), 31).bitwiseOR(F.col("_y").bitwiseAND(F.lit(_HALF)))
+    return _scrambled(second, "_y").withColumn("_i", bits % F.col("_n")).drop("_s", "_c", "_j", "_x", "_y")
 
-def _resample_kernel(keys: list[str], resamples: int, chunk: int):
-    """mapInPandas body: resample medians for (key, chunk) rows.
 
-    The draws are those of :func:`_draw_index`: ``xxhash64`` of three longs,
-    for whole arrays (the numbers are fixed values of that public hash).
-    Everything the tasks need is inside, so workers need not import this package.
-    """
-    def run(batches):
-        import numpy as np
-        import pandas as pd
-
-        p1, p2, p3, p4, p5 = (np.uint64(x) for x in (
-            0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
-
-        def rotated(x, k):
-            return (x << np.uint64(k)) | (x >> np.uint64(64 - k))
-
-        def hashed(value, seed):
-            h = (seed + (p5 + np.uint64(8))) ^ (rotated(value * p2, 31) * p1)
-            h = rotated(h, 27) * p1 + p4
-            h = (h ^ (h >> np.uint64(33))) * p2
-            h = (h ^ (h >> np.uint64(29))) * p3
-            return h ^ (h >> np.uint64(32))
-
-        for pdf in batches:
-            frames = []
-            cols = {c: pdf[c].tolist() for c in pdf.columns}
-            for i in range(len(pdf)):
-                a = np.asarray(cols["_a"][i], dtype="float64")
-                n = a.size
-                if n == 0:
-                    continue
-                first = int(cols["_c"][i]) * chunk
-                rs = np.arange(first, min(first + chunk, resamples), dtype="int64")
-                of_key = hashed(np.array([cols["_h"][i]], np.int64).view(np.uint64), np.array([42], np.uint64))
-                of_resample = hashed(rs.view(np.uint64), of_key)
-                h = hashed(np.arange(n, dtype="uint64")[None, :], of_resample[:, None])
-                vals = np.sort(a[h.view(np.int64) % n], axis=1)
-                pos = (n - 1) * 0.5
-                lo, hi = int(np.floor(pos)), int(np.ceil(pos))
-                out = pd.DataFrame({k: [cols[k][i]] * rs.size for k in keys})
-                out["_r"] = rs
-                out["_est"] = vals[:, lo] + (vals[:, hi] - vals[:, lo]) * (pos - lo)
-                frames.append(out)
-            if frames:
-                yield pd.concat(frames, ignore_index=True)
-    return run
-
-
-def _estimates_arrays(base: DataFrame, by: list[str], value: str, order: Sequence[str], seed: int,
-                      resamples: int) -> DataFrame:
-    """Resample medians from one sorted sample array per key.
-
-    Each key's sample (at most ``ARRAY_SAMPLE_LIMIT`` values, checked by the
-    caller) is gathered once in sample order; the (key, resample-chunk) rows
-    are spread over tasks by a shuffle and each task draws its resamples
-    vectorized (Arrow batches into numpy) — no per-draw rows, shuffle or join.
-    """
-    entry = F.struct(*[F.col(o) for o in order], F.col(value).alias("_v"))
-    arrays = base.groupBy(*by).agg(F.array_sort(F.collect_list(entry)).alias("_s")).select(
-        *by, _key_hash(seed, by).alias("_h"), F.transform("_s", lambda x: x["_v"].cast("double")).alias("_a"))
-    n_chunks = (resamples + RESAMPLE_CHUNK - 1) // RESAMPLE_CHUNK
-    chunks = (arrays.select(*by, "_h", "_a", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))).alias("_c"))
-              .repartition(*[F.col(k) for k in by], F.col("_c")))
-    key_fields = [f for f in base.schema.fields if f.name in by]
-    schema = T.StructType(key_fields + [T.StructField("_r", T.LongType()), T.StructField("_est", T.DoubleType())])
-    return chunks.mapInPandas(_resample_kernel(by, resamples, RESAMPLE_CHUNK), schema)
-
-
-def _estimates_join(base: DataFrame, by: list[str], value: str, order: Sequence[str], seed: int,
-                    resamples: int, portable: bool) -> DataFrame:
-    """Resample medians for arbitrarily large keys: draws are rows.
-
-    Samples get dense positions (range-partitioned, so a hot key spans many
-    tasks), resamples are exploded per key and spread by (key, resample),
-    each draw is joined to its sample value on (key, position), and each
-    resample's median comes from its two middle order statistics.
+def _median_ranks(sizes: DataFrame, by: list[str], seed: int, resamples: int) -> DataFrame:
+    """(key, ``_r``, ``_lo``, ``_hi``): ranks of the middle draws of every resample.
+
+    Draws are ranks, so no sample value is needed here.  They are counted per
+    rank bucket; the buckets that hold the two middle draws are known from the
+    running counts, and only their draws are counted rank by rank.
     """
-    indexed = dense_index(base, by, order, name="_i").select(*by, "_i", value)
-    sizes = indexed.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    draws = (
-        sizes.select(*by, "_n", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))).alias("_r"))
-        .repartition(*[F.col(k) for k in by], F.col("_r"))
-        .select(*by, "_n", "_r", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_j"))
+    group = [*by, "_n", "_r"]
+    rows = (sizes.select(*by, "_n", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))).alias("_r"))
+            .repartition(*[F.col(k) for k in by], F.col("_r")))
+    bucket = F.floor(F.col("_i") * RANK_BUCKETS / F.col("_n"))
+    running = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    lo, hi = F.expr("(_n - 1) div 2"), F.expr("_n div 2")
+    counted = (
+        _drawn_ranks(rows, seed, by).groupBy(*group, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_cnt"))
+        .withColumn("_upto", F.sum("_cnt").over(running))
     )
-    draws = draws.withColumn("_i", _draw_index(seed, by, F.col("_r"), F.col("_j"), F.col("_n"), portable))
-    joined = draws.join(indexed, [*by, "_i"], "inner")
-    # Median of each resample from its two middle order statistics: a
-    # (spillable) sort per (key, resample) instead of object-buffer
-    # percentile aggregates.
-    ranked = joined.withColumn(
-        "_k", F.row_number().over(Window.partitionBy(*by, "_r").orderBy(F.col(value))) - 1)
-    pos = (F.col("_n") - 1) * 0.5
-    lo, hi = F.floor(pos), F.ceil(pos)
-    middle = ranked.where((F.col("_k") == lo) | (F.col("_k") == hi))
-    est = middle.groupBy(*by, "_r").agg(
-        F.max(F.when(F.col("_k") == lo, F.col(value))).alias("_a"),
-        F.max(F.when(F.col("_k") == hi, F.col(value))).alias("_b"),
-        F.max(pos - lo).alias("_f"),
+    held = counted.groupBy(*group).agg(
+        F.min(F.when(F.col("_upto") > lo, F.col("_b"))).alias("_blo"),
+        F.min(F.when(F.col("_upto") > hi, F.col("_b"))).alias("_bhi"),
+        F.min(F.when(F.col("_upto") > lo, F.col("_upto") - F.col("_cnt"))).alias("_before"),
     )
-    return est.select(*by, F.col("_r").cast("long").alias("_r"), (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_f")).alias("_est"))
+    group = [*group, "_before"]
+    fine = (
+        _drawn_ranks(held, seed, by).where((bucket == F.col("_blo")) | (bucket == F.col("_bhi")))
+        .groupBy(*group, "_i").agg(F.count(F.lit(1)).alias("_cnt"))
+        .withColumn("_upto", F.col("_before") + F.sum("_cnt").over(
+            Window.partitionBy(*group).orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)))
+    )
+    return fine.groupBy(*by, "_r").agg(
+        F.min(F.when(F.col("_upto") > F.expr("(_n - 1) div 2"), F.col("_i"))).alias("_lo"),
+        F.min(F.when(F.col("_upto") > F.expr("_n div 2"), F.col("_i"))).alias("_hi"))
+
+
+def _at_ranks(ranked: DataFrame, wanted: DataFrame, by: list[str], value: str) -> DataFrame:
+    """``wanted`` (key, ``_r``, ``_lo``, ``_hi``) -> (key, ``_r``, ``_est``): the mean of the values at both ranks."""
+    places = wanted.select(*by, "_r", F.explode(F.array("_lo", "_hi")).alias("_i"))
+    return join_null_safe(places, ranked.select(*by, "_i", value), [*by, "_i"]).groupBy(*by, "_r").agg(
+        ((F.min(value) + F.max(value)) / 2).alias("_est"))
 
 
 def bootstrap_median(samples: DataFrame, by: Sequence[str], value: str, order: Sequence[str],
                      seed: int = BOOTSTRAP_SEED, resamples: int = BOOTSTRAP_RESAMPLES,
-                     portable: bool = False, confidence: float = 0.95) -> DataFrame:
+                     confidence: float = 0.95) -> DataFrame:
     """Median and bootstrap confidence interval of the median, per key.
 
-    Draw ``j`` of resample ``r`` of key ``k`` picks sample position
-    ``hash(seed, k, r, j) mod n`` in ``order``; ``portable`` uses an
-    md5-derived hash reproducible in plain SQL, otherwise ``xxhash64``.
-    Keys whose samples fit ``ARRAY_SAMPLE_LIMIT`` (checked with one small
-    aggregate) take the vectorized array path, larger ones the distributed
-    join path; both make the same draws, so no key's interval depends on its
-    own or another key's size class.  ``portable`` always uses the join path, whose draw index is
-    a plain SQL md5 expression another engine can reproduce.
+    Values get their rank within the key once (``order`` breaks ties); every
+    draw is a rank, so a resample's median is the value at its middle drawn
+    ranks.  One algorithm and one draw definition for every sample size: a
+    key's interval depends on its own values only.
     """
     by = list(by)
-    base = samples.where(F.col(value).isNotNull()).select(*by, *order, value)
-    point = base.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), F.percentile(F.col(value), 0.5).alias("median"))
-    largest = point.agg(F.max("n")).first()[0] or 0
-    if portable or (largest > ARRAY_SAMPLE_LIMIT and not by):
-        estimates = _estimates_join(base, by, value, order, seed, resamples, portable)
-    elif largest <= ARRAY_SAMPLE_LIMIT:
-        estimates = _estimates_arrays(base, by, value, order, seed, resamples)
-    else:
-        large = point.where(F.col("n") > ARRAY_SAMPLE_LIMIT).select(*[F.col(k).alias(f"_k_{k}") for k in by])
-        same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in by]
-        estimates = _estimates_arrays(base.join(large, same, "left_anti"), by, value, order, seed, resamples).unionByName(
-            _estimates_join(base.join(large, same, "left_semi"), by, value, order, seed, resamples, False))
+    base = samples.where(F.col(value).isNotNull()).select(*by, *order, F.col(value).cast("double").alias(value))
+    ranked = dense_index(base, by, [value, *order], name="_i").select(*by, "_i", value).checkpoint()
+    sizes = ranked.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    middle = sizes.select(*by, F.lit(-1).alias("_r"), F.expr("(_n - 1) div 2").alias("_lo"), F.expr("_n div 2").alias("_hi"))
+    point = join_null_safe(_at_ranks(ranked, middle, by, value).select(*by, F.col("_est").alias("median")), sizes, by)
+    estimates = _at_ranks(ranked, _median_ranks(sizes, by, seed, resamples), by, value)
+    # One number per resample: at most ``resamples`` values in a group.
     lo, hi = (1 - confidence) / 2, 1 - (1 - confidence) / 2
     ci = estimates.groupBy(*by).agg(_percentiles(F.col("_est"), (lo, hi), False).alias("_ci"))
-    return point.join(ci, by, "left").select(
-        *by, "n", "median",
+    return join_null_safe(point, ci, by, "left").select(
+        *by, F.col("_n").alias("n"), "median",
         F.col("_ci")[0].alias("ci95_low"), F.col("_ci")[1].alias("ci95_high"),
         F.lit(seed).alias("seed"), F.lit(resamples).alias("resamples"),
     )
 
 
 def paired_bootstrap(pairs: DataFrame, by: Sequence[str], a: str, b: str, order: Sequence[str],
-                     seed: int = BOOTSTRAP_SEED, resamples: int = BOOTSTRAP_RESAMPLES,
-                     portable: bool = False) -> DataFrame:
+                     seed: int = BOOTSTRAP_SEED, resamples: int = BOOTSTRAP_RESAMPLES) -> DataFrame:
     """Median paired % delta ``(b - a) / a * 100`` with a bootstrap CI.
 
     Keys whose reference side has a zero value get ``zero_base_pairs > 0``
@@ -248,8 +184,8 @@ def paired_bootstrap(pairs: DataFrame, by: Sequence[str], a: str, b: str, order:
     by = list(by)
     deltas = pairs.withColumn("_delta", percentage_delta(F.col(a), F.col(b)))
     zero = deltas.groupBy(*by).agg(F.count_if(F.col(a) == 0).alias("zero_base_pairs"))
-    boot = bootstrap_median(deltas.where(F.col(a) != 0), by, "_delta", order, seed, resamples, portable)
-    out = zero.join(boot, by, "left")
+    boot = bootstrap_median(deltas.where(F.col(a) != 0), by, "_delta", order, seed, resamples)
+    out = join_null_safe(zero, boot, by, "left")
     bad = F.col("zero_base_pairs") > 0
     return out.select(
         *by,

@@ -11,9 +11,6 @@ from tollgate.plans.registry import register, rnd
 from tollgate.session import pin
 from tollgate.sources.adapters import BROAD_QUERY, FILTERED_QUERY, run_metrics
 
-# Resamples of the registered bootstrap queries (the operators default to
-# 10 000, the reference's count).
-CHECK_RESAMPLES = 1000
 SEED = stats.BOOTSTRAP_SEED
 
 
@@ -116,18 +113,28 @@ FROM pairs GROUP BY key""", PAIRS_SQL))(
 
 
 def bootstrap_sql(src: str, keys: list[str], value: str, order: str, seed: int, resamples: int) -> str:
-    """SQL rendering of :func:`tollgate.operators.stats.bootstrap_median` (portable hash)."""
+    """SQL rendering of :func:`tollgate.operators.stats.bootstrap_median`."""
+    def scrambled(x: str) -> str:
+        for _ in range(2):
+            x = f"((xor({x}, {x} >> 16) * 73244475) & 4294967295)"
+        return f"xor({x}, {x} >> 16)"
+
     k = ", ".join(keys)
     kv = ", ".join(f"CAST({x} AS VARCHAR)" for x in keys)
     on = " AND ".join(f"d.{x} = i.{x}" for x in keys + ["i"])
     return f"""SELECT * FROM (
 WITH b_idx AS (
-  SELECT {k}, {value} AS v, row_number() OVER (PARTITION BY {k} ORDER BY {order}) - 1 AS i
+  SELECT {k}, {value} AS v, row_number() OVER (PARTITION BY {k} ORDER BY {value}, {order}) - 1 AS i
   FROM {src} WHERE {value} IS NOT NULL),
 b_n AS (SELECT {k}, count(*) AS n, quantile_cont(v, 0.5) AS median FROM b_idx GROUP BY {k}),
 b_r AS (SELECT {k}, n, unnest(range(0, {resamples})) AS r FROM b_n),
-b_d AS (SELECT {k}, n, r, unnest(range(0, n)) AS j FROM b_r),
-b_h AS (SELECT {k}, r, CAST(concat('0x', substr(md5(concat_ws(':', '{seed}', {kv}, CAST(r AS VARCHAR), CAST(j AS VARCHAR))), 1, 15)) AS BIGINT) % n AS i FROM b_d),
+b_s AS (SELECT *, CAST(concat('0x', substr(md5(concat_ws(':', '{seed}', {kv}, CAST(r AS VARCHAR))), 1, 15)) AS BIGINT) AS s FROM b_r),
+b_d AS (SELECT {k}, n, r, s, unnest(range(0, n)) AS j FROM b_s),
+b_w AS (SELECT *, (s + j + (j >> 32) * 73244475) & 4294967295 AS x0 FROM b_d),
+b_x AS (SELECT *, {scrambled("x0")} AS x FROM b_w),
+b_v AS (SELECT *, xor(x, (s >> 28) & 4294967295) AS y0 FROM b_x),
+b_y AS (SELECT *, {scrambled("y0")} AS y FROM b_v),
+b_h AS (SELECT {k}, r, (((x & 2147483647) << 31) | (y & 2147483647)) % n AS i FROM b_y),
 b_est AS (SELECT {", ".join("d." + x for x in keys)}, d.r, quantile_cont(i.v, 0.5) AS est
           FROM b_h d JOIN b_idx i ON {on} GROUP BY {", ".join("d." + x for x in keys)}, d.r),
 b_ci AS (SELECT {k}, quantile_cont(est, 0.025) AS lo, quantile_cont(est, 0.975) AS hi FROM b_est GROUP BY {k})
@@ -143,18 +150,17 @@ BOOT_ROUND = {"median": 6, "ci95_low": 6, "ci95_high": 6, "median_paired_delta_p
     "SELECT key, n, median AS median_paired_delta_percent, ci95_low, ci95_high, "
     "CAST(0 AS BIGINT) AS zero_base_pairs, seed, resamples FROM ("
     + bootstrap_sql("(SELECT key, pair_id, (hybrid_aws - onprem) / onprem * 100 AS d FROM pairs WHERE onprem <> 0)",
-                    ["key"], "d", "pair_id", SEED, CHECK_RESAMPLES) + ")",
+                    ["key"], "d", "pair_id", SEED, stats.BOOTSTRAP_RESAMPLES) + ")",
     PAIRS_SQL))
 def q_paired_bootstrap(spark, sf):
-    out = pairing.paired_intervals(arch_pairs(spark, sf), resamples=CHECK_RESAMPLES, portable=True)
+    out = pairing.paired_intervals(arch_pairs(spark, sf))
     return rnd(out, BOOT_ROUND)
 
 
 @register("median_bootstrap", oracle.with_metrics(
-    bootstrap_sql("pairs", ["key"], "onprem", "pair_id", SEED, CHECK_RESAMPLES), PAIRS_SQL))
+    bootstrap_sql("pairs", ["key"], "onprem", "pair_id", SEED, stats.BOOTSTRAP_RESAMPLES), PAIRS_SQL))
 def q_median_bootstrap(spark, sf):
-    out = stats.bootstrap_median(arch_pairs(spark, sf), ["key"], "onprem", ["pair_id"],
-                                 resamples=CHECK_RESAMPLES, portable=True)
+    out = stats.bootstrap_median(arch_pairs(spark, sf), ["key"], "onprem", ["pair_id"])
     return rnd(out, BOOT_ROUND)
 
 
@@ -212,7 +218,7 @@ register("layout_cells", oracle.with_metrics(
 
 @register("layout_effects", oracle.with_metrics(f"""
 SELECT b.*, c.complete_pairs, c.missing_pairs FROM (
-{bootstrap_sql('eff', ['measurement_protocol', 'query_name', 'effect'], 'value', 'trial_id', SEED, CHECK_RESAMPLES)}
+{bootstrap_sql('eff', ['measurement_protocol', 'query_name', 'effect'], 'value', 'trial_id', SEED, stats.BOOTSTRAP_RESAMPLES)}
 ) b LEFT JOIN (
   SELECT measurement_protocol, query_name,
          CAST(sum(CASE WHEN complete THEN 1 ELSE 0 END) AS BIGINT) AS complete_pairs,
@@ -220,8 +226,7 @@ SELECT b.*, c.complete_pairs, c.missing_pairs FROM (
   FROM cells2 GROUP BY measurement_protocol, query_name
 ) c ON b.measurement_protocol = c.measurement_protocol AND b.query_name = c.query_name""", CELLS_SQL))
 def q_layout_effects(spark, sf):
-    out = pairing.layout_effects(layout_cells(spark, sf), pair_col="trial_id",
-                                 resamples=CHECK_RESAMPLES, portable=True)
+    out = pairing.layout_effects(layout_cells(spark, sf), pair_col="trial_id")
     return rnd(out, BOOT_ROUND)
 
 
