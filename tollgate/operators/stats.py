@@ -67,8 +67,6 @@ def range_summary(df: DataFrame, value: str, by: Sequence[str] = (), prefix: str
     )
 
 
-# Rank buckets in which a resample's draws are first counted.
-RANK_BUCKETS = 64
 # Draws made from one generated row.
 DRAW_CHUNK = 4096
 _WORD = (1 << 32) - 1
@@ -103,20 +101,22 @@ def _drawn_ranks(resamples: DataFrame, seed: int, by: Sequence[str]) -> DataFram
     second = _scrambled(first, "_x").withColumn(
         "_y", F.col("_x").bitwiseXOR(F.shiftright("_s", 28).bitwiseAND(F.lit(_WORD))))
     bits = F.shiftleft(F.col("_x").bitwiseAND(F.lit(_HALF)), 31).bitwiseOR(F.col("_y").bitwiseAND(F.lit(_HALF)))
-    return _scrambled(second, "_y").withColumn("_i", bits % F.col("_n")).drop("_s", "_c", "_j", "_x", "_y")
+    # A generated column: filters on the rank must not pull its arithmetic, many times over, below these projections.
+    drawn = _scrambled(second, "_y").withColumn("_i", F.explode(F.array(bits % F.col("_n"))))
+    return drawn.drop("_s", "_c", "_j", "_x", "_y")
 
 
 def _median_ranks(sizes: DataFrame, by: list[str], seed: int, resamples: int) -> DataFrame:
     """(key, ``_r``, ``_lo``, ``_hi``): ranks of the middle draws of every resample.
 
     Draws are ranks, so no sample value is needed here.  They are counted per
-    rank bucket; the buckets that hold the two middle draws are known from the
+    bucket of sqrt(n) ranks; the buckets that hold the two middle draws are known from the
     running counts, and only their draws are counted rank by rank.
     """
     group = [*by, "_n", "_r"]
     rows = (sizes.select(*by, "_n", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))).alias("_r"))
             .repartition(*[F.col(k) for k in by], F.col("_r")))
-    bucket = F.floor(F.col("_i") * RANK_BUCKETS / F.col("_n"))
+    bucket = F.expr("_i div CAST(ceil(sqrt(_n)) AS BIGINT)")
     running = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     lo, hi = F.expr("(_n - 1) div 2"), F.expr("_n div 2")
     counted = (
