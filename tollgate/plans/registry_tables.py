@@ -24,6 +24,23 @@ from tollgate.sources import files, layout, tables
 from tollgate.sources.adapters import TASK_IDS, raw_trips, table
 from tollgate.streaming import ingest
 
+DATASETS = ("yellow", "green")
+
+
+def _each(fn):
+    """``fn(spark, sf, dataset)`` of both datasets in one frame, told apart by a dataset column."""
+    def query(spark, sf):
+        yellow, green = (fn(spark, sf, d) for d in DATASETS)
+        return yellow.select(F.lit("yellow").alias("dataset"), "*").unionByName(green.select(F.lit("green").alias("dataset"), "*"))
+    return query
+
+
+def _each_sql(body: str) -> str:
+    """``body`` over {silver} of both datasets, told apart by a dataset column."""
+    return oracle.with_silver(" UNION ALL ".join(
+        f"SELECT '{d}' AS dataset, q_{d}.* FROM ({body.format(silver='silver_' + d)}) q_{d}" for d in DATASETS))
+
+
 # ---------------------------------------------------------------------------
 # S6 / S7 / S9 / S10
 # ---------------------------------------------------------------------------
@@ -116,17 +133,17 @@ FROM run_metrics WHERE architecture <> 'onprem' OR duration_seconds >= 5"""))(_r
 # ---------------------------------------------------------------------------
 
 N_FILES = 16
-# (sf_dir, layout) -> rewritten table: the layout queries share one rewrite
+# (sf_dir, layout, dataset) -> rewritten table: the layout queries share one rewrite
 # per process (the rewrite is deterministic for a given input).
-_LAYOUTS: dict[tuple[str, str], str] = {}
+_LAYOUTS: dict[tuple[str, str, str], str] = {}
 
 
-def _rewritten(spark, sf, kind):
-    key = (sf, kind)
+def _rewritten(spark, sf, kind, dataset="yellow"):
+    key = (sf, kind, dataset)
     if key in _LAYOUTS and exists(_LAYOUTS[key]):
         return _LAYOUTS[key]
-    target = work_path(spark, f"layout-{kind}")
-    layout.rewrite_layout(silver(spark, sf, "yellow"), target, SILVER_PARTITION_COLUMNS, kind,
+    target = work_path(spark, f"layout-{kind}-{dataset}")
+    layout.rewrite_layout(silver(spark, sf, dataset), target, SILVER_PARTITION_COLUMNS, kind,
                           n_files=N_FILES, strict=False)
     _LAYOUTS[key] = target
     return target
@@ -148,11 +165,21 @@ register("layout_compact", oracle.with_silver(
     "count(*) AS record_count FROM silver_yellow GROUP BY year, month"))(
     lambda spark, sf: _inventory(spark, _rewritten(spark, sf, "compact")))
 
+register("layout_fragmented_both", _each_sql(
+    f"SELECT year, month, least({N_FILES}, count(*)) AS file_count, CAST(0 AS BIGINT) AS empty_files, "
+    "count(*) AS record_count FROM {silver} GROUP BY year, month"))(
+    _each(lambda spark, sf, d: _inventory(spark, _rewritten(spark, sf, "fragmented", d))))
+
+register("layout_compact_both", _each_sql(
+    "SELECT year, month, CAST(1 AS BIGINT) AS file_count, CAST(0 AS BIGINT) AS empty_files, "
+    "count(*) AS record_count FROM {silver} GROUP BY year, month"))(
+    _each(lambda spark, sf, d: _inventory(spark, _rewritten(spark, sf, "compact", d))))
 
-def _layout_gaps(spark, sf):
-    target = _rewritten(spark, sf, "fragmented")
+
+def _layout_gaps(spark, sf, dataset="yellow"):
+    target = _rewritten(spark, sf, "fragmented", dataset)
     inv = layout.file_inventory(spark, target, SILVER_PARTITION_COLUMNS)
-    rows = marts.row_count(silver(spark, sf, "yellow"), by=["year", "month"])
+    rows = marts.row_count(silver(spark, sf, dataset), by=["year", "month"])
     gaps = layout.layout_gaps(inv, rows, N_FILES, SILVER_PARTITION_COLUMNS)
     return gaps.select(F.col("year").cast("int"), F.col("month").cast("int"), "file_count", "row_count",
                        "expected_files")
@@ -161,26 +188,32 @@ def _layout_gaps(spark, sf):
 register("layout_gaps", oracle.with_silver(
     f"SELECT year, month, count(*) AS file_count, count(*) AS row_count, {N_FILES} AS expected_files "
     f"FROM silver_yellow GROUP BY year, month HAVING count(*) < {N_FILES}"))(_layout_gaps)
+register("layout_gaps_both", _each_sql(
+    f"SELECT year, month, count(*) AS file_count, count(*) AS row_count, {N_FILES} AS expected_files "
+    f"FROM {{silver}} GROUP BY year, month HAVING count(*) < {N_FILES}"))(_each(_layout_gaps))
 
 
-def _layout_totals(spark, sf):
-    inv = layout.file_inventory(spark, _rewritten(spark, sf, "fragmented"), SILVER_PARTITION_COLUMNS)
+def _layout_totals(spark, sf, dataset="yellow"):
+    inv = layout.file_inventory(spark, _rewritten(spark, sf, "fragmented", dataset), SILVER_PARTITION_COLUMNS)
     return layout.layout_totals(inv).drop("total_size")
 
 
 register("layout_totals", oracle.with_silver(
     f"SELECT sum(c) AS record_count, sum(least({N_FILES}, c)) AS file_count "
     "FROM (SELECT count(*) AS c FROM silver_yellow GROUP BY year, month)"))(_layout_totals)
+register("layout_totals_both", _each_sql(
+    f"SELECT sum(c) AS record_count, sum(least({N_FILES}, c)) AS file_count "
+    "FROM (SELECT count(*) AS c FROM {silver} GROUP BY year, month)"))(_each(_layout_totals))
 
 
-def _checksums(spark, sf):
-    target = _rewritten(spark, sf, "compact")
+def _checksums(spark, sf, dataset):
+    target = _rewritten(spark, sf, "compact", dataset)
     recorded = files.relative(files.checksum_manifest(spark, target), target).checkpoint(eager=True)
     observed = files.relative(files.checksum_manifest(spark, target), target)
     return files.compare_manifests(recorded, observed).select("key", "mismatch")
 
 
-register("checksum_manifest")(_checksums)  # paths and digests are engine-specific: rows-only
+register("checksum_manifest")(_each(_checksums))  # paths and digests are engine-specific: rows-only
 
 
 # ---------------------------------------------------------------------------
@@ -195,24 +228,31 @@ def _landed(spark, sf, dataset):
     return base
 
 
-def _landed_scan(spark, sf):
-    base = _landed(spark, sf, "yellow")
+def _landed_scan(spark, sf, dataset="yellow"):
+    base = _landed(spark, sf, dataset)
     raw = files.scan_glob(spark, base, "*.parquet").drop("year", "month")
     from tollgate.operators.normalize import normalize
-    gold = marts.monthly_revenue(normalize(raw, "yellow"), "yellow")
+    gold = marts.monthly_revenue(normalize(raw, dataset), dataset)
     return rnd(gold.drop("processed_at"), GOLD_ROUND)
 
 
 register("landed_scan", GOLD_SQL.replace("FROM silver_all GROUP BY", "FROM silver_all WHERE dataset = 'yellow' GROUP BY"))(
     _landed_scan)
+register("landed_scan_both", GOLD_SQL)(
+    lambda spark, sf: _landed_scan(spark, sf, "yellow").unionByName(_landed_scan(spark, sf, "green")))
 
 _ALL = ["vendor_id", "pickup_ts", "dropoff_ts", "passenger_count", "trip_distance", "rate_code_id",
         "store_and_fwd_flag", "pickup_location_id", "dropoff_location_id", "payment_type", "fare_amount",
         "tip_amount", "tolls_amount", "total_amount", "trip_duration_min", "year", "month"]
 
 
-def _preview(spark, sf):
-    s = silver(spark, sf, "yellow").select(*_ALL)
+#: Columns whose type differs between the datasets, with the wider one.
+_WIDE = {**dict.fromkeys(["vendor_id", "passenger_count", "rate_code_id", "pickup_location_id", "dropoff_location_id",
+                          "payment_type"], "bigint"), "trip_distance": "double", "trip_duration_min": "double"}
+
+
+def _preview(spark, sf, dataset="yellow"):
+    s = silver(spark, sf, dataset).select(*_ALL)
     return marts.preview(s, [F.col("total_amount").desc(), *[F.col(c) for c in _ALL if c != "total_amount"]], 5)
 
 
@@ -220,6 +260,13 @@ register("preview_top_trips", oracle.with_silver(
     f"SELECT {', '.join(_ALL)} FROM silver_yellow ORDER BY total_amount DESC, "
     + ", ".join(c for c in _ALL if c != "total_amount") + " LIMIT 5"))(_preview)
 
+register("preview_top_trips_both", _each_sql(
+    f"SELECT {', '.join(f'CAST({c} AS {_WIDE[c]}) AS {c}' if c in _WIDE else c for c in _ALL)} "
+    "FROM (SELECT * FROM {silver} ORDER BY total_amount DESC, "
+    + ", ".join(c for c in _ALL if c != "total_amount") + " LIMIT 5)"))(
+    _each(lambda spark, sf, d: _preview(spark, sf, d).select(
+        *[F.col(c).cast(_WIDE[c]).alias(c) if c in _WIDE else c for c in _ALL])))
+
 TEMPLATE = """
 SELECT sum(total_amount) AS total_amount,
        avg(trip_distance) AS avg_trip_distance,
@@ -229,9 +276,9 @@ WHERE year >= :min_year
 """
 
 
-def _template(spark, sf):
-    view = "tollgate_silver_yellow_" + work_path(spark, "v").rsplit("-", 1)[-1]
-    out = files.run_template(spark, TEMPLATE, {view: silver(spark, sf, "yellow")},
+def _template(spark, sf, dataset="yellow"):
+    view = f"tollgate_silver_{dataset}_" + work_path(spark, "v").rsplit("-", 1)[-1]
+    out = files.run_template(spark, TEMPLATE, {view: silver(spark, sf, dataset)},
                              {"silver_table": view, "min_year": ADAPTER_MIN_YEAR})
     return rnd(out, {"total_amount": 2, "avg_trip_distance": 6, "avg_trip_duration_min": 6})
 
@@ -240,6 +287,10 @@ register("sql_template_broad_scan", oracle.with_silver(
     "SELECT round(sum(total_amount), 2) AS total_amount, round(avg(trip_distance), 6) AS avg_trip_distance, "
     f"round(avg(trip_duration_min), 6) AS avg_trip_duration_min FROM silver_yellow WHERE year >= {ADAPTER_MIN_YEAR}"))(
     _template)
+register("sql_template_broad_scan_both", _each_sql(
+    "SELECT round(sum(total_amount), 2) AS total_amount, round(avg(trip_distance), 6) AS avg_trip_distance, "
+    f"round(avg(trip_duration_min), 6) AS avg_trip_duration_min FROM {{silver}} WHERE year >= {ADAPTER_MIN_YEAR}"))(
+    _each(_template))
 
 
 # ---------------------------------------------------------------------------
@@ -250,8 +301,8 @@ def _available(spark, sf, dataset="green"):
     return silver(spark, sf, dataset).select("year", "month").distinct()
 
 
-def _calendar(spark, sf):
-    avail = _available(spark, sf)
+def _calendar(spark, sf, dataset="green"):
+    avail = _available(spark, sf, dataset)
     cal = ingest.month_span(avail)
     nxt = ingest.next_partition(F.col("year"), F.col("month"))
     have = avail.withColumn("available", F.lit(True))
@@ -266,6 +317,12 @@ SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
        (year(d), month(d)) IN (SELECT (year, month) FROM silver_green) AS available
 FROM (SELECT unnest(generate_series(min(make_date(year, month, 1)), max(make_date(year, month, 1)), INTERVAL 1 MONTH)) AS d
       FROM silver_green)"""))(_calendar)
+register("partition_calendar_both", _each_sql("""
+SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
+       CAST(year(d + INTERVAL 1 MONTH) AS INTEGER) AS next_year, CAST(month(d + INTERVAL 1 MONTH) AS INTEGER) AS next_month,
+       (year(d), month(d)) IN (SELECT (year, month) FROM {silver}) AS available
+FROM (SELECT unnest(generate_series(min(make_date(year, month, 1)), max(make_date(year, month, 1)), INTERVAL 1 MONTH)) AS d
+      FROM {silver})"""))(_each(_calendar))
 
 
 def _ingest(spark, sf):
@@ -284,10 +341,10 @@ def _ingest(spark, sf):
 register("incremental_ingest", GOLD_SQL)(_ingest)
 
 
-def _rerun(spark, sf):
-    target = work_path(spark, "silver-rerun")
+def _rerun(spark, sf, dataset="green"):
+    target = work_path(spark, f"silver-rerun-{dataset}")
     checkpoint_root(spark)
-    s = silver(spark, sf, "green")
+    s = silver(spark, sf, dataset)
     tables.overwrite_partitions(s, target, SILVER_PARTITION_COLUMNS, order=["pickup_ts"])
     keys = ["year", "month"]
     # Snapshot the counts of run 1 before run 2 overwrites the partitions.
@@ -302,6 +359,9 @@ def _rerun(spark, sf):
 register("rerun_idempotence", oracle.with_silver(
     "SELECT year, month, count(*) AS records_first, count(*) AS records_second, true AS consistent "
     "FROM silver_green GROUP BY year, month"))(_rerun)
+register("rerun_idempotence_both", _each_sql(
+    "SELECT year, month, count(*) AS records_first, count(*) AS records_second, true AS consistent "
+    "FROM {silver} GROUP BY year, month"))(_each(_rerun))
 
 
 # ---------------------------------------------------------------------------
@@ -398,8 +458,8 @@ def _union_sql() -> str:
 register("metric_union", _union_sql())(_metric_union)
 
 
-def _gaps(spark, sf):
-    avail = _available(spark, sf, "yellow")
+def _gaps(spark, sf, dataset="yellow"):
+    avail = _available(spark, sf, dataset)
     return ingest.partition_gaps(ingest.month_span(avail), avail)
 
 
@@ -408,11 +468,16 @@ SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month
 FROM (SELECT unnest(generate_series(min(make_date(year, month, 1)), max(make_date(year, month, 1)), INTERVAL 1 MONTH)) AS d
       FROM silver_yellow)
 WHERE (year(d), month(d)) NOT IN (SELECT (year, month) FROM silver_yellow)"""))(_gaps)
+register("partition_gaps_both", _each_sql("""
+SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month
+FROM (SELECT unnest(generate_series(min(make_date(year, month, 1)), max(make_date(year, month, 1)), INTERVAL 1 MONTH)) AS d
+      FROM {silver})
+WHERE (year(d), month(d)) NOT IN (SELECT (year, month) FROM {silver})"""))(_each(_gaps))
 
 
-def _pruned_scan(spark, sf):
-    target = work_path(spark, "silver-scan")
-    tables.overwrite_partitions(silver(spark, sf, "yellow"), target, SILVER_PARTITION_COLUMNS, order=["pickup_ts"])
+def _pruned_scan(spark, sf, dataset="yellow"):
+    target = work_path(spark, f"silver-scan-{dataset}")
+    tables.overwrite_partitions(silver(spark, sf, dataset), target, SILVER_PARTITION_COLUMNS, order=["pickup_ts"])
     # Literal partition predicates -> PartitionFilters (only 1996 read).
     part = tables.read_partition(spark, target, [(1996, m) for m in range(1, 13)])
     out = marts.financial_aggregate(part, by=["year", "month"]).join(marts.row_count(part, by=["year", "month"]),
@@ -426,3 +491,7 @@ register("pruned_partition_scan", oracle.with_silver("""
 SELECT year, month, count(*) AS row_count, round(sum(total_amount), 2) AS total_amount,
        round(avg(trip_distance), 6) AS avg_trip_distance, round(avg(trip_duration_min), 6) AS avg_trip_duration_min
 FROM silver_yellow WHERE year = 1996 GROUP BY year, month"""))(_pruned_scan)
+register("pruned_partition_scan_both", _each_sql("""
+SELECT year, month, count(*) AS row_count, round(sum(total_amount), 2) AS total_amount,
+       round(avg(trip_distance), 6) AS avg_trip_distance, round(avg(trip_duration_min), 6) AS avg_trip_duration_min
+FROM {silver} WHERE year = 1996 GROUP BY year, month"""))(_each(_pruned_scan))
