@@ -2,8 +2,8 @@
 
 Every text is scanned for credential shapes.  The hash of each value found is
 counted over the whole corpus by distinct owners and repositories: a value
-that many owners carry is a copied example, one that a single owner holds and
-that looks random is treated as live.  Base shapes are always reported; wider
+that a large share of all owners carries is a copied example, one that few hold
+and that looks random is treated as live.  Base shapes are always reported; wider
 shapes are reported only where the ownership count says they are live.
 
 Defined results: a null text is an empty text (no span); repeated rows are
@@ -28,10 +28,15 @@ from tollgate.llm.common import fresh, map_arrow, materialize, with_fields
 #: Kinds in the order in which spans with one start are listed; the first three are the base.
 KINDS = ("assign", "access", "hex", "pem", "url", "github", "slack", "jwt", "generic")
 BASE = 3
-#: An example is a value that at least so many owners carry.
+#: An example is a value that at least so many owners carry, and at least this share of all owners.
 WIDE_OWNERS = 3
+WIDE_SHARE = 0.2
 #: Bits per character below which a value doesn't look random.
 MIN_ENTROPY = 3.0
+#: The same as a share of the most that a value of its length can have; for short values that a key name or fixed prefix announces.
+MIN_SHARE = 0.75
+#: Kinds found behind a key name, a fixed prefix or a user name.
+ANNOUNCED = frozenset(("assign", "access", "pem", "url", "github", "slack", "jwt"))
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                      re.IGNORECASE | re.ASCII)
@@ -53,13 +58,16 @@ _SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("kind"
                       T.StructField("random", T.BooleanType())])
 
 
-def looks_random(value: str) -> bool:
-    """At least two character classes, enough entropy, no placeholder word."""
+def looks_random(value: str, announced: bool = False) -> bool:
+    """Enough entropy, no placeholder word; unless announced, at least two character classes.
+
+    Announced values of few characters need no more than a share of what their length allows."""
     classes = sum(bool(re.search(p, value)) for p in ("[0-9]", "[a-z]", "[A-Z]"))
-    if classes < 2 or _PLACEHOLDER.search(value):
+    if not value or classes < 2 and not announced or _PLACEHOLDER.search(value):
         return False
     n = len(value)
-    return -sum(c / n * math.log2(c / n) for c in Counter(value).values()) >= MIN_ENTROPY
+    least = min(MIN_ENTROPY, max(1.0, MIN_SHARE * math.log2(n))) if announced else MIN_ENTROPY
+    return -sum(c / n * math.log2(c / n) for c in Counter(value).values()) >= least
 
 
 def find_spans(raw: bytes) -> list[tuple[int, int, int, str]]:
@@ -102,7 +110,8 @@ def scan(docs: DataFrame, text: str = "text") -> tuple[DataFrame, str]:
             found = []
             for raw in batch.column(text).cast(pa.binary()).to_pylist():
                 found.append([{"start": s, "kind": k, "end": e,
-                               "hash": hashlib.sha256(v.encode()).hexdigest()[:32], "random": looks_random(v)}
+                               "hash": hashlib.sha256(v.encode()).hexdigest()[:32],
+                               "random": looks_random(v, KINDS[k] in ANNOUNCED)}
                               for s, k, e, v in find_spans(raw or b"")])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, arrow)],
                                              names=[*batch.schema.names, name])
@@ -151,7 +160,9 @@ def secret_report(docs: DataFrame, owner: Column, repo: Column, doc_id: str = "d
 def _verdicts(scanned: DataFrame, wide_owners: int) -> DataFrame:
     one = scanned.where(F.size("_spans") > 0).select("_row", F.col("_owner").alias("owner"), F.col("_repo").alias("repo"),
                                                      F.inline("_spans"))
-    copied = F.col("n_owners") >= wide_owners
+    # A null owner is one owner of its own.
+    owners = scanned.select("_owner").distinct().count()
+    copied = F.col("n_owners") >= max(wide_owners, math.ceil(WIDE_SHARE * owners))
     return (one.join(ownership(one), "hash")
             .groupBy("_row")
             .agg(F.array_sort(F.collect_list(F.struct(
