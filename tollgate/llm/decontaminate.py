@@ -10,8 +10,8 @@ runs as one space.
 Items are the query set and are handled in blocks of bounded size.
 
 Defined results: null and empty texts match nothing; items with fewer than
-``min_chars`` normalized characters are too short to be evidence and match
-nothing; repeated items and repeated documents each get their own rows; ties
+``min_chars`` normalized characters match without edits only, and not where they
+begin or end inside a word; repeated items and repeated documents each get their own rows; ties
 in distance take the leftmost end.
 """
 
@@ -71,15 +71,23 @@ def myers(pattern: str, text: str) -> tuple[int, int]:
     return best, end
 
 
+def at_borders(text: str, start: int, stop: int) -> bool:
+    """Whether ``text[start:stop]`` neither begins nor ends inside a word."""
+    word = lambda c: c.isalnum() or c == "_"
+    return not (start and word(text[start]) and word(text[start - 1])
+                or stop < len(text) and word(text[stop - 1]) and word(text[stop]))
+
+
 class Matcher:
     """Items of one block, compiled once per task."""
 
     def __init__(self, items: list[tuple[int, str]], rate: float = ERROR_RATE, min_chars: int = MIN_CHARS):
-        self.items = [(key, norm) for key, text in items if len(norm := normalize(text)) >= min_chars]
-        self.budgets = [int(len(norm) * rate) for _, norm in self.items]
+        self.items = [(key, norm) for key, text in items if (norm := normalize(text))]
+        self.short = [len(norm) < min_chars for _, norm in self.items]
+        self.budgets = [0 if short else int(len(norm) * rate) for short, (_, norm) in zip(self.short, self.items)]
         places: dict[str, list[tuple[int, int]]] = {}
         for i, (_, norm) in enumerate(self.items):
-            for piece, at in pieces(norm, rate):
+            for piece, at in [(norm, 0)] if self.short[i] else pieces(norm, rate):
                 places.setdefault(piece, []).append((i, at))
         self.automaton = ahocorasick.Automaton()
         for piece, where in places.items():
@@ -94,10 +102,15 @@ class Matcher:
             return []
         text = normalize(text)
         starts: dict[int, list[int]] = {}
+        whole: dict[int, int] = {}
         for end, (length, where) in self.automaton.iter(text):
             for i, at in where:
+                if self.short[i]:
+                    if i not in whole and at_borders(text, end + 1 - length, end + 1):
+                        whole[i] = end + 1
+                    continue
                 starts.setdefault(i, []).append(end + 1 - length - at)
-        out = []
+        out = [(self.items[i][0], 0, 0, stop) for i, stop in whole.items()]
         for i, at in starts.items():
             key, item = self.items[i]
             k, best, stop = self.budgets[i], self.budgets[i] + 1, 0
