@@ -4,9 +4,12 @@ The text blocks of a page are grouped by their root-to-leaf tag path.  Each
 path gets a text ratio (characters per block) and a punctuation ratio (marks
 per block); both are smoothed along the page and fused by multiplication.
 Blocks at or over a threshold taken from their spread name the content; their
-common container then gives all its blocks, headings and short ones included.
-Paths through page furniture (navigation, headers, asides, forms, comments,
-adverts, scripts) never count.
+common container then gives all its blocks, headings and short ones included;
+named blocks outside it are kept too.  Paths through page furniture (navigation,
+headers, asides, forms, comments, adverts, scripts) never count.  A form, or an
+element that only its class or id makes furniture, is a mere wrapper where the
+page has no article or main outside furniture and it holds one, or holds most of
+the text of a page without any.
 
 Defined results: null and empty pages give the empty text; pages without any
 block outside furniture too; unclosed tags end with their container; repeated
@@ -51,33 +54,62 @@ STRENGTH = 0.3
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|"
                     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
 _NAME = re.compile(r"[a-z]+")
 _CLOSE_RAW = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in RAW}
 
 
-def is_furniture(tag: str, attributes: str) -> bool:
-    if tag in FURNITURE:
-        return True
+#: Furniture that may turn out to be a wrapper.
+MAYBE = 2
+
+
+def is_furniture(tag: str, attributes: str) -> int:
+    """0, 1, or MAYBE for forms and for elements that only their class or id makes furniture."""
+    if tag in FURNITURE and tag not in ("form", "fieldset"):
+        return 1
+    found = MAYBE if tag in FURNITURE else 0
     if not attributes or tag in ("body", "html", *MAIN):
-        return False
+        return found
+    if "hidden" in attributes and "hidden" in _QUOTED.sub(" ", attributes).split():
+        return 1
     for name, *values in _ATTRIBUTE.findall(attributes):
         value = next((v for v in values if v), "").lower()
         name = name.lower()
         if name == "role" and value in FURNITURE_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return 1
         if name in ("class", "id") and any(w in FURNITURE_NAMES for w in _NAME.findall(value)):
-            return True
+            found = MAYBE
         if name == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-    return False
+            return 1
+    return found
 
 
 def blocks(page: str) -> list[tuple[tuple[str, ...], tuple[int, ...], str]]:
     """(tag path, element numbers along it, text) of each text block outside furniture, in page order."""
+    wrappers: set[int] = set()
+    while True:
+        out, main, held = _blocks(page, wrappers)
+        if main or not held:
+            return out
+        # No article or main stands outside furniture: look for it, or for most of the text, in the outermost doubtful elements.
+        more = {n for n, (_, has) in held.items() if has}
+        if not more:
+            total = sum(len(text) for _, _, text in out) + sum(size for size, _ in held.values())
+            more = {n for n, (size, _) in held.items() if 2 * size > total}
+        if not more:
+            return out
+        wrappers |= more
+
+
+def _blocks(page: str, wrappers: set[int]):
+    """The blocks outside furniture; whether an article or main stands there; and of each outermost doubtful
+    element that is not in ``wrappers``, by its number: characters of text, and whether it holds an article or main."""
     out: list[tuple[tuple[str, ...], tuple[int, ...], str]] = []
     stack: list[tuple[str, int, bool]] = []
     buffer: list[str] = []
-    number = skipped = 0
+    held: dict[int, list] = {}
+    number = skipped = sure = outer = 0
+    main = False
 
     def flush():
         if buffer:
@@ -87,16 +119,21 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], tuple[int, ...], str]]:
                 out.append((tuple(t for t, _, _ in stack), tuple(n for _, n, _ in stack), text))
 
     def pop():
-        nonlocal skipped
+        nonlocal skipped, sure
         flush()
-        skipped -= stack.pop()[2]
+        kind = stack.pop()[2]
+        skipped -= kind > 0
+        sure -= kind == 1
 
     at = 0
     while True:
         m = _TOKEN.search(page, at)
         stop = m.start() if m else len(page)
-        if stop > at and not skipped:
-            buffer.append(page[at:stop])
+        if stop > at:
+            if not skipped:
+                buffer.append(page[at:stop])
+            elif not sure:
+                held[outer][0] += len(" ".join(page[at:stop].split()))
         if not m:
             break
         at = m.end()
@@ -138,11 +175,22 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], tuple[int, ...], str]]:
             pop()
         number += 1
         furniture = is_furniture(tag, m[3])
+        if furniture == MAYBE and number in wrappers:
+            furniture = 0
         if not m[3].endswith("/"):
+            if furniture == MAYBE and not skipped:
+                outer = number
+                held[outer] = [0, False]
             stack.append((tag, number, furniture))
-            skipped += furniture
+            skipped += furniture > 0
+            sure += furniture == 1
+            if tag in MAIN and not furniture:
+                if not skipped:
+                    main = True
+                elif not sure:
+                    held[outer][1] = True
     flush()
-    return out
+    return out, main, held
 
 
 def path_ratios(found) -> np.ndarray:
@@ -185,7 +233,8 @@ def main_text(page: str | None) -> str:
             for n in numbers[:-1] or numbers:
                 sizes[n] = sizes.get(n, 0) + len(text)
         box = max((n for n, size in sizes.items() if 10 * size >= 9 * total), default=None)
-    keep = [text for _, numbers, text in found if box is None or box in numbers]
+    named = set(chosen.tolist())
+    keep = [text for i, (_, numbers, text) in enumerate(found) if box is None or box in numbers or i in named]
     return "\n\n".join(keep)
 
 
