@@ -41,6 +41,8 @@ PERCENT = 85
 SLOT_BYTES, MIN_SLOTS, MAX_SLOTS, SLOT_BLOCK = 200, 1 << 16, 1 << 23, 1 << 12
 #: Bucket rows up to which all pairs that pass are handed on, and rows of a block.
 SMALL, BLOCK = 12, 2048
+#: A shingle is hot with a part of all postings over one in so many (and more than a block); groups in which hot ones are looked for.
+HOT_PART, HOT_GROUPS = 1024, 1 << 16
 
 
 def shingle_set(raw: bytes, size: int = SHINGLE) -> np.ndarray:
@@ -240,6 +242,28 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
     return map_arrow(rows, link_task, "a long, b long")
 
 
+def hot_sizes(posted: DataFrame) -> DataFrame:
+    """(token, size) of the hot tokens, at most HOT_PART rows.
+
+    Counts are combined before each shuffle: first of HOT_GROUPS groups of tokens, then of the tokens in heavy groups."""
+    group = F.pmod(F.xxhash64("token"), F.lit(HOT_GROUPS))
+    groups = posted.groupBy(group.alias("g")).agg(F.count("*").alias("size")).collect()
+    least = max(BLOCK, sum(r["size"] for r in groups) // HOT_PART)
+    heavy = [r["g"] for r in groups if r["size"] > least]
+    if not heavy:
+        return posted.sparkSession.createDataFrame([], "token long, size long")
+    return materialize(posted.where(group.isin(heavy)).groupBy("token").agg(F.count("*").alias("size")).where(F.col("size") > least), "jaccard-hot")
+
+
+def with_sizes(posted: DataFrame) -> DataFrame:
+    """Postings (token, doc, n, pos) of tokens that at least two rows hold, with ``size``, the rows of the token.
+
+    Hot tokens get theirs from a small table, so no task meets all postings of one."""
+    hot = F.broadcast(hot_sizes(posted))
+    cold = posted.join(hot, "token", "left_anti").withColumn("size", F.count("*").over(Window.partitionBy("token")))
+    return cold.where("size > 1").unionByName(posted.join(hot, "token"))
+
+
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE,
                        percent: int = PERCENT) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest id reachable by links)."""
@@ -250,8 +274,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
                                                    F.min_by(F.struct("n", "prefix", "bits"), "doc_id").alias("s"))
                        .select("class", "rep", "s.*"), "jaccard-classes")
     posted = reps.select(F.posexplode("prefix").alias("pos", "token"), F.col("rep").alias("doc"), "n")
-    posted = posted.withColumn("size", F.count("*").over(Window.partitionBy("token"))).where("size > 1")
-    posted = posted.select("token", "doc", "n", "pos", "size", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    posted = with_sizes(posted).select("token", "doc", "n", "pos", "size", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     posted = posted.withColumn("block", F.pmod(F.xxhash64("doc", "token"), F.col("blocks")).cast("int"))
     bits = reps.select(F.col("rep").alias("doc"), "n", "bits").dropDuplicates(["doc", "n"])
     posted = materialize(posted.join(bits, ["doc", "n"]), "jaccard-buckets")
