@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.llm import (chat, decontaminate, jaccard_join, lattice_lm, line_quality, packing, phrase_dedup, rff_quality,
-                          secrets, tag_paths)
+from tollgate.llm import (chat, decontaminate, dual_tree, jaccard_join, lattice_lm, line_quality, packing, phrase_dedup, rff_quality,
+                          secrets, sharding, tag_paths, whitening)
 from tollgate.llm.common import doc_hash_remainder, read
 from tollgate.session import pin
 
@@ -67,9 +67,22 @@ def op10_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_dedup.remove_repeats(read(spark, sf_dir, "documents"))
 
 
+def op11_dual_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dual_tree.ranked_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_rows(read(spark, sf_dir, "embeddings"))
+
+
+def op13_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_plan(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_decontamination, op2_secrets, op3_lattice_lm, op4_line_quality, op5_rff_quality, op6_packing,
-                                    op7_jaccard_join, op8_tag_paths, op9_chat_windows, op10_phrase_dedup)}
+                                    op7_jaccard_join, op8_tag_paths, op9_chat_windows, op10_phrase_dedup, op11_dual_tree_search, op12_whitening,
+                                    op13_interleave)}
 
 
 #: Windows of 13 words, their smallest document, and the words that windows of larger ones cover.
@@ -87,5 +100,21 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(kep
 FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id"""
 
 
+#: Every document of every item, scored and ranked (integers beyond the logarithm).
+SEARCH_SQL = """
+WITH lowered AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+term AS (SELECT doc_id, unnest(regexp_extract_all(t, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM lowered),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM term GROUP BY ALL),
+size AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+total AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM size),
+asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                             '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+weight AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * max(big_n) + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w FROM tf, total GROUP BY term),
+scored AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * big_n) // big_l)))) AS BIGINT) AS score
+           FROM asked JOIN weight USING (term) JOIN tf USING (term) JOIN size USING (doc_id), total GROUP BY item_id, doc_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_phrase_dedup": PHRASE_SQL}
+    return {"op10_phrase_dedup": PHRASE_SQL, "op11_dual_tree_search": SEARCH_SQL}
