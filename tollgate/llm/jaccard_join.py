@@ -5,12 +5,15 @@ for it.  Shingles are ordered rare first by counts over all documents, kept in
 a table of fixed size (hashed counters), ties by hash.  A document's prefix is
 its first ``n - ceil(t n) + 1`` shingles in that order; similar sets share one.
 Documents meet in the buckets of prefix shingles that at least two classes
-hold, and pass three filters there: length, position (shingles left after the
-match), and suffix (a lower bound of the symmetric difference from parity bits
-of the sets).  Pairs that pass are verified on whole texts, once each.
-
-Groups: a small bucket hands on all pairs that pass; a large one only a forest
-that spans them, which is verified and merged into components.  Afterwards
+hold, and pass three filters: length, position (shingles left after the match),
+and suffix (a lower bound of the symmetric difference from parity bits of the
+sets).  Postings are bare; the bits are as long as the set and go to a pair's two
+documents once, or to the few postings of large buckets.  Pairs that pass are
+verified on whole texts, once each.
+
+Groups: a small bucket hands on all pairs that pass its two filters, for the
+suffix filter; a large one applies all three and hands on
+only a forest that spans them, which is verified and merged into components.  Afterwards
 large buckets are looked through again for pairs that pass and lie in
 different components, and these are verified too, so no link between
 components is lost and no group is written out as all its pairs.  Buckets are
@@ -32,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import map_arrow, materialize, mix, text_bytes, values, window_hashes, word_hashes
+from tollgate.llm.common import fresh, map_arrow, materialize, mix, text_bytes, values, window_hashes, word_hashes
 from tollgate.llm.components import components
 
 SHINGLE = 4
@@ -145,21 +148,27 @@ def prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return map_arrow(docs, task, "doc_id long, class binary, n long, prefix array<long>, bits binary")
 
 
-def passing(n: np.ndarray, pos: np.ndarray, bits: list[np.ndarray], i: int, others: np.ndarray, percent: int) -> np.ndarray:
-    """Those of ``others`` that pass the length, position and suffix filters with row ``i``."""
+def apart(x: np.ndarray, y: np.ndarray) -> int:
+    """A lower bound of the symmetric difference of two sets, from their parity bits."""
+    size = min(len(x), len(y))
+    return int(np.bitwise_count(fold(x, size) ^ fold(y, size)).sum(dtype=np.int64))
+
+
+def passing(n: np.ndarray, pos: np.ndarray, bits: list[np.ndarray] | None, i: int, others: np.ndarray, percent: int) -> np.ndarray:
+    """Those of ``others`` that pass the length and position filters with row ``i``, and with bits the suffix filter."""
     m = n[others]
     ok = 100 * np.minimum(m, n[i]) >= percent * np.maximum(m, n[i])
     need = least_overlap(m, n[i], percent)
     ok &= 1 + np.minimum(m - pos[others], n[i] - pos[i]) - 1 >= need
     at = np.flatnonzero(ok)
-    if not len(at):
-        return others[:0]
+    if not len(at) or bits is None:
+        return others[at]
     width = len(bits[i])
     size = min(width, *(len(bits[j]) for j in others[at])) if len(at) else width
     mine = fold(bits[i], size)
     theirs = np.stack([fold(bits[j], size) for j in others[at]])
-    apart = np.bitwise_count(theirs ^ mine).sum(1, dtype=np.int64)
-    return others[at[apart <= m[at] + n[i] - 2 * need[at]]]
+    differ = np.bitwise_count(theirs ^ mine).sum(1, dtype=np.int64)
+    return others[at[differ <= m[at] + n[i] - 2 * need[at]]]
 
 
 def bucket_pairs(rows: list[tuple], percent: int, forest: bool) -> list[tuple[int, int]]:
@@ -169,7 +178,7 @@ def bucket_pairs(rows: list[tuple], percent: int, forest: bool) -> list[tuple[in
     rows.sort(key=lambda r: (r[1], r[0]))
     ids = [r[0] for r in rows]
     n, pos = np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64)
-    bits = [np.frombuffer(r[3], np.uint8) for r in rows]
+    bits = None if rows[0][3] is None else [np.frombuffer(r[3], np.uint8) for r in rows]
     side = np.array([r[4] for r in rows], np.int64)
     group = np.array([r[5] for r in rows], np.int64)
     root = np.arange(len(rows))
@@ -217,6 +226,19 @@ def candidate_pairs(buckets: DataFrame, percent: int, spare: bool) -> DataFrame:
     return map_arrow(dealt, task, "a long, b long").distinct()
 
 
+def suffix_passing(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that pass the suffix filter; ``bits`` has doc, n, bits (an id with several texts several times)."""
+    def task(batches):
+        for batch in batches:
+            keep = []
+            for nx, x, ny, y in zip(*(values(batch.column(c)) for c in ("nx", "x", "ny", "y"))):
+                keep.append(apart(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)) <= nx + ny - 2 * least_overlap(nx, ny, percent))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    rows = (pairs.join(bits.toDF("a", "nx", "x"), "a").join(bits.toDF("b", "ny", "y"), "b").select("a", "b", "nx", "x", "ny", "y"))
+    return map_arrow(rows, task, "a long, b long")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets link, with ``links``."""
     involved = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
@@ -276,15 +298,17 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     posted = reps.select(F.posexplode("prefix").alias("pos", "token"), F.col("rep").alias("doc"), "n")
     posted = with_sizes(posted).select("token", "doc", "n", "pos", "size", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     posted = posted.withColumn("block", F.pmod(F.xxhash64("doc", "token"), F.col("blocks")).cast("int"))
-    bits = reps.select(F.col("rep").alias("doc"), "n", "bits").dropDuplicates(["doc", "n"])
-    posted = materialize(posted.join(bits, ["doc", "n"]), "jaccard-buckets")
-    none = F.lit(-1).cast("long")
-    first = materialize(candidate_pairs(posted.select("token", F.col("block").alias("part"), "doc", "n", "pos", "bits", F.lit(0).alias("side"),
-                                                      none.alias("grp")), percent, True), "jaccard-pairs")
+    posted = materialize(posted, "jaccard-buckets")
+    bits = reps.select(F.col("rep").alias("doc"), "n", "bits")
+    bucket = ["token", F.col("block").alias("part"), "doc", "n", "pos", "bits", F.lit(0).alias("side"), F.lit(-1).cast("long").alias("grp")]
+    bare = posted.where(F.col("size") <= SMALL).withColumn("bits", F.lit(None).cast("binary"))
+    large = materialize(posted.where(F.col("size") > SMALL).join(bits, ["doc", "n"]), "jaccard-large")
+    near = suffix_passing(candidate_pairs(bare.select(*bucket), percent, True), bits, percent)
+    first = materialize(near.unionByName(candidate_pairs(large.select(*bucket), percent, True)).distinct(), "jaccard-pairs")
     links = materialize(verified(first, slim, size, percent), "jaccard-links")
     roots = components(links)
     # Second look at large buckets: pairs that pass between different components.
-    large = (posted.where(F.col("size") > SMALL)
+    large = (large
              .join(roots.withColumnsRenamed({"node": "doc", "root": "grp"}), "doc", "left")
              .withColumn("grp", F.coalesce("grp", "doc")))
     mixed = large.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo < hi").select("token")
@@ -305,6 +329,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without the documents that link to a smaller one; columns stay."""
+    name = fresh(docs, "gone")
     gone = (jaccard_components(docs, doc_id, text, size, percent).where("component_id <> doc_id")
-            .select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(gone, F.col(doc_id).cast("long") == F.col("_gone"), "left_anti")
+            .select(F.col("doc_id").alias(name)).distinct())
+    return docs.join(gone, F.col(doc_id).cast("long") == F.col(name), "left_anti")

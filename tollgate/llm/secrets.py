@@ -1,21 +1,26 @@
 """Secret scans: corpus-wide ownership frequency of candidate values.
 
 Every text is scanned for credential shapes.  The hash of each value found is
-counted over the whole corpus by distinct owners and repositories: a value
-that a large share of all owners carries is a copied example, one that few hold
-and that looks random is treated as live.  Base shapes are always reported; wider
+counted over the whole corpus by distinct owners and repositories: a value that a
+large share of all owners, or several owners and a large share of all
+repositories, carry is a copied example; one that few hold and that looks random
+is treated as live, with less asked of a value that a single owner keeps in
+several repositories.  Base shapes are always reported; wider
 shapes are reported only where the ownership count says they are live.
 
 Defined results: a null text is an empty text (no span); repeated rows are
-scanned row by row; a null owner or repository counts as one owner of its own;
+scanned row by row; a null owner or repository counts as one of its own; long
+runs of one character class cost linear time; an empty table gives no rows;
 extra columns are kept untouched and never clash with the operator's.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
+import string
 from collections import Counter
 
 import pyarrow as pa
@@ -23,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tollgate.llm.common import fresh, map_arrow, materialize, with_fields
+from tollgate.llm.common import fresh, materialize
 
 #: Kinds in the order in which spans with one start are listed; the first three are the base.
 KINDS = ("assign", "access", "hex", "pem", "url", "github", "slack", "jwt", "generic")
@@ -45,17 +50,22 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 _WIDE = {
     "pem": (b"-----BEGIN", re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]*(?:-----END [A-Z ]*PRIVATE KEY-----)?")),
-    "url": (b"://", re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://[^\s/:@]+:([^\s/:@]+)@")),
     "github": (b"gh", re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}")),
     "slack": (b"xox", re.compile(r"xox[abprs]-[A-Za-z0-9-]{10,}")),
-    "jwt": (b"eyJ", re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*")),
+    "jwt": (b"eyJ", re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*")),
 }
+_LOGIN, _SCHEME = re.compile(r"[^\s/:@]+:([^\s/:@]+)@"), string.ascii_letters + string.digits + "+.-"
 _GENERIC = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,}")
 _PLACEHOLDER = re.compile(r"example|sample|changeme|placeholder|your[_-]?|dummy|xxxx|\*\*\*|<|1234567", re.IGNORECASE)
 
+#: Every text with a span matches this (Java regular expression).
+_HINT = ("(?i:passw|secret|token|api_?key)|AKIA|-----BEGIN|://|gh[pousr]_|xox[abprs]-|eyJ|[A-Za-z0-9+/_=-]{20}")
+
 _SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("kind", T.IntegerType()),
                       T.StructField("end", T.LongType()), T.StructField("hash", T.StringType()),
-                      T.StructField("random", T.BooleanType())])
+                      T.StructField("random", T.BooleanType()), T.StructField("likely", T.BooleanType())])
+_ARROW = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64()),
+                             ("hash", pa.string()), ("random", pa.bool_()), ("likely", pa.bool_())]))
 
 
 def looks_random(value: str, announced: bool = False) -> bool:
@@ -70,10 +80,28 @@ def looks_random(value: str, announced: bool = False) -> bool:
     return -sum(c / n * math.log2(c / n) for c in Counter(value).values()) >= least
 
 
+def url_spans(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, password) of each scheme://user:password@, leftmost and non-overlapping.
+
+    Found from each "://" outwards, so a text without one costs one search and long runs are read once."""
+    out, done, at = [], 0, text.find("://")
+    while at >= 0:
+        head = text[done:at]
+        scheme = head[len(head.rstrip(_SCHEME)):]
+        first = next((i for i, c in enumerate(scheme) if c in string.ascii_letters), None)
+        m = _LOGIN.match(text, at + 3) if first is not None else None
+        done = at + 3
+        if m:
+            out.append((at - len(scheme) + first, m.end(), m[1]))
+            done = m.end()
+        at = text.find("://", done)
+    return out
+
+
 def find_spans(raw: bytes) -> list[tuple[int, int, int, str]]:
     """(start, kind, end, value) of a whole text, by start then kind; code points, end exclusive.
 
-    Wide spans that touch a base span or an earlier wide span are left out."""
+    Wide spans that touch a base span or an earlier wide span are left out.  Linear in the text."""
     low = raw.lower()
     want_assign = any(h in low for h in _ASSIGN_HINTS)
     text = raw.decode("utf-8", "replace")
@@ -87,36 +115,42 @@ def find_spans(raw: bytes) -> list[tuple[int, int, int, str]]:
     for kind, (hint, pattern) in _WIDE.items():
         if hint in raw:
             wide += [(m.start(), KINDS.index(kind), m.end(), m[m.lastindex or 0]) for m in pattern.finditer(text)]
+    if b"://" in raw:
+        wide += [(start, KINDS.index("url"), end, value) for start, end, value in url_spans(text)]
     if any(len(w) >= 20 for w in raw.split()):
         wide += [(m.start(), KINDS.index("generic"), m.end(), m[0]) for m in _GENERIC.finditer(text)]
     if wide:
-        taken = [(s, e) for s, _, e, _ in out]
+        base: list[list[int]] = []  # merged, so both their starts and their ends rise
+        for s, e in sorted((s, e) for s, _, e, _ in out):
+            if base and s < base[-1][1]:
+                base[-1][1] = max(base[-1][1], e)
+            else:
+                base.append([s, e])
+        starts, last = [s for s, _ in base], 0
         for span in sorted(wide):
-            if all(span[2] <= s or span[0] >= e for s, e in taken):
-                taken.append((span[0], span[2]))
+            before = bisect.bisect_left(starts, span[2]) - 1
+            if span[0] >= last and (before < 0 or base[before][1] <= span[0]):
+                last = span[2]
                 out.append(span)
     return sorted(out)
 
 
-def scan(docs: DataFrame, text: str = "text") -> tuple[DataFrame, str]:
-    """``docs`` with an array column of candidate spans; returns the frame and that column's name."""
-    name = fresh(docs, "secret_spans")
-    schema = with_fields(docs.schema, (name, T.ArrayType(_SPAN)))
-    arrow = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64()),
-                                ("hash", pa.string()), ("random", pa.bool_())]))
+@F.arrow_udf(T.ArrayType(_SPAN))
+def candidate_spans(texts: pa.Array) -> pa.Array:
+    """The spans of each text; only the texts go through Python, not the rows."""
+    return pa.array([[{"start": s, "kind": k, "end": e, "hash": hashlib.sha256(v.encode()).hexdigest()[:32],
+                       "random": looks_random(v, KINDS[k] in ANNOUNCED), "likely": looks_random(v, True)}
+                      for s, k, e, v in (find_spans(raw) if raw else ())] for raw in texts.cast(pa.binary()).to_pylist()], _ARROW)
 
-    def task(batches):
-        for batch in batches:
-            found = []
-            for raw in batch.column(text).cast(pa.binary()).to_pylist():
-                found.append([{"start": s, "kind": k, "end": e,
-                               "hash": hashlib.sha256(v.encode()).hexdigest()[:32],
-                               "random": looks_random(v, KINDS[k] in ANNOUNCED)}
-                              for s, k, e, v in find_spans(raw or b"")])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, arrow)],
-                                             names=[*batch.schema.names, name])
 
-    return map_arrow(docs, task, schema), name
+def may_hold(text: Column) -> Column:
+    """False only for texts without any candidate (a JVM test that spares them the way through Python)."""
+    return F.coalesce(text.rlike(_HINT), F.lit(False))
+
+
+def text_key(text: Column) -> Column:
+    """128 bits that stand for a text; what is found in a text depends on it alone."""
+    return F.struct(F.xxhash64(F.lit(1), text).alias("a"), F.xxhash64(F.lit(2), text).alias("b"))
 
 
 def ownership(spans: DataFrame) -> DataFrame:
@@ -124,11 +158,23 @@ def ownership(spans: DataFrame) -> DataFrame:
 
     Distinct (hash, owner, repo) rows are combined before each shuffle, so a
     value in a third of all documents costs a few rows per task."""
-    owners = (spans.groupBy("hash", "owner").agg(F.count("*").alias("n"))
-              .groupBy("hash").agg(F.count("*").alias("n_owners")))
-    repos = (spans.groupBy("hash", "owner", "repo").agg(F.count("*").alias("n"))
-             .groupBy("hash").agg(F.count("*").alias("n_repos"), F.sum("n").alias("n_seen")))
-    return owners.join(repos, "hash")
+    return (spans.groupBy("hash", "owner", "repo").agg(F.lit(1).alias("one"))
+            .groupBy("hash", "owner").agg(F.count("*").alias("repos"))
+            .groupBy("hash").agg(F.count("*").alias("n_owners"), F.sum("repos").alias("n_repos")))
+
+
+def judged(spans: DataFrame, owners: int, repos: int, wide_owners: int = WIDE_OWNERS) -> DataFrame:
+    """``spans`` (with hash, owner, repo, random, likely) and two verdicts, ``live`` and ``copied``.
+
+    ``owners`` and ``repos`` are those of the whole corpus.  A value is a copied example if at
+    least ``wide_owners`` owners and a share ``WIDE_SHARE`` of all of them carry it, or several
+    owners and that share of all repositories.  Other values are live if they look random; a value
+    that one owner alone keeps in several repositories needs no more than an announced one."""
+    share = lambda n: max(wide_owners, math.ceil(WIDE_SHARE * n))
+    copied = (F.col("n_owners") >= share(owners)) | (F.col("n_owners") > 1) & (F.col("n_repos") >= share(repos))
+    own = (F.col("n_owners") == 1) & (F.col("n_repos") > 1)
+    return (spans.join(ownership(spans), "hash")
+            .withColumns({"live": ~copied & (F.col("random") | own & F.col("likely")), "copied": copied}).drop("n_owners", "n_repos"))
 
 
 def _span_text(spans: Column) -> Column:
@@ -137,36 +183,53 @@ def _span_text(spans: Column) -> Column:
         ":", F.get(kinds, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _owners_and_repos(rows: DataFrame) -> tuple[int, int]:
+    """Numbers of distinct owners and of (owner, repo) in rows (owner, repo); null counts as one of its own."""
+    pairs = rows.groupBy("owner", "repo").agg(F.lit(1).alias("one")).groupBy("owner").agg(F.count("*").alias("n"))
+    r = pairs.agg(F.count("*").alias("owners"), F.sum("n").alias("repos")).first()
+    return r["owners"], r["repos"] or 0
+
+
 def secret_report(docs: DataFrame, owner: Column, repo: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: base counts and digest, all spans kept by the method, live and copied counts."""
-    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), owner.alias("o"), repo.alias("r"))
-    found, name = scan(slim)
-    scanned = materialize(found.select("doc_id", F.col("o").alias("_owner"), F.col("r").alias("_repo"),
-                                       F.col(name).alias("_spans"))
-                          .withColumn("_row", F.monotonically_increasing_id()), "secret-spans")
-    verdicts = _verdicts(scanned, WIDE_OWNERS)
-    base = F.filter("_spans", lambda s: s["kind"] < BASE)
-    count = lambda k: F.size(F.filter("_spans", lambda s: s["kind"] == k)).cast("long")
-    judged = F.coalesce("_judged", F.array().cast(verdicts.schema["_judged"].dataType))
-    kept = F.filter(judged, lambda s: (s["kind"] < BASE) | s["live"])
-    return (scanned.join(verdicts, "_row", "left")
+    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), owner.alias("owner"), repo.alias("repo"))
+    found = slim.select("doc_id", "owner", "repo", F.when(may_hold(F.col("text")), F.col("text")).alias("text"))
+    scanned = materialize(found.select("doc_id", "owner", "repo", candidate_spans("text").alias("spans"))
+                          .withColumn("row", F.monotonically_increasing_id()), "secret-spans")
+    one = scanned.where(F.size("spans") > 0).select("row", "owner", "repo", F.inline("spans"))
+    verdicts = judged(one, *_owners_and_repos(scanned)).groupBy("row").agg(
+        F.array_sort(F.collect_list(F.struct("start", "kind", "end", "live", "copied"))).alias("judged"))
+    base = F.filter("spans", lambda s: s["kind"] < BASE)
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
+    all_judged = F.coalesce("judged", F.array().cast(verdicts.schema["judged"].dataType))
+    kept = F.filter(all_judged, lambda s: (s["kind"] < BASE) | s["live"])
+    return (scanned.join(verdicts, "row", "left")
             .select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
                     F.sha2(_span_text(base).cast("binary"), 256).alias("base_sha256"),
                     _span_text(kept).alias("spans"),
-                    F.size(F.filter(judged, lambda s: s["live"])).cast("long").alias("n_live"),
-                    F.size(F.filter(judged, lambda s: s["copied"])).cast("long").alias("n_copied")))
-
-
-def _verdicts(scanned: DataFrame, wide_owners: int) -> DataFrame:
-    one = scanned.where(F.size("_spans") > 0).select("_row", F.col("_owner").alias("owner"), F.col("_repo").alias("repo"),
-                                                     F.inline("_spans"))
-    # A null owner is one owner of its own.
-    owners = scanned.select("_owner").distinct().count()
-    copied = F.col("n_owners") >= max(wide_owners, math.ceil(WIDE_SHARE * owners))
-    return (one.join(ownership(one), "hash")
-            .groupBy("_row")
-            .agg(F.array_sort(F.collect_list(F.struct(
-                "start", "kind", "end", (F.col("random") & ~copied).alias("live"), copied.alias("copied")))).alias("_judged")))
+                    F.size(F.filter(all_judged, lambda s: s["live"])).cast("long").alias("n_live"),
+                    F.size(F.filter(all_judged, lambda s: s["copied"])).cast("long").alias("n_copied")))
+
+
+def masker(mask: str):
+    @F.arrow_udf(T.StringType())
+    def masked(texts: pa.Array, spans: pa.Array) -> pa.Array:
+        out = []
+        for value, live in zip(texts.to_pylist(), spans.to_pylist()):
+            if value and live:
+                parts, at = [], 0
+                for s in live:
+                    start, end = s.values()
+                    if end <= at:
+                        continue
+                    if start >= at:
+                        parts += [value[at:start], mask]
+                    at = max(at, end)
+                value = "".join([*parts, value[at:]])
+            out.append(value)
+        return pa.array(out, pa.string())
+
+    return masked
 
 
 def redact(docs: DataFrame, owner: Column, repo: Column, text: str = "text", mask: str = "[SECRET]",
@@ -174,33 +237,18 @@ def redact(docs: DataFrame, owner: Column, repo: Column, text: str = "text", mas
     """``docs`` with every live span of ``text`` replaced by ``mask``; rows and columns stay.
 
     Overlapping live spans are masked as one.  Copied examples and values that
-    don't look random stay as they are."""
-    found, name = scan(docs.withColumns({"_owner": owner, "_repo": repo}), text)
-    scanned = materialize(found.withColumnRenamed(name, "_spans")
-                          .withColumn("_row", F.monotonically_increasing_id()), "secret-redact")
-    live = F.filter("_judged", lambda s: s["live"])
-    # Only rows with candidates carry their text through the join.
-    hit = scanned.where(F.size("_spans") > 0).join(
-        _verdicts(scanned, wide_owners).select("_row", F.transform(live, lambda s: F.struct(s["start"], s["end"])).alias("_live")), "_row")
-    schema = docs.schema
-
-    def task(batches):
-        for batch in batches:
-            out = []
-            for value, spans in zip(batch.column(text).to_pylist(), batch.column("_live").to_pylist()):
-                if value and spans:
-                    parts, at = [], 0
-                    for s in spans:
-                        start, end = s.values()
-                        if end <= at:
-                            continue
-                        if start >= at:
-                            parts += [value[at:start], mask]
-                        at = max(at, end)
-                    value = "".join([*parts, value[at:]])
-                out.append(value)
-            columns = [pa.array(out, pa.string()) if n == text else batch.column(n) for n in schema.names]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-    masked = map_arrow(hit.select(*docs.columns, "_live"), task, schema)
-    return scanned.where(F.size("_spans") == 0).select(*docs.columns).unionByName(masked)
+    don't look random stay as they are.  Rows whose text can't hold a candidate
+    never move.  Of the others, the scan gives spans by text key, and only rows
+    with live spans send their text to Python again."""
+    body = F.col(text)
+    hit = docs.where(may_hold(body))
+    scanned = materialize(hit.select(text_key(body).alias("key"), owner.alias("owner"), repo.alias("repo"), candidate_spans(body).alias("spans"))
+                          .where(F.size("spans") > 0).select("key", "owner", "repo", F.inline("spans")).distinct(), "secret-redact")
+    verdicts = judged(scanned, *_owners_and_repos(docs.select(owner.alias("owner"), repo.alias("repo"))), wide_owners)
+    key, live = fresh(docs, "key"), fresh(docs, "live")
+    spans = (verdicts.where("live").select("key", "start", "end").distinct()
+             .groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(live)).withColumnRenamed("key", key))
+    cut = F.when(F.col(live).isNotNull(), body)
+    masked = (hit.withColumn(key, text_key(body)).join(spans, key, "left")
+              .withColumn(text, F.when(F.col(live).isNotNull(), masker(mask)(cut, F.col(live))).otherwise(body)))
+    return docs.where(~may_hold(body)).unionByName(masked.select(*docs.columns))
