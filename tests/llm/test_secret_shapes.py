@@ -33,17 +33,6 @@ def test_long_texts_are_linear(text):
             ends = e
 
 
-def test_hint_admits_every_span(spark):
-    rng = random.Random(6)
-    parts = ["token", "= ", "ApI_kEy:", "abcd1234EFGH", "AKIA", "ABCDEFGH12345678", "0123456789abcdef", "://u:pw@", "http", "ghp_", "xoxb-1234567890", "eyJabcdefgh", ".abcdefgh",
-             " ", "\n", "-----BEGIN PRIVATE KEY-----", "é", "z" * 19, "q7" * 9]
-    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 8))) for _ in range(3000)] + ["s" * 19 + "1", "s" * 18 + "1"]
-    df = spark.createDataFrame([(t,) for t in texts], "t string")
-    for r in df.select("t", secrets.may_hold(F.col("t")).alias("may")).collect():
-        assert r["may"] or not secrets.find_spans(r["t"].encode()), r["t"]
-    assert not spark.createDataFrame([(None,)], "t string").select(secrets.may_hold(F.col("t"))).first()[0]
-
-
 def test_verdicts_count_owners_and_repositories(spark):
     key = {k: f"qwrtzplkjhgfdsxcvb{k}mn7" for k in "abcd"}
     rows = [(i, "plain", f"o{i % 10}", f"o{i % 10}/r{i % 20}") for i in range(40)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -33,8 +34,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     checkpoint_root(spark)
 
 
+#: Rows of an Arrow batch: whole texts are long, and each batch is held in the JVM and in Python.
+BATCH_ROWS = 1024
+_ROWS_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keeps the session's Arrow batches at BATCH_ROWS rows or fewer."""
+    if not 0 < int(spark.conf.get(_ROWS_CONF)) <= BATCH_ROWS:
+        spark.conf.set(_ROWS_CONF, str(BATCH_ROWS))
+
+
+def release_memory() -> None:
+    """Gives freed memory back to the system: workers are used again by later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+    bounded_batches(df.sparkSession)
+
+    def task(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            release_memory()
+
+    return df.mapInArrow(task, schema)
 
 
 def fresh(df: DataFrame, name: str) -> str:

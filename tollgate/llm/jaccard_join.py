@@ -11,10 +11,10 @@ sets).  Postings are bare; the bits are as long as the set and go to a pair's tw
 documents once, or to the few postings of large buckets.  Pairs that pass are
 verified on whole texts, once each.
 
-Groups: a small bucket hands on all pairs that pass its two filters, for the
-suffix filter; a large one applies all three and hands on
-only a forest that spans them, which is verified and merged into components.  Afterwards
-large buckets are looked through again for pairs that pass and lie in
+Groups: a small bucket is joined with itself and hands on all pairs that pass
+length and position, for the suffix filter; a large one applies all three and
+hands on only a forest that spans the pairs that pass, which is verified and
+merged into components.  Afterwards large buckets are looked through again for pairs that pass and lie in
 different components, and these are verified too, so no link between
 components is lost and no group is written out as all its pairs.  Buckets are
 split into blocks of bounded size, second time as pairs of blocks.
@@ -154,15 +154,15 @@ def apart(x: np.ndarray, y: np.ndarray) -> int:
     return int(np.bitwise_count(fold(x, size) ^ fold(y, size)).sum(dtype=np.int64))
 
 
-def passing(n: np.ndarray, pos: np.ndarray, bits: list[np.ndarray] | None, i: int, others: np.ndarray, percent: int) -> np.ndarray:
-    """Those of ``others`` that pass the length and position filters with row ``i``, and with bits the suffix filter."""
+def passing(n: np.ndarray, pos: np.ndarray, bits: list[np.ndarray], i: int, others: np.ndarray, percent: int) -> np.ndarray:
+    """Those of ``others`` that pass the length, position and suffix filters with row ``i``."""
     m = n[others]
     ok = 100 * np.minimum(m, n[i]) >= percent * np.maximum(m, n[i])
     need = least_overlap(m, n[i], percent)
     ok &= 1 + np.minimum(m - pos[others], n[i] - pos[i]) - 1 >= need
     at = np.flatnonzero(ok)
-    if not len(at) or bits is None:
-        return others[at]
+    if not len(at):
+        return others[:0]
     width = len(bits[i])
     size = min(width, *(len(bits[j]) for j in others[at])) if len(at) else width
     mine = fold(bits[i], size)
@@ -178,7 +178,7 @@ def bucket_pairs(rows: list[tuple], percent: int, forest: bool) -> list[tuple[in
     rows.sort(key=lambda r: (r[1], r[0]))
     ids = [r[0] for r in rows]
     n, pos = np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64)
-    bits = None if rows[0][3] is None else [np.frombuffer(r[3], np.uint8) for r in rows]
+    bits = [np.frombuffer(r[3], np.uint8) for r in rows]
     side = np.array([r[4] for r in rows], np.int64)
     group = np.array([r[5] for r in rows], np.int64)
     root = np.arange(len(rows))
@@ -226,6 +226,14 @@ def candidate_pairs(buckets: DataFrame, percent: int, spare: bool) -> DataFrame:
     return map_arrow(dealt, task, "a long, b long").distinct()
 
 
+def small_bucket_pairs(posted: DataFrame, percent: int) -> DataFrame:
+    """Distinct (a, b) that pass the length and position filters in buckets of at most SMALL rows (token, doc, n, pos)."""
+    pairs = posted.toDF("token", "a", "na", "pa").join(posted.toDF("token", "b", "nb", "pb"), "token")
+    need = F.ceil(percent * (F.col("na") + F.col("nb")) / F.lit(100 + percent))
+    return pairs.where((F.col("a") < F.col("b")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+                       & (F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= need)).select("a", "b").distinct()
+
+
 def suffix_passing(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that pass the suffix filter; ``bits`` has doc, n, bits (an id with several texts several times)."""
     def task(batches):
@@ -301,9 +309,9 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     posted = materialize(posted, "jaccard-buckets")
     bits = reps.select(F.col("rep").alias("doc"), "n", "bits")
     bucket = ["token", F.col("block").alias("part"), "doc", "n", "pos", "bits", F.lit(0).alias("side"), F.lit(-1).cast("long").alias("grp")]
-    bare = posted.where(F.col("size") <= SMALL).withColumn("bits", F.lit(None).cast("binary"))
+    bare = posted.where(F.col("size") <= SMALL).select("token", "doc", "n", "pos")
     large = materialize(posted.where(F.col("size") > SMALL).join(bits, ["doc", "n"]), "jaccard-large")
-    near = suffix_passing(candidate_pairs(bare.select(*bucket), percent, True), bits, percent)
+    near = suffix_passing(small_bucket_pairs(bare, percent), bits, percent)
     first = materialize(near.unionByName(candidate_pairs(large.select(*bucket), percent, True)).distinct(), "jaccard-pairs")
     links = materialize(verified(first, slim, size, percent), "jaccard-links")
     roots = components(links)

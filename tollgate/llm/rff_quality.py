@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tollgate.llm.common import map_arrow, materialize, text_bytes, with_fields
+from tollgate.llm.common import bounded_batches, map_arrow, materialize, release_memory, text_bytes, with_fields
 
 FEATURES = 300
 RIDGE = 0.1
@@ -228,6 +228,8 @@ def keep_good(docs: DataFrame, model: Model, text: str = "text", threshold: floa
     @F.arrow_udf(T.DoubleType())
     def scored(texts: pa.Array) -> pa.Array:
         x = [statistics(raw) for raw in text_bytes(texts)]
+        release_memory()
         return pa.array(model.score(np.array(x)) if x else np.zeros(0))
 
+    bounded_batches(docs.sparkSession)
     return docs.where(scored(F.col(text)) >= threshold)

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tollgate.llm.common import fresh, materialize
+from tollgate.llm.common import bounded_batches, fresh, materialize, release_memory
 
 #: Kinds in the order in which spans with one start are listed; the first three are the base.
 KINDS = ("assign", "access", "hex", "pem", "url", "github", "slack", "jwt", "generic")
@@ -58,9 +58,6 @@ _LOGIN, _SCHEME = re.compile(r"[^\s/:@]+:([^\s/:@]+)@"), string.ascii_letters +
 _GENERIC = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,}")
 _PLACEHOLDER = re.compile(r"example|sample|changeme|placeholder|your[_-]?|dummy|xxxx|\*\*\*|<|1234567", re.IGNORECASE)
 
-#: Every text with a span matches this (Java regular expression).
-_HINT = ("(?i:passw|secret|token|api_?key)|AKIA|-----BEGIN|://|gh[pousr]_|xox[abprs]-|eyJ|[A-Za-z0-9+/_=-]{20}")
-
 _SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("kind", T.IntegerType()),
                       T.StructField("end", T.LongType()), T.StructField("hash", T.StringType()),
                       T.StructField("random", T.BooleanType()), T.StructField("likely", T.BooleanType())])
@@ -138,19 +135,11 @@ def find_spans(raw: bytes) -> list[tuple[int, int, int, str]]:
 @F.arrow_udf(T.ArrayType(_SPAN))
 def candidate_spans(texts: pa.Array) -> pa.Array:
     """The spans of each text; only the texts go through Python, not the rows."""
-    return pa.array([[{"start": s, "kind": k, "end": e, "hash": hashlib.sha256(v.encode()).hexdigest()[:32],
+    found = pa.array([[{"start": s, "kind": k, "end": e, "hash": hashlib.sha256(v.encode()).hexdigest()[:32],
                        "random": looks_random(v, KINDS[k] in ANNOUNCED), "likely": looks_random(v, True)}
                       for s, k, e, v in (find_spans(raw) if raw else ())] for raw in texts.cast(pa.binary()).to_pylist()], _ARROW)
-
-
-def may_hold(text: Column) -> Column:
-    """False only for texts without any candidate (a JVM test that spares them the way through Python)."""
-    return F.coalesce(text.rlike(_HINT), F.lit(False))
-
-
-def text_key(text: Column) -> Column:
-    """128 bits that stand for a text; what is found in a text depends on it alone."""
-    return F.struct(F.xxhash64(F.lit(1), text).alias("a"), F.xxhash64(F.lit(2), text).alias("b"))
+    release_memory()
+    return found
 
 
 def ownership(spans: DataFrame) -> DataFrame:
@@ -192,9 +181,9 @@ def _owners_and_repos(rows: DataFrame) -> tuple[int, int]:
 
 def secret_report(docs: DataFrame, owner: Column, repo: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: base counts and digest, all spans kept by the method, live and copied counts."""
+    bounded_batches(docs.sparkSession)
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), owner.alias("owner"), repo.alias("repo"))
-    found = slim.select("doc_id", "owner", "repo", F.when(may_hold(F.col("text")), F.col("text")).alias("text"))
-    scanned = materialize(found.select("doc_id", "owner", "repo", candidate_spans("text").alias("spans"))
+    scanned = materialize(slim.select("doc_id", "owner", "repo", candidate_spans("text").alias("spans"))
                           .withColumn("row", F.monotonically_increasing_id()), "secret-spans")
     one = scanned.where(F.size("spans") > 0).select("row", "owner", "repo", F.inline("spans"))
     verdicts = judged(one, *_owners_and_repos(scanned)).groupBy("row").agg(
@@ -237,18 +226,16 @@ def redact(docs: DataFrame, owner: Column, repo: Column, text: str = "text", mas
     """``docs`` with every live span of ``text`` replaced by ``mask``; rows and columns stay.
 
     Overlapping live spans are masked as one.  Copied examples and values that
-    don't look random stay as they are.  Rows whose text can't hold a candidate
-    never move.  Of the others, the scan gives spans by text key, and only rows
-    with live spans send their text to Python again."""
-    body = F.col(text)
-    hit = docs.where(may_hold(body))
-    scanned = materialize(hit.select(text_key(body).alias("key"), owner.alias("owner"), repo.alias("repo"), candidate_spans(body).alias("spans"))
-                          .where(F.size("spans") > 0).select("key", "owner", "repo", F.inline("spans")).distinct(), "secret-redact")
-    verdicts = judged(scanned, *_owners_and_repos(docs.select(owner.alias("owner"), repo.alias("repo"))), wide_owners)
-    key, live = fresh(docs, "key"), fresh(docs, "live")
-    spans = (verdicts.where("live").select("key", "start", "end").distinct()
-             .groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(live)).withColumnRenamed("key", key))
-    cut = F.when(F.col(live).isNotNull(), body)
-    masked = (hit.withColumn(key, text_key(body)).join(spans, key, "left")
-              .withColumn(text, F.when(F.col(live).isNotNull(), masker(mask)(cut, F.col(live))).otherwise(body)))
-    return docs.where(~may_hold(body)).unionByName(masked.select(*docs.columns))
+    don't look random stay as they are.  The scan sends texts to Python and gets
+    spans back; the rows wait in a work table under a row number, by which those
+    with candidates meet the verdicts.  Only texts with live spans go to Python again."""
+    bounded_batches(docs.sparkSession)
+    row, held, live = fresh(docs, "row"), fresh(docs, "spans"), fresh(docs, "live")
+    scanned = materialize(docs.withColumns({held: candidate_spans(F.col(text)), row: F.monotonically_increasing_id()}), "secret-redact")
+    hit = scanned.where(F.size(held) > 0)
+    one = hit.select(F.col(row).alias("row"), owner.alias("owner"), repo.alias("repo"), F.inline(held))
+    spans = (judged(one, *_owners_and_repos(docs.select(owner.alias("owner"), repo.alias("repo"))), wide_owners)
+             .where("live").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(live)).withColumnRenamed("row", row))
+    cut = F.when(F.col(live).isNotNull(), F.col(text))
+    masked = hit.join(spans, row, "left").withColumn(text, F.when(F.col(live).isNotNull(), masker(mask)(cut, F.col(live))).otherwise(F.col(text)))
+    return scanned.where(F.size(held) == 0).select(*docs.columns).unionByName(masked.select(*docs.columns))
