@@ -36,7 +36,7 @@ _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task
 #: ASCII marks that the tokenizer splits off a run of letters as one token run; the apostrophe is not among them.
 _MARKS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 #: Bytes of text that a task tokenizes at once.
-_SLICE = 8_000_000
+_SLICE = 4_000_000
 
 
 class Tokens:
@@ -49,7 +49,7 @@ class Tokens:
     tokenizer's normalizing and splitting and go to its merges many at once.
     The table of coded runs is of bounded size and kept by the worker."""
 
-    RUNS = 900_000
+    RUNS = 300_000
 
     def __init__(self, path: str | None):
         import os
