@@ -12,18 +12,21 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tollgate.operators.sequence import dense_index
 from tollgate.operators.stats import descriptive
 
 
 def select_partitions(parts: DataFrame, dataset: str | None = None, year: int | None = None,
-                      month: int | None = None) -> DataFrame:
-    """NULL parameter = no restriction.  Callers treat an empty result
-    as an error (``.isEmpty()``)."""
+                      month: int | None = None, require: bool = False) -> DataFrame:
+    """NULL parameter = no restriction.  With ``require`` an empty selection is an error."""
     out = parts
     for col, val in (("dataset", dataset), ("year", year), ("month", month)):
         if val is not None:
             out = out.where(F.col(col) == F.lit(val))
+    if require and out.isEmpty():
+        raise ValueError(f"No partitions selected for dataset={dataset}, year={year}, month={month}")
     return out
 
 
@@ -41,75 +44,147 @@ def select_metrics(metrics: DataFrame, protocols: Sequence[str], queries: Sequen
 
 
 def coverage_gaps(expected: DataFrame, observed: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Expected keys never observed and observed keys never expected."""
-    key = list(key)
-    e, o = expected.select(*key).distinct(), observed.select(*key).distinct()
-    return (e.join(o, key, "left_anti").withColumn("gap", F.lit("missing"))
-            .unionByName(o.join(e, key, "left_anti").withColumn("gap", F.lit("unexpected"))))
+    """Expected keys never observed and observed keys never expected; NULL equals NULL.
+
+    One aggregate over both sides: keys group NULLs together, so no join is needed."""
+    return _one_sided(expected, observed, key).select(
+        *key, F.when(F.col("_in_left"), "missing").otherwise("unexpected").alias("gap"))
 
 
 def reconcile_ids(left: DataFrame, right: DataFrame, key: str,
                   left_name: str = "artifact", right_name: str = "table") -> DataFrame:
-    """Symmetric difference of ids (full outer join on the id)."""
-    lk = left.select(F.col(key).alias(key)).distinct().withColumn("_l", F.lit(True))
-    rk = right.select(F.col(key).alias(key)).distinct().withColumn("_r", F.lit(True))
-    j = lk.join(rk, key, "full_outer").where(F.col("_l").isNull() | F.col("_r").isNull())
-    return j.select(key, F.when(F.col("_l").isNull(), F.lit(f"only_{right_name}"))
-                    .otherwise(F.lit(f"only_{left_name}")).alias("side"))
-
-
-def _close(a: Column, b: Column, rel: float, abs_: float) -> Column:
-    return (a.isNull() & b.isNull()) | (
-        a.isNotNull() & b.isNotNull()
-        & (F.abs(a - b) <= F.greatest(F.lit(rel) * F.greatest(F.abs(a), F.abs(b)), F.lit(abs_)))
-    )
+    """Symmetric difference of ids; a NULL id on both sides agrees."""
+    return _one_sided(left, right, [key]).select(
+        key, F.when(F.col("_in_left"), f"only_{left_name}").otherwise(f"only_{right_name}").alias("side"))
+
+
+def _one_sided(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Distinct keys that one side alone has, with ``_in_left``."""
+    tagged = left.select(*key, F.lit(True).alias("_in_left")).unionByName(right.select(*key, F.lit(False).alias("_in_left")))
+    return (tagged.groupBy(*key).agg(F.max("_in_left").alias("_any_left"), F.min("_in_left").alias("_in_left"))
+            .where(F.col("_any_left") == F.col("_in_left")).drop("_any_left"))
+
+
+def values_close(a: Column, b: Column, kind: T.DataType, rel: float, abs_: float) -> Column:
+    """Whether two values of type ``kind`` agree; never NULL.
+
+    Numbers agree within ``max(rel * max(|a|, |b|), abs)`` (NaN equals NaN, an
+    infinity itself only); structs, arrays and maps agree if their parts do, all
+    else if equal.  NULL equals NULL and nothing else, at any depth.
+    """
+    both = a.isNotNull() & b.isNotNull()
+    if isinstance(kind, T.NumericType):
+        x, y = a.cast("double"), b.cast("double")
+        apart = F.abs(x - y)
+        near = (x == y) | (~F.isnan(apart) & (apart <= F.greatest(F.lit(rel) * F.greatest(F.abs(x), F.abs(y)), F.lit(abs_)))
+                           & (apart != F.lit(float("inf"))))
+    elif isinstance(kind, T.StructType):
+        near = F.lit(True)
+        for f in kind.fields:
+            near = near & values_close(a.getField(f.name), b.getField(f.name), f.dataType, rel, abs_)
+    elif isinstance(kind, T.ArrayType):
+        same = F.forall(F.zip_with(a, b, lambda x, y: values_close(x, y, kind.elementType, rel, abs_)), lambda ok: ok)
+        near = (F.size(a) == F.size(b)) & same
+    elif isinstance(kind, T.MapType):
+        same = F.forall(F.map_keys(a), lambda k: F.map_contains_key(b, k) & values_close(
+            F.try_element_at(a, k), F.try_element_at(b, k), kind.valueType, rel, abs_))
+        near = (F.size(a) == F.size(b)) & same
+    else:
+        near = a == b
+    return (a.isNull() & b.isNull()) | (both & F.coalesce(near, F.lit(False)))
+
+
+def _common_type(left: T.DataType, right: T.DataType) -> T.DataType:
+    """The type to compare by: numbers of different types compare as doubles."""
+    if left != right and isinstance(left, T.NumericType) and isinstance(right, T.NumericType):
+        return T.DoubleType()
+    return left
+
+
+def _mismatches(joined: DataFrame, keys: Sequence[Column], left: T.StructType, right: T.StructType, columns: Sequence[str],
+                tolerances: Mapping[str, tuple[float, float]], default: tuple[float, float]) -> DataFrame:
+    """Rows of a full outer join (structs ``_l`` and ``_r``) -> one row per missing side or differing column."""
+    text = T.StringType()
+    checks = []
+    for c in columns:
+        a, b = F.col("_l").getField(c), F.col("_r").getField(c)
+        kind = _common_type(left[c].dataType, right[c].dataType)
+        checks.append(F.struct(F.lit("value").alias("mismatch"), F.lit(c).alias("column"),
+                               a.cast(text).alias("left_value"), b.cast(text).alias("right_value"),
+                               values_close(a, b, kind, *tolerances.get(c, default)).alias("ok")))
+    none = F.lit(None).cast(text)
+    side = F.when(F.col("_l").isNull(), "missing_left").when(F.col("_r").isNull(), "missing_right")
+    gone = F.array(F.struct(side.alias("mismatch"), none.alias("column"), none.alias("left_value"), none.alias("right_value"), F.lit(False).alias("ok")))
+    values = F.filter(F.array(*checks), lambda x: ~x["ok"]) if checks else F.filter(gone, lambda x: F.lit(False))
+    return joined.select(*keys, F.inline(F.when(side.isNotNull(), gone).otherwise(values))).drop("ok")
 
 
 def results_equivalent(left: DataFrame, right: DataFrame, keys: Sequence[str],
                        tolerances: Mapping[str, tuple[float, float]] | None = None,
                        default: tuple[float, float] = (1e-9, 1e-6)) -> DataFrame:
-    """Per-key mismatches between two result sets.
+    """Per-key mismatches between two result sets, from one full outer join.
 
-    Numeric columns compare within ``max(rel * max(|a|, |b|), abs)``
-    (per-column ``tolerances`` override the default), others exactly (NULL
-    equals NULL).  Keys present on one side only are reported as
-    ``missing_left`` / ``missing_right``.  Empty output = equivalent.
+    Values compare by :func:`values_close` (per-column ``tolerances`` override
+    the default).  NULL keys equal NULL keys.  Keys present on one side only are
+    reported as ``missing_left`` / ``missing_right``.  Empty output = equivalent.
     """
     keys = list(keys)
-    tolerances = dict(tolerances or {})
     value_cols = [c for c in left.columns if c not in keys]
-    types = {f.name: f.dataType.typeName() for f in left.schema.fields}
-    l = left.select(*keys, *[F.col(c).alias(f"l_{c}") for c in value_cols]).withColumn("_l", F.lit(True))
-    r = right.select(*keys, *[F.col(c).alias(f"r_{c}") for c in value_cols]).withColumn("_r", F.lit(True))
-    j = l.join(r, keys, "full_outer")
-    checks = []
-    for c in value_cols:
-        a, b = F.col(f"l_{c}"), F.col(f"r_{c}")
-        if types[c] in ("double", "float", "integer", "long", "short", "decimal", "byte"):
-            rel, abs_ = tolerances.get(c, default)
-            ok = _close(a.cast("double"), b.cast("double"), rel, abs_)
-        else:
-            ok = a.eqNullSafe(b)
-        checks.append(F.struct(F.lit(c).alias("column"), ok.alias("ok"),
-                               a.cast("string").alias("left_value"), b.cast("string").alias("right_value")))
-    status = (F.when(F.col("_l").isNull(), F.lit("missing_left"))
-              .when(F.col("_r").isNull(), F.lit("missing_right")))
-    missing = j.where(status.isNotNull()).select(
-        *keys, status.alias("mismatch"), F.lit(None).cast("string").alias("column"),
-        F.lit(None).cast("string").alias("left_value"), F.lit(None).cast("string").alias("right_value"))
-    both = j.where(status.isNull()).select(*keys, F.inline(F.filter(F.array(*checks), lambda x: ~x["ok"])))
-    diff = both.select(*keys, F.lit("value").alias("mismatch"), "column", "left_value", "right_value")
-    return missing.unionByName(diff)
-
-
-def rows_equivalent(left: DataFrame, right: DataFrame, digits: int = 6) -> bool:
-    """J9 keyless form: multiset equality of rows after rounding doubles."""
-    def rounded(df):
-        return df.select(*[F.round(F.col(f.name), digits).alias(f.name)
-                           if f.dataType.typeName() in ("double", "float") else F.col(f.name)
-                           for f in df.schema.fields])
-    a, b = rounded(left), rounded(right)
-    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(F.struct(*keys).alias(f"{name}k"), F.struct(*keys, *value_cols).alias(name))
+
+    joined = side(left, "_l").join(side(right, "_r"), F.col("_lk").eqNullSafe(F.col("_rk")), "full_outer")
+    out = [F.coalesce(F.col("_lk"), F.col("_rk")).getField(k).alias(k) for k in keys]
+    return _mismatches(joined, out, left.schema, right.schema, value_cols, dict(tolerances or {}), default)
+
+
+def _is_approximate(kind: T.DataType) -> bool:
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return True
+    if isinstance(kind, T.StructType):
+        return any(_is_approximate(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _is_approximate(kind.elementType)
+    return isinstance(kind, T.MapType)
+
+
+def _order_of(column: str, kind: T.DataType) -> Column:
+    """What a column sorts by; maps, which have no order, by their sorted entries."""
+    c = F.col(column)
+    if isinstance(kind, T.MapType):
+        return F.to_json(F.array_sort(F.map_entries(c)))
+    return F.to_json(c) if "map<" in kind.simpleString() else c
+
+
+def row_mismatches(left: DataFrame, right: DataFrame, tolerances: Mapping[str, tuple[float, float]] | None = None,
+                   default: tuple[float, float] = (1e-9, 1e-6)) -> DataFrame:
+    """J9 keyless form: two row multisets paired in sorted order, and where pairs differ.
+
+    Rows that agree in all exact columns are sorted by the others and paired
+    position by position; values compare by :func:`values_close`, so two numbers
+    within tolerance never fall on two sides of a rounding border.  Repeated rows
+    pair one to one.  Positions come from range partitions, so no group of equal
+    rows meets in one task.  Output: position, mismatch, column, left_value, right_value.
+    """
+    columns = left.columns
+    loose = [c for c in columns if _is_approximate(left.schema[c].dataType)]
+    exact = [c for c in columns if c not in loose]
+
+    def placed(df: DataFrame, name: str) -> DataFrame:
+        group = F.struct(F.lit(0).alias("_none"), *[F.col(c) for c in exact])
+        order = [_order_of(c, left.schema[c].dataType).alias(f"_o{i}") for i, c in enumerate(loose)]
+        rows = df.select(group.alias("_g"), *order, F.struct(*columns).alias(name))
+        at = dense_index(rows, ["_g"], [f"_o{i}" for i in range(len(loose))], name="position")
+        return at.select(F.col("_g").alias(f"{name}g"), F.col("position").alias(f"{name}p"), name)
+
+    joined = placed(left, "_l").join(placed(right.select(*columns), "_r"), F.col("_lg").eqNullSafe(F.col("_rg")) & (F.col("_lp") == F.col("_rp")), "full_outer")
+    return _mismatches(joined, [F.coalesce("_lp", "_rp").alias("position")], left.schema, right.schema, columns, dict(tolerances or {}), default)
+
+
+def rows_equivalent(left: DataFrame, right: DataFrame, tolerance: tuple[float, float] = (1e-9, 1e-6)) -> bool:
+    """Whether two row multisets agree (see :func:`row_mismatches`); one job."""
+    return row_mismatches(left, right, default=tolerance).isEmpty()
 
 
 def expand_targets(queries: DataFrame, partitions: DataFrame) -> DataFrame:

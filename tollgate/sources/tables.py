@@ -118,14 +118,38 @@ def overwrite_partitions(df: DataFrame, table: str, part_cols: Sequence[str],
         delete_partition(spark, table, part_cols, values)
 
 
+# The folder of NULL and empty partition values, and the characters that are written as %XX in folder names.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+_ESCAPED = frozenset([chr(c) for c in range(1, 32)] + list("\"#%'*/:=?\\\x7f{[]^"))
+
+
+def partition_folder(column: str, value) -> str:
+    """``column=value`` as Spark names the partition's folder."""
+    def escape(text: str) -> str:
+        return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in text)
+
+    text = {True: "true", False: "false"}[value] if isinstance(value, bool) else "" if value is None else str(value)
+    return f"{escape(column)}={escape(text) if text else NULL_PARTITION}"
+
+
+def _partition_spec(column: str, value) -> str:
+    """``column = literal`` of a catalog partition specification."""
+    if value is None:
+        return f"`{column}` = NULL"
+    if isinstance(value, (bool, int)):
+        return f"`{column}` = {str(value).lower()}"
+    return f"`{column}` = '" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def delete_partition(spark: SparkSession, table: str, part_cols: Sequence[str], values: Sequence) -> None:
+    """Drop one partition, which may be the NULL one or have a name that its folder escapes."""
     if not _is_path(table):
-        spec = ", ".join(f"{c} = {v!r}" for c, v in zip(part_cols, values))
+        spec = ", ".join(_partition_spec(c, v) for c, v in zip(part_cols, values))
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
         return
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    sub = "/".join(f"{c}={v}" for c, v in zip(part_cols, values))
+    sub = "/".join(partition_folder(c, v) for c, v in zip(part_cols, values))
     path = jvm.org.apache.hadoop.fs.Path(f"{table.rstrip('/')}/{sub}")
     path.getFileSystem(conf).delete(path, True)
 
