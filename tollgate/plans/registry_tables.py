@@ -241,6 +241,76 @@ register("landed_scan", GOLD_SQL.replace("FROM silver_all GROUP BY", "FROM silve
 register("landed_scan_both", GOLD_SQL)(
     lambda spark, sf: _landed_scan(spark, sf, "yellow").unionByName(_landed_scan(spark, sf, "green")))
 
+
+def _land_drifting(spark, sf, dataset):
+    """Month files filed by dropoff month, whose types and names drift from year to year; returns base and months."""
+    base, staged = work_path(spark, f"raw-{dataset}"), work_path(spark, f"staged-{dataset}")
+    dropoff = "tpep_dropoff_datetime" if dataset == "yellow" else "lpep_dropoff_datetime"
+    raw = raw_trips(spark, sf, dataset).withColumn("year", F.year(dropoff)).withColumn("month", F.month(dropoff))
+    drifts = [
+        lambda d: d,
+        lambda d: d.withColumns({"passenger_count": F.col("passenger_count").cast("int"), "PULocationID": F.col("PULocationID").cast("int"),
+                                 "RatecodeID": F.col("RatecodeID").cast("double"), "extra": F.lit(None).cast("int")}),
+        lambda d: d.withColumns({"passenger_count": F.col("passenger_count").cast("double"), "extra": F.lit(None).cast("double")})
+        .withColumnRenamed("RatecodeID", "RateCodeID"),
+    ]
+    for i, drift in enumerate(drifts):
+        drift(raw.where(F.col("year") % len(drifts) == i)).write.mode("append").partitionBy("year", "month").parquet(staged)
+    months = sorted((r.year, r.month) for r in raw.select("year", "month").distinct().collect())
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    for (y, m), target in zip(months, files.month_paths(base, dataset, months)):
+        store.mkdirs(path(target).getParent())
+        store.rename(path(f"{staged}/year={y}/month={m}"), path(target))
+    return base, months
+
+
+def _drifting_months(spark, sf):
+    out = []
+    for ds in DATASETS:
+        base, months = _land_drifting(spark, sf, ds)
+        # A year more on both sides: months without a file come back as rows.
+        asked = [(y, m) for y in range(months[0][0] - 1, months[-1][0] + 2) for m in range(1, 13)]
+        rows, inventory = files.scan_months(spark, base, ds, asked)
+        pickup = F.col("tpep_pickup_datetime" if ds == "yellow" else "lpep_pickup_datetime")
+        kept = rows.where((F.year(pickup) == F.col("file_year")) & (F.month(pickup) == F.col("file_month")))  # P11
+        counts = kept.groupBy(F.col("file_year").alias("year"), F.col("file_month").alias("month")).agg(
+            F.count(F.lit(1)).alias("trips"), F.sum("passenger_count").alias("passengers"), F.sum("RatecodeID").alias("rate_codes"),
+            F.count("extra").alias("extras"))
+        out.append(inventory.join(counts, ["year", "month"], "left").select(
+            "dataset", "year", "month", "status", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("trips", "passengers", "rate_codes", "extras")]))
+    return out[0].unionByName(out[1])
+
+
+register("drifting_months", f"""
+WITH {oracle.RAW_TRIPS},
+span AS (SELECT dataset, min(year(dropoff)) AS lo, max(year(dropoff)) AS hi FROM raw_trips GROUP BY dataset),
+years AS (SELECT dataset, unnest(range(lo - 1, hi + 2)) AS year FROM span),
+months AS (SELECT dataset, year, unnest(range(1, 13)) AS month FROM years),
+filed AS (SELECT dataset, year(dropoff) AS year, month(dropoff) AS month,
+                 sum(CASE WHEN year(pickup) = year(dropoff) AND month(pickup) = month(dropoff) THEN 1 ELSE 0 END) AS trips,
+                 sum(CASE WHEN year(pickup) = year(dropoff) AND month(pickup) = month(dropoff) THEN passengers ELSE 0 END) AS passengers,
+                 sum(CASE WHEN year(pickup) = year(dropoff) AND month(pickup) = month(dropoff) THEN ratecode ELSE 0 END) AS rate_codes
+          FROM raw_trips GROUP BY ALL)
+SELECT m.dataset, CAST(m.year AS INTEGER) AS year, CAST(m.month AS INTEGER) AS month, CASE WHEN f.trips IS NULL THEN 'missing' ELSE 'present' END AS status,
+       CAST(coalesce(f.trips, 0) AS BIGINT) AS trips, CAST(coalesce(f.passengers, 0) AS BIGINT) AS passengers,
+       CAST(coalesce(f.rate_codes, 0) AS BIGINT) AS rate_codes, CAST(0 AS BIGINT) AS extras
+FROM months m LEFT JOIN filed f ON m.dataset = f.dataset AND m.year = f.year AND m.month = f.month""")(_drifting_months)
+
+
+def _drifting_glob(spark, sf):
+    """S2 over files of both drifting datasets, through staging to gold."""
+    from tollgate.operators.normalize import normalize
+
+    out = []
+    for ds in DATASETS:
+        base, _ = _land_drifting(spark, sf, ds)
+        out.append(marts.monthly_revenue(normalize(files.scan_glob(spark, base, "*.parquet"), ds), ds).drop("processed_at"))
+    return rnd(out[0].unionByName(out[1]), GOLD_ROUND)
+
+
+register("drifting_glob", GOLD_SQL)(_drifting_glob)
+
 _ALL = ["vendor_id", "pickup_ts", "dropoff_ts", "passenger_count", "trip_distance", "rate_code_id",
         "store_and_fwd_flag", "pickup_location_id", "dropoff_location_id", "payment_type", "fare_amount",
         "tip_amount", "tolls_amount", "total_amount", "trip_duration_min", "year", "month"]

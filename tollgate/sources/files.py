@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tollgate.sources.drift import file_schemas, read_drifting
 
 
 def month_paths(base: str, dataset: str, parts: Sequence[tuple[int, int]]) -> list[str]:
@@ -21,26 +22,79 @@ def stored(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def month_inventory(spark: SparkSession, base: str, dataset: str, parts: Sequence[tuple[int, int]]) -> DataFrame:
+    """(dataset, year, month, path, status, error) of every requested month.
+
+    ``status`` is ``present``, ``missing`` (no file: the incremental loop passes
+    over it, I2) or ``unreadable`` (a file whose footer can't be read).
+    """
+    return _inventory_rows(spark, dataset, _month_files(spark, base, dataset, parts))
+
+
+def _month_files(spark: SparkSession, base: str, dataset: str, parts: Sequence[tuple[int, int]]) -> list[tuple]:
+    """(year, month, path, status, error, {file: signature}) of every requested month."""
+    wanted = [(int(y), int(m), p) for (y, m), p in zip(parts, month_paths(base, dataset, parts))]
+    present = {p for *_, p in wanted if stored(spark, p)}
+    found = file_schemas(spark, sorted(present)) if present else []
+    root = _qualified(spark, base)
+    out = []
+    for year, month, path in wanted:
+        place = root + path[len(base.rstrip("/")):]
+        own = [f for f in found if f[0] == place or f[0].startswith(place + "/")]
+        errors = [f[2] for f in own if f[2]]
+        status = "missing" if path not in present or not own else "unreadable" if errors else "present"
+        out.append((year, month, path, status, errors[0] if errors else None, {f[0]: f[1] for f in own if f[1]}))
+    return out
+
+
+def _qualified(spark: SparkSession, base: str) -> str:
+    """``base`` with its scheme, as file listings name it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(base.rstrip("/"))
+    return str(path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString())
+
+
+def _inventory_rows(spark: SparkSession, dataset: str, months: Sequence[tuple]) -> DataFrame:
+    return spark.createDataFrame([(dataset, *m[:5]) for m in months],
+                                 "dataset string, year int, month int, path string, status string, error string")
+
+
+def scan_months(spark: SparkSession, base: str, dataset: str, parts: Sequence[tuple[int, int]]) -> tuple[DataFrame | None, DataFrame]:
+    """The rows of the present months (None without any), and the inventory of all requested ones.
+
+    Rows carry ``file_year`` and ``file_month`` of their file (P11 compares them
+    with the pickup).  File types may drift from month to month.
+    """
+    months = _month_files(spark, base, dataset, parts)
+    good = {f: s for *_, status, _, own in months if status == "present" for f, s in own.items()}
+    inventory = _inventory_rows(spark, dataset, months)
+    if not good:
+        return None, inventory
+    name = F.regexp_extract("_metadata.file_path", rf"{dataset}_tripdata_(\d{{4}})-(\d{{2}})\.parquet", 0)
+    return read_drifting(spark, good, {"file_year": F.substring(name, len(dataset) + 11, 4).cast("int"),
+                                       "file_month": F.substring(name, len(dataset) + 16, 2).cast("int")}), inventory
+
+
 def scan_month_files(spark: SparkSession, base: str, dataset: str,
                      parts: Sequence[tuple[int, int]], missing_ok: bool = True) -> DataFrame:
-    """Read the monthly raw files of one dataset in one scan.
+    """The rows of the monthly raw files of one dataset.
 
-    ``mergeSchema`` unions drifting per-file schemas (case variants become
-    separate columns that the normalizer coalesces).  Missing months are
-    skipped when ``missing_ok`` (the incremental loop routes them, I2).
+    Missing or unreadable months raise unless ``missing_ok``; :func:`scan_months`
+    returns them as rows.  Case variants of a name are one column.
     """
-    paths = month_paths(base, dataset, parts)
-    if missing_ok:
-        paths = [p for p in paths if stored(spark, p)]
-    if not paths:
-        raise FileNotFoundError(f"No raw files for {dataset} {list(parts)}")
-    return spark.read.option("mergeSchema", "true").parquet(*paths)
+    rows, inventory = scan_months(spark, base, dataset, parts)
+    lost = [f"{r.year}-{r.month:02d} ({r.status})" for r in inventory.where("status <> 'present'").collect()]
+    if rows is None or lost and not missing_ok:
+        raise FileNotFoundError(f"No raw files for {dataset}: {', '.join(lost)}")
+    return rows.drop("file_year", "file_month")
 
 
 def scan_glob(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
-    """Every parquet file under ``directory`` matching ``pattern``."""
-    return (spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
-            .option("mergeSchema", "true").parquet(directory))
+    """Every parquet file under ``directory`` matching ``pattern``, whose types may drift."""
+    found = file_schemas(spark, [directory], pattern)
+    bad = [(path, error) for path, _, error in found if error]
+    if bad:
+        raise OSError(f"{len(bad)} files can't be read, first {bad[0][0]}: {bad[0][1]}")
+    return read_drifting(spark, {path: signature for path, signature, _ in found})
 
 
 def land_raw(df: DataFrame, base: str, part_cols: Sequence[str] = ("year", "month")) -> None:
