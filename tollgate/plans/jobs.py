@@ -17,7 +17,7 @@ from tollgate.operators import marts, normalize, quality
 from tollgate.schemas import (GOLD_PARTITION_COLUMNS, QUALITY_PARTITION_COLUMNS, SILVER,
                               SILVER_PARTITION_COLUMNS)
 from tollgate.session import checkpoint_root
-from tollgate.sources import tables
+from tollgate.sources import files, tables
 
 
 @dataclass(frozen=True)
@@ -72,14 +72,16 @@ def audit_silver(spark: SparkSession, dataset: str, source: str, target: str | N
 
     try:
         rows = audited(parts)
-    except Exception:  # noqa: BLE001 - any read/analysis failure becomes an audit row
-        if not parts:
+    except Exception as error:  # noqa: BLE001 - read failures become audit rows, all else is raised
+        if not parts or not files.is_read_error(error):
             raise
         each = []
         for month in parts:
             try:
                 each.append(audited([month]))
             except Exception as error:  # noqa: BLE001
+                if not files.is_read_error(error):
+                    raise
                 each.append(quality.failed_read_rows(spark, dataset, [month], error, context))
         rows = reduce(DataFrame.unionByName, each).checkpoint(eager=True)
     if target is not None:

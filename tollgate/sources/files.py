@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,16 @@ def stored(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+# What errors of reading files say, in Spark's error classes and those of the stores.
+_READ_ERRORS = re.compile("FAILED_READ_FILE|CANNOT_READ_FILE|UNABLE_TO_INFER_SCHEMA|PATH_NOT_FOUND|TABLE_OR_VIEW_NOT_FOUND|FileNotFoundException"
+                          "|is not a Parquet file|org.apache.parquet.io.ParquetDecodingException")
+
+
+def is_read_error(error: BaseException) -> bool:
+    """Whether a job failed on its files, rather than on lost executors, memory or code."""
+    return isinstance(error, OSError) or bool(_READ_ERRORS.search(str(error)))
+
+
 def month_inventory(spark: SparkSession, base: str, dataset: str, parts: Sequence[tuple[int, int]]) -> DataFrame:
     """(dataset, year, month, path, status, error) of every requested month.
 
