@@ -71,29 +71,66 @@ def test_bootstrap_deterministic_and_bounded(spark):
     assert 1.0 <= a["k1"].ci95_low <= a["k1"].median <= a["k1"].ci95_high <= 9.0
 
 
-def plain_intervals(values, key, seed, resamples):
-    """The documented draws and medians, one by one."""
-    import hashlib
-
-    import numpy as np
-
+def plain_rank(s, n, k):
+    """The documented descent, coin by coin."""
     def scrambled(x):
         for _ in range(2):
             x = (x ^ x >> 16) * 0x45D9F3B & 0xFFFFFFFF
         return x ^ x >> 16
 
+    m, u = n, 0
+    for level in range(32):
+        a = scrambled(s & 0xFFFFFFFF ^ (2 ** level + u) * 0x45D9F3B & 0xFFFFFFFF)
+        coins = [scrambled((a + i // 31 & 0xFFFFFFFF) ^ s >> 28 & 0xFFFFFFFF) >> i % 31 & 1 for i in range(m)]
+        left = sum(coins)
+        u *= 2
+        if k < left:
+            m = left
+        else:
+            m, k, u = m - left, k - left, u + 1
+    return u * n >> 32
+
+
+def plain_intervals(values, key, seed, resamples):
+    import hashlib
+
+    import numpy as np
+
     values, n, estimates = sorted(values), len(values), []
     for r in range(resamples):
         s = int(hashlib.md5(f"{seed}:{key}:{r}".encode()).hexdigest()[:15], 16)
-        drawn = []
-        for j in range(n):
-            x = scrambled(s + j & 0xFFFFFFFF)
-            y = scrambled(x ^ s >> 28 & 0xFFFFFFFF)
-            drawn.append(values[((x & 0x7FFFFFFF) << 31 | y & 0x7FFFFFFF) % n])
-        estimates.append(np.median(drawn))
+        estimates.append((values[plain_rank(s, n, (n - 1) // 2)] + values[plain_rank(s, n, n // 2)]) / 2)
     return np.quantile(estimates, [0.025, 0.975]).tolist()
 
 
+@pytest.mark.parametrize("n", [1, 2, 7, 64, 1001])
+def test_order_statistics_are_those_of_draws(n):
+    """The middle ranks have the distribution of the middle of n draws with replacement."""
+    import numpy as np
+
+    rng = np.random.default_rng(n)
+    runs = 20_000
+    s = rng.integers(0, 2 ** 60, runs)
+    size = np.full(runs, n)
+    for k in {0, (n - 1) // 2, n // 2, n - 1}:
+        got = stats.order_statistic(s, size, np.full(runs, k))
+        want = np.partition(rng.integers(0, n, (runs, n), dtype=np.int32), k, axis=1)[:, k]
+        assert 0 <= got.min() and got.max() < n
+        grid = np.arange(n)
+        gap = np.abs(np.searchsorted(np.sort(got), grid, "right") - np.searchsorted(np.sort(want), grid, "right")).max() / runs
+        assert gap < 1.95 * np.sqrt(2 / runs)  # two samples, Kolmogorov-Smirnov at 0.1 %
+    lo, hi = stats.order_statistic(s, size, (size - 1) // 2), stats.order_statistic(s, size, size // 2)
+    assert (lo <= hi).all()
+
+
+def test_order_statistic_of_many_draws():
+    import numpy as np
+
+    n = 10_000_000
+    got = stats.order_statistic(np.array([5, 6, 7]), np.full(3, n), np.full(3, n // 2))
+    assert (np.abs(got - n // 2) < 6 * np.sqrt(n) / 2).all() and len(set(got.tolist())) == 3
+
+
 def test_bootstrap_against_plain_version(spark):
     import random
 
@@ -140,3 +177,14 @@ def test_scale_variants_close_to_exact(spark):
     a = marts.deterministic_results(trips, exact=False).first()
     assert e.pickup_location_count == 37 and abs(a.pickup_location_count - 37) <= 2
     assert e.total_amount_sum == "750.0000" and e.valid_trip_count == 167
+
+
+def test_coins_in_blocks(monkeypatch):
+    import numpy as np
+
+    s, n = np.arange(40) * 10 ** 15, np.array([1, 31, 32, 500, 5000] * 8)
+    want = stats.order_statistic(s, n, n // 2)
+    assert want.tolist() == [plain_rank(int(a), int(b), int(b) // 2) for a, b in zip(s, n)]
+    for block in (1, 7, 40):
+        monkeypatch.setattr(stats, "BLOCK", block)
+        assert (stats.order_statistic(s, n, n // 2) == want).all()

@@ -5,18 +5,22 @@ closest ranks — the same definition as the reference's helper, e.g. 0.25
 of 1..4 is 1.75).  ``approx=True`` swaps in ``percentile_approx`` for very
 large groups.
 
-The bootstrap is a deterministic, hash-driven resampler: every draw is the
-rank of a value in its key's sorted sample, made from (seed, key, resample,
-draw) by integer arithmetic.  Draws are generated and counted in the same
-stage; values are only looked up at the middle ranks of each resample.
+The bootstrap is a deterministic, hash-driven resampler that draws order
+statistics: the middle ranks of a resample come from counts that are split down
+a binary tree by coins made from (seed, key, resample) in integer arithmetic, so
+another engine can make the same ones.  No draw is made one by one; values are
+only looked up at the middle ranks of each resample.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tollgate.functions.hashing import md5_bigint
 from tollgate.operators.sequence import dense_index, join_null_safe
@@ -67,77 +71,81 @@ def range_summary(df: DataFrame, value: str, by: Sequence[str] = (), prefix: str
     )
 
 
-# Draws made from one generated row.
-DRAW_CHUNK = 4096
-_WORD = (1 << 32) - 1
-_HALF = (1 << 31) - 1
+# A resample's draws are points of [0, 1), given by so many binary digits.
+DIGITS = 32
+# Coins taken from one hash, and hashes that a task holds at once.
+COINS, BLOCK = 31, 1 << 21
+_WORD = np.uint64((1 << 32) - 1)
 
 
-def _scrambled(df: DataFrame, column: str) -> DataFrame:
-    """``column`` (32 bits in a long) through two multiply-xorshift rounds; products stay below 2**63."""
+def scrambled(x: np.ndarray) -> np.ndarray:
+    """32 bits (in 64) through two multiply-xorshift rounds; products stay below 2**63."""
     for _ in range(2):
-        x = F.col(column)
-        df = df.withColumn(column, (x.bitwiseXOR(F.shiftright(x, 16)) * F.lit(0x45D9F3B)).bitwiseAND(F.lit(_WORD)))
-    x = F.col(column)
-    return df.withColumn(column, x.bitwiseXOR(F.shiftright(x, 16)))
-
-
-def _drawn_ranks(resamples: DataFrame, seed: int, by: Sequence[str]) -> DataFrame:
-    """One row per draw of (key, ``_n``, ``_r``, ...) rows, with the drawn rank ``_i``.
-
-    Two 32-bit words come from the md5 of (seed, key, resample); draw ``j``
-    scrambles the first with ``j`` and the second with that, and the 62 bits
-    of both modulo ``n`` are the rank.  Plain integer arithmetic, so another
-    engine can make the same draws and the loop stays in generated code.
+        x = ((x ^ (x >> np.uint64(16))) * np.uint64(0x45D9F3B)) & _WORD
+    return x ^ (x >> np.uint64(16))
+
+
+def _heads(a: np.ndarray, high: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """How many of ``m`` coins fall left: bits of hashes of (a, high, 0), (a, high, 1), ..."""
+    out = np.zeros(len(m), np.int64)
+    sizes = (m + (COINS - 1)) // COINS
+    single = sizes == 1
+    coins = scrambled(a[single] ^ high[single]) & ((np.uint64(1) << m[single].astype(np.uint64)) - np.uint64(1))
+    out[single] = np.bitwise_count(coins)
+    rows = np.flatnonzero(sizes > 1)
+    # Blocks of whole rows; a row that is longer than a block goes through it in pieces.
+    block = np.cumsum(sizes[rows]) // BLOCK
+    for part in np.split(rows, np.flatnonzero(np.diff(block)) + 1) if len(rows) else ():
+        longest = int(sizes[part].max())
+        for first in range(0, longest, BLOCK):
+            here = np.clip(sizes[part] - first, 0, BLOCK)
+            part, here = part[here > 0], here[here > 0]
+            begin = np.cumsum(here) - here
+            row = np.repeat(part, here)
+            j = first + np.arange(here.sum()) - np.repeat(begin, here)
+            left = np.minimum(m[row] - COINS * j, COINS).astype(np.uint64)
+            coins = scrambled(((a[row] + j.astype(np.uint64)) & _WORD) ^ high[row]) & ((np.uint64(1) << left) - np.uint64(1))
+            out[part] += np.add.reduceat(np.bitwise_count(coins), begin, dtype=np.int64)
+    return out
+
+
+def order_statistic(s: np.ndarray, n: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Rank (0 to n - 1) of the ``k``-th smallest of ``n`` draws with replacement from ``n`` ranks, for each seed ``s``.
+
+    Draws are uniform points of [0, 1) and a point's rank is floor(point * n).
+    Going down the binary tree of intervals, fair coins (bits of hashes of the
+    seed and the interval) tell how many of an interval's draws lie in its left
+    half, and only the half that holds the wanted draw is followed.  So a
+    resample costs about 2 n / 31 hashes, none of it per draw.
     """
-    text = F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in by], F.col("_r").cast("string"))
-    chunk = F.lit(DRAW_CHUNK)
-    first = (
-        resamples.withColumn("_s", md5_bigint(text))
-        .withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_n - 1) div {DRAW_CHUNK}"))))
-        .withColumn("_j", F.explode(F.sequence(F.col("_c") * chunk, F.least(F.col("_n"), (F.col("_c") + 1) * chunk) - 1)))
-        .withColumn("_x", (F.col("_s") + F.col("_j") + F.shiftright("_j", 32) * F.lit(0x45D9F3B)).bitwiseAND(F.lit(_WORD)))
-    )
-    second = _scrambled(first, "_x").withColumn(
-        "_y", F.col("_x").bitwiseXOR(F.shiftright("_s", 28).bitwiseAND(F.lit(_WORD))))
-    bits = F.shiftleft(F.col("_x").bitwiseAND(F.lit(_HALF)), 31).bitwiseOR(F.col("_y").bitwiseAND(F.lit(_HALF)))
-    # A generated column: filters on the rank must not pull its arithmetic, many times over, below these projections.
-    drawn = _scrambled(second, "_y").withColumn("_i", F.explode(F.array(bits % F.col("_n"))))
-    return drawn.drop("_s", "_c", "_j", "_x", "_y")
+    seed = s.astype(np.uint64)
+    m, k, u = n.astype(np.int64), k.astype(np.int64), np.zeros(len(n), np.uint64)
+    high = (seed >> np.uint64(28)) & _WORD
+    for level in range(DIGITS):
+        node = np.uint64(1 << level) + u
+        heads = _heads(scrambled((seed & _WORD) ^ ((node * np.uint64(0x45D9F3B)) & _WORD)), high, m)
+        right = k >= heads
+        m, k = np.where(right, m - heads, heads), np.where(right, k - heads, k)
+        u = u * np.uint64(2) + right
+    u = u.astype(np.int64)
+    return ((((u & 65535) * n) >> 16) + (u >> 16) * n) >> 16
+
+
+@F.pandas_udf(T.StructType([T.StructField("_lo", T.LongType()), T.StructField("_hi", T.LongType())]))
+def _middle(s: pd.Series, n: pd.Series) -> pd.DataFrame:
+    s, n = s.to_numpy(np.int64), n.to_numpy(np.int64)
+    lo = order_statistic(s, n, (n - 1) // 2)
+    hi, even = lo.copy(), n % 2 == 0
+    hi[even] = order_statistic(s[even], n[even], n[even] // 2)
+    return pd.DataFrame({"_lo": lo, "_hi": hi})
 
 
 def _median_ranks(sizes: DataFrame, by: list[str], seed: int, resamples: int) -> DataFrame:
-    """(key, ``_r``, ``_lo``, ``_hi``): ranks of the middle draws of every resample.
-
-    Draws are ranks, so no sample value is needed here.  They are counted per
-    bucket of sqrt(n) ranks; the buckets that hold the two middle draws are known from the
-    running counts, and only their draws are counted rank by rank.
-    """
-    group = [*by, "_n", "_r"]
+    """(key, ``_r``, ``_lo``, ``_hi``): ranks of the middle draws of every resample, which need no sample value."""
     rows = (sizes.select(*by, "_n", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))).alias("_r"))
             .repartition(*[F.col(k) for k in by], F.col("_r")))
-    bucket = F.expr("_i div CAST(ceil(sqrt(_n)) AS BIGINT)")
-    running = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    lo, hi = F.expr("(_n - 1) div 2"), F.expr("_n div 2")
-    counted = (
-        _drawn_ranks(rows, seed, by).groupBy(*group, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_cnt"))
-        .withColumn("_upto", F.sum("_cnt").over(running))
-    )
-    held = counted.groupBy(*group).agg(
-        F.min(F.when(F.col("_upto") > lo, F.col("_b"))).alias("_blo"),
-        F.min(F.when(F.col("_upto") > hi, F.col("_b"))).alias("_bhi"),
-        F.min(F.when(F.col("_upto") > lo, F.col("_upto") - F.col("_cnt"))).alias("_before"),
-    )
-    group = [*group, "_before"]
-    fine = (
-        _drawn_ranks(held, seed, by).where((bucket == F.col("_blo")) | (bucket == F.col("_bhi")))
-        .groupBy(*group, "_i").agg(F.count(F.lit(1)).alias("_cnt"))
-        .withColumn("_upto", F.col("_before") + F.sum("_cnt").over(
-            Window.partitionBy(*group).orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)))
-    )
-    return fine.groupBy(*by, "_r").agg(
-        F.min(F.when(F.col("_upto") > F.expr("(_n - 1) div 2"), F.col("_i"))).alias("_lo"),
-        F.min(F.when(F.col("_upto") > F.expr("_n div 2"), F.col("_i"))).alias("_hi"))
+    text = F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in by], F.col("_r").cast("string"))
+    return rows.withColumn("_s", md5_bigint(text)).withColumn("_m", _middle("_s", "_n")).select(*by, "_r", "_m._lo", "_m._hi")
 
 
 def _at_ranks(ranked: DataFrame, wanted: DataFrame, by: list[str], value: str) -> DataFrame:
@@ -152,9 +160,8 @@ def bootstrap_median(samples: DataFrame, by: Sequence[str], value: str, order: S
                      confidence: float = 0.95) -> DataFrame:
     """Median and bootstrap confidence interval of the median, per key.
 
-    Values get their rank within the key once (``order`` breaks ties); every
-    draw is a rank, so a resample's median is the value at its middle drawn
-    ranks.  One algorithm and one draw definition for every sample size: a
+    Values get their rank within the key once (``order`` breaks ties); a
+    resample's median is the value at its middle drawn ranks.  One algorithm and one draw definition for every sample size: a
     key's interval depends on its own values only.
     """
     by = list(by)

@@ -122,6 +122,12 @@ def bootstrap_sql(src: str, keys: list[str], value: str, order: str, seed: int,
     k = ", ".join(keys)
     kv = ", ".join(f"CAST({x} AS VARCHAR)" for x in keys)
     on = " AND ".join(f"d.{x} = i.{x}" for x in keys + ["i"])
+    coins = f"{scrambled('xor((a + j) & 4294967295, (s >> 28) & 4294967295)')} & ((1 << least(m - {stats.COINS} * j, {stats.COINS})) - 1)"
+    walk = "b_w"
+    for level in range(stats.DIGITS):  # one binary digit of the wanted draw each
+        walk = f"""(SELECT {k}, n, r, s, CASE WHEN k < c THEN c ELSE m - c END AS m, CASE WHEN k < c THEN k ELSE k - c END AS k, u * 2 + CASE WHEN k < c THEN 0 ELSE 1 END AS u
+  FROM (SELECT *, CAST(list_sum(list_transform(range(0, (m + {stats.COINS - 1}) // {stats.COINS}), lambda j: bit_count({coins}))) AS BIGINT) AS c
+  FROM (SELECT *, {scrambled("a0")} AS a FROM (SELECT *, xor(s & 4294967295, (({2 ** level} + u) * 73244475) & 4294967295) AS a0 FROM {walk}))))"""
     return f"""SELECT * FROM (
 WITH b_idx AS (
   SELECT {k}, {value} AS v, row_number() OVER (PARTITION BY {k} ORDER BY {value}, {order}) - 1 AS i
@@ -129,12 +135,8 @@ WITH b_idx AS (
 b_n AS (SELECT {k}, count(*) AS n, quantile_cont(v, 0.5) AS median FROM b_idx GROUP BY {k}),
 b_r AS (SELECT {k}, n, unnest(range(0, {resamples})) AS r FROM b_n),
 b_s AS (SELECT *, CAST(concat('0x', substr(md5(concat_ws(':', '{seed}', {kv}, CAST(r AS VARCHAR))), 1, 15)) AS BIGINT) AS s FROM b_r),
-b_d AS (SELECT {k}, n, r, s, unnest(range(0, n)) AS j FROM b_s),
-b_w AS (SELECT *, (s + j + (j >> 32) * 73244475) & 4294967295 AS x0 FROM b_d),
-b_x AS (SELECT *, {scrambled("x0")} AS x FROM b_w),
-b_v AS (SELECT *, xor(x, (s >> 28) & 4294967295) AS y0 FROM b_x),
-b_y AS (SELECT *, {scrambled("y0")} AS y FROM b_v),
-b_h AS (SELECT {k}, r, (((x & 2147483647) << 31) | (y & 2147483647)) % n AS i FROM b_y),
+b_w AS (SELECT {k}, n, r, s, n AS m, unnest([(n - 1) // 2, n // 2]) AS k, CAST(0 AS BIGINT) AS u FROM b_s),
+b_h AS (SELECT {k}, r, ((((u & 65535) * n) >> 16) + (u >> 16) * n) >> 16 AS i FROM {walk}),
 b_est AS (SELECT {", ".join("d." + x for x in keys)}, d.r, quantile_cont(i.v, 0.5) AS est
           FROM b_h d JOIN b_idx i ON {on} GROUP BY {", ".join("d." + x for x in keys)}, d.r),
 b_ci AS (SELECT {k}, quantile_cont(est, 0.025) AS lo, quantile_cont(est, 0.975) AS hi FROM b_est GROUP BY {k})
