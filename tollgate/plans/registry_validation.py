@@ -231,6 +231,47 @@ JOIN (SELECT dataset, year, month, sum(total_amount) AS v FROM silver_all GROUP
 WHERE NOT (abs(g.v - f.v) <= greatest(1e-9 * greatest(abs(g.v), abs(f.v)), 1e-6))"""))(_j9)
 
 
+def _nested(spark, sf):
+    """Duration profiles per (metric type or NULL, architecture): nested values under a key that may be NULL."""
+    key = F.when(F.col("metric_type") != "airflow_task", F.col("metric_type")).alias("kind")
+    d = F.col("duration_seconds")
+    return _rm(spark, sf).where(d.isNotNull()).groupBy(key, "query_name", "architecture").agg(
+        F.struct(F.count(d).alias("n"), F.array(F.min(d), F.max(d)).alias("range")).alias("spread"),
+        F.create_map(F.lit("least"), F.min(d), F.lit("most"), F.max(d)).alias("ends"))
+
+
+def _results_nested(spark, sf):
+    a = _nested(spark, sf)
+    jitter = lambda x: x * (1 + 1e-12)  # noqa: E731 - within tolerance at any depth
+    b = a.where("kind IS NOT NULL OR architecture = 'onprem'").select(
+        "kind", "query_name", "architecture",
+        F.struct(F.col("spread.n").alias("n"), F.transform("spread.range", jitter).alias("range")).alias("spread"),
+        F.when(F.col("architecture") == "onprem", F.transform_values("ends", lambda k, v: F.when(k == "most", v + 1).otherwise(v)))
+        .otherwise(F.transform_values("ends", lambda k, v: jitter(v))).alias("ends"))
+    return coverage.results_equivalent(a, b, ["kind", "query_name", "architecture"]).select("kind", "query_name", "architecture", "mismatch", "column")
+
+
+register("results_nested", oracle.with_metrics("""
+SELECT kind, query_name, architecture, CASE WHEN architecture = 'onprem' THEN 'value' ELSE 'missing_right' END AS mismatch,
+       CASE WHEN architecture = 'onprem' THEN 'ends' END AS "column"
+FROM (SELECT DISTINCT CASE WHEN metric_type <> 'airflow_task' THEN metric_type END AS kind, query_name, architecture
+      FROM run_metrics WHERE duration_seconds IS NOT NULL)
+WHERE architecture = 'onprem' OR kind IS NULL"""))(_results_nested)
+
+
+def _row_mismatches(spark, sf):
+    """Gold without its keys against a copy with rounding noise in every row, a changed January and no December."""
+    a = marts.monthly_revenue(silver_all(spark, sf)).select("dataset", "trip_count", "month", "total_amount_sum", "avg_trip_distance")
+    b = a.where("month <> 12").select("dataset", "trip_count", "month", (F.col("total_amount_sum") * (1 + 1e-13)).alias("total_amount_sum"),
+                                      F.when(F.col("month") == 1, F.col("avg_trip_distance") + 1).otherwise(F.col("avg_trip_distance")).alias("avg_trip_distance"))
+    return coverage.row_mismatches(a, b).groupBy("mismatch", "column").agg(F.count(F.lit(1)).alias("rows"))
+
+
+register("row_mismatches", oracle.with_silver("""
+SELECT CASE WHEN month = 1 THEN 'value' ELSE 'missing_right' END AS mismatch, CASE WHEN month = 1 THEN 'avg_trip_distance' END AS "column", count(*) AS rows
+FROM (SELECT DISTINCT dataset, year, month FROM silver_all WHERE month IN (1, 12)) GROUP BY ALL"""))(_row_mismatches)
+
+
 # ---------------------------------------------------------------------------
 # W2, P18, A10, A11, A20, J14, A21
 # ---------------------------------------------------------------------------
