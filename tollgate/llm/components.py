@@ -11,17 +11,26 @@ from tollgate.llm.common import ensure_checkpoint_dir
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b): root is the component's smallest node.
 
-    Each round takes the smallest root among the neighbours, then jumps to the
-    root's root; rounds are checkpointed in the shared folder."""
+    Each round hooks every node to its smallest neighbour if that is smaller,
+    follows the hooks to their ends by doubling, and keeps only the edges between
+    different ends, so what a round joins shrinks quickly.  Rounds are
+    checkpointed in the shared folder.  Self-loops give a node of its own; null
+    ends and an empty table give none."""
     ensure_checkpoint_dir(edges.sparkSession)
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
-    roots = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("root")).checkpoint()
-    while True:
-        near = (both.join(roots.withColumnsRenamed({"node": "b", "root": "near"}), "b")
-                .groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near")))
-        step = roots.join(near, "node").select("node", F.col("root").alias("was"), F.least("root", "near").alias("root"))
-        jump = step.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        moved = step.join(jump, "root").select("node", "was", F.least("root", "next").alias("root")).checkpoint()
-        if not moved.where("root <> was").limit(1).count():
-            return moved.select("node", "root")
-        roots = moved.select("node", "root")
+    given = edges.select("a", "b").na.drop()
+    both = given.unionByName(given.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
+    found = both.select(F.col("a").alias("node")).distinct().select("node", F.col("node").alias("root")).checkpoint()
+    live = both.where("a <> b")
+    while not live.isEmpty():
+        hooks = live.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("end")).checkpoint()
+        while True:
+            ends = hooks.select(F.col("node").alias("end"), F.col("end").alias("further"))
+            moved = hooks.join(ends, "end").select("node", F.col("further").alias("end"), (F.col("further") != F.col("end")).alias("moved")).checkpoint()
+            hooks = moved.select("node", "end")
+            if moved.where("moved").isEmpty():
+                break
+        found = (found.join(hooks.select(F.col("node").alias("root"), "end"), "root", "left")
+                 .select("node", F.coalesce("end", "root").alias("root")).checkpoint())
+        live = (live.join(hooks.toDF("a", "x"), "a").join(hooks.toDF("b", "y"), "b").where("x <> y")
+                .select(F.col("x").alias("a"), F.col("y").alias("b")).distinct().checkpoint())
+    return found
