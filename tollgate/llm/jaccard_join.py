@@ -44,6 +44,8 @@ PERCENT = 85
 SLOT_BYTES, MIN_SLOTS, MAX_SLOTS, SLOT_BLOCK = 200, 1 << 16, 1 << 23, 1 << 12
 #: Bucket rows up to which all pairs that pass are handed on, and rows of a block.
 SMALL, BLOCK = 12, 2048
+#: Parity slots for each element: with more of them fewer differences cancel out, and pairs just under the threshold fail the suffix filter.
+SLOTS_EACH = 4
 #: A shingle is hot with a part of all postings over one in so many (and more than a block); groups in which hot ones are looked for.
 HOT_PART, HOT_GROUPS = 1024, 1 << 16
 
@@ -66,9 +68,9 @@ def least_overlap(nx, ny, percent: int = PERCENT):
 
 
 def parity_bits(shingles: np.ndarray) -> np.ndarray:
-    """Parity of the set's elements per slot; at least as many slots as elements."""
+    """Parity of the set's elements per slot; at least ``SLOTS_EACH`` slots for each element."""
     bits = 64
-    while bits < len(shingles):
+    while bits < SLOTS_EACH * len(shingles):
         bits *= 2
     at = (mix(shingles) & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little")
