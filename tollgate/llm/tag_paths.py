@@ -1,19 +1,31 @@
 """HTML extraction by tag-path ratios.
 
-The text blocks of a page are grouped by their root-to-leaf tag path.  Each
-path gets a text ratio (characters per block) and a punctuation ratio (marks
-per block); both are smoothed along the page and fused by multiplication.
-Blocks at or over a threshold taken from their spread name the content; their
-common container then gives all its blocks, headings and short ones included;
-named blocks outside it are kept too.  Paths through page furniture (navigation,
-headers, asides, forms, comments, adverts, scripts) never count.  A form, or an
-element that only its class or id makes furniture, is a mere wrapper where the
-page has no article or main outside furniture and it holds one, or holds most of
-the text of a page without any.
+The text blocks of a page are grouped by their root-to-leaf tag path (tags with
+their class, and a last step for blocks made of links).  Each path gets a text
+ratio (characters per block) and a punctuation ratio (marks per block); both are
+smoothed along the page, each block's smoothed and own ratios are fused by their
+geometric mean, and the mean over a path's blocks is the path's ratio.  Paths at or over a threshold taken from the spread
+of the ratios name the content: all their blocks are kept, wherever they stand.
+
+Headings, captions and short items stand on paths of low ratio.  Such a block is
+kept where the chosen blocks make up most of the element round it (lists, tables
+and quotes counted to what holds them), within the innermost element that holds
+nine tenths of the chosen text; an article or main that holds most of it speaks
+for all its blocks.  Runs of two or more link blocks are menus and never kept so.
+
+Paths through page furniture (navigation, headers, asides, forms, comments,
+adverts, scripts) never count; a class such as ``article-header`` is none.  A form,
+or an element that only its class or id makes furniture, is a mere wrapper where
+the page has no article or main outside furniture and it holds one, or holds most
+of the text of a page without any.
+
+Time and memory are linear in the page, however long or malformed.
 
 Defined results: null and empty pages give the empty text; pages without any
-block outside furniture too; unclosed tags end with their container; repeated
-pages give repeated rows.
+block outside furniture too; unclosed tags end with their container, unclosed
+comments and tags with the page; a quote that is never closed belongs to an
+unquoted value; repeated pages give repeated rows; an empty table gives no rows;
+other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -48,193 +60,258 @@ IMPLIED = {"p": ("p",), "li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt",
 MAIN = ("article", "main")
 PUNCTUATION = frozenset(",.;:!?、。，！？…")
 SMOOTHING = np.array([0.25, 0.5, 0.25])
-#: Part of the standard deviation above zero that a fused ratio must reach.
-STRENGTH = 0.3
+#: Part of the standard deviation above zero that a path's ratio must reach.
+STRENGTH = 0.5
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|"
-                    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
-_NAME = re.compile(r"[a-z]+")
-_CLOSE_RAW = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in RAW}
+#: Elements that say nothing by themselves about the text in them: what is round them decides.
+STRUCTURE = frozenset("p ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote figure figcaption pre hr address "
+                      "h1 h2 h3 h4 h5 h6 hgroup details summary".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: In a class like article-header these names mean the article's own opening, given one of the words of OWNERS.
+OPENINGS = frozenset("header masthead banner".split())
+OWNERS = frozenset("article body content entry main post story text".split())
 
+_MARKUP = re.compile(r"<(?:!--|!\[CDATA\[|[!?]|/[^a-zA-Z]|(/?)([a-zA-Z][^\s/>]*))")
+_GAP = re.compile(r"[\s/]*")
+_ATTRIBUTE_NAME = re.compile(r"[^\s/>][^\s/>=]*")
+_EQUALS = re.compile(r"\s*=\s*")
+_UNQUOTED = re.compile(r"[^\s>]*")
+_NAME = re.compile(r"[a-z]+")
+_DIGITS = re.compile(r"\d+")
+_CLOSE_RAW = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in RAW}
 
 #: Furniture that may turn out to be a wrapper.
 MAYBE = 2
 
 
-def is_furniture(tag: str, attributes: str) -> int:
+def attributes(page: str, at: int, last: dict[str, int]) -> tuple[dict[str, str], int]:
+    """Attributes of the tag whose name ends at ``at`` (the first of each name, values in lower case), and where the tag ends.
+
+    ``last``: the last place of each quote in the page."""
+    found: dict[str, str] = {}
+    while True:
+        at = _GAP.match(page, at).end()
+        if at >= len(page):
+            return found, at
+        if page[at] == ">":
+            return found, at + 1
+        name = _ATTRIBUTE_NAME.match(page, at)
+        at = name.end()
+        value = ""
+        if equals := _EQUALS.match(page, at):
+            at = equals.end()
+            quote = page[at:at + 1]
+            if last.get(quote, -1) > at:
+                stop = page.find(quote, at + 1)
+                value, at = page[at + 1:stop], stop + 1
+            else:
+                plain = _UNQUOTED.match(page, at)
+                value, at = plain[0], plain.end()
+        found.setdefault(name[0].lower(), value.lower())
+
+
+def is_furniture(tag: str, given: dict[str, str]) -> int:
     """0, 1, or MAYBE for forms and for elements that only their class or id makes furniture."""
     if tag in FURNITURE and tag not in ("form", "fieldset"):
         return 1
     found = MAYBE if tag in FURNITURE else 0
-    if not attributes or tag in ("body", "html", *MAIN):
+    if not given or tag in ("body", "html", *MAIN):
         return found
-    if "hidden" in attributes and "hidden" in _QUOTED.sub(" ", attributes).split():
+    if "hidden" in given or given.get("role") in FURNITURE_ROLES or given.get("aria-hidden") == "true":
         return 1
-    for name, *values in _ATTRIBUTE.findall(attributes):
-        value = next((v for v in values if v), "").lower()
-        name = name.lower()
-        if name == "role" and value in FURNITURE_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            return 1
-        if name in ("class", "id") and any(w in FURNITURE_NAMES for w in _NAME.findall(value)):
-            found = MAYBE
-        if name == "style" and re.search(r"display\s*:\s*none", value):
-            return 1
+    if "style" in given and re.search(r"display\s*:\s*none", given["style"]):
+        return 1
+    for name in f"{given.get('class', '')} {given.get('id', '')}".split():
+        words = set(_NAME.findall(name))
+        named = words & FURNITURE_NAMES
+        if named and not (named <= OPENINGS and words & OWNERS):
+            return MAYBE
     return found
 
 
-def blocks(page: str) -> list[tuple[tuple[str, ...], tuple[int, ...], str]]:
-    """(tag path, element numbers along it, text) of each text block outside furniture, in page order."""
-    wrappers: set[int] = set()
-    while True:
-        out, main, held = _blocks(page, wrappers)
-        if main or not held:
-            return out
-        # No article or main stands outside furniture: look for it, or for most of the text, in the outermost doubtful elements.
-        more = {n for n, (_, has) in held.items() if has}
-        if not more:
-            total = sum(len(text) for _, _, text in out) + sum(size for size, _ in held.values())
-            more = {n for n, (size, _) in held.items() if 2 * size > total}
-        if not more:
-            return out
-        wrappers |= more
-
-
-def _blocks(page: str, wrappers: set[int]):
-    """The blocks outside furniture; whether an article or main stands there; and of each outermost doubtful
-    element that is not in ``wrappers``, by its number: characters of text, and whether it holds an article or main."""
-    out: list[tuple[tuple[str, ...], tuple[int, ...], str]] = []
-    stack: list[tuple[str, int, bool]] = []
-    buffer: list[str] = []
-    held: dict[int, list] = {}
-    number = skipped = sure = outer = 0
-    main = False
-
-    def flush():
-        if buffer:
-            text = " ".join(html.unescape("".join(buffer)).split())
-            buffer.clear()
-            if text:
-                out.append((tuple(t for t, _, _ in stack), tuple(n for _, n, _ in stack), text))
-
-    def pop():
-        nonlocal skipped, sure
-        flush()
-        kind = stack.pop()[2]
-        skipped -= kind > 0
-        sure -= kind == 1
+class Page:
+    """Elements of a page by number (0: none) with parent, tag, path and kind of furniture; its text blocks outside
+    sure furniture, in page order, as (element, path, text)."""
 
-    at = 0
-    while True:
-        m = _TOKEN.search(page, at)
-        stop = m.start() if m else len(page)
-        if stop > at:
-            if not skipped:
+    def __init__(self, page: str):
+        self.parent, self.tag, self.path, self.kind = [0], [""], [0], [0]
+        self.paths: dict[tuple[int, str], int] = {}
+        self.blocks: list[tuple[int, int, str]] = []
+        self._read(page)
+
+    def step(self, path: int, label: str) -> int:
+        return self.paths.setdefault((path, label), len(self.paths) + 1)
+
+    def _read(self, page: str) -> None:
+        last = {q: page.rfind(q) for q in "\"'"}
+        never_closed: set[str] = set()
+        stack = [0]
+        opened: dict[str, int] = {}
+        buffer: list[str] = []
+        linked = sure = 0
+        link = None  # How many elements were open where the link began.
+
+        def flush():
+            nonlocal linked
+            if buffer:
+                text = " ".join(html.unescape("".join(buffer)).split())
+                if text:
+                    n = stack[-1]
+                    path = self.path[n]
+                    if 2 * linked > sum(map(len, buffer)):
+                        path = self.step(path, "a")
+                    self.blocks.append((n, path, text))
+                buffer.clear()
+            linked = 0
+
+        def pop():
+            nonlocal sure, link
+            flush()
+            n = stack.pop()
+            opened[self.tag[n]] -= 1
+            sure -= self.kind[n] == 1
+            if link is not None and len(stack) < link:
+                link = None
+
+        at = 0
+        while at < len(page):
+            m = _MARKUP.search(page, at)
+            stop = m.start() if m else len(page)
+            if stop > at and not sure:
                 buffer.append(page[at:stop])
-            elif not sure:
-                held[outer][0] += len(" ".join(page[at:stop].split()))
-        if not m:
-            break
-        at = m.end()
-        tag = m[2]
-        if tag is None:
-            continue
-        tag = tag.lower()
-        if m[1]:
-            if tag in INLINE:
+                linked += (stop - at) * (link is not None)
+            if not m:
+                break
+            at = m.end()
+            if m[2] is None:
+                end = {"<!--": "-->", "<![CDATA[": "]]>"}.get(m[0], ">")
+                close = page.find(end, at - (m[0][1] == "/"))
+                at = close + len(end) if close >= 0 else len(page)
                 continue
-            if tag == "p" and not any(t == "p" for t, _, _ in stack):
-                flush()
-                continue
-            if any(t == tag for t, _, _ in stack):
-                while stack[-1][0] != tag:
+            tag = m[2].lower()
+            given, at = attributes(page, at, last)
+            if m[1]:
+                if tag == "a":
+                    link = None
+                if tag in INLINE:
+                    continue
+                if opened.get(tag):
+                    while self.tag[stack[-1]] != tag:
+                        pop()
                     pop()
+                else:
+                    flush()
+                continue
+            if tag == "head":
+                continue
+            if tag in RAW:
+                close = None if tag in never_closed else _CLOSE_RAW[tag].search(page, at)
+                if close:
+                    end = page.find(">", close.end())
+                    at = end + 1 if end >= 0 else len(page)
+                elif tag in ("script", "style", "textarea", "title"):
+                    break
+                else:
+                    never_closed.add(tag)
+                continue
+            if tag == "br":
+                if not sure:
+                    buffer.append(" ")
+                continue
+            if tag == "a":
+                link = len(stack) if "href" in given else None
+            if tag in INLINE or tag in VOID:
+                if tag == "hr":
+                    flush()
+                continue
+            flush()
+            closes = IMPLIED.get(tag, ("p",))
+            while self.tag[stack[-1]] in closes:
                 pop()
-            else:
-                flush()
-            continue
-        if tag in RAW and tag != "head":
-            close = _CLOSE_RAW[tag].search(page, at)
-            if tag in ("script", "style", "textarea", "title") or close:
-                at = close.end() if close else len(page)
-            continue
-        if tag == "head":
-            continue
-        if tag in ("br", "wbr"):
-            if not skipped and tag == "br":
-                buffer.append(" ")
-            continue
-        if tag in INLINE or tag in VOID:
-            if tag == "hr":
-                flush()
-            continue
+            if page[at - 2:at] == "/>":
+                continue
+            kind = is_furniture(tag, given)
+            name = _DIGITS.sub("", given.get("class", "")).split()
+            self.path.append(self.step(self.path[stack[-1]], f"{tag}.{name[0]}" if name else tag))
+            self.parent.append(stack[-1])
+            self.tag.append(tag)
+            self.kind.append(kind)
+            stack.append(len(self.parent) - 1)
+            opened[tag] = opened.get(tag, 0) + 1
+            sure += kind == 1
         flush()
-        closes = IMPLIED.get(tag, ("p",))
-        while stack and stack[-1][0] in closes:
-            pop()
-        number += 1
-        furniture = is_furniture(tag, m[3])
-        if furniture == MAYBE and number in wrappers:
-            furniture = 0
-        if not m[3].endswith("/"):
-            if furniture == MAYBE and not skipped:
-                outer = number
-                held[outer] = [0, False]
-            stack.append((tag, number, furniture))
-            skipped += furniture > 0
-            sure += furniture == 1
-            if tag in MAIN and not furniture:
-                if not skipped:
-                    main = True
-                elif not sure:
-                    held[outer][1] = True
-    flush()
-    return out, main, held
-
-
-def path_ratios(found) -> np.ndarray:
-    """Smoothed, fused ratio of each block: text ratio times punctuation ratio of its tag path."""
-    totals: dict[tuple[str, ...], list[float]] = {}
-    for path, _, text in found:
-        t = totals.setdefault(path, [0, 0, 0])
-        t[0] += len(text)
-        t[1] += sum(c in PUNCTUATION for c in text)
-        t[2] += 1
-    size = np.array([totals[p][0] / totals[p][2] for p, _, _ in found], float)
-    marks = np.array([totals[p][1] / totals[p][2] for p, _, _ in found], float)
+
+    def open_furniture(self) -> None:
+        """Leave only the blocks outside furniture, doubtful elements opened as far as they are mere wrappers."""
+        n = len(self.parent)
+        sure, doubt = [False] * n, [0] * n
+        for i in range(1, n):
+            sure[i] = sure[self.parent[i]] or self.kind[i] == 1
+            doubt[i] = i if self.kind[i] == MAYBE else doubt[self.parent[i]]
+        own, own_main = [0] * n, [False] * n
+        for i, _, text in self.blocks:
+            own[doubt[i]] += len(text)
+        for i in range(1, n):
+            if self.tag[i] in MAIN and not sure[i]:
+                own_main[doubt[i]] = True
+        size, has = list(own), list(own_main)
+        inner: dict[int, list[int]] = {}
+        for i in range(n - 1, 0, -1):
+            if doubt[i] == i and not sure[i]:
+                outer = doubt[self.parent[i]]
+                size[outer] += size[i]
+                has[outer] = has[outer] or has[i]
+                inner.setdefault(outer, []).append(i)
+        opened = {0}
+        level, main = [0], own_main[0]
+        while not main and level:
+            closed = [i for d in level for i in inner.get(d, ())]
+            level = [i for i in closed if has[i]] if has[0] else [i for i in closed if 2 * size[i] > size[0]]
+            opened.update(level)
+            main = any(own_main[i] for i in level)
+        self.blocks = [b for b in self.blocks if doubt[b[0]] in opened]
+
+
+def path_ratios(paths: list[int], texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The fused ratio of each block's path, and the same before the mean over the path."""
+    _, of, count = np.unique(np.array(paths), return_inverse=True, return_counts=True)
     smooth = lambda x: np.convolve(np.pad(x, 1, "edge"), SMOOTHING, "valid")
-    return smooth(size) * smooth(marks + 0.5)
+    per_path = lambda x: (np.bincount(of, np.array(x, float)) / count)[of]
+    size = per_path([len(t) for t in texts])
+    marks = per_path([sum(map(t.count, PUNCTUATION)) for t in texts])
+    fused = np.sqrt(size * (marks + 0.5) * smooth(size) * smooth(marks + 0.5))
+    return per_path(fused), fused
 
 
 def main_text(page: str | None) -> str:
-    found = blocks(page or "")
+    tree = Page(page or "")
+    tree.open_furniture()
+    found = tree.blocks
     if not found:
         return ""
-    fused = path_ratios(found)
-    chosen = np.flatnonzero(fused >= STRENGTH * fused.std())
-    if not len(chosen):
-        chosen = np.array([int(fused.argmax())])
-    # The container: the innermost main element that holds most of the chosen text, or their common ancestor.
-    held: dict[int, int] = {}
-    total = sum(len(found[i][2]) for i in chosen)
-    for i in chosen:
-        path, numbers, text = found[i]
-        for tag, n in zip(path, numbers):
-            if tag in MAIN:
-                held[n] = held.get(n, 0) + len(text)
-    best = [n for n, size in held.items() if 2 * size > total]
-    if best:
-        box = max(best)
-    else:
-        sizes: dict[int, int] = {}
-        for i in chosen:
-            path, numbers, text = found[i]
-            for n in numbers[:-1] or numbers:
-                sizes[n] = sizes.get(n, 0) + len(text)
-        box = max((n for n, size in sizes.items() if 10 * size >= 9 * total), default=None)
-    named = set(chosen.tolist())
-    keep = [text for i, (_, numbers, text) in enumerate(found) if box is None or box in numbers or i in named]
+    ratio, fused = path_ratios([path for _, path, _ in found], [text for _, _, text in found])
+    chosen = ratio >= min(STRENGTH * fused.std(), ratio.max())
+    # Characters of all blocks, and of chosen ones, in each element.
+    n = len(tree.parent)
+    size, held = [0] * n, [0] * n
+    for (i, _, text), c in zip(found, chosen):
+        size[i] += len(text)
+        held[i] += len(text) * bool(c)
+    for i in range(n - 1, 0, -1):
+        size[tree.parent[i]] += size[i]
+        held[tree.parent[i]] += held[i]
+    speaking = max((i for i in range(1, n) if tree.tag[i] in MAIN and 2 * held[i] > held[0]), default=0)
+    box = speaking or max((i for i in range(1, n) if 10 * held[i] >= 9 * held[0] and tree.tag[i] not in STRUCTURE), default=0)
+    # Whether an element lies in the box, and the nearest one round it that says something about its text.
+    within, round_ = [box == 0] * n, list(range(n))
+    for i in range(1, n):
+        within[i] = i == box or within[tree.parent[i]]
+        if tree.tag[i] in STRUCTURE:
+            round_[i] = round_[tree.parent[i]]
+    menu = [path != tree.path[i] and tree.tag[i] not in HEADINGS for i, path, _ in found]
+    menu = [m and (a or b) for a, m, b in zip([False] + menu, menu, menu[1:] + [False])]
+    keep = [text for (i, _, text), c, m in zip(found, chosen, menu)
+            if c or not m and within[i] and (speaking or 2 * held[round_[i]] >= size[round_[i]])]
     return "\n\n".join(keep)
 
 
