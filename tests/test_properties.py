@@ -47,15 +47,15 @@ def test_match_applications_matches_brute_force(spark, data):
     iv = st.tuples(st.integers(0, 600), st.integers(0, 240))
     apps = data.draw(st.lists(st.tuples(st.sampled_from(["x", "x", "y"]), iv), min_size=0, max_size=25))
     tasks = data.draw(st.lists(st.tuples(st.sampled_from(["x", "y"]), iv), min_size=1, max_size=15))
-    a_rows = [(f"a{i:02d}", n, base + dt.timedelta(minutes=s), base + dt.timedelta(minutes=s + d))
-              for i, (n, (s, d)) in enumerate(apps)]
-    t_rows = [(f"t{i:02d}", n, base + dt.timedelta(minutes=s), base + dt.timedelta(minutes=s + d))
-              for i, (n, (s, d)) in enumerate(tasks)]
+    at = lambda minute: None if minute % 7 == 0 else base + dt.timedelta(minutes=minute)  # noqa: E731  (some bounds are open)
+    a_rows = [(f"a{i:02d}", n, at(s), at(s + d)) for i, (n, (s, d)) in enumerate(apps)]
+    t_rows = [(f"t{i:02d}", n, at(s), at(s + d)) for i, (n, (s, d)) in enumerate(tasks)]
     a_df = spark.createDataFrame(a_rows, "app_id string, name string, start timestamp, end timestamp")
     t_df = spark.createDataFrame(t_rows, "task_key string, name string, started_at timestamp, finished_at timestamp")
-    got = {r.task_key: r.app_id for r in evidence.match_applications(t_df, a_df, bucket_seconds=1800).collect()}
+    got = {r.task_key: r.app_id for r in evidence.match_applications(t_df, a_df, partitions=4).collect()}
     want = {}
     for key, name, ts, te in t_rows:
-        cands = [(s, aid) for aid, n, s, e in a_rows if n == name and e >= ts and s <= te]
+        cands = [(s or dt.datetime.min, aid) for aid, n, s, e in a_rows
+                 if n == name and (not e or not ts or e >= ts) and (not s or not te or s <= te)]
         want[key] = max(cands)[1] if cands else None
     assert got == want

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tollgate.functions.scalar import parse_size, seconds_between
-from tollgate.operators.sequence import latest_at_or_before
+from tollgate.operators.sequence import latest_overlapping
 
 # The eleven stage counters summed per application
 # (output name -> stage field).
@@ -146,63 +146,77 @@ def points_in_windows(points: DataFrame, windows: DataFrame, before_seconds: int
     )
 
 
+_MINUTE = 60_000_000
+
+
+def _minute(micros: Column) -> Column:
+    """Number of the minute that holds a time in microseconds, in whole numbers."""
+    return ((micros - F.pmod(micros, F.lit(_MINUTE))) / _MINUTE).cast("long")
+
+
+def totals_in_windows(points: DataFrame, windows: DataFrame, before_seconds: int = 60, after_seconds: int = 120) -> DataFrame:
+    """(block, metric, total, datapoints) of each window, without a row for each point and window.
+
+    A time index of two levels: the minutes that lie whole in ``[start -
+    before, end + after]`` are taken from sums per metric and minute, computed
+    once for all windows; only points of the window's two edge minutes are
+    compared with its bounds.  A NULL value counts as a datapoint of 0; a
+    window with a NULL bound holds nothing.  Decimal values give exact totals.
+    """
+    w = windows.select(
+        "block", (F.unix_micros(F.col("start").cast("timestamp")) - before_seconds * 1_000_000).alias("_lo"),
+        (F.unix_micros(F.col("end").cast("timestamp")) + after_seconds * 1_000_000).alias("_hi"),
+    ).where(F.col("_lo") <= F.col("_hi")).withColumns({
+        "_first": _minute(F.col("_lo") + (_MINUTE - 1)), "_last": _minute(F.col("_hi") + 1) - 1})
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    p = points.select("metric", F.coalesce(F.col("value"), F.lit(0)).alias("_v"), at.alias("_at"), _minute(at).alias("_m"))
+    minutes = p.groupBy("metric", "_m").agg(F.sum("_v").alias("total"), F.count(F.lit(1)).alias("datapoints"))
+    whole = (w.where(F.col("_first") <= F.col("_last"))
+             .select("block", F.explode(F.sequence("_first", "_last")).alias("_m"))
+             .join(minutes, "_m").select("block", "metric", "total", "datapoints"))
+    edges = F.filter(F.array_distinct(F.array(_minute(F.col("_lo")), _minute(F.col("_hi")))),
+                     lambda m: (m < F.col("_first")) | (m > F.col("_last")))
+    edge = (w.select("block", "_lo", "_hi", F.explode(edges).alias("_m")).join(p, "_m")
+            .where(F.col("_at").between(F.col("_lo"), F.col("_hi")))
+            .groupBy("block", "metric").agg(F.sum("_v").alias("total"), F.count(F.lit(1)).alias("datapoints")))
+    return whole.unionByName(edge).groupBy("block", "metric").agg(
+        F.sum("total").alias("total"), F.sum("datapoints").alias("datapoints"))
+
+
 def window_completeness(windows: DataFrame, matched: DataFrame) -> DataFrame:
-    """A window is complete iff it has at least one datapoint."""
-    n = matched.groupBy("block").agg(F.count(F.lit(1)).alias("datapoints"))
+    """A window is complete iff it has at least one datapoint.
+
+    ``matched``: datapoints in windows, or their totals."""
+    count = F.sum("datapoints") if "datapoints" in matched.columns else F.count(F.lit(1))
+    n = matched.groupBy("block").agg(count.alias("datapoints"))
     return windows.select("block").join(n, "block", "left").select(
         "block", F.coalesce("datapoints", F.lit(0)).alias("datapoints"),
         (F.coalesce("datapoints", F.lit(0)) > 0).alias("complete"))
 
 
 def request_totals(points: DataFrame) -> DataFrame:
-    """Total of every request metric; a missing Sum counts as 0."""
-    return points.groupBy("metric").agg(F.sum(F.coalesce(F.col("value"), F.lit(0))).alias("total"))
+    """Total of every request metric; a missing Sum counts as 0.
+
+    ``points``: datapoints, or totals per window."""
+    value = "total" if "total" in points.columns else "value"
+    return points.groupBy("metric").agg(F.sum(F.coalesce(F.col(value), F.lit(0))).alias("total"))
 
 
-def match_applications(tasks: DataFrame, apps: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
+def match_applications(tasks: DataFrame, apps: DataFrame, partitions: int | None = None) -> DataFrame:
     """The application of each task (same name, overlapping time).
 
     Overlap: ``app_end >= task_start and app_start <= task_end``, a NULL
     bound on either side is permissive.  Among candidates the one with the
-    latest start wins (ties: larger app id).  Tasks without a candidate get
-    a NULL ``app_id``.  Inputs: tasks (task_key, name, started_at,
-    finished_at), apps (app_id, name, start, end).
-
-    No all-pairs join: an as-of lookup finds, per task, the latest-started
-    application at or before the task end; when that one overlaps it is the
-    answer (nothing later can qualify).  Only the remaining tasks — their
-    latest application ended before they started — are matched on
-    (name, time bucket) against the applications covering their window.
+    latest start wins (ties: larger app id).  Tasks without a candidate or
+    name get a NULL ``app_id``; repeated tasks give repeated rows.  Inputs:
+    tasks (task_key, name, started_at, finished_at), apps (app_id, name,
+    start, end).  Running applications (NULL end) need no join on the name
+    alone: see ``latest_overlapping``.
     """
     t = tasks.select("task_key", "name", "started_at", "finished_at")
-    a = apps.select("app_id", F.col("name").alias("_aname"), F.col("start").alias("_as"), F.col("end").alias("_ae"))
-    overlap = ((F.col("started_at").isNull() | F.col("_ae").isNull() | (F.col("_ae") >= F.col("started_at")))
-               & (F.col("finished_at").isNull() | F.col("_as").isNull() | (F.col("_as") <= F.col("finished_at"))))
-    bounded_t = t.where(F.col("started_at").isNotNull() & F.col("finished_at").isNotNull())
-    bounded_a = a.where(F.col("_as").isNotNull() & F.col("_ae").isNotNull())
-    # 1) as-of: latest bounded app (start, app id) starting at or before the task end.
-    asof = latest_at_or_before(bounded_a.withColumnRenamed("_aname", "name"), bounded_t, ["name"],
-                               "_as", "finished_at", "app_id")
-    resolved = asof.where(F.col("_match").isNotNull() & (F.col("_match._ae") >= F.col("started_at"))).select(
-        "task_key", F.col("_match.app_id").alias("app_id"), F.col("_match._as").alias("_as"))
-    # 2) residual bounded tasks: bucketed equi-join, exact overlap afterwards.
-    residual = bounded_t.join(resolved.select("task_key"), "task_key", "left_anti")
-    tb = residual.select("*", _buckets(F.col("started_at"), F.col("finished_at"), bucket_seconds).alias("_b"))
-    ab = bounded_a.select("*", _buckets(F.col("_as"), F.col("_ae"), bucket_seconds).alias("_ab"))
-    bucketed = (tb.join(ab, (tb["name"] == ab["_aname"]) & (tb["_b"] == ab["_ab"]), "inner")
-                .drop("_b", "_ab").where(overlap).select("task_key", "app_id", "_as")
-                .dropDuplicates(["task_key", "app_id"]))
-    # 3) open-ended intervals cannot be ordered or bucketed: match on name only.
-    open_t = t.where(F.col("started_at").isNull() | F.col("finished_at").isNull())
-    open_a = a.where(F.col("_as").isNull() | F.col("_ae").isNull())
-    rest = (open_t.join(a, open_t["name"] == a["_aname"], "inner")
-            .unionByName(bounded_t.join(open_a, bounded_t["name"] == open_a["_aname"], "inner")))
-    cands = resolved.unionByName(bucketed).unionByName(rest.where(overlap).select("task_key", "app_id", "_as"))
-    best = cands.groupBy("task_key").agg(
-        F.max_by("app_id", F.struct(F.coalesce(F.col("_as"), F.lit("0001-01-01").cast("timestamp")),
-                                    F.col("app_id"))).alias("app_id"))
-    return t.join(best, "task_key", "left").select(
-        "task_key", "name", "app_id", F.col("app_id").isNotNull().alias("matched"))
+    a = apps.select("app_id", "name", "start", "end")
+    out = latest_overlapping(a, t, ["name"], "start", "end", "started_at", "finished_at", "app_id", "app_id", partitions)
+    return out.select("task_key", "name", "app_id", F.col("app_id").isNotNull().alias("matched"))
 
 
 # ---------------------------------------------------------------------------

@@ -12,10 +12,13 @@ executor is lost and a stage is recomputed.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from bisect import bisect_right
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tollgate.session import checkpoint_root
 
@@ -133,3 +136,104 @@ def latest_at_or_before(events: DataFrame, points: DataFrame, keys: Sequence[str
         .transform(lambda d: join_null_safe(d, carry, [*keys, "_pid"], "left"))
         .select("_q.*", F.coalesce("_local", "_carry").alias("_match"))
     )
+
+
+#: Bounds in microseconds that no time reaches.
+_NEVER, _ALWAYS = -2 ** 62, 2 ** 62
+
+
+def _latest_in_slice(keys: Sequence[str]):
+    """Sweep of one sorted slice: each point gets the latest event before it in its key whose ``_end`` is at or after its ``_from``.
+
+    Open events are held as a stack whose ends fall from bottom to top: an event that ends no later than one
+    that starts after it can never be an answer again."""
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, ends, ids = None, [], []
+        for batch in batches:
+            found = []
+            columns = [batch.column(c).to_pylist() for c in (*keys, "_kind", "_end", "_from", "_tb")]
+            for *key, kind, end, start, event in zip(*columns):
+                if key != current:
+                    current, ends, ids = key, [], []
+                if kind == 0:
+                    while ends and ends[-1] >= -end:
+                        ends.pop()
+                        ids.pop()
+                    ends.append(-end)
+                    ids.append(event)
+                else:
+                    at = bisect_right(ends, -start)
+                    found.append(ids[at - 1] if at else None)
+            points = batch.filter(pa.array([k == 1 for k in columns[len(keys)]], pa.bool_()))
+            kept = [*keys, "_slice", "_from", "_q"]
+            yield pa.RecordBatch.from_arrays([*[points.column(c) for c in kept], pa.array(found, batch.schema.field("_tb").type)],
+                                             names=[*kept, "_hit"])
+
+    return sweep
+
+
+def latest_overlapping(events: DataFrame, points: DataFrame, keys: Sequence[str], event_start: str, event_end: str,
+                       point_start: str, point_end: str, event_id: str, name: str = "_match",
+                       partitions: int | None = None) -> DataFrame:
+    """For every point interval, the ``event_id`` of the event of the same key with the latest start that overlaps it.
+
+    Overlap: ``event_end >= point_start and event_start <= point_end``; a NULL
+    bound is open (NULL starts count as earliest; ties of the start: larger id).
+    Returns the point columns and ``name``, NULL without an overlapping event.
+    Rows with a NULL key match nothing.
+
+    No pairs are formed.  Events (by start) and points (by end) are sorted
+    together with a range partitioner, so that a hot key is spread over many
+    tasks.  One sweep answers each point from its own slice.  Points left over
+    are sent to the one latest earlier slice of their key whose largest end
+    reaches them (a table of key x slice) and, as the ends of a slice's events
+    that can still be an answer fall with their start, an as-of lookup by end
+    finds the event there, again without a task that meets a whole key.
+    """
+    spark = events.sparkSession
+    checkpoint_root(spark)
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    keys = list(keys)
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    q = F.struct(*[F.col(c) for c in points.columns])
+    q_type = points.select(q).schema[0].dataType
+    id_type = events.schema[event_id].dataType
+    no = F.lit(None)
+    ev = events.where(known).select(
+        *keys, F.lit(False).alias("_open"), F.col(event_start).cast("timestamp").alias("_t"), F.lit(0).alias("_kind"),
+        F.col(event_id).alias("_tb"), F.coalesce(F.unix_micros(F.col(event_end).cast("timestamp")), F.lit(_ALWAYS)).alias("_end"),
+        no.cast("long").alias("_from"), no.cast(q_type).alias("_q"))
+    pt = points.where(known).select(
+        *keys, F.col(point_end).isNull().alias("_open"), F.col(point_end).cast("timestamp").alias("_t"), F.lit(1).alias("_kind"),
+        no.cast(id_type).alias("_tb"), no.cast("long").alias("_end"),
+        F.coalesce(F.unix_micros(F.col(point_start).cast("timestamp")), F.lit(_NEVER)).alias("_from"), q.alias("_q"))
+    order = [*keys, "_open", "_t", "_kind", "_tb"]
+    tagged = (ev.unionByName(pt).repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
+              .withColumn("_slice", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
+    schema = T.StructType([*[tagged.schema[k] for k in keys], tagged.schema["_slice"], tagged.schema["_from"], tagged.schema["_q"],
+                           T.StructField("_hit", id_type)])
+    swept = tagged.mapInArrow(_latest_in_slice(keys), schema).checkpoint(eager=True)
+    # The one earlier slice that holds the answer of a point without one in its own.
+    starts = tagged.where(F.col("_kind") == 0)
+    reach = (starts.groupBy(*keys, "_slice").agg(F.max("_end").alias("reach"))
+             .groupBy(*keys).agg(F.collect_list(F.struct(F.col("_slice").alias("pid"), "reach")).alias("_slices")))
+    earlier = F.filter("_slices", lambda s: (s["pid"] < F.col("_slice")) & (s["reach"] >= F.col("_from")))
+    routed = (swept.where(F.col("_hit").isNull()).join(reach, keys, "inner")
+              .withColumn("_slice", F.array_max(F.transform(earlier, lambda s: s["pid"])))
+              .where(F.col("_slice").isNotNull())
+              .select(*keys, "_slice", (-F.col("_from")).alias("_at"), "_q"))
+    later = Window.partitionBy(*keys, "_slice").orderBy("_mid").rowsBetween(1, Window.unboundedFollowing)
+    skyline = (starts.withColumn("_after", F.max("_end").over(later))
+               .where(F.col("_after").isNull() | (F.col("_end") > F.col("_after")))
+               .select(*keys, "_slice", (-F.col("_end")).alias("_by"), F.col("_tb")))
+    second = latest_at_or_before(skyline, routed, [*keys, "_slice"], "_by", "_at", "_tb", partitions)
+    answered = (swept.where(F.col("_hit").isNotNull()).select("_q", F.col("_hit").alias("_found"))
+                .unionByName(second.select("_q", F.col("_match._tb").alias("_found"))))
+    unrouted = (swept.where(F.col("_hit").isNull()).join(reach, keys, "left")
+                .where(F.coalesce(F.size(earlier), F.lit(0)) <= 0).select("_q", no.cast(id_type).alias("_found")))
+    out = answered.unionByName(unrouted).select("_q.*", F.col("_found").alias(name))
+    return out.unionByName(points.where(~known).withColumn(name, no.cast(id_type)))

@@ -31,12 +31,21 @@ register("request_windows", oracle.with_metrics("SELECT * FROM matched", EVIDENC
 register("evidence_complete", oracle.with_metrics(
     "SELECT w.block, coalesce(n, 0) AS datapoints, coalesce(n, 0) > 0 AS complete FROM windows w "
     "LEFT JOIN (SELECT block, count(*) AS n FROM matched GROUP BY block) m ON w.block = m.block", EVIDENCE_SQL))(
-    lambda spark, sf: evidence.window_completeness(request_windows(_rm(spark, sf)), _matched(spark, sf)))
+    lambda spark, sf: evidence.window_completeness(request_windows(_rm(spark, sf)), _window_totals(spark, sf)))
+
+
+def _window_totals(spark, sf):
+    points = request_points(spark, sf).withColumn("value", F.col("value").cast("decimal(38,6)"))
+    return evidence.totals_in_windows(points, request_windows(_rm(spark, sf)))
+
+
+register("window_totals", oracle.with_metrics(
+    "SELECT block, metric, sum(coalesce(CAST(value AS DECIMAL(38,6)), 0)) AS total, count(*) AS datapoints "
+    "FROM matched GROUP BY block, metric", EVIDENCE_SQL))(_window_totals)
 
 
 def _totals(spark, sf):
-    m = _matched(spark, sf).withColumn("value", F.col("value").cast("decimal(38,6)"))
-    return evidence.request_totals(m)
+    return evidence.request_totals(_window_totals(spark, sf))
 
 
 register("request_totals", oracle.with_metrics(

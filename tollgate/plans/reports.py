@@ -73,7 +73,7 @@ def paired_comparison_report(metrics: DataFrame, attempt_members: DataFrame,
     if samples is not None:
         out["resources"] = evidence.resource_summary(samples, members, capacity)
     if points is not None and windows is not None:
-        matched = evidence.points_in_windows(points, windows)
+        matched = evidence.totals_in_windows(points, windows)
         complete = evidence.window_completeness(windows, matched)
         out["request_totals"] = evidence.request_totals(matched)
         violations.append(validation.as_violations(complete.where(~F.col("complete")), F.col("block"),
