@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tollgate.operators.sequence import dense_index
-from tollgate.operators.stats import descriptive
+from tollgate.operators.stats import descriptive, quantiles
 
 
 def select_partitions(parts: DataFrame, dataset: str | None = None, year: int | None = None,
@@ -264,10 +264,9 @@ def run_progress(attempt_members: DataFrame, expected: DataFrame) -> DataFrame:
 def profile_medians(runs: DataFrame, by: Sequence[str] = ("workload_name", "profile"),
                     value: str = "duration_seconds") -> DataFrame:
     """Runs per (workload, profile): n, min, median, max."""
-    return runs.groupBy(*by).agg(
-        F.count(value).alias("n"), F.min(value).alias("min_seconds"),
-        F.percentile(F.col(value), 0.5).alias("median_seconds"), F.max(value).alias("max_seconds"),
-    )
+    out = quantiles(runs, by, {value: (0, 0.5, 1)})
+    q = F.col(value)["q"]
+    return out.select(*by, F.col(value)["n"].alias("n"), q[0].alias("min_seconds"), q[1].alias("median_seconds"), q[2].alias("max_seconds"))
 
 
 def profile_gain(medians: DataFrame, workload: str = "workload_name",

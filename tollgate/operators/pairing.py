@@ -14,8 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tollgate.operators.sequence import join_null_safe
 from tollgate.operators.stats import (BOOTSTRAP_RESAMPLES, BOOTSTRAP_SEED, QUANTILES, bootstrap_median,
-                                      paired_bootstrap, percentage_delta)
+                                      paired_bootstrap, percentage_delta, quantile_columns, quantiles)
 
 # Architectures, layouts and protocol sample sizes.
 ARCH_A, ARCH_B = "onprem", "hybrid_aws"
@@ -102,21 +103,11 @@ def pair_by_architecture(scoped: DataFrame, value: str = "duration_seconds",
 
 
 def paired_summary(pairs: DataFrame, a: str = ARCH_A, b: str = ARCH_B) -> DataFrame:
-    """A18 per side + median paired delta, per key — one aggregation pass."""
-    probs = F.array(*[F.lit(p) for p in QUANTILES])
-    agg = pairs.groupBy("key").agg(
-        F.count(a).alias("_na"), F.percentile(F.col(a), probs).alias("_qa"),
-        F.count(b).alias("_nb"), F.percentile(F.col(b), probs).alias("_qb"),
-        F.percentile(percentage_delta(F.col(a), F.col(b)), 0.5).alias("median_paired_delta_percent"),
-    )
-    cols = ["key"]
-    for side, n, q in ((a, "_na", "_qa"), (b, "_nb", "_qb")):
-        cols += [
-            F.col(n).alias(f"{side}_n"), F.col(q)[0].alias(f"{side}_median"), F.col(q)[1].alias(f"{side}_q1"),
-            F.col(q)[2].alias(f"{side}_q3"), (F.col(q)[2] - F.col(q)[1]).alias(f"{side}_iqr"),
-            F.col(q)[3].alias(f"{side}_p95"),
-        ]
-    return agg.select(*cols, "median_paired_delta_percent")
+    """A18 per side + median paired delta, per key — one sort by rank for all three."""
+    both = pairs.select("key", F.col(a).alias("a"), F.col(b).alias("b"), percentage_delta(F.col(a), F.col(b)).alias("delta"))
+    out = quantiles(both, ["key"], {"a": QUANTILES, "b": QUANTILES, "delta": (0.5,)})
+    return out.select("key", *quantile_columns(F.col("a.n"), F.col("a.q"), f"{a}_"), *quantile_columns(F.col("b.n"), F.col("b.q"), f"{b}_"),
+                      F.col("delta.q")[0].alias("median_paired_delta_percent"))
 
 
 def paired_intervals(pairs: DataFrame, a: str = ARCH_A, b: str = ARCH_B,
@@ -195,16 +186,17 @@ def broad_vs_filtered(metrics: DataFrame, filtered_query: str, broad_query: str,
         (F.col("metric_type") == "trino_query")
         & F.col("measurement_protocol").isin(*expected_n)
     )
-    broad = sel.where(F.col("query_name") == broad_query).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_broad"),
-        F.percentile(F.col("duration_seconds"), 0.5).alias("broad_latency_median_seconds"),
-        F.percentile(F.col("physical_input_bytes"), 0.5).alias("broad_physical_input_bytes"),
-    )
-    filt = sel.where(F.col("query_name") == filtered_query).groupBy(*keys, "month").agg(
-        F.count(F.lit(1)).alias("n_filtered"),
-        F.percentile(F.col("duration_seconds"), 0.5).alias("filtered_latency_median_seconds"),
-        F.percentile(F.col("physical_input_bytes"), 0.5).alias("filtered_physical_input_bytes"),
-    )
+
+    def medians(query: str, by: list[str], side: str) -> DataFrame:
+        of = sel.where(F.col("query_name") == query)
+        counts = of.groupBy(*by).agg(F.count(F.lit(1)).alias(f"n_{side}"))
+        middle = quantiles(of, by, {"duration_seconds": (0.5,), "physical_input_bytes": (0.5,)})
+        return join_null_safe(counts, middle, by).select(
+            *by, f"n_{side}", F.col("duration_seconds")["q"][0].alias(f"{side}_latency_median_seconds"),
+            F.col("physical_input_bytes")["q"][0].alias(f"{side}_physical_input_bytes"))
+
+    broad = medians(broad_query, keys, "broad")
+    filt = medians(filtered_query, [*keys, "month"], "filtered")
     expected = F.coalesce(*[F.when(F.col("measurement_protocol") == p, F.lit(n)) for p, n in expected_n.items()])
     reduction = lambda b, f: F.when(F.col(b) != 0, (F.col(b) - F.col(f)) / F.col(b) * 100)
     return filt.join(broad, keys, "inner").select(
@@ -238,22 +230,23 @@ def penalty_narrowing(rows: DataFrame, a: str = ARCH_A, b: str = ARCH_B) -> Data
 
 def pruning_findings(rows: DataFrame, penalties: DataFrame, b: str = ARCH_B) -> DataFrame:
     """Headline ranges and improved-case counts (one row)."""
-    r = rows.agg(
-        F.min("physical_input_reduction_percent").alias("input_reduction_min"),
-        F.percentile(F.col("physical_input_reduction_percent"), 0.5).alias("input_reduction_median"),
-        F.max("physical_input_reduction_percent").alias("input_reduction_max"),
-        F.min("latency_reduction_percent").alias("latency_reduction_min"),
-        F.percentile(F.col("latency_reduction_percent"), 0.5).alias("latency_reduction_median"),
-        F.max("latency_reduction_percent").alias("latency_reduction_max"),
+    effects = {"physical_input_reduction_percent": "input_reduction", "latency_reduction_percent": "latency_reduction"}
+    narrowing = {"hybrid_penalty_narrowing_percentage_points": "narrowing"}
+
+    def ranges(df: DataFrame, named: dict[str, str], *counts: Column) -> DataFrame:
+        q = quantiles(df, [], {c: (0, 0.5, 1) for c in named}).select(
+            *[F.col(c)["q"][i].alias(f"{n}_{what}") for c, n in named.items() for i, what in enumerate(("min", "median", "max"))])
+        return q.withColumn("_k", F.lit(1)).join(df.agg(*counts).withColumn("_k", F.lit(1)), "_k").drop("_k")
+
+    r = ranges(
+        rows, effects,
         F.count_if(F.col("latency_reduction_percent") > 0).alias("latency_improved_cases"),
         F.count(F.lit(1)).alias("latency_case_count"),
         F.count_if((F.col("architecture") == b) & (F.col("latency_reduction_percent") > 0)).alias("hybrid_latency_improved_cases"),
         F.count_if(F.col("architecture") == b).alias("hybrid_latency_case_count"),
     )
-    p = penalties.agg(
-        F.min("hybrid_penalty_narrowing_percentage_points").alias("narrowing_min"),
-        F.percentile(F.col("hybrid_penalty_narrowing_percentage_points"), 0.5).alias("narrowing_median"),
-        F.max("hybrid_penalty_narrowing_percentage_points").alias("narrowing_max"),
+    p = ranges(
+        penalties, narrowing,
         F.count_if(F.col("hybrid_penalty_narrowing_percentage_points") > 0).alias("hybrid_penalty_narrowed_cases"),
         F.count(F.lit(1)).alias("hybrid_penalty_case_count"),
     )

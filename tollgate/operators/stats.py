@@ -1,9 +1,8 @@
 """Statistical operators (A18, A19, T1, T2, F2) as grouped Spark aggregates.
 
-Percentiles use Spark's exact ``percentile`` (linear interpolation between
-closest ranks — the same definition as the reference's helper, e.g. 0.25
-of 1..4 is 1.75).  ``approx=True`` swaps in ``percentile_approx`` for very
-large groups.
+Quantiles interpolate linearly between the closest ranks (0.25 of 1..4 is 1.75).
+They are picked by rank from one distributed sort, so a group of any size needs no
+task that holds its values; ``approx=True`` swaps in ``percentile_approx``.
 
 The bootstrap is a deterministic, hash-driven resampler that draws order
 statistics: the middle ranks of a resample come from counts that are split down
@@ -14,7 +13,7 @@ only looked up at the middle ranks of each resample.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -37,38 +36,52 @@ def percentage_delta(reference: Column, treatment: Column) -> Column:
     return F.when(reference != 0, (treatment - reference) / reference * 100)
 
 
-def _percentiles(value: Column, probs: Sequence[float], approx: bool) -> Column:
-    arr = F.array(*[F.lit(p) for p in probs])
-    if approx:
-        return F.percentile_approx(value, arr, 10_000)
-    return F.percentile(value, arr)
+def quantiles(df: DataFrame, by: Sequence[str], wanted: Mapping[str, Sequence[float]]) -> DataFrame:
+    """Exact quantiles of several columns by rank: the key and, under each column's name, struct(n, q).
+
+    ``n`` counts the values that are not NULL, ``q`` holds one double for each
+    wanted probability (NULLs where there is no value).  All columns of all keys
+    are sorted once, as rows of (key, column, value), by a range partitioner that
+    spreads a hot key over many tasks; only the rows at wanted ranks go on.
+    Groups of NULL values only are kept; without keys there is always one row.
+    """
+    by = list(by)
+    names = list(wanted)
+    cells = F.array(*[F.struct(F.lit(i).alias("_col"), F.col(c).cast("double").alias("_value")) for i, c in enumerate(names)])
+    ranked = dense_index(df.select(*by, F.inline(cells)), [*by, "_col"], [F.col("_value").asc_nulls_last()], name="_rank")
+    sizes = ranked.groupBy(*by, "_col").agg(F.count("_value").alias("_n"))
+    probs = F.get(F.array(*[F.array(*[F.lit(float(p)) for p in wanted[c]]) for c in names]), F.col("_col"))
+    top = F.greatest(F.col("_n") - 1, F.lit(0))
+    is_wanted = F.exists(probs, lambda p: (F.floor(p * top) == F.col("_rank")) | (F.ceil(p * top) == F.col("_rank")))
+    picked = join_null_safe(ranked, sizes, [*by, "_col"]).where(is_wanted)
+    parts = []
+    for i, c in enumerate(names):
+        here = F.col("_col") == i
+        at = lambda rank: F.max(F.when(here & (F.col("_rank") == rank), F.col("_value")))  # noqa: B023, E731
+        parts.append(F.coalesce(F.max(F.when(here, F.col("_n"))), F.lit(0)).alias(f"_n{i}"))
+        parts.append(F.array(*[F.struct(F.max(F.when(here, p * top)).alias("at"), at(F.floor(p * top)).alias("lo"), at(F.ceil(p * top)).alias("hi"))
+                               for p in map(float, wanted[c])]).alias(f"_q{i}"))
+    line = lambda x: F.when(x["lo"] == x["hi"], x["lo"]).otherwise(
+        (F.ceil(x["at"]) - x["at"]) * x["lo"] + (x["at"] - F.floor(x["at"])) * x["hi"])
+    return picked.groupBy(*by).agg(*parts).select(
+        *by, *[F.struct(F.col(f"_n{i}").alias("n"), F.transform(f"_q{i}", line).alias("q")).alias(c) for i, c in enumerate(names)])
 
 
 def descriptive(df: DataFrame, by: Sequence[str], value: str, prefix: str = "",
                 approx: bool = False) -> DataFrame:
     """N, median, q1, q3, iqr, p95 per group (NULLs ignored)."""
-    q = _percentiles(F.col(value), QUANTILES, approx)
-    agg = df.groupBy(*by).agg(F.count(value).alias("_n"), q.alias("_q"))
-    p = prefix
-    return agg.select(
-        *by,
-        F.col("_n").alias(f"{p}n"),
-        F.col("_q")[0].alias(f"{p}median"),
-        F.col("_q")[1].alias(f"{p}q1"),
-        F.col("_q")[2].alias(f"{p}q3"),
-        (F.col("_q")[2] - F.col("_q")[1]).alias(f"{p}iqr"),
-        F.col("_q")[3].alias(f"{p}p95"),
-    )
+    if approx:
+        arr = F.array(*[F.lit(p) for p in QUANTILES])
+        agg = df.groupBy(*by).agg(F.count(value).alias("_n"), F.percentile_approx(F.col(value), arr, 10_000).alias("_q"))
+    else:
+        agg = quantiles(df, by, {value: QUANTILES}).select(*by, F.col(value)["n"].alias("_n"), F.col(value)["q"].alias("_q"))
+    return agg.select(*by, *quantile_columns(F.col("_n"), F.col("_q"), prefix))
 
 
-def range_summary(df: DataFrame, value: str, by: Sequence[str] = (), prefix: str | None = None) -> DataFrame:
-    """Min / median / max of an effect column."""
-    p = f"{value}_" if prefix is None else prefix
-    return df.groupBy(*by).agg(
-        F.min(value).alias(f"{p}min"),
-        F.percentile(F.col(value), 0.5).alias(f"{p}median"),
-        F.max(value).alias(f"{p}max"),
-    )
+def quantile_columns(n: Column, q: Column, prefix: str) -> list[Column]:
+    """n, median, q1, q3, iqr, p95 from an array of ``QUANTILES``."""
+    return [n.alias(f"{prefix}n"), q[0].alias(f"{prefix}median"), q[1].alias(f"{prefix}q1"), q[2].alias(f"{prefix}q3"),
+            (q[2] - q[1]).alias(f"{prefix}iqr"), q[3].alias(f"{prefix}p95")]
 
 
 # A resample's draws are points of [0, 1), given by so many binary digits.
@@ -173,7 +186,7 @@ def bootstrap_median(samples: DataFrame, by: Sequence[str], value: str, order: S
     estimates = _at_ranks(ranked, _median_ranks(sizes, by, seed, resamples), by, value)
     # One number per resample: at most ``resamples`` values in a group.
     lo, hi = (1 - confidence) / 2, 1 - (1 - confidence) / 2
-    ci = estimates.groupBy(*by).agg(_percentiles(F.col("_est"), (lo, hi), False).alias("_ci"))
+    ci = estimates.groupBy(*by).agg(F.percentile(F.col("_est"), F.array(F.lit(lo), F.lit(hi))).alias("_ci"))
     return join_null_safe(point, ci, by, "left").select(
         *by, F.col("_n").alias("n"), "median",
         F.col("_ci")[0].alias("ci95_low"), F.col("_ci")[1].alias("ci95_high"),
