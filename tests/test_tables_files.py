@@ -63,6 +63,16 @@ def test_evolve_schema_path_and_catalog(spark, tmp_table):
     spark.sql("DROP TABLE IF EXISTS tg_test.evolve")
 
 
+def test_rehearsal_runs_the_plan_and_writes_nothing(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (-2, None)], "x long, y string")
+    out = tables.rehearse(df, {"negative": F.count_if(F.col("x") < 0), "most": F.max("x")})
+    assert out.counters == {"rows": 2, "negative": 1, "most": 1} and out.schema == df.schema and "Physical Plan" in out.plan
+    assert tables.rehearse(df.limit(0), {"most": F.max("x")}).counters == {"rows": 0, "most": None}
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        tables.rehearse(df.selectExpr("x div (x - 1) AS z"), {})
+    assert not list(tmp_path.iterdir())
+
+
 def test_dry_run_schema_only(spark):
     df = gold_rows(spark).withColumn("x", F.col("trip_count") * 2)
     assert tables.dry_run(df)["x"].dataType.simpleString() == "bigint"

@@ -18,6 +18,7 @@ from tollgate.operators import marts, normalize, quality
 from tollgate.plans import oracle
 from tollgate.plans.datasets import silver, silver_all
 from tollgate.session import checkpoint_root, pin
+from tollgate.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -177,6 +178,24 @@ FROM silver_all GROUP BY {PKEYS}"""))(
     lambda spark, sf: quality.signed_corrections(silver_all(spark, sf), by=["dataset", "year", "month"]))
 
 
+@register("dry_run_counters", oracle.with_silver("""
+SELECT dataset, counter, n FROM (
+  SELECT dataset, count(*) AS "rows",
+         count(*) FILTER (WHERE is_valid_trip IS NULL OR is_valid_trip <> (trip_duration_min > 0)) AS validity_mismatch,
+         count(*) FILTER (WHERE tip_amount < 0) AS negative_tip, count(*) FILTER (WHERE tolls_amount < 0) AS negative_tolls
+  FROM silver_all GROUP BY dataset)
+UNPIVOT (n FOR counter IN ("rows", validity_mismatch, negative_tip, negative_tolls))"""))
+def q_dry_run_counters(spark, sf):
+    counters = {
+        "validity_mismatch": F.count_if(F.col("is_valid_trip").isNull() | (F.col("is_valid_trip") != (F.col("trip_duration_min") > 0))),
+        "negative_tip": F.count_if(F.col("tip_amount") < 0),
+        "negative_tolls": F.count_if(F.col("tolls_amount") < 0),
+    }
+    rows = [(ds, name, n) for ds in ("yellow", "green")
+            for name, n in tables.rehearse(silver(spark, sf, ds), counters).counters.items()]
+    return spark.createDataFrame(rows, "dataset string, counter string, n long")
+
+
 def _count_if_sql(pred: str) -> str:
     return f"CAST(sum(CASE WHEN {pred} THEN 1 ELSE 0 END) AS BIGINT)"
 

@@ -8,9 +8,12 @@ frame, so re-running a job for the same months converges to the same table.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import contextlib
+import io
+from collections.abc import Mapping, Sequence
+from typing import Any, NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -250,3 +253,27 @@ def dry_run(df: DataFrame) -> T.StructType:
     error exactly as the real write would.
     """
     return df.schema
+
+
+class Rehearsal(NamedTuple):
+    """What a write would have done: output schema, formatted plan, and the observed counters."""
+
+    schema: T.StructType
+    plan: str
+    counters: dict[str, Any]
+
+
+def rehearse(df: DataFrame, counters: Mapping[str, Column]) -> Rehearsal:
+    """Run the whole plan into the ``noop`` sink, which writes nothing.
+
+    ``counters`` are aggregates that are observed on the way, so audit figures
+    of a dry run cost no scan of their own.  Errors of reading or computing
+    surface as in the real write.  An empty frame gives the aggregates of no rows.
+    """
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("formatted")
+    seen = Observation()
+    out = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(name) for name, c in counters.items()])
+    out.write.format("noop").mode("overwrite").save()
+    return Rehearsal(df.schema, text.getvalue(), dict(seen.get))
