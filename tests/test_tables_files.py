@@ -350,3 +350,24 @@ def test_stored_asks_the_file_system_of_the_path(spark, tmp_path):
     from tollgate.sources.files import stored
 
     assert stored(spark, str(tmp_path)) and stored(spark, f"file://{tmp_path}") and not stored(spark, f"file://{tmp_path}/no")
+
+
+def test_layout_keeps_order_across_and_within_files(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from tollgate.sources import layout
+
+    df = spark.range(103).select((F.col("id") % 2).cast("int").alias("m"), ((F.col("id") * 37) % 103).alias("t"), F.col("id").alias("v"))
+    df = df.unionByName(spark.createDataFrame([(None, 5, 1), (None, 5, 1), (None, 4, 0), (None, None, 2)], "m int, t long, v long"))
+    for kind, n in (("fragmented", 4), ("compact", 1)):
+        out = str(tmp_path / kind)
+        layout.rewrite_layout(df, out, ["m"], kind, n_files=4, order=["t"])
+        for part in ("m=0", "m=1", "m=__HIVE_DEFAULT_PARTITION__"):
+            # A file is read by itself, so that its rows stay in their stored order.
+            files = [pq.ParquetFile(f).read(["t"])["t"].to_pylist() for f in (tmp_path / kind / part).glob("*.parquet")]
+            files = [[-1 if t is None else t for t in f] for f in files]
+            assert len(files) == n and all(f == sorted(f) for f in files)
+            files.sort()
+            assert all(a[-1] <= b[0] for a, b in zip(files, files[1:]))
+            assert max(map(len, files)) - min(map(len, files)) <= 1
+        assert sorted(map(str, spark.read.parquet(out).select(*df.columns).collect())) == sorted(map(str, df.collect()))

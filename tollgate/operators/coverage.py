@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tollgate.functions.scalar import seconds_between
 from tollgate.operators.sequence import dense_index
 from tollgate.operators.stats import descriptive, quantiles
 
@@ -261,6 +262,51 @@ def run_progress(attempt_members: DataFrame, expected: DataFrame) -> DataFrame:
     )
 
 
+# Exit code of each classified result.
+RUN_RESULTS = {"complete": 0, "running": 1, "invalid": 2, "orphaned": 3, "unknown": 3}
+
+
+def run_status(states: DataFrame, attempt_members: DataFrame, expected: DataFrame,
+               by: str = "comparison_id", now: Column | None = None) -> DataFrame:
+    """Progress and classification of many runs at once, one row per run.
+
+    ``states``: (by, status, runner_active, created_at, finished_at), one row per
+    run; ``attempt_members``: (by, pair_id, attempt, position, attempt_status,
+    member_status), NULL ``member_status`` for an attempt without members;
+    ``expected``: (by, expected_pairs, expected_members).  A running state without
+    an active runner is ``orphaned``.  ``current_pair`` is the pair of the attempt
+    with the largest ``position`` (ties: largest pair and attempt).  Unfinished
+    runs elapse until ``now``; a run without ``created_at`` has no elapsed time.
+    Runs without attempts have zero counts; runs without expectation expect nothing.
+    """
+    member = F.col("member_status")
+    attempts = attempt_members.groupBy(by, "pair_id", "attempt").agg(
+        F.max("attempt_status").alias("attempt_status"), F.max("position").alias("position"), F.count(member).alias("members"),
+        F.count_if(member == "complete").alias("complete"), F.count_if(member == "running").alias("running"), F.count_if(member == "failed").alias("failed"))
+    per_run = attempts.groupBy(by).agg(
+        F.count(F.lit(1)).alias("scheduled_pairs"),
+        F.count_if(F.col("attempt_status") == "complete").alias("completed_pairs"),
+        F.count_if(F.col("attempt_status") == "failed").alias("failed_pairs"),
+        F.sum("members").alias("scheduled_members"), F.sum("complete").alias("completed_members"),
+        F.sum("running").alias("running_members"), F.sum("failed").alias("failed_members"),
+        F.max_by("pair_id", F.struct("position", "pair_id", "attempt")).alias("current_pair"))
+    counts = ["scheduled_pairs", "completed_pairs", "failed_pairs", "scheduled_members", "completed_members", "running_members", "failed_members"]
+    joined = states.join(expected, by, "left").join(per_run, by, "left").na.fill(0, ["expected_pairs", "expected_members", *counts])
+    status, active = F.col("status"), F.coalesce(F.col("runner_active"), F.lit(False))
+    result = (F.when(status.isin("complete", "dry_run_complete"), "complete").when(status.isin("invalid", "failed"), "invalid")
+              .when((status == "running") & active, "running").when(status == "running", "orphaned").otherwise("unknown"))
+    codes = F.create_map(*[F.lit(x) for pair in RUN_RESULTS.items() for x in pair])
+    end = F.coalesce(F.col("finished_at"), now if now is not None else F.current_timestamp())
+    done = F.col("completed_members")
+    return joined.withColumn("result", result).select(
+        by, F.coalesce(status, F.lit("unknown")).alias("state_status"), "result", codes[F.col("result")].alias("exit_code"),
+        "expected_pairs", *counts[:3], "expected_members", *counts[3:],
+        F.greatest(F.col("expected_members") - done - F.col("running_members") - F.col("failed_members"), F.lit(0)).alias("pending_members"),
+        F.when(F.col("expected_members") > 0, done / F.col("expected_members") * 100).otherwise(F.lit(0.0)).alias("progress_percent"),
+        "current_pair",
+        F.when(F.col("created_at").isNotNull(), F.greatest(seconds_between(F.col("created_at"), end), F.lit(0.0))).alias("elapsed_seconds"))
+
+
 def profile_medians(runs: DataFrame, by: Sequence[str] = ("workload_name", "profile"),
                     value: str = "duration_seconds") -> DataFrame:
     """Runs per (workload, profile): n, min, median, max."""

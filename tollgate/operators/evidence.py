@@ -302,12 +302,13 @@ def cost_estimate(usage: DataFrame, rates: DataFrame,
     """Billable quantity x USD per usage metric; absent rates are flagged.
 
     Bytes are billed per GiB, units mentioning 1k / 1,000 per thousand,
-    everything else as is.  Rows with ``missing_rate`` carry no cost.
+    everything else as is.  A metric without usage is a row of quantity 0.
+    Rows with ``missing_rate`` carry no cost.
     """
-    m = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))])
-    u = usage.select("metric", F.col("quantity").cast("double").alias("quantity")) \
-        .where(F.col("metric").isin(*mapping)).withColumn("rate_name", F.element_at(m, F.col("metric")))
-    j = u.join(rates, "rate_name", "left")  # rates: at most one row per rate name
+    names = usage.sparkSession.createDataFrame(list(mapping.items()), "metric string, rate_name string")
+    used = usage.select("metric", F.col("quantity").cast("double").alias("quantity"))
+    # The mapping is a handful of rows; rates have at most one row per rate name.
+    j = names.join(used, "metric", "left").na.fill(0.0, ["quantity"]).join(rates, "rate_name", "left")
     unit = F.lower(F.coalesce(F.col("unit"), F.lit("")))
     billable = (F.when(F.col("metric") == "BytesDownloaded", F.col("quantity") / float(1024**3))
                 .when(unit.contains("1k") | unit.contains("1,000"), F.col("quantity") / 1000)
@@ -318,6 +319,14 @@ def cost_estimate(usage: DataFrame, rates: DataFrame,
     )
 
 
+def cost_total(cost: DataFrame) -> DataFrame:
+    """One row with the summed estimate and the sorted names of the missing rates.
+
+    The list is as long as the mapping of :func:`cost_estimate` at most."""
+    missing = F.sort_array(F.collect_set(F.when(F.col("missing_rate"), F.col("rate_name"))))
+    return cost.agg(F.coalesce(F.sum("estimated_usd"), F.lit(0.0)).alias("estimated_usd"), missing.alias("missing_rates"))
+
+
 def resource_summary(samples: DataFrame, members: DataFrame, capacity: DataFrame | None = None,
                      default_interval: float = 5.0) -> DataFrame:
     """Integrated resource use per architecture.

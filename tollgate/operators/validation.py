@@ -9,6 +9,7 @@ aggregate or join — nothing is collected except the final verdict row.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -137,6 +138,25 @@ def config_mismatches(recorded: DataFrame, scheduled: DataFrame, by: Sequence[st
     )
 
 
+def property_mismatches(tasks: DataFrame, scheduled: DataFrame, pairs: str = "spark_properties",
+                        subject: str = "metric_id", by: Sequence[str] = ("benchmark_run_id",)) -> DataFrame:
+    """V13 on recorded property lists: scheduled values that a task did not run with.
+
+    ``pairs`` holds a task's ``[[key, value], ...]``; of a repeated key the last
+    pair counts.  ``scheduled``: long (by..., key, value).  Every task is checked
+    against every scheduled key of its run; a task without the key, or without
+    a list, has recorded NULL.  The lists are looked up in place, not exploded.
+    """
+    wanted = scheduled.select(*by, "key", F.col("value").alias("scheduled_value"))
+    named = F.filter(F.col(pairs), lambda pair: F.get(pair, F.lit(0)) == F.col("key"))
+    recorded = F.get(F.try_element_at(named, F.lit(-1)), F.lit(1))
+    return (
+        tasks.select(subject, *by, pairs).join(wanted, list(by), "inner")
+        .select(subject, *by, "key", "scheduled_value", recorded.alias("recorded_value"))
+        .where(~F.col("recorded_value").eqNullSafe(F.col("scheduled_value")))
+    )
+
+
 # Acceptance status texts.
 BLOCKED = "ACCEPTANCE BLOCKED"
 INVALID = "INVALID"
@@ -146,13 +166,9 @@ READY = "READY FOR MANUAL ACCEPTANCE"
 def verdict(violations: Sequence[DataFrame], accepted_on: str | None = None,
             blocked_label: str = BLOCKED) -> DataFrame:
     """One row — status and violation count over all violation frames."""
-    total = None
-    for v in violations:
-        c = v.agg(F.count(F.lit(1)).alias("n"))
-        total = c if total is None else total.withColumn("_k", F.lit(1)).join(
-            c.withColumnRenamed("n", "m").withColumn("_k", F.lit(1)), "_k").select((F.col("n") + F.col("m")).alias("n"))
-    if total is None:
+    if not violations:
         raise ValueError("verdict needs at least one violation frame")
+    total = reduce(DataFrame.unionAll, [v.select(F.lit(1).alias("_one")) for v in violations]).agg(F.count("_one").alias("n"))
     accepted = F.lit(f"ACCEPTED {accepted_on}") if accepted_on else F.lit(READY)
     return total.select(
         F.col("n").alias("violations"),

@@ -323,7 +323,7 @@ SELECT {PKEYS}, status, count(*) AS check_count FROM (
 
 def _load_all() -> None:
     # Importing the other registry modules registers their queries.
-    from tollgate.plans import (registry_evidence, registry_metrics, registry_tables,  # noqa: F401
+    from tollgate.plans import (registry_evidence, registry_metrics, registry_reports, registry_tables,  # noqa: F401
                                 registry_validation)
 
 

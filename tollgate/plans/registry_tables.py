@@ -15,6 +15,7 @@ from tollgate.operators import marts, quality
 from tollgate.operators.metric_rows import layout_rows, pipeline_rows, query_rows, task_rows, union_metrics
 from tollgate.plans import oracle
 from tollgate.plans.datasets import silver, silver_all
+from tollgate.plans.jobs import Warehouse, medallion_run
 from tollgate.plans.registry import (ADAPTER_MIN_YEAR, AUDIT_RUNS, GOLD_ROUND, GOLD_SQL, _audit_frames,
                                      _audit_sql_all, register, rnd)
 from tollgate.plans.registry_metrics import _rm
@@ -134,6 +135,7 @@ FROM run_metrics WHERE architecture <> 'onprem' OR duration_seconds >= 5"""))(_r
 # ---------------------------------------------------------------------------
 
 N_FILES = 16
+ORDERED_FILES = 4
 # (sf_dir, layout, dataset) -> rewritten table: the layout queries share one rewrite
 # per process (the rewrite is deterministic for a given input).
 _LAYOUTS: dict[tuple[str, str, str], str] = {}
@@ -150,6 +152,27 @@ def _rewritten(spark, sf, kind, dataset="yellow"):
     return target
 
 
+def _ordered(spark, sf):
+    """Rows and pickup range of every file, after a rewrite in pickup order."""
+    out = []
+    for ds in DATASETS:
+        target = work_path(spark, f"layout-ordered-{ds}")
+        layout.rewrite_layout(silver(spark, sf, ds), target, SILVER_PARTITION_COLUMNS, "fragmented", n_files=ORDERED_FILES, strict=False, order=["pickup_ts"])
+        out.append(tables.read_table(spark, target).groupBy("year", "month", F.col("_metadata.file_path").alias("_file")).agg(
+            F.count(F.lit(1)).alias("records"), F.min("pickup_ts").alias("first_pickup"), F.max("pickup_ts").alias("last_pickup"))
+            .select(F.lit(ds).alias("dataset"), F.col("year").cast("int"), F.col("month").cast("int"), "records", "first_pickup", "last_pickup"))
+    return out[0].unionByName(out[1])
+
+
+register("layout_ordered", oracle.with_silver(f"""
+SELECT dataset, year, month, count(*) AS records, min(pickup_ts) AS first_pickup, max(pickup_ts) AS last_pickup
+FROM (SELECT dataset, year, month, pickup_ts,
+             ((row_number() OVER (PARTITION BY dataset, year, month ORDER BY pickup_ts) - 1) * {ORDERED_FILES})
+             // count(*) OVER (PARTITION BY dataset, year, month) AS file
+      FROM silver_all)
+GROUP BY dataset, year, month, file"""))(_ordered)
+
+
 def _inventory(spark, target):
     inv = layout.file_inventory(spark, target, SILVER_PARTITION_COLUMNS)
     return inv.select(F.col("year").cast("int"), F.col("month").cast("int"), "file_count", "empty_files",
@@ -412,8 +435,8 @@ def _ingest(spark, sf):
 register("incremental_ingest", GOLD_SQL)(_ingest)
 
 
-#: The gate of ``ingest_gated``: months before this year fail it.
-GATE_YEAR = 1995
+#: The gate of ``ingest_gated`` and ``medallion_gated``: months before this year (the data's first) fail it.
+GATE_YEAR = 1996
 
 
 def _ingest_gated(spark, sf):
@@ -448,6 +471,30 @@ SELECT dataset, year, month, CASE WHEN year >= {GATE_YEAR} THEN 'done' ELSE 'fai
 FROM silver_all GROUP BY dataset, year, month"""))(_ingest_gated)
 
 
+def _medallion_gated(spark, sf):
+    """C1 to C4 over both datasets: silver, audits and gold as stored, months before the gate's year held back."""
+    house = Warehouse(work_path(spark, "medallion"))
+    rules = [quality.Rule("year", "ge", GATE_YEAR)]
+    run = medallion_run(spark, {ds: raw_trips(spark, sf, ds) for ds in DATASETS}, house, context={"benchmark_run_id": "run", "repetition": 1},
+                        rules={ds: rules for ds in DATASETS})
+    keys = ["dataset", "year", "month"]
+    trips = [tables.read_table(spark, house.silver(ds)).select(F.lit(ds).alias("dataset"), *keys[1:]) for ds in DATASETS]
+    silver_rows = trips[0].unionByName(trips[1]).groupBy(*keys).agg(F.count(F.lit(1)).alias("silver_rows"))
+    audits = tables.read_table(spark, house.quality).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("audit_rows"), F.count_if((F.col("severity") == "hard") & (F.col("status") == "fail")).alias("hard_failures"))
+    gold = tables.read_table(spark, house.gold).select(*keys, "trip_count")
+    held = run["failed_partitions"].withColumn("held", F.lit(True))
+    return (silver_rows.join(audits, keys, "left").join(gold, keys, "left").join(held, keys, "left")
+            .withColumn("held", F.coalesce("held", F.lit(False))))
+
+
+register("medallion_gated", oracle.with_silver(f"""
+SELECT dataset, year, month, count(*) AS silver_rows, CAST(5 AS BIGINT) AS audit_rows,
+       CAST(CASE WHEN year < {GATE_YEAR} THEN 1 ELSE 0 END AS BIGINT) AS hard_failures,
+       CASE WHEN year >= {GATE_YEAR} THEN count(*) END AS trip_count, year < {GATE_YEAR} AS held
+FROM silver_all GROUP BY dataset, year, month"""))(_medallion_gated)
+
+
 def _rerun(spark, sf, dataset="green"):
     target = work_path(spark, f"silver-rerun-{dataset}")
     checkpoint_root(spark)
