@@ -2,7 +2,9 @@
 
 Each line is judged on punctuation, navigation and boilerplate; failing lines
 are removed, and a document is rejected when the removed lines hold too large
-a part of its characters, or when it fails the base rules.
+a part of its characters, or when it fails the base rules.  Navigation is a
+line with separators between its words, or a run of short lines that none of
+them ends as a sentence does (a menu, one entry a line).
 
 Defined results: a null text has no lines and no words and fails the base
 rules; lines without a word are neither judged nor counted; repeated documents
@@ -11,6 +13,8 @@ get the same verdict each; extra columns don't matter.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,9 +27,17 @@ MAX_LOST = 0.5
 #: Marks per word, and separators per word, beyond which a line fails.
 MAX_SYMBOLS = 0.3
 MAX_SEPARATORS = 0.25
+#: A menu: so many neighbouring lines of at most so many words and characters, none ending in a mark.
+MENU_RUN = 5
+MENU_WORDS = 4
+MENU_CHARS = 40
+ENDINGS = ".!?:;,…。！？؟\"'»”’)"
 #: Phrases of page furniture, compared in lower case.
 BOILERPLATE = ("all rights reserved", "cookie policy", "enable javascript", "lorem ipsum", "privacy policy",
-               "terms of service", "terms of use", "subscribe to our newsletter", "skip to content")
+               "terms of service", "terms of use", "subscribe to our newsletter", "skip to content",
+               "alle rechte vorbehalten", "datenschutzerklärung", "impressum", "nutzungsbedingungen",
+               "tous droits réservés", "politique de confidentialité", "mentions légales", "conditions d'utilisation",
+               "todos los derechos reservados", "política de privacidad", "aviso legal", "términos de uso")
 BOILERPLATE_WORDS = 40
 
 
@@ -88,18 +100,33 @@ def repeated_words(h: Column, size: int = WINDOW) -> Column:
 
 
 def line_fails(line: Column) -> Column:
-    """Whether a line with words fails a rule; its words are counted by its spaces."""
+    """Whether a line with words fails a rule; its words are counted by its spaces and tabs."""
     def judge(v):
         n, marks = v["n"], v["marks"]
         separators = occurrences(line, "|»›•")
         marked = (marks > 0) & ((marks > MAX_SYMBOLS * n) | bound(separators, lambda s: (s >= 2) & (s > MAX_SEPARATORS * n)))
         shouted = ~line.rlike(r"\p{Ll}") & (F.length(line) >= 20) & line.rlike(r"\p{Lu}")
         boilerplate = (n <= BOILERPLATE_WORDS) & F.lower(line).rlike("|".join(BOILERPLATE))
-        doubled = (n >= 10) & (n <= 30) & (F.size(F.array_distinct(F.split(line, " "))) < 0.6 * n)
+        doubled = (n >= 10) & (n <= 30) & (F.size(F.array_distinct(F.split(line, "[ \t]"))) < 0.6 * n)
         return marked | shouted | boilerplate | doubled
 
     marks = F.length(line) - F.length(F.translate(line, "#*$%&<>~^{}!?|»›•", ""))
-    return bound(F.struct((occurrences(line, " ") + 1).alias("n"), marks.alias("marks")), judge)
+    return bound(F.struct((occurrences(line, " \t") + 1).alias("n"), marks.alias("marks")), judge)
+
+
+def menu_lines(lines: Column) -> Column:
+    """Per line, whether it belongs to a run of at least MENU_RUN short lines without an ending."""
+    def short(x):
+        ended = F.instr(F.lit(ENDINGS), F.right(F.rtrim(x), F.lit(1))) > 0
+        return (F.length(x) <= MENU_CHARS) & (occurrences(F.btrim(x, F.lit(BLANK)), " \t") < MENU_WORDS) & ~ended
+
+    def reach(flags):
+        """Lines that end a whole run, then all lines up to MENU_RUN - 1 before one of them."""
+        full = F.transform(flags, lambda x, i: reduce(Column.__and__, [F.coalesce(F.get(flags, i - j), F.lit(False)) for j in range(MENU_RUN)]))
+        return bound(full, lambda ends: F.transform(ends, lambda x, i: reduce(
+            Column.__or__, [F.coalesce(F.get(ends, i + j), F.lit(False)) for j in range(MENU_RUN)])))
+
+    return F.when(F.size(lines) < MENU_RUN, F.transform(lines, lambda x: F.lit(False))).otherwise(bound(F.transform(lines, short), reach))
 
 
 def clean_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_lost: float = MAX_LOST) -> DataFrame:
@@ -107,14 +134,14 @@ def clean_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max
     whole = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(doc_id).alias("doc_id"), whole.alias("text"), words(whole).alias("words"),
                        F.filter(F.split(whole, "\n"), lambda x: F.btrim(x, F.lit(BLANK)) != "").alias("lines"))
-    rows = with_window_hashes(rows, "words", "windows")
+    rows = with_window_hashes(rows.withColumn("menu", menu_lines(F.col("lines"))), "words", "windows")
     rows = rows.select(
         "doc_id", F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("windows")).cast("long").alias("n_repeat_words"),
-        F.transform("lines", lambda x: F.struct(x.alias("line"), line_fails(x).alias("fails"))).alias("judged"))
+        F.zip_with("lines", "menu", lambda x, m: F.struct(x.alias("line"), (m | line_fails(x)).alias("fails"))).alias("judged"))
     chars = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda s, x: s + F.length(x["line"]))
     rows = rows.withColumn("lost", chars(F.filter("judged", lambda x: x["fails"]))).withColumn("all", chars(F.col("judged")))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
