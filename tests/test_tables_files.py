@@ -371,3 +371,23 @@ def test_layout_keeps_order_across_and_within_files(spark, tmp_path):
             assert all(a[-1] <= b[0] for a, b in zip(files, files[1:]))
             assert max(map(len, files)) - min(map(len, files)) <= 1
         assert sorted(map(str, spark.read.parquet(out).select(*df.columns).collect())) == sorted(map(str, df.collect()))
+
+
+def test_layout_reads_its_source_once_and_cuts_evenly(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = (spark.range(0, 205, 1, 7).select(F.when(F.col("id") < 200, (F.col("id") % 2).cast("int")).alias("m"), F.col("id").alias("v"))
+          .mapInArrow(counted, "m int, v long"))
+    layout.rewrite_layout(df, str(tmp_path / "out"), ["m"], "fragmented", n_files=8, strict=False)
+    assert read.value == 205
+    for part, sizes in (("m=0", [12] * 4 + [13] * 4), ("m=1", [12] * 4 + [13] * 4), ("m=__HIVE_DEFAULT_PARTITION__", [1] * 5)):
+        files = [pq.ParquetFile(f).metadata.num_rows for f in (tmp_path / "out" / part).glob("*.parquet")]
+        assert sorted(files) == sizes
+    assert sorted(r.v for r in spark.read.parquet(str(tmp_path / "out")).collect()) == list(range(205))
