@@ -33,6 +33,8 @@ from tollgate.llm.common import map_arrow, materialize, text_bytes, values, work
 HEAD_WORDS = 300_000
 #: Distinct words that a task counts before it passes them on.
 TASK_WORDS = 200_000
+#: Words, and bytes of them, whose lattices a task looks at together.
+GROUP_WORDS, GROUP_BYTES = 60_000, 4_000_000
 #: Rounds of expectation that fit the pieces' counts.
 ROUNDS = 1
 #: Added to each piece's count.
@@ -68,36 +70,58 @@ def _processor(path: str | None):
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SPREAD = np.uint64(0xD6E8FEB86659FD93)
+#: Probabilities of words below this are summed as logarithms.
+_TINY = 1e-250
+
+
+def _hashes(strings) -> np.ndarray:
+    out = []
+    for string in strings:
+        h = 0
+        for c in string:
+            h = (h * int(_STEP) + ord(c) + 1) % 2 ** 64
+        out.append(h)
+    return np.array(out, np.uint64)
 
 
 class _Pieces:
-    """Log scores of character strings, looked up for many strings at once by a rolling hash."""
+    """Scores of character strings, looked up for many strings at once by a rolling hash."""
 
     def __init__(self, scores: dict[str, float], numbers: dict[str, int]):
-        keys = []
-        for piece in scores:
-            h = 0
-            for c in piece:
-                h = (h * int(_STEP) + ord(c) + 1) % 2 ** 64
-            keys.append(h)
-        keys = np.array(keys, np.uint64)
+        keys = _hashes(scores)
         order = np.argsort(keys)
         self.keys, self.scores = keys[order], np.array(list(scores.values()), float)[order]
+        self.odds = np.exp(self.scores)
         self.numbers = np.array([numbers[piece] for piece in scores], np.int64)[order]
         self.own = frozenset(self.numbers.tolist())
-        self.seen = np.zeros(1 << 20, bool)
-        self.seen[self._slot(self.keys)] = True
+        # By slot of the hash: 1 where a piece may go on, 2 where one may end.
+        self.seen = np.zeros(1 << 20, np.uint8)
+        self.seen[self._slot(_hashes({piece[:i] for piece in scores for i in range(1, len(piece))}))] = 1
+        self.seen[self._slot(self.keys)] |= 2
 
     @staticmethod
     def _slot(h: np.ndarray) -> np.ndarray:
         return ((h * _SPREAD) >> np.uint64(44)).astype(np.int64)
 
-    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Rows of ``h`` that are pieces, their scores and their numbers."""
-        rows = np.flatnonzero(self.seen[self._slot(h)])
-        at = np.minimum(np.searchsorted(self.keys, h[rows]), len(self.keys) - 1)
-        real = self.keys[at] == h[rows]
-        return rows[real], self.scores[at[real]], self.numbers[at[real]]
+    def walk(self, codes: np.ndarray, i: int, span: int):
+        """(end, rows, places of the pieces) of all pieces that the words hold from ``i`` on.
+
+        A word is followed only as long as some piece may begin with what was read."""
+        rows, h = np.arange(codes.shape[1]), np.zeros(codes.shape[1], np.uint64)
+        for j in range(i, min(len(codes), i + span)):
+            h = h * _STEP + codes[j, rows]
+            state = self.seen[self._slot(h)]
+            ends = np.flatnonzero(state & 2)
+            if len(ends):
+                found = h[ends]
+                at = np.minimum(np.searchsorted(self.keys, found), len(self.keys) - 1)
+                real = self.keys[at] == found
+                if real.any():
+                    yield j + 1, rows[ends[real]], at[real]
+            more = np.flatnonzero(state & 1)
+            if not len(more):
+                return
+            rows, h = rows[more], h[more]
 
 
 class Lattice:
@@ -123,52 +147,85 @@ class Lattice:
                 inner[piece] = p
                 numbers[1][piece] = i
         self.span = max(map(len, [*first, *inner]))
-        self.letters = set(map(ord, (x for x in inner if len(x) == 1)))
+        self.letter = np.zeros(0x110000, bool)
+        self.letter[[ord(x) for x in inner if len(x) == 1]] = True
         # A word that no other piece starts begins with the bare start mark.
         self.bare, self.bare_number = first.pop("", math.log(PIECE_PRIOR / total)), numbers[0].get("", 0)
         self.first, self.inner = _Pieces(first, numbers[0]), _Pieces(inner, numbers[1])
 
-    def fallback(self, codes: np.ndarray) -> np.ndarray:
-        """Score of each character as its bytes; minus infinity where a piece spells it."""
-        kinds, at = np.unique(codes, return_inverse=True)
-        scores = [-math.inf if c in self.letters else float(self.bytes[list(chr(c).encode("utf-8", "replace"))].sum()) for c in kinds.tolist()]
-        return np.array(scores)[at]
+    def fallback(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the characters that no piece spells, and their scores as bytes."""
+        rows = np.flatnonzero(~self.letter[codes])
+        kinds, at = np.unique(codes[rows], return_inverse=True)
+        return rows, np.array([float(self.bytes[list(chr(c).encode("utf-8", "replace"))].sum()) for c in kinds.tolist()])[at]
 
-    def edges(self, codes: np.ndarray):
+    def edges(self, codes: np.ndarray, log: bool):
         """Edges of the lattices of words of one length (rows of character codes), by where they begin:
-        (begin, end, rows, scores, piece numbers or None for a character's bytes)."""
-        m, n = codes.shape
-        codes = codes.astype(np.uint64)
-        whole = np.arange(m)
-        for i in range(n):
-            spelled = self.fallback(codes[:, i])
-            rows = np.flatnonzero(spelled > -math.inf)
+        (begin, end, rows, scores or probabilities, piece numbers or None for a character's bytes)."""
+        columns = np.ascontiguousarray(codes.T)
+        stepped = columns.astype(np.uint64) + np.uint64(1)
+        for i in range(len(columns)):
+            rows, p = self.fallback(columns[i])
             if len(rows):
-                yield i, i + 1, rows, spelled[rows], None
-            h = np.zeros(m, np.uint64)
-            for j in range(i, min(n, i + self.span)):
-                h = h * _STEP + (codes[:, j] + np.uint64(1))
-                if i == 0:
-                    rows, p, number = self.first.find(h)
-                    # In place of the bare start mark, which every lattice's first score holds.
-                    yield 0, j + 1, whole[rows], p - self.bare, number
-                yield i, j + 1, *self.inner.find(h)
+                yield i, i + 1, rows, p if log else np.exp(p), None
+            if i == 0:
+                # In place of the bare start mark, which every lattice's first score holds.
+                for j, rows, at in self.first.walk(stepped, 0, self.span):
+                    p = self.first.scores[at] - self.bare
+                    yield 0, j, rows, p if log else np.exp(p), self.first.numbers[at]
+            for j, rows, at in self.inner.walk(stepped, i, self.span):
+                yield i, j, rows, (self.inner.scores if log else self.inner.odds)[at], self.inner.numbers[at]
 
     def same_length(self, codes: np.ndarray) -> np.ndarray:
-        """Forward recursion over all segmentations."""
+        """Forward recursion over all segmentations.
+
+        On probabilities; words whose sum comes near the smallest doubles once more on logarithms."""
+        m, n = codes.shape
+        alpha = np.zeros((n + 1, m))
+        alpha[0] = math.exp(self.bare)
+        for i, j, rows, p, _ in self.edges(codes, False):
+            alpha[j, rows] += alpha[i, rows] * p
+        out, tiny = np.empty(m), alpha[n] < _TINY
+        out[~tiny] = np.log(alpha[n, ~tiny])
+        if tiny.any():
+            out[tiny] = self._in_logs(codes[tiny])
+        return out
+
+    def _in_logs(self, codes: np.ndarray) -> np.ndarray:
         m, n = codes.shape
         alpha = np.full((n + 1, m), -math.inf)
         alpha[0] = self.bare
-        for i, j, rows, p, _ in self.edges(codes):
+        for i, j, rows, p, _ in self.edges(codes, True):
             alpha[j, rows] = np.logaddexp(alpha[j, rows], alpha[i, rows] + p)
         return alpha[n]
 
     def expected(self, codes: np.ndarray) -> np.ndarray:
         """How often each piece is expected in the words' segmentations (forward and backward recursion)."""
+        m, n = codes.shape
+        alpha, beta = np.zeros((n + 1, m)), np.zeros((n + 1, m))
+        alpha[0], beta[n] = math.exp(self.bare), 1
+        edges = list(self.edges(codes, False))
+        for i, j, rows, p, _ in edges:
+            alpha[j, rows] += alpha[i, rows] * p
+        tiny = alpha[n] < _TINY
+        if tiny.any():
+            rest = self.expected(codes[~tiny]) if not tiny.all() else 0
+            return rest + self._expected_in_logs(codes[tiny])
+        out, total = np.zeros(self.size), alpha[n]
+        started = np.zeros(m)
+        for i, j, rows, p, number in reversed(edges):
+            part = p * beta[j, rows]
+            beta[i, rows] += part
+            if number is not None:
+                self._share(out, started, alpha[i, rows] * part / total[rows], i, rows, number)
+        out[self.bare_number] += (1 - started).sum()
+        return out
+
+    def _expected_in_logs(self, codes: np.ndarray) -> np.ndarray:
         m, n = codes.shape
         alpha, beta = np.full((n + 1, m), -math.inf), np.full((n + 1, m), -math.inf)
         alpha[0], beta[n] = self.bare, 0
-        edges = list(self.edges(codes))
+        edges = list(self.edges(codes, True))
         for i, j, rows, p, _ in edges:
             alpha[j, rows] = np.logaddexp(alpha[j, rows], alpha[i, rows] + p)
         out, total = np.zeros(self.size), alpha[n]
@@ -177,13 +234,16 @@ class Lattice:
             part = p + beta[j, rows]
             beta[i, rows] = np.logaddexp(beta[i, rows], part)
             if number is not None:
-                share = np.exp(alpha[i, rows] + part - total[rows])
-                out += np.bincount(number, share, minlength=self.size)
-                if i == 0 and len(number) and (number[0] in self.first.own):
-                    started[rows] += share
+                self._share(out, started, np.exp(alpha[i, rows] + part - total[rows]), i, rows, number)
         out[self.bare_number] += (1 - started).sum()
         return out
 
+    def _share(self, out: np.ndarray, started: np.ndarray, share: np.ndarray, i: int, rows: np.ndarray, number: np.ndarray) -> None:
+        """Adds the shares of edges from ``i`` on to the pieces, and to the words' starts."""
+        np.add.at(out, number, share)
+        if i == 0 and number[0] in self.first.own:
+            started[rows] += share
+
     def blocks(self, words: list[str]):
         """(rows, character codes) of words of one length, in blocks of bounded size however long the words."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
@@ -203,6 +263,19 @@ class Lattice:
         return out
 
 
+def _grouped(batches):
+    """The batches' rows in fewer, larger batches of bounded size: each recursion then runs over many words."""
+    held, n, size = [], 0, 0
+    for batch in batches:
+        held.append(batch)
+        n, size = n + batch.num_rows, size + batch.nbytes
+        if n >= GROUP_WORDS or size >= GROUP_BYTES:
+            yield pa.concat_batches(held)
+            held, n, size = [], 0, 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def count_words(docs: DataFrame) -> DataFrame:
     """(word, trained, seen) from rows (text, held_out): counts per task, then summed.
 
@@ -246,7 +319,7 @@ def piece_counts(words: DataFrame, tokenizer_path: str | None = None, rounds: in
     def gathered(count) -> np.ndarray:
         def task(batches):
             total = 0
-            for batch in batches:
+            for batch in _grouped(batches):
                 total = total + count([w.decode("utf-8", "replace") for w in values(batch.column("word"))])
             hit = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int32()), pa.array(np.asarray(total, float).reshape(-1)[hit])], names=["piece", "n"])
@@ -283,7 +356,7 @@ def word_scores(words: DataFrame, totals: dict, counts: np.ndarray, tokenizer_pa
 
     def task(batches):
         lattice = Lattice(counts, tokenizer_path)
-        for batch in batches:
+        for batch in _grouped(batches):
             trained = batch.column("trained").to_numpy().astype(float)
             base = np.log10((trained + 1) / (n + v + 1))
             spelled = lattice.marginals([w.decode("utf-8", "replace") for w in values(batch.column("word"))])
