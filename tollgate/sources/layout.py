@@ -69,19 +69,23 @@ def rewrite_layout(df: DataFrame, target: str, part_cols: Sequence[str], layout:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def _running_count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """How many rows of the same slot came before, in one task's rows."""
-    seen: dict[int, int] = {}
-    for batch in batches:
-        slots, at, sizes = np.unique(batch.to_numpy(zero_copy_only=False), return_inverse=True, return_counts=True)
-        by_slot = np.argsort(at, kind="stable")
-        out = np.empty(len(at), np.int64)
-        out[by_slot] = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        slots = slots.tolist()
-        out += np.array([seen.get(s, 0) for s in slots], np.int64)[at]
-        for s, size in zip(slots, sizes.tolist()):
-            seen[s] = seen.get(s, 0) + size
-        yield pa.array(out)
+def _running_count():
+    """The task code, nested so that it is pickled by value: workers need not have this package."""
+    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        """How many rows of the same slot came before, in one task's rows."""
+        seen: dict[int, int] = {}
+        for batch in batches:
+            slots, at, sizes = np.unique(batch.to_numpy(zero_copy_only=False), return_inverse=True, return_counts=True)
+            by_slot = np.argsort(at, kind="stable")
+            out = np.empty(len(at), np.int64)
+            out[by_slot] = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            slots = slots.tolist()
+            out += np.array([seen.get(s, 0) for s in slots], np.int64)[at]
+            for s, size in zip(slots, sizes.tolist()):
+                seen[s] = seen.get(s, 0) + size
+            yield pa.array(out)
+
+    return count
 
 
 def _write_layout(staged: DataFrame, target: str, part_cols: list[str], n: int, strict: bool, order: list[str]) -> None:
@@ -103,7 +107,7 @@ def _write_layout(staged: DataFrame, target: str, part_cols: list[str], n: int,
     starts = starts.withColumn("_slot", F.monotonically_increasing_id()).checkpoint(eager=True)
     placed = join_null_safe(rows, F.broadcast(starts), [*part_cols, *piece])
     if n > 1:
-        placed = placed.withColumn("_i", F.col("_start") + F.arrow_udf(_running_count, "long")("_slot"))
+        placed = placed.withColumn("_i", F.col("_start") + F.arrow_udf(_running_count(), "long")("_slot"))
     cut = F.expr(f"(_i * {n}) div _rows") if n > 1 else F.lit(0)
     out = placed.withColumn("_pid", (F.col("_p") * n + cut).cast("int")).repartitionById(int(sizes.count() * n), "_pid")
     if order:
