@@ -36,7 +36,7 @@ _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task
 #: ASCII marks that the tokenizer splits off a run of letters as one token run; the apostrophe is not among them.
 _MARKS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 #: Bytes of text that a task tokenizes at once.
-_SLICE = 4_000_000
+_SLICE = 8_000_000
 
 
 class Tokens:
@@ -59,49 +59,76 @@ class Tokens:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         path = path or public_tokenizers.path("word_bpe_49k.json")
-        self.tokenizer, self.merges = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.merges.normalizer = normalizers.Sequence([])
-        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        state = worker_state()
+        if ("word runs", path) not in state:
+            whole, merges = Tokenizer.from_file(path), Tokenizer.from_file(path)
+            merges.normalizer = normalizers.Sequence([])
+            merges.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+            # Whether each id is the last one of a run: those carry the suffix of a word's end, if the vocabulary has one.
+            vocabulary, suffix = merges.get_vocab(), merges.model.end_of_word_suffix
+            last = np.zeros(max(vocabulary.values()) + 1, bool)
+            last[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+            state["word runs", path] = whole, merges, last, {}, {}
+        self.tokenizer, self.merges, self.last, self.runs, self.older = state["word runs", path]
         # Byte-level vocabularies write each byte as a visible character.
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in visible]
         self.visible = {b: b for b in visible} | {b: 256 + i for i, b in enumerate(hidden)} | {10: 32}
-        self.runs: dict[str, bytes] = worker_state().setdefault(("word runs", path), {})
 
     def encode(self, chunk: str) -> bytes:
         return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, runs: set[str]) -> None:
-        """Code lower-case letter runs that the table lacks."""
+    def learn(self, runs: list[str]) -> list[bytes]:
+        """Ids of distinct lower-case letter runs; a full table is set aside, and what is used of it again moves to the new one."""
         if len(self.runs) > self.RUNS:
+            self.older.clear()
+            self.older.update(self.runs)
             self.runs.clear()
-        new = list(runs.difference(self.runs))
+        known, out = self.runs, list(map(self.runs.get, runs))
+        lacking = [i for i, code in enumerate(out) if code is None]
+        for i, code in zip(lacking, map(self.older.get, [runs[i] for i in lacking])):
+            if code is not None:
+                known[runs[i]] = out[i] = code
+        lacking = [i for i in lacking if out[i] is None]
+        new = [runs[i] for i in lacking]
         for i in range(0, len(new), 4000):
             part = new[i:i + 4000]
-            coded = self.merges.encode("\n".join(part).encode().decode("latin-1").translate(self.visible), add_special_tokens=False)
-            raw, word = np.array(coded.ids, "<u4").tobytes(), np.array(coded.word_ids, np.int64)
-            cuts = np.append(np.flatnonzero(np.diff(word, prepend=-1)), len(word)).tolist()
-            self.runs.update((run, raw[4 * a:4 * b]) for run, a, b in zip(part, cuts, cuts[1:], strict=False))
+            shown = "\n".join(part).encode().decode("latin-1").translate(self.visible)
+            if self.last.any():
+                ids = np.array(self.merges.encode_batch_fast([shown], add_special_tokens=False)[0].ids, "<u4")
+                ends = self.last[ids]
+            else:
+                coded = self.merges.encode(shown, add_special_tokens=False)
+                ids, ends = np.array(coded.ids, "<u4"), np.diff(np.array(coded.word_ids, np.int64), append=-1) != 0
+            raw, cuts = ids.tobytes(), [0, *(4 * (np.flatnonzero(ends) + 1)).tolist()]
+            known.update(zip(part, [raw[a:b] for a, b in zip(cuts, cuts[1:])], strict=True))
+        for i, run in zip(lacking, new):
+            out[i] = known[run]
+        return out
 
-    def code(self, chunks: pa.StringArray) -> list[bytes]:
+    def code(self, chunks: pa.StringArray) -> pa.LargeBinaryArray:
         """Ids of each of the distinct ``chunks``, as little-endian uint32 bytes."""
         run = pc.utf8_rtrim(chunks, characters=_MARKS)
-        simple = values(pc.and_(pc.utf8_is_alpha(run), pc.invert(pc.match_substring_regex(run, "\u03a3|\u0130"))))
-        plain, low = values(pc.string_is_ascii(run)), values(pc.utf8_lower(run))
-        simple = [ok and (p or is_normalized("NFC", x)) for ok, p, x in zip(simple, plain, low)]
-        self.learn({x for x, ok in zip(low, simple) if ok})
-        runs, marks, out = self.runs, {"": b""}, []
-        for chunk, x, ok in zip(values(chunks), low, simple):
-            if not ok:
-                out.append(self.encode(chunk))
-            elif len(x) == len(chunk):
-                out.append(runs[x])
-            else:
-                tail = chunk[len(chunk.rstrip(_MARKS)):]
-                if tail not in marks:
-                    marks[tail] = self.encode(tail)
-                out.append(runs[x] + marks[tail])
-        return out
+        simple = pc.and_(pc.utf8_is_alpha(run), pc.invert(pc.match_substring_regex(run, "\u03a3|\u0130")))
+        low = pc.utf8_lower(run).filter(simple).dictionary_encode()
+        plain, names = values(pc.string_is_ascii(low.dictionary)), values(low.dictionary)
+        composed = np.array([p or is_normalized("NFC", x) for p, x in zip(plain, names)], bool)
+        simple = simple.to_numpy(zero_copy_only=False).copy()
+        at = low.indices.to_numpy()
+        simple[simple] = composed[at]
+        at = at[composed[at]]
+        # A chunk is one of the first table, then one of the second, whose first entry is empty.
+        front = [*self.learn([x for x, ok in zip(names, composed.tolist()) if ok]), *map(self.encode, values(chunks.filter(pa.array(~simple))))]
+        first, second = np.empty(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+        first[simple] = (np.cumsum(composed) - 1)[at]
+        first[~simple] = np.arange(composed.sum(), len(front))
+        size = pc.utf8_length(run).to_numpy()
+        tailed = simple & (pc.utf8_length(chunks).to_numpy() > size)
+        tails = pa.array([x[n:] for x, n in zip(values(chunks.filter(pa.array(tailed))), size[tailed].tolist())], pa.string()).dictionary_encode()
+        second[tailed] = 1 + tails.indices.to_numpy()
+        back = [b"", *map(self.encode, values(tails.dictionary))]
+        parts = [pa.array(table, pa.large_binary()).take(pa.array(x)) for table, x in ((front, first), (back, second))]
+        return pc.binary_join_element_wise(*parts, pa.scalar(b"", pa.large_binary()))
 
     def ids(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after another, each text followed by the end id, and where each text begins (and the last ends)."""
@@ -110,42 +137,52 @@ class Tokens:
             flat = pc.replace_substring(flat, blank, " ")
         parts = pc.split_pattern(flat, " ")
         coded = parts.flatten().dictionary_encode()
-        table = [*self.code(coded.dictionary), np.array([END_ID], "<u4").tobytes()]
-        sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
-        known, begins = np.frombuffer(b"".join(table), "<u4"), np.cumsum(sizes) - sizes
+        table = pa.concat_arrays([self.code(coded.dictionary), pa.array([np.array([END_ID], "<u4").tobytes()], pa.large_binary())])
         stops = np.cumsum(pc.list_value_length(parts).to_numpy())
         chunk = np.insert(coded.indices.to_numpy().astype(np.int64), stops, len(table) - 1)
-        size = sizes[chunk]
-        past = np.cumsum(size)
-        at = np.arange(past[-1] if len(past) else 0) + np.repeat(begins[chunk] - past + size, size)
-        ends = past[stops + np.arange(len(stops))]
-        return known[at], np.concatenate([np.zeros(1, np.int64), ends])
+        past = np.concatenate([np.zeros(1, np.int64), np.cumsum(pc.binary_length(table).to_numpy()[chunk] // 4)])
+        known = table.take(pa.array(chunk)).buffers()[2]
+        at = past[np.concatenate([np.zeros(1, np.int64), stops + np.arange(1, len(stops) + 1)])]
+        return np.frombuffer(known, "<u4", at[-1]) if at[-1] else np.zeros(0, "<u4"), at
 
 
 def tokenize_pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
                     tokenizer_path: str | None = None) -> DataFrame:
     """One row per piece with its length, checksum and number among its task's pieces of that length."""
+    def slices(batches):
+        """The rows in runs of about ``_SLICE`` bytes of text: batches are cut, and small ones joined."""
+        held, size = [], 0
+        for whole in batches:
+            # 64 more a row, so that many short texts make a slice too.
+            sizes = np.cumsum(pc.binary_length(whole.column("text")).fill_null(0).to_numpy(zero_copy_only=False) + 64, dtype=np.int64)
+            low = 0
+            while low < whole.num_rows:
+                done = int(sizes[low - 1]) if low else 0
+                high = max(low + 1, int(np.searchsorted(sizes, done + _SLICE - size)))
+                held.append(whole.slice(low, high - low))
+                size += int(sizes[min(high, whole.num_rows) - 1]) - done
+                low = high
+                if size >= _SLICE or low < whole.num_rows:
+                    yield pa.concat_batches(held)
+                    held, size = [], 0
+        if held:
+            yield pa.concat_batches(held)
+
     def task(batches):
         tokens, ranks, number = Tokens(tokenizer_path), {}, TaskContext.get().partitionId()
-        for whole in batches:
-            sizes = np.cumsum(pc.binary_length(whole.column("text")).fill_null(0).to_numpy(zero_copy_only=False))
-            cuts = [0]
-            while cuts[-1] < whole.num_rows:
-                cuts.append(max(cuts[-1] + 1, int(np.searchsorted(sizes, (sizes[cuts[-1] - 1] if cuts[-1] else 0) + _SLICE))))
-            for low, high in zip(cuts, cuts[1:]):
-                batch = whole.slice(low, high - low)
-                ids, at = tokens.ids(batch.column("text"))
-                rows = [[] for _ in range(6)]
-                for key, a, b in zip(batch.column("doc_id").to_pylist(), at.tolist(), at[1:].tolist()):
-                    for piece, start in enumerate(range(0, b - a, capacity)):
-                        length = min(capacity, b - a - start)
-                        ranks[length] = rank = ranks.get(length, -1) + 1
-                        for column, v in zip(rows, (key, piece, start, length, zlib.crc32(ids[a + start:a + start + length].tobytes()), rank)):
-                            column.append(v)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int32()), *(pa.array(c, pa.int64()) for c in rows[2:5]),
-                     pa.array([number] * len(rows[0]), pa.int32()), pa.array(rows[5], pa.int64())],
-                    names=["doc_id", "piece", "start", "length", "ids_crc32", "task", "rank"])
+        for batch in slices(batches):
+            ids, at = tokens.ids(batch.column("text"))
+            rows = [[] for _ in range(6)]
+            for key, a, b in zip(batch.column("doc_id").to_pylist(), at.tolist(), at[1:].tolist()):
+                for piece, start in enumerate(range(0, b - a, capacity)):
+                    length = min(capacity, b - a - start)
+                    ranks[length] = rank = ranks.get(length, -1) + 1
+                    for column, v in zip(rows, (key, piece, start, length, zlib.crc32(ids[a + start:a + start + length].tobytes()), rank)):
+                        column.append(v)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int32()), *(pa.array(c, pa.int64()) for c in rows[2:5]),
+                 pa.array([number] * len(rows[0]), pa.int32()), pa.array(rows[5], pa.int64())],
+                names=["doc_id", "piece", "start", "length", "ids_crc32", "task", "rank"])
 
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return map_arrow(slim, task, _PIECES)
