@@ -134,3 +134,15 @@ def test_comparison_rules(spark):
         ("m6", "duplicate_metric_id", "2"), ("q1", "duplicate_query_id", "2"), ("b", "metrics_missing", ""), ("m3", "query_id_required", ""),
         ("onprem/t/yellow/2011/1", "repeated_write_changed", "2"), ("a", "artifact_ids_differ", "2"),
         ("k2", "results_differ", "2/2"), ("k3", "results_differ", "1/1")])
+
+
+def test_comparison_reads_the_attempts_once(spark):
+    metrics = spark.createDataFrame([("a", "m1", "pipeline", None, "success", None, None, 1.0, "onprem", "t", "yellow", 2011, 1, 5, 1)], (
+        "benchmark_run_id string, metric_id string, metric_type string, query_id string, status string, task_id string, spark_application_id string, "
+        "duration_seconds double, architecture string, table_name string, dataset string, year int, month int, records_read long, file_count long"))
+    attempts = spark.range(2).select(
+        F.concat(F.lit("made-once-"), F.col("id").cast("string")).alias("pair_id"), F.lit(1).alias("attempt"), F.lit("a").alias("benchmark_run_id"),
+        F.lit("onprem").alias("architecture"), F.lit("cold").alias("protocol"), F.lit("complete").alias("attempt_status"))
+    found = reports.comparison_violations(metrics, attempts)
+    assert "made-once-" not in found._jdf.queryExecution().analyzed().toString()
+    assert rules(found) == []

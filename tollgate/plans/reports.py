@@ -94,7 +94,11 @@ def comparison_violations(metrics: DataFrame, attempt_members: DataFrame, expect
     result) differ between architectures or lack one; members without ``samples`` or with
     sampling errors (``is_error``, if there); ``windows`` (block, complete) without datapoints.
     """
+    # Most rules start from the members: made once, on the shared folder, one row per attempt and member.
+    checkpoint_root(metrics.sparkSession)
+    attempt_members = attempt_members.checkpoint(eager=True)
     members, attempts = pairing.accepted_members(attempt_members)
+    members = members.checkpoint(eager=True)
     runs = members.select("benchmark_run_id", "pair_id", "architecture", "protocol").dropDuplicates(["benchmark_run_id"])
     recorded = runs.where(~F.col("protocol").eqNullSafe(F.lit("warmup"))).select("benchmark_run_id")
     of_runs = metrics.drop("architecture").join(runs.select("benchmark_run_id", "architecture", "protocol"), "benchmark_run_id", "inner")
