@@ -20,9 +20,9 @@ COMMON = [
 ]
 
 
-def silver(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
+def silver(spark: SparkSession, sf_dir: str, dataset: str, raw: DataFrame | None = None) -> DataFrame:
     pin(spark)
-    return normalize(raw_trips(spark, sf_dir, dataset), dataset)
+    return normalize(raw_trips(spark, sf_dir, dataset) if raw is None else raw, dataset)
 
 
 def common_projection(df: DataFrame, dataset: str) -> DataFrame:

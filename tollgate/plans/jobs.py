@@ -44,7 +44,8 @@ def build_silver(raw: DataFrame, dataset: str, target: str,
     to the requested months (P11); None keeps every derived month.
     """
     staged = normalize.stage_trips(raw, dataset, parts)
-    tables.overwrite_partitions(staged, target, SILVER_PARTITION_COLUMNS, order=["pickup_ts"])
+    tables.overwrite_partitions(staged, target, SILVER_PARTITION_COLUMNS, order=["pickup_ts"],
+                                following=normalize.following_columns(dataset))
     return staged
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tollgate.operators import marts, quality
 from tollgate.operators.metric_rows import layout_rows, pipeline_rows, query_rows, task_rows, union_metrics
+from tollgate.operators.normalize import following_columns
 from tollgate.plans import oracle
 from tollgate.plans.datasets import silver, silver_all
 from tollgate.plans.jobs import Warehouse, medallion_run
@@ -23,7 +24,7 @@ from tollgate.schemas import (GOLD_PARTITION_COLUMNS, QUALITY_PARTITION_COLUMNS,
                               SILVER_PARTITION_COLUMNS)
 from tollgate.session import checkpoint_root, exists, work_path
 from tollgate.sources import files, layout, tables
-from tollgate.sources.adapters import TASK_IDS, raw_trips, table
+from tollgate.sources.adapters import TASK_IDS, raw_trips, staged_raw_trips, table
 from tollgate.streaming import ingest
 
 DATASETS = ("yellow", "green")
@@ -498,12 +499,14 @@ FROM silver_all GROUP BY dataset, year, month"""))(_medallion_gated)
 def _rerun(spark, sf, dataset="green"):
     target = work_path(spark, f"silver-rerun-{dataset}")
     checkpoint_root(spark)
-    s = silver(spark, sf, dataset)
-    tables.overwrite_partitions(s, target, SILVER_PARTITION_COLUMNS, order=["pickup_ts"])
-    keys = ["year", "month"]
-    # Snapshot the counts of run 1 before run 2 overwrites the partitions.
-    first = ingest.partition_counts(tables.read_table(spark, target), keys).checkpoint(eager=True)
-    tables.overwrite_partitions(s, target, SILVER_PARTITION_COLUMNS, order=["pickup_ts"])
+    keys, following = ["year", "month"], following_columns(dataset)
+    # Both runs normalize, cluster and write all trips; only the join that makes the raw trips is shared.
+    with staged_raw_trips(spark, sf, dataset) as raw:
+        s = silver(spark, sf, dataset, raw)
+        tables.overwrite_partitions(s, target, SILVER_PARTITION_COLUMNS, order=["pickup_ts"], following=following)
+        # Snapshot the counts of run 1 before run 2 overwrites the partitions.
+        first = ingest.partition_counts(tables.read_table(spark, target), keys).checkpoint(eager=True)
+        tables.overwrite_partitions(s, target, SILVER_PARTITION_COLUMNS, order=["pickup_ts"], following=following)
     second = ingest.partition_counts(tables.read_table(spark, target), keys)
     out = ingest.rerun_consistency(first, second, keys)
     return out.select(F.col("year").cast("int"), F.col("month").cast("int"), "records_first", "records_second",
@@ -631,7 +634,8 @@ WHERE (year(d), month(d)) NOT IN (SELECT (year, month) FROM {silver})"""))(_each
 
 def _pruned_scan(spark, sf, dataset="yellow"):
     target = work_path(spark, f"silver-scan-{dataset}")
-    tables.overwrite_partitions(silver(spark, sf, dataset), target, SILVER_PARTITION_COLUMNS, order=["pickup_ts"])
+    tables.overwrite_partitions(silver(spark, sf, dataset), target, SILVER_PARTITION_COLUMNS, order=["pickup_ts"],
+                                following=following_columns(dataset))
     # Literal partition predicates -> PartitionFilters (only 1996 read).
     part = tables.read_partition(spark, target, [(1996, m) for m in range(1, 13)])
     out = marts.financial_aggregate(part, by=["year", "month"]).join(marts.row_count(part, by=["year", "month"]),

@@ -12,10 +12,14 @@ grows with its source table, and each has an equivalent SQL text in
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.schemas import RUN_METRICS
+from tollgate.session import work_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,7 +30,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # raw trips
 # ---------------------------------------------------------------------------
 
-def _raw_trip_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate",
@@ -34,13 +38,17 @@ def _raw_trip_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     # Both sides are large at scale: a shuffled equi-join on the order key
     # (AQE may still switch to broadcast when orders turns out small).
-    joined = li.join(orders, li.l_orderkey == orders.o_orderkey, "inner")
+    return li.join(orders, li.l_orderkey == orders.o_orderkey, "inner").withColumn(
+        "dataset", F.when(F.col("l_orderkey") % 2 == 0, F.lit("green")).otherwise(F.lit("yellow")))
+
+
+def _raw_trip_base(lines: DataFrame) -> DataFrame:
     fare = F.when(
         (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 2),
         -F.col("l_extendedprice"),
     ).otherwise(F.col("l_extendedprice"))
-    return joined.select(
-        F.when(F.col("l_orderkey") % 2 == 0, F.lit("green")).otherwise(F.lit("yellow")).alias("dataset"),
+    return lines.select(
+        "dataset",
         (F.col("l_suppkey") % 3).alias("vendor"),
         F.col("o_orderdate").alias("pickup"),
         F.col("l_shipdate").alias("dropoff"),
@@ -89,10 +97,27 @@ def raw_trips(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
     Optional money columns (extra, mta_tax, ...) are absent on purpose: the
     normalizer must fill them with typed NULLs.
     """
-    base = _raw_trip_base(spark, sf_dir)
+    base = _raw_trip_base(_trip_lines(spark, sf_dir))
     return base.where(F.col("dataset") == dataset).select(*_raw_columns(dataset))
 
 
+@contextmanager
+def staged_raw_trips(spark: SparkSession, sf_dir: str, dataset: str) -> Iterator[DataFrame]:
+    """:func:`raw_trips` for a job that reads them more than once.
+
+    The join is made once and kept, with the columns of the given tables, as
+    plain files on the shared folder until the job is done with them.
+    """
+    lines = _trip_lines(spark, sf_dir).where(F.col("dataset") == dataset).drop("l_orderkey", "o_orderkey")
+    staged = work_path(spark, f"trip-lines-{dataset}")
+    try:
+        lines.write.option("compression", "zstd").parquet(staged)
+        yield _raw_trip_base(spark.read.schema(lines.schema).parquet(staged)).select(*_raw_columns(dataset))
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(staged)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def raw_trips_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {ds: raw_trips(spark, sf_dir, ds) for ds in ("yellow", "green")}
 

@@ -77,7 +77,7 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType,
 
 
 def clustered_for_write(df: DataFrame, part_cols: Sequence[str], order: Sequence[str] = (),
-                        partitions: int | None = None) -> DataFrame:
+                        partitions: int | None = None, following: Mapping[str, Column] | None = None) -> DataFrame:
     """Cluster rows by table partition before a partitioned write.
 
     Uses the ``rebalance`` hint on the partition columns: a hash shuffle that
@@ -86,26 +86,32 @@ def clustered_for_write(df: DataFrame, part_cols: Sequence[str], order: Sequence
     few partition directories (no small-file explosion), a hot month does
     not become one giant task, and no sampling pass over the input is needed
     (unlike range partitioning).  ``order`` sorts rows within each task for
-    better compression / min-max pruning inside the files.
+    better compression / min-max pruning inside the files.  ``following``
+    gives columns of ``df`` as expressions of its other columns: they are left
+    out of the shuffle and computed after it.
     """
     if not part_cols:
         return df
-    out = df.hint("rebalance", *part_cols)
+    following = following or {}
+    out = df.drop(*following).hint("rebalance", *part_cols)
     if order:
         out = out.sortWithinPartitions(*part_cols, *order)
+    if following:
+        out = out.select(*[following[c].alias(c) if c in following else c for c in df.columns])
     return out
 
 
 def overwrite_partitions(df: DataFrame, table: str, part_cols: Sequence[str],
-                         order: Sequence[str] = (), clear_empty: Sequence[tuple] = ()) -> None:
+                         order: Sequence[str] = (), clear_empty: Sequence[tuple] = (),
+                         following: Mapping[str, Column] | None = None) -> None:
     """Replace only the partitions present in ``df`` (retry-safe).
 
     A zero-row frame replaces nothing.  ``clear_empty`` explicitly deletes
     listed partitions (values in ``part_cols`` order) — the opt-in for a
-    partition that should become empty.
+    partition that should become empty.  ``following``: see :func:`clustered_for_write`.
     """
     spark = df.sparkSession
-    out = clustered_for_write(df, part_cols, order)
+    out = clustered_for_write(df, part_cols, order, following=following)
     if _is_path(table):
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*part_cols).parquet(table))

@@ -151,7 +151,8 @@ def rebuild_months(spark: SparkSession, months: Sequence[tuple[int, int, int, in
         pickup = F.to_timestamp("pickup_ts")
         raw = raw.where((F.year(pickup) == F.col("year")) & (F.month(pickup) == F.col("month")))
         silver = normalize.normalize(raw.drop("year", "month"), dataset)
-        tables.overwrite_partitions(silver, silver_path, SILVER_PARTITION_COLUMNS, order=["pickup_ts"])
+        tables.overwrite_partitions(silver, silver_path, SILVER_PARTITION_COLUMNS, order=["pickup_ts"],
+                                    following=normalize.following_columns(dataset))
         part = tables.read_partition(spark, silver_path, plain, schema=SILVER.get(dataset))
         gold, failed = marts.monthly_revenue(part, dataset), set()
         if quality_path is not None:
